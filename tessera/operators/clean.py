@@ -106,7 +106,8 @@ def impute_group_mean(df: DataFrame, column: str, by: str, method: str = "mean",
     stats = materialize(
         df.where(col(by).isNotNull())
         .groupBy(col(by).alias("_g"))
-        .agg(F.avg(col(column).cast("double")).alias("_gmean"))
+        .agg(F.avg(col(column).cast("double")).alias("_gmean")),
+        name="group-means",
     )
     joined = _join_stats(df, stats, by)
     dt = df.schema[column].dataType

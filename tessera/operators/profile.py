@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import col, is_numeric, numeric_columns, per_column_agg, string_columns
+from ..session import materialize
 from .quantiles import quantiles
 
 
@@ -92,9 +93,17 @@ def describe_numeric(df: DataFrame, columns: Sequence[str], exact: bool = True)
     return base.join(wide, on="column_name", how="left")
 
 
-def describe_all(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
-    """The reference's ``describe(include="all")`` transposed, one row per column."""
+def describe_all(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True,
+                 materialize_input: bool = False) -> DataFrame:
+    """The reference's ``describe(include="all")`` transposed, one row per column.
+
+    Exact quartiles take three to four aggregate passes. For an input that is
+    itself a join or aggregate, ``materialize_input`` writes the profiled
+    columns once so the passes read files instead of recomputing the joins.
+    """
     cols = list(columns or df.columns)
+    if materialize_input:
+        df = materialize(df.select(*[col(c) for c in cols]), name="profile-input")
     nums = [c for c in cols if is_numeric(df.schema[c].dataType)]
     txt = [c for c in cols if c not in nums]
     frames = []

@@ -55,17 +55,19 @@ def select_k(scores: DataFrame, k: int, keep: Sequence[str] = (),
     ``keep`` names *source* columns (or output names). With a transformer
     parameter table every output derived from a kept source is kept — e.g.
     all one-hot columns of ``kitchen_qual`` — and excluded from the ranking.
+    The score table has one row per model input, so it is read once and
+    ranked on the driver (ties by name, null scores last).
     """
     spark = scores.sparkSession
-    feature_names = [r["feature"] for r in scores.select("feature").collect()]
-    source_of = {f: f for f in feature_names}
+    rows = [(r["feature"], r["f_score"]) for r in scores.select("feature", "f_score").collect()]
+    source_of = {f: f for f, _ in rows}
     if params is not None:
         source_of.update({r["output"]: r["source"] for r in params.select("output", "source").collect()})
     keep_set = set(keep)
-    kept = [f for f in feature_names if f in keep_set or source_of.get(f) in keep_set]
-    ranked = scores.where(~F.col("feature").isin(kept)) if kept else scores
-    best = [r["feature"] for r in top_k(ranked, k).select("feature").collect()]
-    chosen = best + sorted(kept)
+    kept = sorted(f for f, _ in rows if f in keep_set or source_of.get(f) in keep_set)
+    ranked = sorted(((f, s) for f, s in rows if f not in kept),
+                    key=lambda fs: (fs[1] is None, -(fs[1] or 0.0) if fs[1] is not None else 0.0, fs[0]))
+    chosen = [f for f, _ in ranked[:k]] + kept
     schema = T.StructType([T.StructField("position", T.IntegerType(), False),
                            T.StructField("feature", T.StringType(), False)])
     return spark.createDataFrame(list(enumerate(chosen)), schema)

@@ -71,7 +71,7 @@ def train_job(df_raw: DataFrame, cfg: Mapping, split_method: str = "hash") -> Tr
     prepared = prepare(df_raw, cfg)
     buckets = 1000 if split_method == "arith" else 10_000
     data = materialize(split(prepared, key, split_fractions(cfg), seed=seed, buckets=buckets,
-                             method=split_method))
+                             method=split_method), partition_by=["split"], name="train-input")
     train = data.where(F.col("split") == "train")
     params = fit_transformer(train, cfg)
     matrix = apply_transformer(data, params, keep=[key, target, "split"])

@@ -10,6 +10,8 @@ from __future__ import annotations
 import logging
 import os
 import tempfile
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,12 +81,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or folder
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the reliable checkpoint folder and cut its lineage.
+def scratch_path(spark: SparkSession, name: str = "table") -> str:
+    """A fresh folder for an intermediate table inside the shared checkpoint folder."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/tables/{name}-{uuid.uuid4().hex}"
 
-    Used where one intermediate feeds several fits (so the scan and the
-    shuffle feeding it are not repeated) and where a small derived table has
-    to be measured before deciding on a join strategy.
+
+def materialize(df: DataFrame, partition_by: Sequence[str] | None = None, name: str = "table") -> DataFrame:
+    """Write ``df`` once as Parquet in the shared checkpoint folder and read it back.
+
+    Cuts lineage (a lost executor re-reads files instead of recomputing joins)
+    and keeps the intermediate columnar, so later passes read only the columns
+    they use; ``partition_by`` lets a filter on that column prune whole folders.
+    Used where one intermediate feeds several passes or fits, and where a small
+    derived table has to be measured before choosing a join strategy.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, name)
+    writer = df.write.mode("errorifexists")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return df.sparkSession.read.parquet(path)
