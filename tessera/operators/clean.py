@@ -75,18 +75,21 @@ def fill_label(df: DataFrame, cols: Sequence[str], label: str = "None") -> DataF
     ])
 
 
-def drop_null_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """drop rows with a null (or NaN) in any configured column that exists."""
-    subset = present(df, cols)
-    if not subset:
-        return df
+def complete_rows(df: DataFrame, cols: Sequence[str]) -> Column | None:
+    """Predicate: no null (or NaN) in any configured column that exists (None if none exist)."""
     cond = None
-    for c in subset:
+    for c in present(df, cols):
         ok = col(c).isNotNull()
         if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
             ok = ok & ~F.isnan(col(c))
         cond = ok if cond is None else cond & ok
-    return df.where(cond)
+    return cond
+
+
+def drop_null_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """drop rows with a null (or NaN) in any configured column that exists."""
+    cond = complete_rows(df, cols)
+    return df if cond is None else df.where(cond)
 
 
 def impute_group_mean(df: DataFrame, column: str, by: str, method: str = "mean",
@@ -134,6 +137,16 @@ def clean(df: DataFrame, cfg: Mapping) -> DataFrame:
     ``cfg`` is the ``preprocessing`` mapping (or a full config holding one).
     An empty mapping is the identity.
     """
+    kept, _ = clean_with_dropped(df, cfg)
+    return kept
+
+
+def clean_with_dropped(df: DataFrame, cfg: Mapping) -> tuple[DataFrame, DataFrame]:
+    """F6 + J4: the cleaned frame and the rows F5 removes, both from one plan.
+
+    The removed rows are the ones failing F5's predicate, so reporting them
+    needs no join against the input.
+    """
     pre = cfg.get("preprocessing", cfg)
     out = rename(df, pre.get("rename_columns", {}) or {})
     out = drop(out, pre.get("drop_columns", []) or [])
@@ -148,8 +161,10 @@ def clean(df: DataFrame, cfg: Mapping) -> DataFrame:
     out = fill_label(out, label)
     if grp:
         out = impute_group_mean(out, grp["column"], grp["groupby"], grp.get("method", "mean"))
-    out = drop_null_rows(out, pre.get("dropna_rows", []) or [])
-    return out
+    cond = complete_rows(out, pre.get("dropna_rows", []) or [])
+    if cond is None:
+        return out, out.limit(0)
+    return out.where(cond), out.where(~cond)
 
 
 def exclude(df: DataFrame, condition: Column) -> DataFrame:

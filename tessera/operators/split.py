@@ -50,7 +50,6 @@ def split(df: DataFrame, key: str, fractions: Mapping[str, float] = DEFAULT_FRAC
     return df.withColumn(out, expr)
 
 
-def split_frames(df: DataFrame, split_col: str = "split") -> dict[str, DataFrame]:
+def split_frames(df: DataFrame, names=tuple(DEFAULT_FRACTIONS), split_col: str = "split") -> dict[str, DataFrame]:
     """Convenience view of a split column as filtered frames (no data is copied)."""
-    names = [r[0] for r in df.select(split_col).distinct().collect()]
     return {n: df.where(F.col(split_col) == n) for n in names}

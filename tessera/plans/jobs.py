@@ -21,7 +21,6 @@ from ..operators import clean as C
 from ..operators import profile as P
 from ..operators import validate as V
 from ..operators.features import engineer
-from ..operators.joins import dropped_keys
 from ..operators.metrics import regression_metrics
 from ..operators.model import fit_linear, predict
 from ..operators.select import f_scores, select_k
@@ -36,9 +35,14 @@ log = logging.getLogger(__name__)
 
 def prepare(df: DataFrame, cfg: Mapping) -> DataFrame:
     """E → F6: derived features on raw names, then the cleaning chain."""
+    return prepare_with_dropped(df, cfg)[0]
+
+
+def prepare_with_dropped(df: DataFrame, cfg: Mapping) -> tuple[DataFrame, DataFrame]:
+    """E → F6, also returning the rows cleaning removes."""
     spec = cfg.get("engineering") or []
     out = engineer(df, spec) if spec else df
-    return C.clean(out, cfg)
+    return C.clean_with_dropped(out, cfg)
 
 
 def split_fractions(cfg: Mapping) -> dict:
@@ -94,7 +98,7 @@ def save_training(result: TrainResult, out_dir: str) -> None:
     K.write_params(result.coefficients, f"{out_dir}/model")
     K.write_params(result.selected, f"{out_dir}/selected_features")
     K.write_json(result.metrics, f"{out_dir}/metrics")
-    K.write_splits(result.predictions, f"{out_dir}/predictions")
+    K.write_splits(result.predictions.withColumnRenamed("prediction", "y_pred"), f"{out_dir}/predictions")
 
 
 def score_batch(df_raw: DataFrame, cfg: Mapping, params: DataFrame, coefficients: DataFrame,
@@ -105,14 +109,13 @@ def score_batch(df_raw: DataFrame, cfg: Mapping, params: DataFrame, coefficients
     cleaning is reported instead of silently disappearing.
     """
     key = cfg["key"]
-    prepared = prepare(df_raw, cfg)
+    prepared, dropped = prepare_with_dropped(df_raw, cfg)
     matrix = apply_transformer(prepared, params, keep=[key])
     if selected is None:
         selected = [r["term"] for r in coefficients.collect() if r["term"] != "__intercept__"]
     inputs = C.select_or_default(matrix, selected, default=0.0, keep=[key])
     preds = predict(inputs, coefficients, keep=[key])
-    before = C.rename(df_raw, (cfg.get("preprocessing", {}) or {}).get("rename_columns", {}) or {})
-    return preds, dropped_keys(before, prepared, key)
+    return preds, dropped.select(key)
 
 
 def data_stage(spark: SparkSession, cfg: Mapping, root: str | None = None,
