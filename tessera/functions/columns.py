@@ -127,20 +127,33 @@ def weighted_sum_expr(weights: Mapping[str, float]) -> Column:
     return out
 
 
-def per_column_agg(df: DataFrame, names: Sequence[str], build) -> DataFrame:
-    """One aggregate job over many columns, returned in long form.
+def melt_columns(df: DataFrame, names: Sequence[str], fields, carry: Mapping[str, Column] | None = None) -> DataFrame:
+    """Long form ``(carry…, column_name, field…)``: one row per input row and column.
 
-    ``build(column, name) -> {field: aggregate Column}`` must give the same field
-    names and types for every column. The single result row is unpivoted to
-    ``(column_name, field…)`` — one row per input column.
+    ``fields(column, name) -> {field: per-row Column}`` must give the same field
+    names and types for every column (flags, or values cast to one type). The
+    rows are generated inside the scan's pipeline and never materialised.
     """
     names = list(names)
     if not names:
         raise ValueError("no columns to aggregate")
-    aggs = []
-    for i, n in enumerate(names):
-        fields = [F.lit(n).alias("column_name")] + [e.alias(k) for k, e in build(col(n), n).items()]
-        aggs.append(F.struct(*fields).alias(f"_c{i}"))
-    row = df.agg(*aggs)
-    long = row.unpivot([], [f"_c{i}" for i in range(len(names))], "_idx", "_s")
-    return long.select("_s.*")
+    parts = [F.struct(F.lit(n).alias("column_name"), *[e.alias(k) for k, e in fields(col(n), n).items()])
+             for n in names]
+    carried = dict(carry or {})
+    return (df.select(*[c.alias(k) for k, c in carried.items()], F.explode(F.array(*parts)).alias("_e"))
+            .select(*[F.col(k) for k in carried], "_e.*"))
+
+
+def per_column_agg(df: DataFrame, names: Sequence[str], fields, aggs,
+                   carry: Mapping[str, Column] | None = None) -> DataFrame:
+    """One aggregate job over many columns: ``(column_name, agg…)``, one row per column.
+
+    The table is melted to long form and grouped by column name, so the
+    aggregation buffer stays a few fields wide however many columns there are
+    (a wide aggregate with more than ``spark.sql.codegen.maxFields`` buffer
+    fields loses whole-stage codegen). Partial aggregation runs before the
+    shuffle: each task sends one row per column. ``aggs`` maps output names to
+    aggregate Columns over the melted fields.
+    """
+    long = melt_columns(df, names, fields, carry)
+    return long.groupBy("column_name").agg(*[e.alias(k) for k, e in aggs.items()])

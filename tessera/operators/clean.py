@@ -147,18 +147,29 @@ def clean_with_dropped(df: DataFrame, cfg: Mapping) -> tuple[DataFrame, DataFram
     The removed rows are the ones failing F5's predicate, so reporting them
     needs no join against the input.
     """
+    return impute_and_filter(row_local_clean(df, cfg), cfg)
+
+
+def row_local_clean(df: DataFrame, cfg: Mapping) -> DataFrame:
+    """F1 → F4: the steps that look at one row at a time (a single projection)."""
     pre = cfg.get("preprocessing", cfg)
     out = rename(df, pre.get("rename_columns", {}) or {})
     out = drop(out, pre.get("drop_columns", []) or [])
     fill = pre.get("fillna", {}) or {}
     zero = fill.get("numerical_zero", []) or []
-    label = fill.get("categorical_none", []) or []
     grp = pre.get("fillna_groupby") or {}
     if grp and grp.get("column") in zero:
         log.warning("fillna_groupby column %s is also zero-filled; group mean will not apply",
                     grp.get("column"))
     out = fill_zero(out, zero)
-    out = fill_label(out, label)
+    return fill_label(out, fill.get("categorical_none", []) or [])
+
+
+def impute_and_filter(df: DataFrame, cfg: Mapping) -> tuple[DataFrame, DataFrame]:
+    """W1 → F5 on an already row-cleaned frame: ``(kept, dropped)``."""
+    pre = cfg.get("preprocessing", cfg)
+    grp = pre.get("fillna_groupby") or {}
+    out = df
     if grp:
         out = impute_group_mean(out, grp["column"], grp["groupby"], grp.get("method", "mean"))
     cond = complete_rows(out, pre.get("dropna_rows", []) or [])

@@ -78,12 +78,13 @@ def describe_categorical(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def describe_numeric(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
     """count, mean, std (ddof 1), min, quartiles (linear), max for numeric columns."""
-    base = per_column_agg(df, columns, lambda c, _n: {
-        "count": F.count(c).cast("long"),
-        "mean": F.avg(c.cast("double")),
-        "std": F.stddev_samp(c.cast("double")),
-        "min": F.min(c).cast("double"),
-        "max": F.max(c).cast("double"),
+    x = F.col("x")
+    base = per_column_agg(df, columns, lambda c, _n: {"x": c.cast("double")}, {
+        "count": F.count(x).cast("long"),
+        "mean": F.avg(x),
+        "std": F.stddev_samp(x),
+        "min": F.min(x),
+        "max": F.max(x),
     })
     q = quantiles(df, columns, [0.25, 0.5, 0.75], exact=exact)
     wide = (q.groupBy("column_name")
@@ -124,8 +125,8 @@ def describe_all(df: DataFrame, columns: Sequence[str] | None = None, exact: boo
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """P4 (+P14 denominator): ``(column_name, n_null, n_rows)`` from one aggregate."""
     cols = list(columns or df.columns)
-    return per_column_agg(df, cols, lambda c, _n: {
-        "n_null": F.count_if(c.isNull()).cast("long"),
+    return per_column_agg(df, cols, lambda c, _n: {"isnull": c.isNull()}, {
+        "n_null": F.count_if("isnull").cast("long"),
         "n_rows": F.count(F.lit(1)).cast("long"),
     })
 
@@ -168,7 +169,8 @@ def shape(df: DataFrame, with_duplicates: bool = True) -> DataFrame:
 def column_info(df: DataFrame) -> DataFrame:
     """``(column_name, dtype, n_non_null)`` — schema snapshot with counts."""
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    info = per_column_agg(df, df.columns, lambda c, _n: {"n_non_null": F.count(c).cast("long")})
+    info = per_column_agg(df, df.columns, lambda c, _n: {"nn": c.isNotNull()},
+                          {"n_non_null": F.count_if("nn").cast("long")})
     mapping = F.create_map(*[x for n, t in types.items() for x in (F.lit(n), F.lit(t))])
     return info.select("column_name", mapping[F.col("column_name")].alias("dtype"), "n_non_null")
 

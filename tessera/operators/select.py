@@ -19,20 +19,15 @@ from ..functions.columns import col, per_column_agg
 
 def f_scores(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """M8: ``(feature, n, r, f_score)`` for every feature against ``target``."""
-    y = col(target).cast("double")
-
-    def build(c, _n):
-        x = c.cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        xb, yb = F.when(both, x), F.when(both, y)
-        return {
-            "n": F.count_if(both).cast("long"),
-            "cov": F.covar_pop(xb, yb),
-            "vx": F.var_pop(xb),
-            "vy": F.var_pop(yb),
-        }
-
-    long = per_column_agg(df, features, build)
+    x, y = F.col("x"), F.col("_y")
+    both = x.isNotNull() & y.isNotNull()
+    xb, yb = F.when(both, x), F.when(both, y)
+    long = per_column_agg(df, features, lambda c, _n: {"x": c.cast("double")}, {
+        "n": F.count_if(both).cast("long"),
+        "cov": F.covar_pop(xb, yb),
+        "vx": F.var_pop(xb),
+        "vy": F.var_pop(yb),
+    }, carry={"_y": col(target).cast("double")})
     r = F.when((F.col("vx") > 0) & (F.col("vy") > 0),
                F.col("cov") / F.sqrt(F.col("vx") * F.col("vy")))
     r2 = F.col("r") * F.col("r")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col, is_numeric, present, safe_name
+from ..functions.columns import col, is_numeric, per_column_agg, present, safe_name
 
 PARAMS_SCHEMA = T.StructType([
     T.StructField("position", T.IntegerType(), False),
@@ -103,17 +103,15 @@ def fit_transformer(train: DataFrame, cfg: Mapping, max_categories: int = MAX_CA
                 pos += 1
     nums = spec["numeric"]
     if nums:
-        aggs = []
-        for i, c in enumerate(nums):
-            x = col(c).cast("double")
-            aggs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}"),
-                     F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-        st = train.agg(*aggs).first()
-        for i, c in enumerate(nums):
+        x = F.col("x")
+        stats = per_column_agg(train, nums, lambda c, _n: {"x": c.cast("double")}, {
+            "mean": F.avg(x), "std": F.stddev_pop(x), "lo": F.min(x), "hi": F.max(x)})
+        st = {r["column_name"]: r for r in stats.collect()}
+        for c in nums:
             if spec["method"] == "standard":
-                center, scale = st[f"m{i}"], st[f"s{i}"]
+                center, scale = st[c]["mean"], st[c]["std"]
             else:
-                lo, hi = st[f"lo{i}"], st[f"hi{i}"]
+                lo, hi = st[c]["lo"], st[c]["hi"]
                 center, scale = lo, (None if lo is None else hi - lo)
             rows.append((pos, "scaler", c, f"scaler__{safe_name(c)}", None, spec["method"], center, scale))
             pos += 1

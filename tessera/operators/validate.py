@@ -97,19 +97,21 @@ def value_conformance(df: DataFrame, declared: Sequence[Mapping]) -> DataFrame:
         text = c.cast("string")
         if kind == "int":
             as_d = text.try_cast("double")
-            bad = c.isNotNull() & (as_d.isNull() | (as_d != F.floor(as_d)))
+            bad = c.isNotNull() & F.coalesce(as_d.isNull() | (as_d != F.floor(as_d)), F.lit(True))
         elif kind in _PARSE_AS:
             bad = c.isNotNull() & text.try_cast(_PARSE_AS[kind]).isNull()
         else:
             bad = F.lit(False)
-        return {
-            "expected": F.lit(kind),
-            "n_rows": F.count(F.lit(1)).cast("long"),
-            "n_null": F.count_if(c.isNull()).cast("long"),
-            "n_nonconforming": F.count_if(bad).cast("long"),
-        }
+        return {"isnull": c.isNull(), "bad": bad}
 
-    return per_column_agg(df, list(kinds), build)
+    long = per_column_agg(df, list(kinds), build, {
+        "n_rows": F.count(F.lit(1)).cast("long"),
+        "n_null": F.count_if("isnull").cast("long"),
+        "n_nonconforming": F.count_if("bad").cast("long"),
+    })
+    expected = F.create_map(*[x for n, k in kinds.items() for x in (F.lit(n), F.lit(k))])
+    return long.select("column_name", expected[F.col("column_name")].alias("expected"),
+                       "n_rows", "n_null", "n_nonconforming")
 
 
 def require_non_empty(df: DataFrame, what: str = "input", raise_error: bool = False) -> bool:
@@ -124,9 +126,9 @@ def require_non_empty(df: DataFrame, what: str = "input", raise_error: bool = Fa
 
 def finite_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """V7: ``(column_name, n_rows, n_not_finite)`` in one aggregate."""
-    return per_column_agg(df, columns, lambda c, _n: {
+    return per_column_agg(df, columns, lambda c, _n: {"bad": ~is_finite(c)}, {
         "n_rows": F.count(F.lit(1)).cast("long"),
-        "n_not_finite": F.count_if(~is_finite(c)).cast("long"),
+        "n_not_finite": F.count_if("bad").cast("long"),
     })
 
 

@@ -72,10 +72,14 @@ def train_job(df_raw: DataFrame, cfg: Mapping, split_method: str = "hash") -> Tr
     """
     key, target = cfg["key"], cfg["target"]
     seed = cfg.get("data_split", {}).get("random_state", 42)
-    prepared = prepare(df_raw, cfg)
+    spec = cfg.get("engineering") or []
+    row_clean = C.row_local_clean(engineer(df_raw, spec) if spec else df_raw, cfg)
     buckets = 1000 if split_method == "arith" else 10_000
-    data = materialize(split(prepared, key, split_fractions(cfg), seed=seed, buckets=buckets,
-                             method=split_method), partition_by=["split"], name="train-input")
+    # The upstream plan (scans, joins, projections) runs once; every later pass —
+    # group means, transformer fit, F-scores, OLS, metrics — reads these files.
+    staged = materialize(split(row_clean, key, split_fractions(cfg), seed=seed, buckets=buckets,
+                               method=split_method), partition_by=["split"], name="train-input")
+    data, _ = C.impute_and_filter(staged, cfg)
     train = data.where(F.col("split") == "train")
     params = fit_transformer(train, cfg)
     matrix = apply_transformer(data, params, keep=[key, target, "split"])

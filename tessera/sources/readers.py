@@ -166,11 +166,12 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     ``float`` as the reference's reader does.
     """
     names = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    long = per_column_agg(df, names, lambda c, _n: {
-        "n": F.count(c),
-        "bad_int": F.count_if(c.isNotNull() & c.try_cast("long").isNull()),
-        "bad_float": F.count_if(c.isNotNull() & c.try_cast("double").isNull()),
-    })
+    long = per_column_agg(
+        df, names,
+        lambda c, _n: {"nn": c.isNotNull(),
+                       "bad_int": c.isNotNull() & c.try_cast("long").isNull(),
+                       "bad_float": c.isNotNull() & c.try_cast("double").isNull()},
+        {"n": F.count_if("nn"), "bad_int": F.count_if("bad_int"), "bad_float": F.count_if("bad_float")})
     return long.select(
         "column_name",
         F.when(F.col("n") == 0, F.lit("float"))
