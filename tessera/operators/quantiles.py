@@ -2,17 +2,20 @@
 
 Spark's exact ``percentile`` keeps every distinct value of a column in one
 buffer, and a global window puts every row in one task; neither survives a
-column with billions of distinct values. Here:
+column with billions of distinct values. Here each needed order statistic
+(the ranks ⌊h⌋ and ⌈h⌉ of every quantile, h = (n − 1)·p) is found by
+bracketing:
 
 1. one aggregate pass gets ``count``/``min``/``max`` and ``percentile_approx``
    brackets around each target rank;
-2. one pass counts rows below each bracket and measures how many distinct
-   values it holds (verifying the bracket really contains the target ranks);
-   brackets still too wide are narrowed again with ``percentile_approx`` over
-   the rows inside them;
-3. one pass collects ``(value, count)`` pairs inside the final brackets — at
-   most ``max_candidates`` distinct values per bracket, however many rows share
-   a value — and the driver walks the counts to the exact order statistics.
+2. each round is one pass counting, per rank, the rows below the bracket,
+   inside it, and equal to each end. A rank inside an end's run of ties is
+   resolved to that value at once; a bracket that is wrong (the sketch missed)
+   falls back to the full range; a bracket small enough is kept for collection;
+   any other is narrowed with ``percentile_approx`` over the rows strictly
+   inside its ends — so ties can never stall it;
+3. one pass collects ``(value, count)`` pairs inside the final brackets (at most
+   ``max_candidates`` rows' worth each) and the driver walks the counts.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,10 +36,14 @@ RESULT_SCHEMA = T.StructType([
 ])
 
 
-def _interpolate(lo_v: float, hi_v: float, frac: float) -> float:
-    if frac == 0.0 or lo_v == hi_v:
-        return lo_v
-    return lo_v + (hi_v - lo_v) * frac
+def _inside(v: Column, t: dict) -> Column:
+    lo = (v > F.lit(t["lo"])) if t["lo_open"] else (v >= F.lit(t["lo"]))
+    hi = (v < F.lit(t["hi"])) if t["hi_open"] else (v <= F.lit(t["hi"]))
+    return lo & hi
+
+
+def _below(v: Column, t: dict) -> Column:
+    return (v <= F.lit(t["lo"])) if t["lo_open"] else (v < F.lit(t["lo"]))
 
 
 def exact_quantiles(
@@ -45,13 +52,12 @@ def exact_quantiles(
     probs: Sequence[float],
     accuracy: int = 10_000,
     max_candidates: int = 200_000,
-    max_rounds: int = 8,
+    max_rounds: int = 12,
 ) -> dict[tuple[str, float], float | None]:
-    """Return ``{(column, p): value}`` with pandas' linear interpolation."""
+    """Return ``{(column, p): value}`` with pandas' linear interpolation (NaN counts as missing)."""
     cols = list(columns)
     probs = [float(p) for p in probs]
     vals = {c: col(c).cast("double") for c in cols}
-    # NaN is a missing value, as in pandas.
     vals = {c: F.when(~F.isnan(v), v) for c, v in vals.items()}
     margin = 3.0 / accuracy
     fracs = sorted({min(1.0, max(0.0, p + s * margin)) for p in probs for s in (-1, 1)})
@@ -63,75 +69,94 @@ def exact_quantiles(
                  F.percentile_approx(v, fracs, accuracy).alias(f"q{i}")]
     first = df.agg(*aggs).first()
 
-    result: dict[tuple[str, float], float | None] = {}
-    # target: (c, p) -> dict(lo, hi, k0, k1, frac, n)
-    targets = {}
+    plan: dict[tuple[str, float], tuple | None] = {}   # (c, p) -> (k0, k1, frac)
+    ranks: dict[tuple[str, int], dict] = {}            # (c, k) -> bracket state
     for i, c in enumerate(cols):
         n = first[f"n{i}"]
         if not n:
             for p in probs:
-                result[(c, p)] = None
+                plan[(c, p)] = None
             continue
         approx = dict(zip(fracs, first[f"q{i}"]))
+        mn, mx = first[f"mn{i}"], first[f"mx{i}"]
         for p in probs:
             h = (n - 1) * p
             k0 = int(math.floor(h))
             k1 = min(k0 + 1, n - 1)
+            plan[(c, p)] = (k0, k1, h - k0)
             lo_f, hi_f = max(0.0, p - margin), min(1.0, p + margin)
-            lo = first[f"mn{i}"] if lo_f == 0.0 else approx[lo_f]
-            hi = first[f"mx{i}"] if hi_f == 1.0 else approx[hi_f]
-            targets[(c, p)] = {"lo": lo, "hi": hi, "k0": k0, "k1": k1, "frac": h - k0, "n": n,
-                               "min": first[f"mn{i}"], "max": first[f"mx{i}"]}
-
+            for k in (k0, k1):
+                if (c, k) not in ranks:
+                    ranks[(c, k)] = {"lo": mn if lo_f == 0.0 else approx[lo_f],
+                                     "hi": mx if hi_f == 1.0 else approx[hi_f],
+                                     "lo_open": False, "hi_open": False,
+                                     "min": mn, "max": mx, "n": n, "value": None}
+
+    pending = list(ranks)
+    collect: list[tuple[str, int]] = []
     for _ in range(max_rounds):
-        if not targets:
+        if not pending:
             break
-        keys = list(targets)
         aggs = []
-        for j, (c, p) in enumerate(keys):
-            t, v = targets[(c, p)], vals[c]
-            inside = (v >= F.lit(t["lo"])) & (v <= F.lit(t["hi"]))
-            aggs += [F.count_if(v < F.lit(t["lo"])).alias(f"b{j}"),
-                     F.count_if(v <= F.lit(t["hi"])).alias(f"u{j}"),
-                     F.approx_count_distinct(F.when(inside, v)).alias(f"d{j}")]
+        for j, (c, k) in enumerate(pending):
+            t, v = ranks[(c, k)], vals[c]
+            inside = _inside(v, t)
+            aggs += [F.count_if(_below(v, t)).alias(f"b{j}"),
+                     F.count_if(inside).alias(f"m{j}"),
+                     F.count_if(inside & (v == F.lit(t["lo"]))).alias(f"l{j}"),
+                     F.count_if(inside & (v == F.lit(t["hi"]))).alias(f"h{j}")]
         row = df.agg(*aggs).first()
         narrow = []
-        for j, key in enumerate(keys):
-            t = targets[key]
-            below, upto, distinct = row[f"b{j}"], row[f"u{j}"], row[f"d{j}"]
-            if below > t["k0"] or upto < t["k1"] + 1:
-                # The approximate bracket missed the target ranks: fall back to the full range.
-                t.update(lo=t["min"], hi=t["max"], below=0, inside=t["n"])
-                narrow.append(key)
+        for j, key in enumerate(pending):
+            t, k = ranks[key], key[1]
+            below, m, at_lo, at_hi = row[f"b{j}"], row[f"m{j}"], row[f"l{j}"], row[f"h{j}"]
+            if not (below <= k < below + m):
+                # The sketch missed: start again from the whole range.
+                t.update(lo=t["min"], hi=t["max"], lo_open=False, hi_open=False)
+                narrow.append((key, 0, t["n"], 0, 0, False))
                 continue
-            t.update(below=below, inside=upto - below)
-            if distinct > max_candidates:
-                narrow.append(key)
+            t.update(below=below, inside=m)
+            if k < below + at_lo:
+                t["value"] = t["lo"]
+            elif k >= below + m - at_hi:
+                t["value"] = t["hi"]
+            elif m <= max_candidates:
+                collect.append(key)
+            else:
+                narrow.append((key, below, m, at_lo, at_hi, True))
         if not narrow:
+            pending = []
             break
-        # Narrow the wide brackets: percentile_approx over the rows inside each one.
+        # Narrow: a fresh sketch over the rows strictly inside each bracket's ends.
         aggs, grids = [], []
-        for j, key in enumerate(narrow):
-            c, _ = key
-            t, v = targets[key], vals[c]
-            inside = (v >= F.lit(t["lo"])) & (v <= F.lit(t["hi"]))
-            lo_f, hi_f = _local_fracs(t, margin)
+        for j, (key, below, m, at_lo, at_hi, exclude_ends) in enumerate(narrow):
+            c, k = key
+            t, v = ranks[key], vals[c]
+            if exclude_ends:
+                t.update(lo_open=True, hi_open=True)
+                below, m = below + at_lo, m - at_lo - at_hi
+            local = (k - below) / (m - 1) if m > 1 else 0.0
+            lo_f, hi_f = max(0.0, local - margin), min(1.0, local + margin)
             grids.append((lo_f, hi_f))
-            aggs.append(F.percentile_approx(F.when(inside, v), [lo_f, hi_f], accuracy).alias(f"q{j}"))
+            inner = F.when(_inside(v, t), v)
+            aggs += [F.percentile_approx(inner, [lo_f, hi_f], accuracy).alias(f"q{j}"),
+                     F.min(inner).alias(f"mn{j}"), F.max(inner).alias(f"mx{j}")]
         row = df.agg(*aggs).first()
-        for j, key in enumerate(narrow):
-            t = targets[key]
+        for j, (key, *_rest) in enumerate(narrow):
+            t = ranks[key]
             (lo_f, hi_f), qs = grids[j], row[f"q{j}"]
-            t.update(lo=t["lo"] if lo_f == 0.0 else qs[0], hi=t["hi"] if hi_f == 1.0 else qs[1])
+            t.update(lo=row[f"mn{j}"] if lo_f == 0.0 else qs[0],
+                     hi=row[f"mx{j}"] if hi_f == 1.0 else qs[1],
+                     lo_open=False, hi_open=False)
+        pending = [key for key, *_ in narrow]
     else:
-        raise RuntimeError("exact quantile brackets did not converge; raise max_candidates")
+        raise RuntimeError("exact quantile brackets did not converge")
 
-    if targets:
-        # One pass: (column, value, count) for values inside any final bracket.
+    if collect:
+        # One pass: (column, value, count) for values inside any bracket still open.
         parts = []
         for c in cols:
-            conds = [((vals[c] >= F.lit(t["lo"])) & (vals[c] <= F.lit(t["hi"])))
-                     for (cc, _), t in targets.items() if cc == c]
+            conds = [_inside(vals[c], ranks[key]) for key in collect if key[0] == c]
             if not conds:
                 continue
             cond = conds[0]
@@ -144,30 +169,28 @@ def exact_quantiles(
         by_col: dict[str, list[tuple[float, int]]] = {}
         for r in cand.collect():
             by_col.setdefault(r["c"], []).append((r["v"], r["count"]))
-        for key, t in targets.items():
-            c, p = key
-            pairs = sorted((v, n) for v, n in by_col.get(c, []) if t["lo"] <= v <= t["hi"])
+        for key in collect:
+            c, k = key
+            t = ranks[key]
             rank = t["below"]
-            v0 = v1 = None
-            for v, n in pairs:
-                if v0 is None and rank + n > t["k0"]:
-                    v0 = v
-                if rank + n > t["k1"]:
-                    v1 = v
+            for v, cnt in sorted(by_col.get(c, [])):
+                if (v <= t["lo"] if t["lo_open"] else v < t["lo"]) or \
+                        (v >= t["hi"] if t["hi_open"] else v > t["hi"]):
+                    continue
+                if rank + cnt > k:
+                    t["value"] = v
                     break
-                rank += n
-            result[key] = _interpolate(v0, v1, t["frac"])
-    return result
+                rank += cnt
 
-
-def _local_fracs(t: dict, margin: float) -> tuple[float, float]:
-    """Fractions of the bracket's own rows that surround the target ranks."""
-    m, below = t["inside"], t["below"]
-    if m <= 1:
-        return 0.0, 1.0
-    lo_f = max(0.0, (t["k0"] - below) / (m - 1) - margin)
-    hi_f = min(1.0, (t["k1"] - below) / (m - 1) + margin)
-    return lo_f, hi_f
+    result: dict[tuple[str, float], float | None] = {}
+    for (c, p), spec in plan.items():
+        if spec is None:
+            result[(c, p)] = None
+            continue
+        k0, k1, frac = spec
+        v0, v1 = ranks[(c, k0)]["value"], ranks[(c, k1)]["value"]
+        result[(c, p)] = v0 if frac == 0.0 or v0 == v1 else v0 + (v1 - v0) * frac
+    return result
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],

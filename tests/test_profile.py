@@ -1,0 +1,74 @@
+"""Profiling against pandas on small frames (the reference's library), incl. exact quantiles under ties."""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from tessera.operators import profile as P
+from tessera.operators.quantiles import exact_quantiles
+
+from .conftest import rows
+
+
+def test_exact_quantiles_ties_and_narrowing(spark):
+    rnd = np.random.default_rng(1)
+    vals = np.concatenate([np.full(8000, 5.0), np.full(4000, 6.0), rnd.normal(size=12000)])
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+    got = exact_quantiles(df, ["x"], probs, max_candidates=200)
+    for p, w in zip(probs, np.quantile(vals, probs)):
+        assert got[("x", p)] == pytest.approx(w, abs=1e-12)
+    # Forced narrowing: tiny candidate budget and a coarse sketch.
+    got = exact_quantiles(df, ["x"], probs, max_candidates=20, accuracy=50)
+    for p, w in zip(probs, np.quantile(vals, probs)):
+        assert got[("x", p)] == pytest.approx(w, abs=1e-12)
+
+
+def test_quartiles_are_linear_not_nearest_rank(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (4.0,), (7.0,)], "x double")
+    r = P.describe_all(df).first()
+    assert (r["p25"], r["p50"], r["p75"]) == (1.75, 3.0, 4.75)
+
+
+def test_describe_matches_pandas(spark):
+    pdf = pd.DataFrame({"a": [1, 2, 2, 3, None, 10], "b": [0.5, 0.5, 1.5, None, None, 9.0],
+                        "s": ["x", "y", "y", None, "z", "x"]})
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), "a double, b double, s string")
+    got = {r["column_name"]: r for r in P.describe_all(df).collect()}
+    want = pdf.describe(include="all").T
+    for c in ("a", "b"):
+        for ours, theirs in (("count", "count"), ("mean", "mean"), ("std", "std"), ("min", "min"),
+                             ("p25", "25%"), ("p50", "50%"), ("p75", "75%"), ("max", "max")):
+            assert got[c][ours] == pytest.approx(float(want.loc[c, theirs]))
+    assert (got["s"]["count"], got["s"]["unique"], got["s"]["freq"]) == (5, 3, 2)
+    assert got["s"]["top"] == "x"          # tie between x and y → smallest value
+
+
+def test_duplicates_and_missing(spark):
+    df = spark.createDataFrame([(1, None), (1, None), (2, "a"), (2, "a"), (2, "a"), (3, "b")], "k long, s string")
+    d = P.duplicate_count(df).first()
+    assert (d["n_rows"], d["n_distinct"], d["n_duplicates"], d["has_duplicates"]) == (6, 3, 3, True)
+    prof = rows(P.missing_profile(df), "column_name", "n_null", "pct")
+    assert prof == [("s", 2, pytest.approx(100 * 2 / 6))]
+    assert P.total_nulls(df).first()[0] == 2
+    assert P.one_row_pct(df).first()[0] == pytest.approx(100 / 6)
+
+
+def test_fingerprint_is_order_insensitive_and_counts_duplicates(spark):
+    a = spark.createDataFrame([(1, "x"), (2, "y"), (2, "y")], "k long, s string")
+    b = a.orderBy("k", ascending=False).repartition(3)
+    c = spark.createDataFrame([(1, "x")], "k long, s string")
+    fa, fb, fc = (P.fingerprint(x).first()["fingerprint"] for x in (a, b, c))
+    assert fa == fb and fa != fc
+
+
+def test_histogram_and_drift(spark):
+    df = spark.createDataFrame([(float(v),) for v in [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10]], "x double")
+    h = rows(P.histogram(df, "x", bins=5), "bucket", "n")
+    assert h == [(0, 2), (1, 2), (2, 2), (3, 2), (4, 3)]     # last bin closed on the right
+    ref = spark.createDataFrame([(1, 2.0)], "a long, b double")
+    cur = spark.createDataFrame([(1.0, "x")], "a double, c string")
+    drift = {r["column_name"]: r["status"] for r in P.schema_drift(P.column_info(ref), P.column_info(cur)).collect()}
+    assert drift == {"a": "type_changed", "b": "removed", "c": "added"}
