@@ -29,6 +29,8 @@ from ..operators.split import split
 from ..operators.transform import apply_transformer, fit_transformer
 from ..sources.readers import cast_to, normalise_nulls
 from ..sources.records import parse_records
+from ..session import scratch_path
+from ..streaming.scoring import score_stream
 from . import jobs
 from .views import doc_labels, order_features, orders_text, table
 
@@ -873,6 +875,26 @@ def q_l4(spark, d):
     return preds
 
 
+def _order_contract(df: DataFrame) -> list[dict]:
+    kinds = {"bigint": "int", "int": "int", "double": "float", "string": "str"}
+    return [{"name": c, "dtype": kinds[t], "required": c == "o_orderkey"} for c, t in df.dtypes]
+
+
+@register("l4_score_stream")
+def q_l4s(spark, d):
+    """Train, export the scoring input as JSON-lines files, score them with the streaming job."""
+    of = _of(spark, d)
+    cfg = _cfg()
+    t = jobs.train_job(of, cfg)
+    root = scratch_path(spark, "stream")
+    inputs = of.drop("o_totalprice")
+    inputs.select(F.to_json(F.struct(*[col(c) for c in inputs.columns])).alias("value")).write.text(f"{root}/in")
+    query = score_stream(spark, cfg, _order_contract(inputs), f"{root}/in", t.params, t.coefficients,
+                         f"{root}/out", f"{root}/rejected", f"{root}/checkpoint")
+    query.awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
 @register("l5_manifest_fingerprint")
 def q_l5(spark, d):
     return P.fingerprint(_of(spark, d))

@@ -106,14 +106,17 @@ def save_training(result: TrainResult, out_dir: str) -> None:
 
 
 def score_batch(df_raw: DataFrame, cfg: Mapping, params: DataFrame, coefficients: DataFrame,
-                selected: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+                selected: list[str] | None = None, require_rows: bool = False) -> tuple[DataFrame, DataFrame]:
     """L4 batch: engineer → clean → transform → default absent features → predict.
 
     Returns ``(predictions (key, prediction), dropped keys)``; a row removed by
-    cleaning is reported instead of silently disappearing.
+    cleaning is reported instead of silently disappearing. ``require_rows``
+    (V9) raises when nothing is left to score after cleaning.
     """
     key = cfg["key"]
     prepared, dropped = prepare_with_dropped(df_raw, cfg)
+    if require_rows and prepared.isEmpty():
+        raise ValueError("No rows left to score after cleaning")
     matrix = apply_transformer(prepared, params, keep=[key])
     if selected is None:
         selected = [r["term"] for r in coefficients.collect() if r["term"] != "__intercept__"]

@@ -210,6 +210,25 @@ def latest(spark: SparkSession, root: str, name: str, version: int | None = None
     return spark.read.parquet(f"{root}/{name}/version={v}")
 
 
+def read_or_rebuild(spark: SparkSession, full_path: str, split_paths: Mapping[str, str],
+                    split_col: str = "split") -> DataFrame:
+    """Read the full dataset, or rebuild it from its split files when it is absent.
+
+    The splits are concatenated by column name (missing columns become null)
+    and keep their name in ``split_col``.
+    """
+    try:
+        return spark.read.parquet(full_path)
+    except AnalysisException:
+        parts = [spark.read.parquet(p).withColumn(split_col, F.lit(name)) for name, p in split_paths.items()]
+        if not parts:
+            raise FileNotFoundError(f"Neither {full_path} nor any split exists")
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p, allowMissingColumns=True)
+        return out
+
+
 def read_feature_list(spark: SparkSession, path: str) -> list[str]:
     """Ordered selected-feature names from a ``(position, feature)`` table.
 

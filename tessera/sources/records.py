@@ -33,7 +33,7 @@ def parse_records(df: DataFrame, contract: Sequence[Mapping], text_col: str = "v
     object, misses a required field, or has a non-whole number in an int field.
     """
     schema = lax_schema(contract)
-    parsed = df.select(*[F.col(k) for k in keep], F.col(text_col).alias("_raw"),
+    parsed = df.select(*[F.col(k) for k in keep if k != text_col], F.col(text_col).alias("_raw"),
                        F.from_json(F.col(text_col), schema,
                                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("_r"))
     reasons = [F.when(F.col("_r").isNull() | F.col(f"_r.{CORRUPT}").isNotNull(),
@@ -50,9 +50,10 @@ def parse_records(df: DataFrame, contract: Sequence[Mapping], text_col: str = "v
         else:
             typed.append(v.alias(name))
     with_reasons = parsed.select("*", F.filter(F.array(*reasons), lambda x: x.isNotNull()).alias("reasons"))
-    valid = with_reasons.where(F.size("reasons") == 0).select(*[F.col(k) for k in keep], *typed)
-    rejected = with_reasons.where(F.size("reasons") > 0).select(*[F.col(k) for k in keep],
-                                                               F.col("_raw").alias(text_col), "reasons")
+    valid = with_reasons.where(F.size("reasons") == 0).select(
+        *[(F.col("_raw").alias(k) if k == text_col else F.col(k)) for k in keep], *typed)
+    rejected = with_reasons.where(F.size("reasons") > 0).select(
+        *[F.col(k) for k in keep if k != text_col], F.col("_raw").alias(text_col), "reasons")
     return valid, rejected
 
 

@@ -15,25 +15,31 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.columns import col
 from ..operators import clean as C
 from ..operators.model import predict
 from ..operators.transform import output_columns
-from ..plans.jobs import prepare
+from ..plans.jobs import prepare_with_dropped
 from ..sources.records import parse_records, records_from_path
 
 
 def score_frame(records: DataFrame, cfg: Mapping, contract: Sequence[Mapping], params_rows: Sequence,
                 coef_rows: Sequence, selected: Sequence[str], key: str) -> tuple[DataFrame, DataFrame]:
-    """Pure DataFrame scoring of a (batch or streaming) frame of JSON text records."""
-    valid, rejected = parse_records(records, contract)
-    prepared = prepare(valid, cfg)
+    """Score a frame of JSON text records: ``(predictions, rejected)``.
+
+    V9: a record that parses but is removed by cleaning is not silently lost —
+    it joins the rejected output with the reason ``removed by cleaning``.
+    """
+    valid, rejected = parse_records(records, contract, keep=["value"])
+    prepared, dropped = prepare_with_dropped(valid, cfg)
     matrix = prepared.select(col(key), *output_columns(params_rows))
     inputs = C.select_or_default(matrix, selected, keep=[key])
     spark = records.sparkSession
     coefs = spark.createDataFrame(coef_rows, "position int, term string, coefficient double")
-    return predict(inputs, coefs, keep=[key]), rejected
+    removed = dropped.select("value", F.array(F.lit("removed by cleaning")).alias("reasons"))
+    return predict(inputs, coefs, keep=[key]), rejected.unionByName(removed)
 
 
 def score_stream(spark: SparkSession, cfg: Mapping, contract: Sequence[Mapping], source: str,
