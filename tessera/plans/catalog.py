@@ -28,7 +28,7 @@ from ..operators.select import f_scores, select_k, top_k
 from ..operators.split import split
 from ..operators.transform import apply_transformer, fit_transformer
 from ..sources.readers import cast_to, normalise_nulls
-from ..sources.records import parse_records
+from ..sources.records import tag_records
 from ..session import scratch_path
 from ..streaming.scoring import score_stream
 from . import jobs
@@ -573,11 +573,10 @@ SELECT event_id,
             WHEN k <> floor(k) THEN 'not an integer: k' ELSE '' END AS reasons
 FROM p""")
 def q_v8(spark, d):
-    valid, rejected = parse_records(_event_records(spark, d), RECORD_CONTRACT, keep=["event_id"])
-    return (valid.select("event_id", F.lit("valid").alias("status"), "k", F.lit("").alias("reasons"))
-            .unionByName(rejected.select("event_id", F.lit("rejected").alias("status"),
-                                         F.lit(None).cast("long").alias("k"),
-                                         F.array_join("reasons", ";").alias("reasons"))))
+    tagged = tag_records(_event_records(spark, d), RECORD_CONTRACT, keep=["event_id"])
+    ok = F.size("reasons") == 0
+    return tagged.select("event_id", F.when(ok, F.lit("valid")).otherwise(F.lit("rejected")).alias("status"),
+                         F.when(ok, F.col("k")).alias("k"), F.array_join("reasons", ";").alias("reasons"))
 
 
 @register("j4_dropped_keys", _with(OF_CTE) + "SELECT o_orderkey FROM of WHERE last_ship_year IS NULL")

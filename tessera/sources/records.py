@@ -25,9 +25,9 @@ def lax_schema(contract: Sequence[Mapping]) -> T.StructType:
     return T.StructType(fields + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
-def parse_records(df: DataFrame, contract: Sequence[Mapping], text_col: str = "value",
-                  keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """Split JSON text records into ``(valid, rejected)`` frames.
+def tag_records(df: DataFrame, contract: Sequence[Mapping], text_col: str = "value",
+                keep: Sequence[str] = ()) -> DataFrame:
+    """Parse once: ``keep…, typed contract columns, reasons`` (empty ``reasons`` = valid).
 
     Unknown JSON fields are ignored. A record is rejected when it is not a JSON
     object, misses a required field, or has a non-whole number in an int field.
@@ -49,10 +49,22 @@ def parse_records(df: DataFrame, contract: Sequence[Mapping], text_col: str = "v
             typed.append(F.when(v == F.floor(v), v.try_cast("long")).alias(name))
         else:
             typed.append(v.alias(name))
-    with_reasons = parsed.select("*", F.filter(F.array(*reasons), lambda x: x.isNotNull()).alias("reasons"))
-    valid = with_reasons.where(F.size("reasons") == 0).select(
-        *[(F.col("_raw").alias(k) if k == text_col else F.col(k)) for k in keep], *typed)
-    rejected = with_reasons.where(F.size("reasons") > 0).select(
+    return parsed.select(*[(F.col("_raw").alias(k) if k == text_col else F.col(k)) for k in keep],
+                         *typed, F.col("_raw").alias("_raw"),
+                         F.filter(F.array(*reasons), lambda x: x.isNotNull()).alias("reasons"))
+
+
+def parse_records(df: DataFrame, contract: Sequence[Mapping], text_col: str = "value",
+                  keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Split JSON text records into ``(valid, rejected)`` frames (see :func:`tag_records`).
+
+    When both outputs are consumed, each is a filter of the same parse; write
+    them from one ``foreachBatch`` (or persist the tagged frame) to parse once.
+    """
+    tagged = tag_records(df, contract, text_col, keep)
+    names = [d["name"] for d in contract]
+    valid = tagged.where(F.size("reasons") == 0).select(*[F.col(k) for k in keep], *[F.col(n) for n in names])
+    rejected = tagged.where(F.size("reasons") > 0).select(
         *[F.col(k) for k in keep if k != text_col], F.col("_raw").alias(text_col), "reasons")
     return valid, rejected
 

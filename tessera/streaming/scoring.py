@@ -57,9 +57,14 @@ def score_stream(spark: SparkSession, cfg: Mapping, contract: Sequence[Mapping],
     records = records_from_path(spark, source, streaming=True, max_files=max_files)
 
     def _batch(batch: DataFrame, batch_id: int) -> None:
-        preds, rejected = score_frame(batch, cfg, contract, params_rows, coef_rows, selected, key)
-        preds.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-        rejected.write.mode("overwrite").parquet(f"{rejected_path}/batch_id={batch_id}")
+        # Both outputs read the micro-batch; keep it for the second write instead of re-reading files.
+        batch = batch.persist()
+        try:
+            preds, rejected = score_frame(batch, cfg, contract, params_rows, coef_rows, selected, key)
+            preds.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+            rejected.write.mode("overwrite").parquet(f"{rejected_path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     w = records.writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
