@@ -21,7 +21,7 @@ from ..operators import clean as C
 from ..operators import profile as P
 from ..operators import validate as V
 from ..operators.features import engineer
-from ..operators.metrics import regression_metrics
+from ..operators.metrics import metrics_long, regression_metrics
 from ..operators.model import fit_linear, predict
 from ..operators.select import f_scores, select_k
 from ..operators.split import split
@@ -101,7 +101,7 @@ def save_training(result: TrainResult, out_dir: str) -> None:
     K.write_params(result.params, f"{out_dir}/transformer")
     K.write_params(result.coefficients, f"{out_dir}/model")
     K.write_params(result.selected, f"{out_dir}/selected_features")
-    K.write_json(result.metrics, f"{out_dir}/metrics")
+    K.write_json(metrics_long(result.metrics, by="split"), f"{out_dir}/metrics")
     K.write_splits(result.predictions.withColumnRenamed("prediction", "y_pred"), f"{out_dir}/predictions")
 
 

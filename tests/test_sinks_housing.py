@@ -34,7 +34,15 @@ def test_save_training_and_reevaluate(spark, tmp_path):
         assert again[s]["mse"] == pytest.approx(first[s]["mse"])
     params = spark.read.parquet(f"{out}/transformer")
     assert params.count() == t.params.count()
-    assert spark.read.json(f"{out}/metrics").count() == 2
+    long = spark.read.json(f"{out}/metrics")
+    assert sorted(long.columns) == ["metric", "split", "value"] and long.count() == 8
+    # The full table is absent, so it is rebuilt from the split folders.
+    split_paths = {s: f"{out}/predictions/split={s}" for s in ("train", "valid", "test")}
+    rebuilt = R.read_or_rebuild(spark, f"{out}/no_full_table", split_paths)
+    assert rebuilt.count() == t.predictions.count()
+    with pytest.raises(ValueError, match="No rows left"):
+        jobs.score_batch(of.where("last_ship_year IS NULL"), copy.deepcopy(ORDER_FEATURES), t.params,
+                         t.coefficients, t.features, require_rows=True)
     with pytest.raises(FileNotFoundError):
         R.read_predictions(spark, str(tmp_path / "missing"))
 
