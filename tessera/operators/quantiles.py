@@ -4,18 +4,22 @@ Spark's exact ``percentile`` keeps every distinct value of a column in one
 buffer, and a global window puts every row in one task; neither survives a
 column with billions of distinct values. Here each needed order statistic
 (the ranks ⌊h⌋ and ⌈h⌉ of every quantile, h = (n − 1)·p) is found by
-bracketing:
-
-1. one aggregate pass gets ``count``/``min``/``max`` and ``percentile_approx``
-   brackets around each target rank;
-2. each round is one pass counting, per rank, the rows below the bracket,
-   inside it, and equal to each end. A rank inside an end's run of ties is
-   resolved to that value at once; a bracket that is wrong (the sketch missed)
-   falls back to the full range; a bracket small enough is kept for collection;
-   any other is narrowed with ``percentile_approx`` over the rows strictly
-   inside its ends — so ties can never stall it;
+bracketing, over the table melted once to ``(column, value)``:
+
+1. one pass, grouped by column, gets ``count``/``min``/``max`` and
+   ``percentile_approx`` brackets around each target rank;
+2. each round joins a small **bracket table** (one row per open rank — a size
+   fixed by the request, so it is broadcast) and counts, per rank, the rows
+   below the bracket, inside it and equal to each end. A rank inside an end's
+   run of ties is resolved to that value at once; a bracket the sketch missed
+   falls back to the full range; a small bracket is kept for collection; any
+   other is narrowed by a sketch over the rows strictly inside its ends — so
+   ties can never stall it;
 3. one pass collects ``(value, count)`` pairs inside the final brackets (at most
    ``max_candidates`` rows' worth each) and the driver walks the counts.
+
+Every pass is one ``groupBy`` with a few aggregates, whatever the number of
+columns, so it keeps whole-stage codegen and a small plan.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,15 +39,36 @@ RESULT_SCHEMA = T.StructType([
     T.StructField("value", T.DoubleType(), True),
 ])
 
+BRACKETS = T.StructType([
+    T.StructField("c", T.StringType(), False),
+    T.StructField("k", T.LongType(), False),
+    T.StructField("lo", T.DoubleType(), False),
+    T.StructField("hi", T.DoubleType(), False),
+    T.StructField("lo_open", T.BooleanType(), False),
+    T.StructField("hi_open", T.BooleanType(), False),
+])
+
+GRID = 256   # fractions 0, 1/256, …, 1 asked from each narrowing sketch
+
+
+def _melt(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(c, v)`` for every non-null, non-NaN value of the listed columns."""
+    parts = [F.struct(F.lit(c).alias("c"), col(c).cast("double").alias("v")) for c in cols]
+    long = df.select(F.explode(F.array(*parts)).alias("e")).select("e.c", "e.v")
+    return long.where(F.col("v").isNotNull() & ~F.isnan("v"))
 
-def _inside(v: Column, t: dict) -> Column:
-    lo = (v > F.lit(t["lo"])) if t["lo_open"] else (v >= F.lit(t["lo"]))
-    hi = (v < F.lit(t["hi"])) if t["hi_open"] else (v <= F.lit(t["hi"]))
-    return lo & hi
 
+def _with_brackets(long: DataFrame, spark, rows: list[tuple]) -> DataFrame:
+    br = spark.createDataFrame(rows, BRACKETS)
+    v, lo, hi = F.col("v"), F.col("lo"), F.col("hi")
+    return (long.join(F.broadcast(br), on="c")
+            .withColumn("_below", F.when(F.col("lo_open"), v <= lo).otherwise(v < lo))
+            .withColumn("_inside", F.when(F.col("lo_open"), v > lo).otherwise(v >= lo)
+                        & F.when(F.col("hi_open"), v < hi).otherwise(v <= hi)))
 
-def _below(v: Column, t: dict) -> Column:
-    return (v <= F.lit(t["lo"])) if t["lo_open"] else (v < F.lit(t["lo"]))
+
+def _row(key: tuple[str, int], t: dict) -> tuple:
+    return (key[0], key[1], float(t["lo"]), float(t["hi"]), bool(t["lo_open"]), bool(t["hi_open"]))
 
 
 def exact_quantiles(
@@ -55,30 +80,27 @@ def exact_quantiles(
     max_rounds: int = 12,
 ) -> dict[tuple[str, float], float | None]:
     """Return ``{(column, p): value}`` with pandas' linear interpolation (NaN counts as missing)."""
+    spark = df.sparkSession
     cols = list(columns)
     probs = [float(p) for p in probs]
-    vals = {c: col(c).cast("double") for c in cols}
-    vals = {c: F.when(~F.isnan(v), v) for c, v in vals.items()}
     margin = 3.0 / accuracy
     fracs = sorted({min(1.0, max(0.0, p + s * margin)) for p in probs for s in (-1, 1)})
+    long = _melt(df, cols)
 
-    aggs = []
-    for i, c in enumerate(cols):
-        v = vals[c]
-        aggs += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"mn{i}"), F.max(v).alias(f"mx{i}"),
-                 F.percentile_approx(v, fracs, accuracy).alias(f"q{i}")]
-    first = df.agg(*aggs).first()
+    first = {r["c"]: r for r in long.groupBy("c").agg(
+        F.count("v").alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"),
+        F.percentile_approx("v", fracs, accuracy).alias("q")).collect()}
 
     plan: dict[tuple[str, float], tuple | None] = {}   # (c, p) -> (k0, k1, frac)
     ranks: dict[tuple[str, int], dict] = {}            # (c, k) -> bracket state
-    for i, c in enumerate(cols):
-        n = first[f"n{i}"]
-        if not n:
+    for c in cols:
+        r = first.get(c)
+        if r is None or not r["n"]:
             for p in probs:
                 plan[(c, p)] = None
             continue
-        approx = dict(zip(fracs, first[f"q{i}"]))
-        mn, mx = first[f"mn{i}"], first[f"mx{i}"]
+        n, mn, mx = r["n"], r["mn"], r["mx"]
+        approx = dict(zip(fracs, r["q"]))
         for p in probs:
             h = (n - 1) * p
             k0 = int(math.floor(h))
@@ -86,34 +108,33 @@ def exact_quantiles(
             plan[(c, p)] = (k0, k1, h - k0)
             lo_f, hi_f = max(0.0, p - margin), min(1.0, p + margin)
             for k in (k0, k1):
-                if (c, k) not in ranks:
-                    ranks[(c, k)] = {"lo": mn if lo_f == 0.0 else approx[lo_f],
-                                     "hi": mx if hi_f == 1.0 else approx[hi_f],
-                                     "lo_open": False, "hi_open": False,
-                                     "min": mn, "max": mx, "n": n, "value": None}
+                ranks.setdefault((c, k), {"lo": mn if lo_f == 0.0 else approx[lo_f],
+                                          "hi": mx if hi_f == 1.0 else approx[hi_f],
+                                          "lo_open": False, "hi_open": False,
+                                          "min": mn, "max": mx, "n": n, "value": None})
 
     pending = list(ranks)
     collect: list[tuple[str, int]] = []
+    grid = [i / GRID for i in range(GRID + 1)]
+    err = 2.0 / accuracy
     for _ in range(max_rounds):
         if not pending:
             break
-        aggs = []
-        for j, (c, k) in enumerate(pending):
-            t, v = ranks[(c, k)], vals[c]
-            inside = _inside(v, t)
-            aggs += [F.count_if(_below(v, t)).alias(f"b{j}"),
-                     F.count_if(inside).alias(f"m{j}"),
-                     F.count_if(inside & (v == F.lit(t["lo"]))).alias(f"l{j}"),
-                     F.count_if(inside & (v == F.lit(t["hi"]))).alias(f"h{j}")]
-        row = df.agg(*aggs).first()
+        counts = _with_brackets(long, spark, [_row(key, ranks[key]) for key in pending]) \
+            .groupBy("c", "k").agg(
+                F.count_if("_below").alias("b"), F.count_if("_inside").alias("m"),
+                F.count_if(F.col("_inside") & (F.col("v") == F.col("lo"))).alias("at_lo"),
+                F.count_if(F.col("_inside") & (F.col("v") == F.col("hi"))).alias("at_hi"))
+        got = {(r["c"], r["k"]): r for r in counts.collect()}
         narrow = []
-        for j, key in enumerate(pending):
+        for key in pending:
             t, k = ranks[key], key[1]
-            below, m, at_lo, at_hi = row[f"b{j}"], row[f"m{j}"], row[f"l{j}"], row[f"h{j}"]
+            r = got.get(key)
+            below, m, at_lo, at_hi = (r["b"], r["m"], r["at_lo"], r["at_hi"]) if r else (0, 0, 0, 0)
             if not (below <= k < below + m):
                 # The sketch missed: start again from the whole range.
-                t.update(lo=t["min"], hi=t["max"], lo_open=False, hi_open=False)
-                narrow.append((key, 0, t["n"], 0, 0, False))
+                t.update(lo=t["min"], hi=t["max"], lo_open=False, hi_open=False, below=0, inside=t["n"])
+                narrow.append(key)
                 continue
             t.update(below=below, inside=m)
             if k < below + at_lo:
@@ -123,60 +144,40 @@ def exact_quantiles(
             elif m <= max_candidates:
                 collect.append(key)
             else:
-                narrow.append((key, below, m, at_lo, at_hi, True))
+                # The rank lies strictly between the ends: narrow over the interior only.
+                t.update(lo_open=True, hi_open=True, below=below + at_lo, inside=m - at_lo - at_hi)
+                narrow.append(key)
         if not narrow:
             pending = []
             break
-        # Narrow: a fresh sketch over the rows strictly inside each bracket's ends.
-        aggs, grids = [], []
-        for j, (key, below, m, at_lo, at_hi, exclude_ends) in enumerate(narrow):
-            c, k = key
-            t, v = ranks[key], vals[c]
-            if exclude_ends:
-                t.update(lo_open=True, hi_open=True)
-                below, m = below + at_lo, m - at_lo - at_hi
+        sketch = _with_brackets(long, spark, [_row(key, ranks[key]) for key in narrow]) \
+            .where("_inside").groupBy("c", "k").agg(
+                F.percentile_approx("v", grid, accuracy).alias("q"),
+                F.min("v").alias("mn"), F.max("v").alias("mx"))
+        got = {(r["c"], r["k"]): r for r in sketch.collect()}
+        for key in narrow:
+            t, k = ranks[key], key[1]
+            r = got[key]
+            m, below = t["inside"], t["below"]
             local = (k - below) / (m - 1) if m > 1 else 0.0
-            lo_f, hi_f = max(0.0, local - margin), min(1.0, local + margin)
-            grids.append((lo_f, hi_f))
-            inner = F.when(_inside(v, t), v)
-            aggs += [F.percentile_approx(inner, [lo_f, hi_f], accuracy).alias(f"q{j}"),
-                     F.min(inner).alias(f"mn{j}"), F.max(inner).alias(f"mx{j}")]
-        row = df.agg(*aggs).first()
-        for j, (key, *_rest) in enumerate(narrow):
-            t = ranks[key]
-            (lo_f, hi_f), qs = grids[j], row[f"q{j}"]
-            t.update(lo=row[f"mn{j}"] if lo_f == 0.0 else qs[0],
-                     hi=row[f"mx{j}"] if hi_f == 1.0 else qs[1],
+            i = max(0, math.floor((local - err) * GRID))
+            j = min(GRID, math.ceil((local + err) * GRID))
+            t.update(lo=r["mn"] if i == 0 else r["q"][i], hi=r["mx"] if j == GRID else r["q"][j],
                      lo_open=False, hi_open=False)
-        pending = [key for key, *_ in narrow]
+        pending = narrow
     else:
         raise RuntimeError("exact quantile brackets did not converge")
 
     if collect:
-        # One pass: (column, value, count) for values inside any bracket still open.
-        parts = []
-        for c in cols:
-            conds = [_inside(vals[c], ranks[key]) for key in collect if key[0] == c]
-            if not conds:
-                continue
-            cond = conds[0]
-            for extra in conds[1:]:
-                cond = cond | extra
-            parts.append(F.struct(F.lit(c).alias("c"), F.when(cond, vals[c]).alias("v")))
-        cand = (df.select(F.explode(F.array(*parts)).alias("e"))
-                .select("e.c", "e.v").where(F.col("v").isNotNull())
-                .groupBy("c", "v").count())
-        by_col: dict[str, list[tuple[float, int]]] = {}
-        for r in cand.collect():
-            by_col.setdefault(r["c"], []).append((r["v"], r["count"]))
+        pairs = (_with_brackets(long, spark, [_row(key, ranks[key]) for key in collect])
+                 .where("_inside").groupBy("c", "k", "v").count())
+        by_rank: dict[tuple[str, int], list[tuple[float, int]]] = {}
+        for r in pairs.collect():
+            by_rank.setdefault((r["c"], r["k"]), []).append((r["v"], r["count"]))
         for key in collect:
-            c, k = key
-            t = ranks[key]
+            t, k = ranks[key], key[1]
             rank = t["below"]
-            for v, cnt in sorted(by_col.get(c, [])):
-                if (v <= t["lo"] if t["lo_open"] else v < t["lo"]) or \
-                        (v >= t["hi"] if t["hi_open"] else v > t["hi"]):
-                    continue
+            for v, cnt in sorted(by_rank.get(key, [])):
                 if rank + cnt > k:
                     t["value"] = v
                     break
@@ -202,9 +203,8 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
         rows = [(c, float(p), None if res[(c, p)] is None else float(res[(c, p)]))
                 for c in columns for p in probs]
         return spark.createDataFrame(rows, RESULT_SCHEMA)
-    aggs = [F.percentile_approx(col(c).cast("double"), list(probs), accuracy).alias(f"q{i}")
-            for i, c in enumerate(columns)]
-    row = df.agg(*aggs).first()
-    rows = [(c, float(p), None if row[f"q{i}"] is None else float(row[f"q{i}"][k]))
-            for i, c in enumerate(columns) for k, p in enumerate(probs)]
+    sk = {r["c"]: r["q"] for r in _melt(df, columns).groupBy("c").agg(
+        F.percentile_approx("v", list(probs), accuracy).alias("q")).collect()}
+    rows = [(c, float(p), None if sk.get(c) is None else float(sk[c][i]))
+            for c in columns for i, p in enumerate(probs)]
     return spark.createDataFrame(rows, RESULT_SCHEMA)

@@ -212,6 +212,42 @@ def q_p3c(spark, d):
     return out.select("column_name", "count", "unique", "top", "freq")
 
 
+@register("p1_duplicate_documents", """
+WITH g AS (SELECT text, count(*) AS c FROM documents GROUP BY text)
+SELECT sum(c)::BIGINT AS n_rows, count(*)::BIGINT AS n_distinct, sum(c - 1)::BIGINT AS n_duplicates,
+       sum(c - 1) > 0 AS has_duplicates FROM g""")
+def q_p1d(spark, d):
+    """Exact copies among whole document texts (P1 on the text column)."""
+    return P.duplicate_count(table(spark, d, "documents").select("text"))
+
+
+@register("p3_describe_events", _describe_num_sql("events", ["value", "user_id", "event_id"]))
+def q_p3e(spark, d):
+    out = P.describe_all(table(spark, d, "events"), ["value", "user_id", "event_id"])
+    return rounded(out.select("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
+
+
+@register("p3_describe_text_columns", _describe_cat_sql("events", ["event_type"]) + "\nUNION ALL\n" +
+          _describe_cat_sql("conversations", ["role"]) + "\nUNION ALL\n" + _describe_cat_sql("documents", ["lang", "source"]))
+def q_p3t(spark, d):
+    parts = [P.describe_all(table(spark, d, "events"), ["event_type"]),
+             P.describe_all(table(spark, d, "conversations"), ["role"]),
+             P.describe_all(table(spark, d, "documents"), ["lang", "source"])]
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return out.select("column_name", "count", "unique", "top", "freq")
+
+
+@register("p13_histogram_events", """
+WITH b AS (SELECT min(value) AS lo, max(value) AS hi FROM events),
+h AS (SELECT least(floor((value - lo) / (hi - lo) * 20)::BIGINT, 19) AS bucket, lo, hi FROM events, b)
+SELECT bucket, round(any_value(lo) + bucket * ((any_value(hi) - any_value(lo)) / 20), 4) AS lower,
+       round(any_value(lo) + (bucket + 1) * ((any_value(hi) - any_value(lo)) / 20), 4) AS upper,
+       count(*)::BIGINT AS n
+FROM h GROUP BY bucket""")
+def q_p13e(spark, d):
+    return rounded(P.histogram(table(spark, d, "events"), "value", bins=20))
+
+
 def _null_counts_sql(tbl: str, cols: list[str]) -> str:
     return "\nUNION ALL\n".join(
         f"SELECT '{c}' AS column_name, (count(*) - count({c}))::BIGINT AS n_null, count(*)::BIGINT AS n_rows "
