@@ -1,7 +1,7 @@
 """Fitted feature transformers M1–M7, M15: one-hot encoding and scaling.
 
-*Fit* is aggregation: one pass for every scaler statistic, one pass for every
-categorical column's distinct values. The result is a small **parameter
+*Fit* is one aggregation pass for every scaler statistic and every
+categorical column's distinct values together. The result is a small **parameter
 table** (one row per output feature). *Transform* is a single projection
 built from that table, so scoring needs no shuffle and no Python per row.
 
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col, is_numeric, per_column_agg, present, safe_name
+from ..functions.columns import col, is_numeric, present, safe_name
 
 PARAMS_SCHEMA = T.StructType([
     T.StructField("position", T.IntegerType(), False),
@@ -68,53 +68,68 @@ def transformer_spec(cfg: Mapping, df: DataFrame) -> dict:
 
 
 def fit_transformer(train: DataFrame, cfg: Mapping, max_categories: int = MAX_CATEGORIES) -> DataFrame:
-    """M6 (fit part): parameter table fitted on ``train`` only."""
+    """M6 (fit part): parameter table fitted on ``train`` only, in one aggregate pass.
+
+    The train rows are melted to ``(column_name, category, x)``: a categorical
+    column contributes its value as ``category``, a numeric one its value as
+    ``x``. Grouping by ``(column_name, category)`` then yields every one-hot
+    category and every scaler statistic from a single scan. The result is read
+    with a bound (``max_categories`` per column), so a high-cardinality column
+    is an error instead of an unbounded collect.
+    """
     spec = transformer_spec(cfg, train)
     spark = train.sparkSession
+    cats, nums = spec["categorical"], spec["numeric"]
+    if cats and spec["handle_unknown"] != "ignore":
+        raise ValueError("Only handle_unknown='ignore' is supported")
     rows: list[tuple] = []
+    if not cats and not nums:
+        return spark.createDataFrame(rows, PARAMS_SCHEMA)
+    parts = ([F.struct(F.lit(c).alias("column_name"), col(c).cast("string").alias("category"),
+                       F.lit(None).cast("double").alias("x")) for c in cats]
+             + [F.struct(F.lit(c).alias("column_name"), F.lit(None).cast("string").alias("category"),
+                         col(c).cast("double").alias("x")) for c in nums])
+    long = (train.select(F.explode(F.array(*parts)).alias("e")).select("e.*")
+            .where(F.col("category").isNotNull() | F.col("column_name").isin(nums) if nums
+                   else F.col("category").isNotNull()))
+    x = F.col("x")
+    fitted = long.groupBy("column_name", "category").agg(
+        F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), F.min(x).alias("lo"), F.max(x).alias("hi"))
+    bound = max_categories * len(cats) + len(nums)
+    found = fitted.limit(bound + 1).collect()
+    by_col: dict[str, list[str]] = {c: [] for c in cats}
+    stats: dict[str, object] = {}
+    for r in found:
+        if r["category"] is None:
+            stats[r["column_name"]] = r
+        else:
+            by_col[r["column_name"]].append(r["category"])
+    too_many = [c for c, v in by_col.items() if len(v) > max_categories]
+    if too_many or len(found) > bound:
+        raise ValueError(f"Too many categories to one-hot encode (limit {max_categories}): {too_many}")
     pos = 0
-    cats = spec["categorical"]
-    if cats:
-        if spec["handle_unknown"] != "ignore":
-            raise ValueError("Only handle_unknown='ignore' is supported")
-        parts = [F.struct(F.lit(c).alias("c"), col(c).cast("string").alias("v")) for c in cats]
-        distinct = (train.select(F.explode(F.array(*parts)).alias("e")).select("e.c", "e.v")
-                    .where(F.col("v").isNotNull()).distinct())
-        limit = max_categories * len(cats)
-        found = distinct.limit(limit + 1).collect()
-        by_col: dict[str, list[str]] = {c: [] for c in cats}
-        for r in found:
-            by_col[r["c"]].append(r["v"])
-        too_many = [c for c, v in by_col.items() if len(v) > max_categories]
-        if too_many or len(found) > limit:
-            raise ValueError(f"Too many categories to one-hot encode (limit {max_categories}): {too_many}")
-        names_seen: set[str] = set()
-        for c in cats:
-            numeric_cat = is_numeric(train.schema[c].dataType)
-            values = sorted(by_col[c], key=(lambda v: float(v)) if numeric_cat else None)
-            if spec["drop"] == "first":
-                values = values[1:]
-            for v in values:
-                name = f"onehot__{safe_name(c)}_{safe_name(v)}"
-                if name in names_seen:
-                    raise ValueError(f"One-hot output name collision: {name}")
-                names_seen.add(name)
-                rows.append((pos, "onehot", c, name, v, None, None, None))
-                pos += 1
-    nums = spec["numeric"]
-    if nums:
-        x = F.col("x")
-        stats = per_column_agg(train, nums, lambda c, _n: {"x": c.cast("double")}, {
-            "mean": F.avg(x), "std": F.stddev_pop(x), "lo": F.min(x), "hi": F.max(x)})
-        st = {r["column_name"]: r for r in stats.collect()}
-        for c in nums:
-            if spec["method"] == "standard":
-                center, scale = st[c]["mean"], st[c]["std"]
-            else:
-                lo, hi = st[c]["lo"], st[c]["hi"]
-                center, scale = lo, (None if lo is None else hi - lo)
-            rows.append((pos, "scaler", c, f"scaler__{safe_name(c)}", None, spec["method"], center, scale))
+    names_seen: set[str] = set()
+    for c in cats:
+        numeric_cat = is_numeric(train.schema[c].dataType)
+        values = sorted(by_col[c], key=(lambda v: float(v)) if numeric_cat else None)
+        if spec["drop"] == "first":
+            values = values[1:]
+        for v in values:
+            name = f"onehot__{safe_name(c)}_{safe_name(v)}"
+            if name in names_seen:
+                raise ValueError(f"One-hot output name collision: {name}")
+            names_seen.add(name)
+            rows.append((pos, "onehot", c, name, v, None, None, None))
             pos += 1
+    for c in nums:
+        st = stats.get(c)
+        mean, std, lo, hi = (st["mean"], st["std"], st["lo"], st["hi"]) if st else (None, None, None, None)
+        if spec["method"] == "standard":
+            center, scale = mean, std
+        else:
+            center, scale = lo, (None if lo is None else hi - lo)
+        rows.append((pos, "scaler", c, f"scaler__{safe_name(c)}", None, spec["method"], center, scale))
+        pos += 1
     return spark.createDataFrame(rows, PARAMS_SCHEMA)
 
 
