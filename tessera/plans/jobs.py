@@ -53,6 +53,22 @@ def split_fractions(cfg: Mapping) -> dict:
     return {"train": 1.0 - test - valid, "valid": valid, "test": test}
 
 
+def training_columns(cfg: Mapping) -> list[str]:
+    """Every column the training job reads after cleaning, in a stable order."""
+    feats = cfg.get("features", {})
+    pre = cfg.get("preprocessing", {}) or {}
+    grp = pre.get("fillna_groupby") or {}
+    names = [cfg["key"], cfg["target"]]
+    for role in ("categorical", "ordinal", "continuous", "engineered", "most_relevant_features"):
+        names += list(feats.get(role, []) or [])
+    names += [grp.get("column"), grp.get("groupby")] + list(pre.get("dropna_rows", []) or [])
+    out: list[str] = []
+    for n in names:
+        if n and n not in out:
+            out.append(n)
+    return out
+
+
 @dataclass
 class TrainResult:
     params: DataFrame            # fitted transformer (M6)
@@ -77,7 +93,9 @@ def train_job(df_raw: DataFrame, cfg: Mapping, split_method: str = "hash") -> Tr
     buckets = 1000 if split_method == "arith" else 10_000
     # The upstream plan (scans, joins, projections) runs once; every later pass —
     # group means, transformer fit, F-scores, OLS, metrics — reads these files.
-    staged = materialize(split(row_clean, key, split_fractions(cfg), seed=seed, buckets=buckets,
+    # Only the columns the job uses are written (and so only those are scanned).
+    used = C.select_columns(row_clean, [c for c in training_columns(cfg) if c in row_clean.columns])
+    staged = materialize(split(used, key, split_fractions(cfg), seed=seed, buckets=buckets,
                                method=split_method), partition_by=["split"], name="train-input")
     data, _ = C.impute_and_filter(staged, cfg)
     train = data.where(F.col("split") == "train")
