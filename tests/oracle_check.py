@@ -1,6 +1,6 @@
 """Run every registered query in Spark and its SQL in DuckDB; compare like the driver does.
 
-Usage: ``python tests/oracle_check.py [sf_dir] [name ...]``. Prints one line per
+Usage: ``python tests/oracle_check.py [--plain] [sf_dir] [name ...]``. Prints one line per
 query and a summary; exits non-zero on any mismatch.
 """
 
@@ -46,9 +46,16 @@ def digest(columns, rows):
 
 
 def main() -> int:
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    only = set(sys.argv[2:])
-    spark = get_session("local[8]")
+    args = [a for a in sys.argv[1:] if a != "--plain"]
+    sf_dir = args[0] if args else "/root/testdata/sf0.01"
+    only = set(args[1:])
+    if "--plain" in sys.argv:
+        # A bare session like the driver's: none of this package's settings.
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.ui.enabled", "false").getOrCreate())
+    else:
+        spark = get_session("local[8]")
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
