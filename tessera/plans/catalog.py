@@ -660,7 +660,7 @@ def _onehot_sql(drop_first: bool = True) -> list[str]:
     cols = []
     for c, values in CATS.items():
         for v in (values[1:] if drop_first else values):
-            cols.append(f"CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END AS \"onehot__{c}_{v}\"")
+            cols.append(f"CASE WHEN {c} = '{v}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS \"onehot__{c}_{v}\"")
     return cols
 
 

@@ -39,6 +39,17 @@ def norm(v):
     return str(v)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def type_diff(sdf, con, sql) -> dict:
+    """Columns whose Spark type and SQL result type differ."""
+    st = {c: SPARK_TO_DUCK.get(t, t) for c, t in sdf.dtypes}
+    dt = {r[0]: r[1] for r in con.execute(f"DESCRIBE ({sql})").fetchall()}
+    return {c: (st.get(c), dt.get(c)) for c in set(st) | set(dt) if st.get(c) != dt.get(c)}
+
+
 def digest(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     lines = sorted("|".join(str(norm(r[i])) for i in order) for r in rows)
@@ -89,6 +100,11 @@ def main() -> int:
             print(f"SCHEMA {name}: spark {sorted(s_cols)} vs sql {sorted(d_cols)}")
             bad += 1
             continue
+        tdiff = type_diff(sdf, con, sqls[name])
+        if tdiff:
+            print(f"TYPES  {name}: {tdiff}")
+            bad += 1
+            continue
         hs, ls = digest(s_cols, s_rows)
         hd, ld = digest(d_cols, d_rows)
         if len(s_rows) != len(d_rows) or hs != hd:

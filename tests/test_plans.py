@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
 
 from .conftest import SF_SMALL  # noqa: E402
-from .oracle_check import digest  # noqa: E402
+from .oracle_check import digest, type_diff  # noqa: E402
 
 # Composed jobs run many actions while being planned; they are covered in test_jobs.
 PLANNED = [n for n in queries() if not n.startswith("l")]
@@ -63,5 +63,6 @@ def test_query_matches_oracle(spark, duck, name):
     d_cols = [c[0] for c in res.description]
     d_rows = res.fetchall()
     assert sorted(sdf.columns) == sorted(d_cols)
+    assert type_diff(sdf, duck, oracle_sql()[name]) == {}
     assert len(s_rows) == len(d_rows)
     assert digest(sdf.columns, s_rows)[0] == digest(d_cols, d_rows)[0]
