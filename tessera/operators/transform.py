@@ -135,7 +135,7 @@ def fit_transformer(train: DataFrame, cfg: Mapping, max_categories: int = MAX_CA
 
 def output_names(params: DataFrame) -> list[str]:
     """M5: output feature names in transformer order."""
-    return [r["output"] for r in params.orderBy("position").select("output").collect()]
+    return [r["output"] for r in sorted(params.select("position", "output").collect(), key=lambda r: r["position"])]
 
 
 def output_columns(params_rows: Sequence) -> list:

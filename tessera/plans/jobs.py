@@ -106,7 +106,7 @@ def train_job(df_raw: DataFrame, cfg: Mapping, split_method: str = "hash") -> Tr
     scores = f_scores(train_x, features, target)
     k = cfg.get("selection", {}).get("k", 10)
     selected = select_k(scores, k, keep=cfg["features"].get("most_relevant_features", []), params=params)
-    chosen = [r["feature"] for r in selected.orderBy("position").collect()]
+    chosen = [r["feature"] for r in sorted(selected.collect(), key=lambda r: r["position"])]
     coefs = fit_linear(train_x, chosen, target, kind=cfg.get("model", {}).get("active", "linear_regression"))
     preds = predict(matrix, coefs, keep=[key, "split", target]).withColumnRenamed(target, "y_true")
     metrics = regression_metrics(preds.where(F.col("split") != "train"), "y_true", "prediction",

@@ -235,7 +235,7 @@ def read_feature_list(spark: SparkSession, path: str) -> list[str]:
     The list is schema metadata (one entry per model input), not data.
     """
     df = spark.read.parquet(path)
-    return [r["feature"] for r in df.orderBy("position").select("feature").collect()]
+    return [r["feature"] for r in sorted(df.select("position", "feature").collect(), key=lambda r: r["position"])]
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
