@@ -72,3 +72,12 @@ def test_histogram_and_drift(spark):
     cur = spark.createDataFrame([(1.0, "x")], "a double, c string")
     drift = {r["column_name"]: r["status"] for r in P.schema_drift(P.column_info(ref), P.column_info(cur)).collect()}
     assert drift == {"a": "type_changed", "b": "removed", "c": "added"}
+
+
+def test_approximate_quartiles_are_close(spark):
+    rnd = np.random.default_rng(3)
+    vals = rnd.normal(size=5000)
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    r = P.describe_all(df, exact=False).first()
+    for ours, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
+        assert abs(r[ours] - np.quantile(vals, q)) < 0.01
