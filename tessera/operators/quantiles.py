@@ -16,7 +16,8 @@ bracketing, over the table melted once to ``(column, value)``:
    other is narrowed by a sketch over the rows strictly inside its ends — so
    ties can never stall it;
 3. one pass collects ``(value, count)`` pairs inside the final brackets (at most
-   ``max_candidates`` rows' worth each) and the driver walks the counts.
+   ``max_candidates`` rows' worth each and ``max_total`` altogether) and the
+   driver walks the counts.
 
 Every pass is one ``groupBy`` with a few aggregates, whatever the number of
 columns, so it keeps whole-stage codegen and a small plan.
@@ -78,6 +79,7 @@ def exact_quantiles(
     accuracy: int = 10_000,
     max_candidates: int = 200_000,
     max_rounds: int = 12,
+    max_total: int = 2_000_000,
 ) -> dict[tuple[str, float], float | None]:
     """Return ``{(column, p): value}`` with pandas' linear interpolation (NaN counts as missing)."""
     spark = df.sparkSession
@@ -136,7 +138,7 @@ def exact_quantiles(
                 t.update(lo=t["min"], hi=t["max"], lo_open=False, hi_open=False, below=0, inside=t["n"])
                 narrow.append(key)
                 continue
-            t.update(below=below, inside=m)
+            t.update(below=below, inside=m, at_lo=at_lo, at_hi=at_hi)
             if k < below + at_lo:
                 t["value"] = t["lo"]
             elif k >= below + m - at_hi:
@@ -147,6 +149,20 @@ def exact_quantiles(
                 # The rank lies strictly between the ends: narrow over the interior only.
                 t.update(lo_open=True, hi_open=True, below=below + at_lo, inside=m - at_lo - at_hi)
                 narrow.append(key)
+        # Keep what reaches the driver bounded in total, not only per rank: if the
+        # brackets chosen for collection are too big together, narrow the largest.
+        ready = sorted((k for k in collect if ranks[k]["value"] is None and k in pending),
+                       key=lambda k: ranks[k]["inside"])
+        total = sum(ranks[k]["inside"] for k in collect if k not in ready)
+        for key in ready:
+            if total + ranks[key]["inside"] <= max_total:
+                total += ranks[key]["inside"]
+                continue
+            collect.remove(key)
+            t = ranks[key]
+            t.update(lo_open=True, hi_open=True)
+            t["below"], t["inside"] = t["below"] + t["at_lo"], t["inside"] - t["at_lo"] - t["at_hi"]
+            narrow.append(key)
         if not narrow:
             pending = []
             break

@@ -81,3 +81,14 @@ def test_approximate_quartiles_are_close(spark):
     r = P.describe_all(df, exact=False).first()
     for ours, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
         assert abs(r[ours] - np.quantile(vals, q)) < 0.01
+
+
+def test_quantile_total_budget_forces_narrowing(spark):
+    rnd = np.random.default_rng(5)
+    data = rnd.normal(size=(6000, 3))
+    df = spark.createDataFrame([tuple(map(float, r)) for r in data], "a double, b double, c double")
+    probs = [0.25, 0.5, 0.75]
+    got = exact_quantiles(df, ["a", "b", "c"], probs, accuracy=100, max_candidates=5000, max_total=300)
+    for i, c in enumerate("abc"):
+        for p, w in zip(probs, np.quantile(data[:, i], probs)):
+            assert got[(c, p)] == pytest.approx(w, abs=1e-12)
