@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import present
+from ..functions.columns import col, present
 
 # Largest number of rows a derived parameter table may have and still be
 # shipped to every executor as a broadcast hash table.
@@ -73,11 +73,12 @@ def align(a: DataFrame, b: DataFrame, key: str, strict: bool = True) -> DataFram
     ``strict`` checks that both sides have unique keys and the same key set,
     the keyed equivalent of the reference's length check on y_true / y_pred.
     """
-    joined = a.join(b, on=key, how="inner")
+    joined = a.join(b, on=key, how="inner") if "." not in key else \
+        a.join(b.withColumnRenamed(key, "_k"), col(key) == F.col("_k"), "inner").drop("_k")
     if strict:
         stats = (
-            a.select(F.col(key).alias("k")).withColumn("side", F.lit("a"))
-            .unionByName(b.select(F.col(key).alias("k")).withColumn("side", F.lit("b")))
+            a.select(col(key).alias("k")).withColumn("side", F.lit("a"))
+            .unionByName(b.select(col(key).alias("k")).withColumn("side", F.lit("b")))
             .groupBy("k")
             .agg(F.count_if(F.col("side") == "a").alias("na"),
                  F.count_if(F.col("side") == "b").alias("nb"))
@@ -96,7 +97,9 @@ def align(a: DataFrame, b: DataFrame, key: str, strict: bool = True) -> DataFram
 
 def dropped_keys(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     """Keys present before a cleaning step and gone after it."""
-    return before.select(key).join(after.select(key), on=key, how="left_anti")
+    left = before.select(col(key).alias("_k"))
+    right = after.select(col(key).alias("_k"))
+    return left.join(right, on="_k", how="left_anti").select(F.col("_k").alias(key))
 
 
 def union_splits(*frames: DataFrame) -> DataFrame:

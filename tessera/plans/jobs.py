@@ -140,7 +140,7 @@ def score_batch(df_raw: DataFrame, cfg: Mapping, params: DataFrame, coefficients
         selected = [r["term"] for r in coefficients.collect() if r["term"] != "__intercept__"]
     inputs = C.select_or_default(matrix, selected, default=0.0, keep=[key])
     preds = predict(inputs, coefficients, keep=[key])
-    return preds, dropped.select(key)
+    return preds, dropped.select(C.col(key))
 
 
 def data_stage(spark: SparkSession, cfg: Mapping, root: str | None = None,

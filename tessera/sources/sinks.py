@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import col
 from .readers import MANIFEST, latest_version
 
 
@@ -50,7 +51,7 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_sample(df: DataFrame, path: str, key: str, n: int = 50, mode: str = "overwrite") -> None:
     """K7: the first ``n`` rows by key (a top-n, not a full sort)."""
-    df.orderBy(key).limit(n).write.mode(mode).parquet(path)
+    df.orderBy(col(key)).limit(n).write.mode(mode).parquet(path)
 
 
 def write_params(params: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -72,13 +73,13 @@ def write_feature_list(spark, features: Sequence[str], path: str, mode: str = "o
 def write_predictions(df: DataFrame, path: str, key: str, cols: Sequence[str] = ("prediction",),
                       mode: str = "overwrite") -> None:
     """Predictions keep the business key so they can be matched to input."""
-    df.select(key, *cols).write.mode(mode).parquet(path)
+    df.select(col(key), *[col(c) for c in cols]).write.mode(mode).parquet(path)
 
 
 def write_stream_predictions(df: DataFrame, path: str, checkpoint: str, key: str,
                              cols: Sequence[str] = ("prediction",)):
     """Streaming form of K10: append-only file sink with its own checkpoint."""
-    return (df.select(key, *cols).writeStream.format("parquet")
+    return (df.select(col(key), *[col(c) for c in cols]).writeStream.format("parquet")
             .option("path", path).option("checkpointLocation", checkpoint)
             .outputMode("append"))
 

@@ -19,6 +19,8 @@ def spark():
 
 
 def rows(df, *cols):
-    """Collected rows as tuples ordered by the given (or all) columns."""
-    cols = cols or tuple(df.columns)
-    return [tuple(r) for r in df.select(*cols).orderBy(*cols).collect()]
+    """Collected rows as tuples ordered by the given (or all) columns (names taken literally)."""
+    from pyspark.sql import functions as F
+    names = [c.strip("`") for c in (cols or tuple(df.columns))]
+    refs = [F.col("`" + n + "`") for n in names]
+    return [tuple(r) for r in df.select(*refs).orderBy(*refs).collect()]

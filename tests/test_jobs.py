@@ -125,3 +125,41 @@ def test_stream_restart_is_idempotent(trained, spark, tmp_path):
     q.awaitTermination(300)
     again = spark.read.parquet(str(tmp_path / "out"))
     assert again.count() == n_rows and again.select("batch_id").distinct().count() == n_batches
+
+
+def test_awkward_names_and_middle_row_dropped(spark):
+    """FIXTURES A10: names with space, slash, dot, leading digit; a row removed mid-table keeps targets aligned."""
+    import random
+    rnd = random.Random(11)
+    data = []
+    for i in range(300):
+        area = float(rnd.randint(1000, 20000))
+        first = None if i == 150 else float(rnd.randint(400, 3000))
+        qual = rnd.choice(["Ex", "Gd", "TA"])
+        price = 10.0 * area + (0.0 if first is None else 30.0 * first) + {"Ex": 5e4, "Gd": 2e4, "TA": 0.0}[qual]
+        data.append((i, None if i % 37 == 0 else area, first, 1990 + i % 20, qual, price))
+    df = spark.createDataFrame(data, "`row id` long, `Lot Area` double, `1st Flr SF` double, "
+                                     "`Year Remod/Add` long, `Kitchen Qual` string, `sale.price` double")
+    cfg = {
+        "key": "row id", "target": "sale.price",
+        "data_split": {"train": 0.6, "valid": 0.2, "test": 0.2, "random_state": 42},
+        "model": {"active": "linear_regression"}, "selection": {"k": 10},
+        "features": {"categorical": ["Kitchen Qual"], "continuous": ["Lot Area", "1st Flr SF"],
+                     "ordinal": ["Year Remod/Add"], "most_relevant_features": []},
+        "preprocessing": {
+            "fillna_groupby": {"column": "Lot Area", "groupby": "Kitchen Qual", "method": "mean"},
+            "dropna_rows": ["1st Flr SF"],
+            "encoding": {"one_hot": {"drop": "first", "handle_unknown": "ignore"}},
+            "scaling": {"method": "standard", "apply_to": ["continuous", "ordinal"]},
+        },
+    }
+    t = jobs.train_job(df, cfg)
+    preds = t.predictions
+    assert preds.count() == 299
+    truth = dict(rows(df.select("`row id`", "`sale.price`")))
+    for k, y in rows(preds.select("`row id`", "y_true")):
+        assert truth[k] == y                      # every target still belongs to its own row
+    scored, dropped = jobs.score_batch(df.drop("sale.price"), cfg, t.params, t.coefficients, t.features)
+    assert [r[0] for r in dropped.collect()] == [150]
+    assert scored.count() == 299
+    assert {"onehot__Kitchen Qual_Gd", "scaler__Year Remod/Add"} <= set(t.features)
