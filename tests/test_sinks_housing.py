@@ -112,3 +112,12 @@ def test_housing_config_end_to_end(spark, tmp_path):
     assert len([f for f in t.features if not f.startswith("onehot__kitchen_qual")]) >= 10
     preds, dropped = jobs.score_batch(df.drop("SalePrice"), cfg, t.params, t.coefficients, t.features)
     assert preds.count() + dropped.count() == df.count()
+    # The data stage on the whole 81-column table: exact quartiles for 38 numeric
+    # columns and value counts for 43 text columns, each in a fixed number of passes.
+    stage = jobs.data_stage(spark, cfg, df=df)
+    desc = {r["column_name"]: r for r in stage["describe"].collect()}
+    assert len(desc) == 81
+    pdf = df.select("`Lot Area`", "`Kitchen Qual`").toPandas()   # 400-row fixture only
+    want = pdf["Lot Area"].describe()
+    assert desc["Lot Area"]["p25"] == pytest.approx(want["25%"]) and desc["Lot Area"]["p75"] == pytest.approx(want["75%"])
+    assert desc["Kitchen Qual"]["unique"] == pdf["Kitchen Qual"].nunique()
