@@ -8,19 +8,20 @@ bracketing, over the table melted once to ``(column, value)``:
 
 1. one pass, grouped by column, gets ``count``/``min``/``max`` and
    ``percentile_approx`` brackets around each target rank;
-2. each round joins a small **bracket table** (one row per open rank — a size
-   fixed by the request, so it is broadcast) and counts, per rank, the rows
-   below the bracket, inside it and equal to each end. A rank inside an end's
-   run of ties is resolved to that value at once; a bracket the sketch missed
-   falls back to the full range; a small bracket is kept for collection; any
-   other is narrowed by a sketch over the rows strictly inside its ends — so
-   ties can never stall it;
+2. each round is one pass that places every value among its column's sorted
+   bracket ends (a handful of literal comparisons in codegen, no join) and
+   returns a tiny ``(column, position)`` histogram; from it the driver reads, per
+   rank, the rows below the bracket, inside it and equal to each end. A rank
+   inside an end's run of ties is resolved to that value at once; a bracket the
+   sketch missed falls back to the full range; a small bracket is kept for
+   collection; any other is narrowed by a sketch over the rows strictly inside
+   its ends (only those rows are emitted) — so ties can never stall it;
 3. one pass collects ``(value, count)`` pairs inside the final brackets (at most
    ``max_candidates`` rows' worth each and ``max_total`` altogether) and the
    driver walks the counts.
 
-Every pass is one ``groupBy`` with a few aggregates, whatever the number of
-columns, so it keeps whole-stage codegen and a small plan.
+Every pass is one scan and one ``groupBy`` with a few aggregates, whatever the
+number of columns; no pass multiplies rows or needs a broadcast.
 """
 
 from __future__ import annotations
@@ -40,15 +41,6 @@ RESULT_SCHEMA = T.StructType([
     T.StructField("value", T.DoubleType(), True),
 ])
 
-BRACKETS = T.StructType([
-    T.StructField("c", T.StringType(), False),
-    T.StructField("k", T.LongType(), False),
-    T.StructField("lo", T.DoubleType(), False),
-    T.StructField("hi", T.DoubleType(), False),
-    T.StructField("lo_open", T.BooleanType(), False),
-    T.StructField("hi_open", T.BooleanType(), False),
-])
-
 GRID = 256   # fractions 0, 1/256, …, 1 asked from each narrowing sketch
 
 
@@ -59,17 +51,71 @@ def _melt(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return long.where(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
-def _with_brackets(long: DataFrame, spark, rows: list[tuple]) -> DataFrame:
-    br = spark.createDataFrame(rows, BRACKETS)
-    v, lo, hi = F.col("v"), F.col("lo"), F.col("hi")
-    return (long.join(F.broadcast(br), on="c")
-            .withColumn("_below", F.when(F.col("lo_open"), v <= lo).otherwise(v < lo))
-            .withColumn("_inside", F.when(F.col("lo_open"), v > lo).otherwise(v >= lo)
-                        & F.when(F.col("hi_open"), v < hi).otherwise(v <= hi)))
+def _in_bracket(v: Column, t: dict) -> Column:
+    lo = (v > F.lit(t["lo"])) if t["lo_open"] else (v >= F.lit(t["lo"]))
+    hi = (v < F.lit(t["hi"])) if t["hi_open"] else (v <= F.lit(t["hi"]))
+    return lo & hi
+
+
+def _valid(c: str) -> Column:
+    v = col(c).cast("double")
+    return F.when(v.isNotNull() & ~F.isnan(v), v)
+
 
+def _position_counts(df: DataFrame, bounds: dict[str, list[float]]) -> dict[str, dict[int, int]]:
+    """Per column, how many values fall at each position among its sorted bracket ends.
 
-def _row(key: tuple[str, int], t: dict) -> tuple:
-    return (key[0], key[1], float(t["lo"]), float(t["hi"]), bool(t["lo_open"]), bool(t["hi_open"]))
+    Position ``2j+1`` is "equal to end j", position ``2j`` is "strictly between ends
+    j−1 and j". Each value is compared with its own column's few ends — plain
+    expressions inside codegen, no join — and one small histogram comes back.
+    """
+    parts = []
+    for c, bs in bounds.items():
+        v = _valid(c)
+        below = sum((F.when(v > F.lit(b), 1).otherwise(0) for b in bs), F.lit(0))
+        equal = sum((F.when(v == F.lit(b), 1).otherwise(0) for b in bs), F.lit(0))
+        parts.append(F.struct(F.lit(c).alias("c"), F.when(v.isNotNull(), below * 2 + equal).alias("pos")))
+    hist = (df.select(F.explode(F.array(*parts)).alias("e")).select("e.c", "e.pos")
+            .where(F.col("pos").isNotNull()).groupBy("c", "pos").count())
+    out: dict[str, dict[int, int]] = {c: {} for c in bounds}
+    for r in hist.collect():
+        out[r["c"]][r["pos"]] = r["count"]
+    return out
+
+
+def _counts_for(t: dict, bs: list[float], hist: dict[int, int]) -> tuple[int, int, int, int]:
+    """(below, inside, at_lo, at_hi) of one bracket from its column's position histogram."""
+    i_lo, i_hi = bs.index(t["lo"]), bs.index(t["hi"])
+    first = 2 * i_lo + (2 if t["lo_open"] else 1)        # first position inside
+    last = 2 * i_hi + (0 if t["hi_open"] else 1)         # last position inside
+    below = sum(n for p, n in hist.items() if p < first)
+    inside = sum(n for p, n in hist.items() if first <= p <= last)
+    at_lo = 0 if t["lo_open"] else hist.get(2 * i_lo + 1, 0)
+    at_hi = 0 if t["hi_open"] else hist.get(2 * i_hi + 1, 0)
+    if i_lo == i_hi and not t["lo_open"] and not t["hi_open"]:
+        at_hi = at_lo
+    return below, inside, at_lo, at_hi
+
+
+def _inside_values(df: DataFrame, brackets: dict[tuple[str, int], dict], with_rank: bool) -> DataFrame:
+    """``(c, [k,] v)`` for values inside the given brackets; a value outside all of them emits nothing."""
+    by_col: dict[str, list[tuple[int, dict]]] = {}
+    for (c, k), t in brackets.items():
+        by_col.setdefault(c, []).append((k, t))
+    parts = []
+    for c, items in by_col.items():
+        v = _valid(c)
+        if with_rank:
+            for k, t in items:
+                parts.append(F.when(_in_bracket(v, t), F.struct(F.lit(c).alias("c"), F.lit(k).cast("long").alias("k"),
+                                                                v.alias("v"))))
+        else:
+            any_in = None
+            for _, t in items:
+                cond = _in_bracket(v, t)
+                any_in = cond if any_in is None else any_in | cond
+            parts.append(F.when(any_in, F.struct(F.lit(c).alias("c"), v.alias("v"))))
+    return df.select(F.explode(F.array(*parts)).alias("e")).where(F.col("e").isNotNull()).select("e.*")
 
 
 def exact_quantiles(
@@ -82,7 +128,6 @@ def exact_quantiles(
     max_total: int = 2_000_000,
 ) -> dict[tuple[str, float], float | None]:
     """Return ``{(column, p): value}`` with pandas' linear interpolation (NaN counts as missing)."""
-    spark = df.sparkSession
     cols = list(columns)
     probs = [float(p) for p in probs]
     margin = 3.0 / accuracy
@@ -122,17 +167,16 @@ def exact_quantiles(
     for _ in range(max_rounds):
         if not pending:
             break
-        counts = _with_brackets(long, spark, [_row(key, ranks[key]) for key in pending]) \
-            .groupBy("c", "k").agg(
-                F.count_if("_below").alias("b"), F.count_if("_inside").alias("m"),
-                F.count_if(F.col("_inside") & (F.col("v") == F.col("lo"))).alias("at_lo"),
-                F.count_if(F.col("_inside") & (F.col("v") == F.col("hi"))).alias("at_hi"))
-        got = {(r["c"], r["k"]): r for r in counts.collect()}
+        bounds: dict[str, list[float]] = {}
+        for c, _k in pending:
+            t = ranks[(c, _k)]
+            bounds.setdefault(c, set()).update((t["lo"], t["hi"]))
+        bounds = {c: sorted(bs) for c, bs in bounds.items()}
+        hist = _position_counts(df, bounds)
         narrow = []
         for key in pending:
             t, k = ranks[key], key[1]
-            r = got.get(key)
-            below, m, at_lo, at_hi = (r["b"], r["m"], r["at_lo"], r["at_hi"]) if r else (0, 0, 0, 0)
+            below, m, at_lo, at_hi = _counts_for(t, bounds[key[0]], hist[key[0]])
             if not (below <= k < below + m):
                 # The sketch missed: start again from the whole range.
                 t.update(lo=t["min"], hi=t["max"], lo_open=False, hi_open=False, below=0, inside=t["n"])
@@ -166,10 +210,9 @@ def exact_quantiles(
         if not narrow:
             pending = []
             break
-        sketch = _with_brackets(long, spark, [_row(key, ranks[key]) for key in narrow]) \
-            .where("_inside").groupBy("c", "k").agg(
-                F.percentile_approx("v", grid, accuracy).alias("q"),
-                F.min("v").alias("mn"), F.max("v").alias("mx"))
+        sketch = (_inside_values(df, {key: ranks[key] for key in narrow}, with_rank=True)
+                  .groupBy("c", "k").agg(F.percentile_approx("v", grid, accuracy).alias("q"),
+                                         F.min("v").alias("mn"), F.max("v").alias("mx")))
         got = {(r["c"], r["k"]): r for r in sketch.collect()}
         for key in narrow:
             t, k = ranks[key], key[1]
@@ -185,15 +228,18 @@ def exact_quantiles(
         raise RuntimeError("exact quantile brackets did not converge")
 
     if collect:
-        pairs = (_with_brackets(long, spark, [_row(key, ranks[key]) for key in collect])
-                 .where("_inside").groupBy("c", "k", "v").count())
-        by_rank: dict[tuple[str, int], list[tuple[float, int]]] = {}
+        pairs = _inside_values(df, {key: ranks[key] for key in collect}, with_rank=False) \
+            .groupBy("c", "v").count()
+        by_col: dict[str, list[tuple[float, int]]] = {}
         for r in pairs.collect():
-            by_rank.setdefault((r["c"], r["k"]), []).append((r["v"], r["count"]))
+            by_col.setdefault(r["c"], []).append((r["v"], r["count"]))
         for key in collect:
             t, k = ranks[key], key[1]
             rank = t["below"]
-            for v, cnt in sorted(by_rank.get(key, [])):
+            inside = [(v, cnt) for v, cnt in by_col.get(key[0], [])
+                      if (v > t["lo"] if t["lo_open"] else v >= t["lo"])
+                      and (v < t["hi"] if t["hi_open"] else v <= t["hi"])]
+            for v, cnt in sorted(inside):
                 if rank + cnt > k:
                     t["value"] = v
                     break
