@@ -153,7 +153,7 @@ HOUSING_PREPROCESSING = {
 }
 
 
-def housing_config(raw_path: str = "data/raw/AMES_Housing_Data.csv") -> dict:
+def housing_config(raw_path: str = "data/raw/housing.csv") -> dict:
     """The reference's pipeline settings for its housing table.
 
     The rename map is the rule "lower case, spaces and slashes to ``_``" over

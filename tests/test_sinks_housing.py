@@ -97,7 +97,7 @@ def test_housing_config_end_to_end(spark, tmp_path):
     declared = cfg["data_validation"]["schema"]["columns"]
     names = [d["name"] for d in declared]
     data = _housing_rows(400)
-    csv = tmp_path / "AMES.csv"
+    csv = tmp_path / "housing.csv"
     with open(csv, "w") as fh:
         fh.write(",".join(f'"{n}"' for n in names) + "\n")
         for r in data:
