@@ -4,8 +4,8 @@ Operators never read configuration at import time; jobs receive one of these
 mappings (or a user's own with the same keys) as an argument.
 
 * ``ORDER_FEATURES`` runs the whole flow on the driver's ``order_features`` view.
-* ``HOUSING`` carries the reference's own settings for its house-price table,
-  so a user of the reference can run the same job on the same CSV.
+* ``housing_config()`` carries the reference's own settings for its house-price
+  table, so a user of the reference can run the same job on the same CSV.
 """
 
 from __future__ import annotations
