@@ -66,3 +66,15 @@ def test_query_matches_oracle(spark, duck, name):
     assert type_diff(sdf, duck, oracle_sql()[name]) == {}
     assert len(s_rows) == len(d_rows)
     assert digest(sdf.columns, s_rows)[0] == digest(d_cols, d_rows)[0]
+
+
+def test_staged_training_input_prunes_partitions_and_columns(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.operators.split import split
+    from tessera.plans.views import order_features
+    from tessera.session import materialize
+    staged = materialize(split(order_features(spark, SF_SMALL), "o_orderkey"), partition_by=["split"])
+    plan = _plan(staged.where(F.col("split") == "train").select("c_acctbal"))
+    assert "PartitionFilters: [isnotnull(split" in plan and "(split#" in plan and "= train)" in plan
+    assert "ReadSchema: struct<c_acctbal:double>" in plan
