@@ -73,8 +73,8 @@ def align(a: DataFrame, b: DataFrame, key: str, strict: bool = True) -> DataFram
     ``strict`` checks that both sides have unique keys and the same key set,
     the keyed equivalent of the reference's length check on y_true / y_pred.
     """
-    joined = a.join(b, on=key, how="inner") if "." not in key else \
-        a.join(b.withColumnRenamed(key, "_k"), col(key) == F.col("_k"), "inner").drop("_k")
+    # The key is referenced literally (names may hold dots or spaces).
+    joined = a.join(b.withColumnRenamed(key, "_k"), col(key) == F.col("_k"), "inner").drop("_k")
     if strict:
         stats = (
             a.select(col(key).alias("k")).withColumn("side", F.lit("a"))

@@ -139,3 +139,12 @@ def test_salted_join_equals_plain_join(spark):
         assert rows(plan, "id", "g", "m") == want
     finally:
         spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+
+
+def test_align_with_awkward_key(spark):
+    from tessera.operators.joins import align
+    a = spark.createDataFrame([(1, 10.0), (2, 20.0)], "`row.id` long, y double")
+    b = spark.createDataFrame([(2, 21.0), (1, 11.0)], "`row.id` long, p double")
+    assert rows(align(a, b, "row.id")) == [(1, 10.0, 11.0), (2, 20.0, 21.0)]
+    with pytest.raises(ValueError, match="Inconsistent"):
+        align(a, b.where("p > 15"), "row.id")
