@@ -69,22 +69,27 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def maybe_in(df: DataFrame, key: str, ids: DataFrame, id_col: str, bits: int = 1 << 25) -> DataFrame:
-    """Rows of ``df`` whose key may be in ``ids``: a superset, without shuffling ``df``.
+def mark_maybe(df: DataFrame, key: str, ids: DataFrame, id_col: str, name: str = "_maybe", bits: int = 1 << 25) -> DataFrame:
+    """Adds ``name``: false only where the key is surely not in ``ids``; without shuffling ``df``.
 
     The ids become a bitmap of ``bits`` bits (4 MB at the default, whatever the number of
-    ids), which is broadcast. With far more ids than bits it lets every row through; the
-    exact join that must follow then shuffles all of ``df`` and still gives the same rows.
+    ids), which is broadcast. With far more ids than bits it marks every row; the exact join
+    that must follow then shuffles all of ``df`` and still gives the same rows.
     """
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
     maps = (ids.where(F.col(id_col).isNotNull()).select(slot(F.col(id_col)).alias("slot"))
             .groupBy(F.expr("bitmap_bucket_number(slot)").alias("_bucket"))
             .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("_bitmap")))
-    marked = df.withColumn("_slot", slot(F.col(f"`{key}`")))
+    marked = df.withColumn("_slot", F.when(F.col(f"`{key}`").isNotNull(), slot(F.col(f"`{key}`"))))
     byte = "cast(conv(hex(substring(_bitmap, cast(bitmap_bit_position(_slot) div 8 + 1 as int), 1)), 16, 10) as int)"
-    bit = F.expr(f"getbit({byte}, cast(bitmap_bit_position(_slot) % 8 as int)) = 1")
-    return (marked.join(F.broadcast(maps), F.expr("bitmap_bucket_number(_slot)") == F.col("_bucket"))
-            .where(bit).select(*[F.col(f"`{c}`") for c in df.columns]))
+    bit = F.expr(f"coalesce(getbit({byte}, cast(bitmap_bit_position(_slot) % 8 as int)) = 1, false)")
+    return (marked.join(F.broadcast(maps), F.expr("bitmap_bucket_number(_slot)") == F.col("_bucket"), "left")
+            .select(*[F.col(f"`{c}`") for c in df.columns], bit.alias(name)))
+
+
+def maybe_in(df: DataFrame, key: str, ids: DataFrame, id_col: str) -> DataFrame:
+    """Rows of ``df`` whose key may be in ``ids`` (a superset; see :func:`mark_maybe`)."""
+    return mark_maybe(df, key, ids, id_col).where("_maybe").drop("_maybe")
 
 
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:

@@ -10,7 +10,11 @@ from tessera.llm.host_rules import host_rules
 from tessera.llm.licence_scan import licence_scan
 from tessera.llm.mixing import mix_sources
 from tessera.llm.near_dedup import near_duplicates
+from tessera.llm.ppm import ppm_scores
+from tessera.llm.substring_dedup import repeat_report
+from tessera.llm.toxicity import toxicity
 from tessera.llm.url_rules import judge_urls
+from tessera.llm.zstd_quality import zstd_quality
 
 URL_RULES = (
     ("allow", "com", "/"),
@@ -25,10 +29,31 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _fold(n: int):
+    """crc32 of the id as text, modulo ``n``; a null id counts as the empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % n
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_report(_table(spark, sf_dir, "documents"))
+
+
+def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm_scores(_table(spark, sf_dir, "documents"), _fold(10) != 0)
+
+
+def op3_zstd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zstd_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), _fold(3) != 1)
+
+
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), _fold(4) != 2)
+
+
 def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules(_table(spark, sf_dir, "documents")).drop("host_rate")
 
@@ -51,6 +76,6 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op4_url_rules, op6_host_rules, op7_mixing, op8_licence_scan, op9_near_dedup, op10_decontaminate)}
+    op1_substring_dedup, op2_ppm, op3_zstd_quality, op4_url_rules, op5_toxicity, op6_host_rules, op7_mixing, op8_licence_scan, op9_near_dedup, op10_decontaminate)}
 
 ORACLE: dict[str, str] = {}
