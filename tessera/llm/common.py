@@ -92,6 +92,15 @@ def maybe_in(df: DataFrame, key: str, ids: DataFrame, id_col: str) -> DataFrame:
     return mark_maybe(df, key, ids, id_col).where("_maybe").drop("_maybe")
 
 
+def without(docs: DataFrame, key: Column, dropped: DataFrame, drop_col: str) -> DataFrame:
+    """``docs`` without the rows whose ``key`` is in ``dropped``; only rows that may be are shuffled."""
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("_key"))
+    marked = mark_maybe(row, "_key", dropped, drop_col)
+    gone = dropped.select(F.col(drop_col).alias("_key")).distinct()
+    return (marked.where("not _maybe").select("row.*")
+            .unionByName(marked.where("_maybe").join(gone, "_key", "left_anti").select("row.*")))
+
+
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """Connected components of ``edges(a, b)``: (node, component), component = smallest node.
 

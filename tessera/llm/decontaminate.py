@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import NOT_ALNUM, Scratch, ascii_lower, fits_broadcast, gram_hashes, text_key, word_list
+from tessera.llm.common import NOT_ALNUM, Scratch, ascii_lower, fits_broadcast, gram_hashes, text_key, without, word_list
 
 
 def item_windows(items: DataFrame, item_col: str, text_col: str, window: int, shingle: int) -> DataFrame:
@@ -97,3 +97,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     items_of = F.coalesce("items", F.expr("cast(array() as array<string>)"))
     return out.select(F.col("id").alias(id_col), "n_words", n_hit.alias("n_hit"), F.size(items_of).cast("long").alias("n_items"),
                       items_of.alias("items"), (n_hit > 0).alias("contaminated"))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
+    """``docs`` without the rows whose text holds a window of an item; all columns stay."""
+    scratch = Scratch(docs.sparkSession, "decontaminate")
+    spans, _, _ = contaminated_spans(docs, items, scratch, id_col, text_col, **options)
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    return without(docs, text_key(text), spans.select("tid"), "tid")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, components, maybe_in
+from tessera.llm.common import Scratch, components, maybe_in, without
 from tessera.llm.tokens import Slice, mix, windows, word_slices
 
 
@@ -216,3 +216,13 @@ def _prefix_pairs(scratch: Scratch, sets: DataFrame, left: DataFrame, percent: i
                    & F.expr(f"100 * least(x_n, y_n) >= {percent} * greatest(x_n, y_n)")
                    & (bound * (100 + percent) >= F.expr(f"{percent} * (x_n + y_n)")))
     return pairs.select(F.col("x_rep").alias("a"), F.col("y_rep").alias("b")).distinct()
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` without the documents that are near copies of one with a smaller id; all columns stay.
+
+    Rows that share an id are one document and stay or go together.
+    """
+    scratch = Scratch(docs.sparkSession, "neardup-drop")
+    gone = near_duplicates(docs, id_col, text_col, **options).where("not kept").select(F.col(f"`{id_col}`").alias("gone"))
+    return without(docs, F.col(f"`{id_col}`"), scratch.write(gone, "gone"), "gone")

@@ -29,7 +29,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _fold(n: int):
+def fold_of(n: int):
     """crc32 of the id as text, modulo ``n``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % n
 
@@ -39,11 +39,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ppm_scores(_table(spark, sf_dir, "documents"), _fold(10) != 0)
+    return ppm_scores(_table(spark, sf_dir, "documents"), fold_of(10) != 0)
 
 
 def op3_zstd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return zstd_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), _fold(3) != 1)
+    return zstd_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), fold_of(3) != 1)
 
 
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +51,7 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), _fold(4) != 2)
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), fold_of(4) != 2)
 
 
 def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,12 +12,14 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tessera.llm.common import ship_package
 from tessera.llm.zstd_quality import fit_logistic, sample_rows
@@ -94,9 +96,11 @@ def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["word", "y"])
 
 
-def learn_lexicon(spark, rows: Sequence[tuple[str, int, int]], lift: float, evidence: float, least: int, size: int) -> dict[str, float]:
-    """Words that stand ``lift`` times as often in toxic texts as in others, with a log-likelihood ratio of ``evidence`` or more.
+def learn_lexicon(spark, rows: Sequence[tuple[str, int, int]], share: float, lift: float, evidence: float, least: int,
+                  size: int) -> dict[str, float]:
+    """Words in at least ``share`` of the toxic texts (and ``least`` of them) that stand ``lift`` times as often there as in others.
 
+    Their log-likelihood ratio must be ``evidence`` or more, so that chance doesn't make a word.
     Equal texts count once, so that copies of one document are no evidence.
     """
     rows = sorted({(t, y) for t, y, _ in rows})
@@ -111,58 +115,83 @@ def learn_lexicon(spark, rows: Sequence[tuple[str, int, int]], lift: float, evid
     n = F.col("a") + F.col("b")
     part = lambda c, of: c * F.log((c + 1e-9) * len(rows) / (n * of))
     support = 2 * (part(F.col("a"), toxic) + part(F.col("b"), clean))
-    chosen = (counts.where((F.col("a") >= least) & (F.length("word") >= 3)).withColumn("weight", F.log(ratio)).withColumn("support", support)
+    chosen = (counts.where((F.col("a") >= max(least, share * toxic)) & (F.length("word") >= 3)).withColumn("weight", F.log(ratio)).withColumn("support", support)
               .where((ratio >= lift) & (F.col("support") >= evidence))
               .orderBy(F.desc("support"), "word").limit(size).collect())
     return {r["word"]: r["weight"] for r in chosen}
 
 
-def _score(lexicon, exceptions, curve):
+class Fitted(NamedTuple):
+    """A lexicon with weights, the exception phrases, and the curve over (hits, density)."""
+    lexicon: dict[str, float]
+    exceptions: tuple[str, ...]
+    curve: tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _score(fitted: Fitted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = automaton(lexicon, exceptions)
+        found = automaton(fitted.lexicon, fitted.exceptions)
+        centre, scale, w = fitted.curve
         for batch in batches:
-            x = np.array([_features(*measure(t.as_py() or "", found)) for t in batch.column(2)]).reshape(-1, 2)
-            centre, scale, w = curve
+            x = np.array([_features(*measure(t.as_py() or "", found)) for t in batch.column(1)]).reshape(-1, 2)
             z = (x - centre) / scale @ w[:-1] + w[-1]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))],
-                                             names=["id", "held_out", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], names=["row", "score"])
     return run
 
 
+def score_rows(docs: DataFrame, fitted: Fitted, text_col: str = "text") -> DataFrame:
+    """(row, score): every row of ``docs`` as a struct of all its columns, and its score."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    return rows.mapInArrow(_score(fitted), StructType([rows.schema["row"], StructField("score", DoubleType())]))
+
+
 def _features(total: float, density: float) -> tuple[float, float]:
     return np.log1p(total), np.log1p(density)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, training: Column, label: str = "toxic", id_col: str = "doc_id",
-             text_col: str = "text", label_id: str = "doc_id", rows: int = 3000, max_bytes: int = 16 << 20, lift: float = 8.0,
-             evidence: float = 25.0, least: int = 3, lexicon_size: int = 1000, exceptions: Sequence[str] = EXCEPTIONS,
-             threshold: float = 0.3, seed: int = 5) -> DataFrame:
-    """Per document: id, ``held_out``, ``score`` (0 to 1, higher: label 1 likelier), ``predicted``.
-
-    ``training`` is a condition on the rows of ``docs``. The lexicon and the curve are fitted on a bounded
-    sample: at most ``rows`` labelled training texts of each class and ``max_bytes`` of text per
-    class, in a seeded order of ids. Every document is scored whole.
+def fit_toxicity(docs: DataFrame, labels: DataFrame, training: Column, label: str = "toxic", id_col: str = "doc_id",
+                 text_col: str = "text", label_id: str = "doc_id", rows: int = 3000, max_bytes: int = 16 << 20, share: float = 0.02,
+                 lift: float = 8.0, evidence: float = 25.0, least: int = 3, lexicon_size: int = 1000,
+                 exceptions: Sequence[str] = EXCEPTIONS, seed: int = 5) -> Fitted:
+    """Lexicon and curve from a bounded sample.
 
-    Defined cases: null and empty text have no hits; null and repeated ids are scored row by
-    row; without labelled rows of both classes the lexicon is empty and the score is the share
-    of label 1 among the sampled rows (0 without any). An empty table gives an empty result;
-    other columns are ignored.
+    At most ``rows`` labelled training texts of each class and ``max_bytes`` of text per class, in a
+    seeded order of ids. Without rows of both classes, or without telling words, the lexicon is
+    empty and every score is the share of label 1 among the sampled rows (0 without any).
     """
     spark = docs.sparkSession
     ship_package(spark)
-    training = F.coalesce(training, F.lit(False))
-    found = sample_rows(docs, labels, training, label, id_col, text_col, label_id, rows, max_bytes, seed)
-    lexicon = learn_lexicon(spark, found, lift, evidence, least, lexicon_size)
+    found = sample_rows(docs, labels, F.coalesce(training, F.lit(False)), label, id_col, text_col, label_id, rows, max_bytes, seed)
+    lexicon = learn_lexicon(spark, found, share, lift, evidence, least, lexicon_size)
     curve = (np.zeros(2), np.ones(2), np.array([0.0, 0.0, -30.0 if not found else _logit(np.mean([y for _, y, _ in found]))]))
     if lexicon:
         machine = automaton(lexicon, exceptions)
         x = np.array([_features(*measure(t, machine)) for t, _, _ in found])
         curve = fit_logistic(x, np.array([y for _, y, _ in found], dtype=np.float64))
-    kind = docs.schema[id_col].dataType.simpleString()
-    slim = docs.select(F.col(f"`{id_col}`").alias("id"), (~training).alias("held_out"),
-                       F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    scored = slim.mapInArrow(_score(lexicon, tuple(exceptions), curve), f"id {kind}, held_out boolean, score double")
-    return scored.select(F.col("id").alias(id_col), "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return Fitted(lexicon, tuple(exceptions), curve)
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text",
+             threshold: float = 0.3, **fit) -> DataFrame:
+    """Per document: id, ``held_out``, ``score`` (0 to 1, higher: label 1 likelier), ``predicted``.
+
+    ``training`` is a condition on the rows of ``docs``; further arguments go to :func:`fit_toxicity`. Every
+    document is scored whole.
+
+    Defined cases: null and empty text have no hits and get the curve's value there; null and
+    repeated ids are scored row by row; an empty table gives an empty result; other columns are ignored.
+    """
+    fitted = fit_toxicity(docs, labels, training, id_col=id_col, text_col=text_col, **fit)
+    slim = docs.select(F.col(f"`{id_col}`").alias("id"), (~F.coalesce(training, F.lit(False))).alias("held_out"),
+                       F.col(f"`{text_col}`").alias("text"))
+    scored = score_rows(slim.select("id", "held_out", "text"), fitted, "text")
+    return scored.select(F.col("row.id").alias(id_col), "row.held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def drop_toxic(docs: DataFrame, fitted: Fitted, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+    """``docs`` without the rows that score ``threshold`` or more; all columns stay."""
+    return score_rows(docs, fitted, text_col).where(F.col("score") < threshold).select("row.*")
 
 
 def _logit(p: float) -> float:
