@@ -47,7 +47,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = sys.argv[1:] or HEADLINE
-    spark = get_session(f"local[{cpus}]", app_name="tessera-bench", shuffle_partitions=int(cpus))
+    spark = get_session(f"local[{cpus}]", app_name="tessera-bench", shuffle_partitions=int(cpus), extra={
+        "spark.driver.memory": "16g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     # Warm-up: JVM, parquet footers, codegen caches.
     run_once(spark, "p8_shape", sf_dir)
     timings = {}

@@ -19,30 +19,8 @@ MAX_BROADCAST_ROWS = 2_000_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Bounded size check: counts at most ``max_rows + 1`` rows, never the whole table."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-SALT_BUCKETS = 32
-
-
-def _skew_join_enabled(spark) -> bool:
-    conf = spark.conf
-    return (conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
-            and conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true")
-
-
-def salted_join(big: DataFrame, small: DataFrame, on: str, how: str = "left",
-                buckets: int = SALT_BUCKETS) -> DataFrame:
-    """Shuffled join that spreads every key of ``big`` over ``buckets`` tasks.
-
-    Each ``big`` row gets a salt from a hash of the row; ``small`` (one row per
-    key) is replicated once per salt. A key holding a third of ``big`` then
-    lands in ``buckets`` tasks instead of one.
-    """
-    salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(buckets)))
-    salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)).cast("array<bigint>")))
-    return salted_big.join(salted_small, on=[on, "_salt"], how=how).drop("_salt")
+    """Size check of a materialised table: a plain count (partial counts per task, one number back)."""
+    return df.count() <= max_rows
 
 
 def join_small(
@@ -57,14 +35,11 @@ def join_small(
     ``small`` should already be materialised (its size check must not re-run
     the job that built it). Below the bound it is broadcast, so the large side
     is neither shuffled nor exposed to key skew. Above it the plan falls back
-    to a shuffled join: AQE's skew join splits hot keys when the session has it
-    on; otherwise the join is salted explicitly.
+    to a shuffled join, whose hot keys AQE's skew join splits. The rows are the same.
     """
     if fits_broadcast(small, max_rows):
         return big.join(F.broadcast(small), on=on, how=how)
-    if _skew_join_enabled(big.sparkSession):
-        return big.join(small, on=on, how=how)
-    return salted_join(big, small, on, how)
+    return big.join(small, on=on, how=how)
 
 
 def align(a: DataFrame, b: DataFrame, key: str, strict: bool = True) -> DataFrame:

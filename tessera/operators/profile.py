@@ -195,10 +195,10 @@ def schema_drift(reference: DataFrame, current: DataFrame) -> DataFrame:
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Order-insensitive dataset hash ``(n_rows, fingerprint)``.
 
-    Per-row xxhash64 summed as a 38-digit decimal (duplicate rows add up, they
+    Nulls are hashed by a mark per column, so it matters which column holds one. Per-row xxhash64 summed as a 38-digit decimal (duplicate rows add up, they
     do not cancel as with XOR), plus a second seed to lower collision odds.
     """
-    cols = [col(c) for c in (columns or df.columns)]
+    cols = [x for c in (columns or df.columns) for x in (col(c), col(c).isNull())]
     h1 = F.xxhash64(*cols).cast("decimal(38,0)")
     h2 = F.xxhash64(F.lit(7919), *cols).cast("decimal(38,0)")
     agg = df.agg(F.count(F.lit(1)).cast("long").alias("n_rows"),

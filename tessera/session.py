@@ -8,7 +8,6 @@ checkpoint into the shared folder named by ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import logging
-import os
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -28,27 +27,22 @@ def get_session(
 ) -> SparkSession:
     """Build (or reuse) a session with the settings every job here assumes.
 
-    AQE stays on so shuffle partitions coalesce at runtime, skewed join
-    partitions are split, and sort-merge joins whose build side turns out
-    small are turned into broadcast joins by measured size.
+    Master, shuffle partitions and memory stay what the platform or ``spark-submit`` gave,
+    unless the caller passes them. AQE is on so shuffle partitions coalesce at
+    runtime, skewed join partitions are split, and sort-merge joins whose build side turns
+    out small become broadcast joins by measured size.
     """
-    cpus = os.environ.get("BENCH_CPUS", "8")
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    elif not os.environ.get("SPARK_MASTER"):
-        builder = builder.master(f"local[{cpus}]")
     conf = {
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or cpus),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        "spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": "16g",
-        "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -45,9 +45,13 @@ def read_table(
     header: int | bool | None = 0,
     encoding: str = "utf-8",
     root: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read one dataset with an allow-listed format.
 
+    CSV quotes are doubled inside quoted text. ``multi_line`` also reads quoted line
+    breaks, at the price that one file is then read by one task.
+
     ``header`` follows the reference's config: ``0`` means the first line holds
     the names, ``None`` means there is no header row.
     """
@@ -64,6 +68,8 @@ def read_table(
         reader = (reader.option("sep", sep)
                   .option("header", header in (0, True))
                   .option("encoding", encoding)
+                  .option("quote", '"').option("escape", '"')
+                  .option("multiLine", multi_line)
                   .option("mode", "PERMISSIVE"))
     try:
         return reader.load(full)

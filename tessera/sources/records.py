@@ -1,8 +1,8 @@
 """JSON record source and contract S10 / V8.
 
 A record contract is a declared list ``{name, dtype, required}``. Records are
-parsed with ``from_json`` against a *lax* schema (integers read as doubles, so
-``0.0`` is accepted for an int field as the reference's parser does), then
+parsed with ``from_json`` against a *lax* schema (integers read as decimals, so
+``0.0`` is accepted for an int field and 64-bit integers stay exact), then
 typed and checked in one projection. Works unchanged on a streaming frame.
 Each record lands in exactly one output: ``valid`` (typed columns) or
 ``rejected`` (raw text plus a ``reasons`` array).
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_LAX = {"int": T.DoubleType(), "float": T.DoubleType(), "str": T.StringType(), "bool": T.BooleanType()}
+_LAX = {"int": T.DecimalType(38, 18), "float": T.DoubleType(), "str": T.StringType(), "bool": T.BooleanType()}
 CORRUPT = "_corrupt_record"
 
 

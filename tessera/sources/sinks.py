@@ -18,8 +18,8 @@ from .readers import MANIFEST, latest_version
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K1: header row, no index column."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """K1: header row, no index column; quotes inside quoted text are doubled."""
+    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
 def publish(df: DataFrame, root: str, name: str, mode: str = "errorifexists") -> int:

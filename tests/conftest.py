@@ -13,7 +13,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from tessera.session import get_session
-    s = get_session("local[4]", app_name="tessera-tests", shuffle_partitions=4)
+    s = get_session("local[4]", app_name="tessera-tests", shuffle_partitions=4, extra={
+        "spark.driver.memory": "16g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     yield s
     s.stop()
 

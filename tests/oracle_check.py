@@ -66,7 +66,7 @@ def main() -> int:
         spark = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
                  .config("spark.ui.enabled", "false").getOrCreate())
     else:
-        spark = get_session("local[8]")
+        spark = get_session("local[8]", shuffle_partitions=8, extra={"spark.driver.memory": "8g", "spark.ui.enabled": "false"})
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")

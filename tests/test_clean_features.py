@@ -125,20 +125,13 @@ def test_feature_missing_column_is_error(spark):
         difference(df, "d", "a", "c")
 
 
-def test_salted_join_equals_plain_join(spark):
-    from tessera.operators.joins import join_small, salted_join
+def test_lookup_join_is_the_same_by_broadcast_and_by_shuffle(spark):
+    from tessera.operators.joins import join_small
     big = spark.range(3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id % 50 AS STRING) END AS g")
     small = spark.createDataFrame([("hot", 1.0)] + [(str(i), float(i)) for i in range(50)], "g string, m double")
     want = rows(big.join(small, "g", "left"), "id", "g", "m")
-    assert rows(salted_join(big, small, "g"), "id", "g", "m") == want
+    assert rows(join_small(big, small, "g"), "id", "g", "m") == want
     assert rows(join_small(big, small, "g", max_rows=10), "id", "g", "m") == want
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
-    try:
-        plan = join_small(big, small, "g", max_rows=10)
-        assert "_salt" in plan._jdf.queryExecution().analyzed().toString()
-        assert rows(plan, "id", "g", "m") == want
-    finally:
-        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
 
 
 def test_align_with_awkward_key(spark):

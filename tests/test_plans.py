@@ -10,12 +10,13 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
+from tessera.plans import catalog  # noqa: E402
 
 from .conftest import SF_SMALL  # noqa: E402
 from .oracle_check import digest, type_diff  # noqa: E402
 
 # Composed jobs run many actions while being planned; they are covered in test_jobs.
-PLANNED = [n for n in queries() if not n.startswith("l")]
+PLANNED = [n for n in catalog.QUERIES if not n.startswith("l")]
 
 
 def _plan(df) -> str:
@@ -55,7 +56,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     sdf = queries()[name](spark, SF_SMALL)
     s_rows = [tuple(r) for r in sdf.collect()]

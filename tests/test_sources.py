@@ -81,3 +81,38 @@ def test_feature_list_roundtrip(spark, tmp_path):
     path = str(tmp_path / "features")
     K.write_feature_list(spark, ["b", "a", "c"], path)
     assert R.read_feature_list(spark, path) == ["b", "a", "c"]
+
+
+def test_csv_quotes_and_line_breaks_round_trip(spark, tmp_path):
+    from tessera.sources.readers import read_table
+    from tessera.sources.sinks import write_csv
+    given = [(1, 'a "b", c'), (2, "two\nlines"), (3, "back\\slash"), (4, "plain")]
+    df = spark.createDataFrame(given, "id int, text string")
+    write_csv(df, str(tmp_path / "t"))
+    back = read_table(spark, str(tmp_path / "t"), schema=df.schema, multi_line=True)
+    assert sorted(map(tuple, back.collect())) == given
+
+
+def test_record_integers_stay_exact(spark):
+    from tessera.sources.records import parse_records
+    df = spark.createDataFrame([('{"k": 9007199254740993}',), ('{"k": 7.0}',), ('{"k": 7.5}',)], "value string")
+    valid, rejected = parse_records(df, [{"name": "k", "dtype": "int", "required": True}])
+    assert sorted(r["k"] for r in valid.collect()) == [7, 9007199254740993] and rejected.count() == 1
+
+
+def test_fingerprint_sees_which_column_is_null(spark):
+    from tessera.operators.profile import fingerprint
+    a = spark.createDataFrame([(1, None)], "a int, b int")
+    b = spark.createDataFrame([(None, 1)], "a int, b int")
+    assert fingerprint(a).first() != fingerprint(b).first()
+
+
+def test_session_keeps_given_settings(spark):
+    from tessera.session import get_session
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.master")}
+    spark.conf.set("spark.sql.shuffle.partitions", "77")
+    try:
+        again = get_session()
+        assert again.conf.get("spark.sql.shuffle.partitions") == "77" and again.conf.get("spark.master") == before["spark.master"]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before["spark.sql.shuffle.partitions"])
