@@ -449,3 +449,15 @@ def test_empty_tables(spark, edge):
     empty = edge.limit(0)
     for f in (host_rules, licence_scan, mix_sources, near_duplicates, repeat_report, cut_repeats, lambda d: ppm_scores(d, F.lit(True))):
         assert f(empty).count() == 0
+
+
+@pytest.mark.parametrize("name", ["op1_substring_dedup", "op4_url_rules", "op7_mixing", "op10_decontaminate"])
+def test_queries_match_their_sql(spark, name):
+    import duckdb
+    from tessera.llm.queries import ORACLE, QUERIES
+    con = duckdb.connect()
+    for t in ("documents", "pages", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    found = con.execute(ORACLE[name])
+    names = [c[0] for c in found.description]
+    assert result(QUERIES[name](spark, SF_SMALL), *names) == collections.Counter(found.fetchall())
