@@ -88,13 +88,29 @@ HOUSING_STR_COLUMNS = [
     "Bldg Type", "Condition 1", "Neighborhood", "Kitchen Qual", "Functional", "Heating QC",
 ]
 
-# Required fields of the single-record scoring contract and their types.
+# Fields of the single-record scoring contract and their types: 16 required, 55 optional.
 HOUSING_RECORD_REQUIRED = {
     "Overall Qual": "int", "Gr Liv Area": "float", "Garage Cars": "int", "Kitchen Qual": "str",
     "Exter Qual": "str", "Neighborhood": "str", "Bsmt Full Bath": "int", "Bsmt Half Bath": "int",
     "Full Bath": "int", "Half Bath": "int", "1st Flr SF": "int", "2nd Flr SF": "int",
     "Total Bsmt SF": "float", "Year Built": "int", "Year Remod/Add": "int", "Yr Sold": "int",
 }
+HOUSING_RECORD_OPTIONAL = {
+    "MS Zoning": "str", "Street": "str", "Lot Shape": "str", "Land Contour": "str", "Utilities": "str",
+    "Lot Config": "str", "Land Slope": "str", "Condition 1": "str", "Condition 2": "str",
+    "Bldg Type": "str", "House Style": "str", "Overall Cond": "int", "Roof Style": "str",
+    "Roof Matl": "str", "Exterior 1st": "str", "Exterior 2nd": "str", "Mas Vnr Type": "str",
+    "Mas Vnr Area": "float", "Exter Cond": "str", "Foundation": "str", "Bsmt Qual": "str",
+    "Bsmt Cond": "str", "Bsmt Exposure": "str", "BsmtFin Type 1": "str", "BsmtFin SF 1": "float",
+    "BsmtFin Type 2": "str", "BsmtFin SF 2": "float", "Bsmt Unf SF": "float", "Heating": "str",
+    "Heating QC": "str", "Central Air": "str", "Electrical": "str", "Kitchen AbvGr": "int",
+    "TotRms AbvGr": "int", "Functional": "str", "Fireplaces": "int", "Fireplace Qu": "str",
+    "Garage Type": "str", "Garage Yr Blt": "float", "Garage Finish": "str", "Garage Area": "float",
+    "Garage Qual": "str", "Garage Cond": "str", "Paved Drive": "str", "Wood Deck SF": "float",
+    "Open Porch SF": "float", "Enclosed Porch": "float", "3Ssn Porch": "float", "Screen Porch": "float",
+    "Pool Area": "float", "Sale Type": "str", "Sale Condition": "str", "Bedroom AbvGr": "int",
+    "Lot Area": "int", "Low Qual Fin SF": "int",
+}
 
 HOUSING_FEATURES = {
     "continuous": [
@@ -157,12 +173,12 @@ def housing_config(raw_path: str = "data/raw/housing.csv") -> dict:
     """The reference's pipeline settings for its housing table.
 
     The rename map is the rule "lower case, spaces and slashes to ``_``" over
-    the declared columns; the ``TotRms AbvGrd`` column is mapped to the name the
-    feature lists use (``totrms_abvgr``), which the reference intended but missed.
+    the declared columns; the ``TotRms AbvGrd`` column (``TotRms AbvGr`` in scoring records)
+    is mapped to the name the feature lists use, ``totrms_abvgr``.
     """
     raw_columns = HOUSING_INT_COLUMNS + HOUSING_FLOAT_COLUMNS + HOUSING_STR_COLUMNS
     rename = {c: snake_name(c) for c in raw_columns}
-    rename["TotRms AbvGrd"] = "totrms_abvgr"
+    rename["TotRms AbvGrd"] = rename["TotRms AbvGr"] = "totrms_abvgr"
     declared = ([{"name": c, "dtype": "int", "required": True} for c in HOUSING_INT_COLUMNS]
                 + [{"name": c, "dtype": "float", "required": True} for c in HOUSING_FLOAT_COLUMNS]
                 + [{"name": c, "dtype": "str", "required": True} for c in HOUSING_STR_COLUMNS])
@@ -185,11 +201,11 @@ def housing_config(raw_path: str = "data/raw/housing.csv") -> dict:
     }
 
 
-def housing_record_contract() -> list[dict]:
-    """Scoring-record contract: 16 required typed fields, every other declared column optional."""
-    declared = housing_config()["data_validation"]["schema"]["columns"]
-    contract = [{"name": n, "dtype": t, "required": True} for n, t in HOUSING_RECORD_REQUIRED.items()]
-    contract += [{"name": d["name"], "dtype": d["dtype"], "required": False}
-                 for d in declared
-                 if d["name"] not in HOUSING_RECORD_REQUIRED and d["name"] not in ("PID", "SalePrice")]
-    return contract
+def housing_record_contract(key: str | None = None) -> list[dict]:
+    """Scoring-record contract: 16 required and 55 optional typed fields.
+
+    ``key`` names one more, optional int field, by which predictions are matched to records.
+    """
+    return ([{"name": n, "dtype": t, "required": True} for n, t in HOUSING_RECORD_REQUIRED.items()]
+            + [{"name": n, "dtype": t, "required": False} for n, t in HOUSING_RECORD_OPTIONAL.items()]
+            + ([{"name": key, "dtype": "int", "required": False}] if key else []))

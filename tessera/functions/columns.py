@@ -77,8 +77,8 @@ def snake_name(raw: str) -> str:
 
 
 def safe_name(text: str) -> str:
-    """Make text usable inside a generated column name (no dots or backticks)."""
-    return str(text).replace(".", "_").replace("`", "_")
+    """Text for a generated column name: dots and backticks as percent codes, so no two texts meet."""
+    return str(text).replace("%", "%25").replace(".", "%2E").replace("`", "%60")
 
 
 def utc_year(c: Column, dt: T.DataType) -> Column:
@@ -131,12 +131,13 @@ def melt_columns(df: DataFrame, names: Sequence[str], fields, carry: Mapping[str
     """Long form ``(carry…, column_name, field…)``: one row per input row and column.
 
     ``fields(column, name) -> {field: per-row Column}`` must give the same field
-    names and types for every column (flags, or values cast to one type). The
-    rows are generated inside the scan's pipeline and never materialised.
+    names and types for every column (flags, or values cast to one type). NaN counts
+    as null. The rows are generated inside the scan's pipeline and never materialised.
     """
     names = list(names)
     if not names:
         raise ValueError("no columns to aggregate")
+    df = nan_to_null(df)
     parts = [F.struct(F.lit(n).alias("column_name"), *[e.alias(k) for k, e in fields(col(n), n).items()])
              for n in names]
     carried = dict(carry or {})

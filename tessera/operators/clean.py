@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col, is_numeric, numeric_columns, present, string_columns
+from ..functions.columns import col, is_numeric, nan_to_null, numeric_columns, present, string_columns
 from ..session import materialize
 from .joins import join_small
 
@@ -92,13 +92,30 @@ def drop_null_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df if cond is None else df.where(cond)
 
 
+def group_means(df: DataFrame, column: str, by: str) -> DataFrame:
+    """W1 (fit): ``(group, mean)`` of the non-null, non-NaN values; null keys form no group.
+
+    One partial aggregate: a hot group costs one row per task.
+    """
+    return (nan_to_null(df, [column]).where(col(by).isNotNull()).groupBy(col(by).alias("group"))
+            .agg(F.avg(col(column).cast("double")).alias("mean")))
+
+
+def fit_group_means(train: DataFrame, cfg: Mapping) -> DataFrame | None:
+    """The configured group means over training rows, written once; None without such a setting."""
+    grp = cfg.get("preprocessing", cfg).get("fillna_groupby") or {}
+    if not grp or grp["column"] not in train.columns or grp["groupby"] not in train.columns:
+        return None
+    return materialize(group_means(train, grp["column"], grp["groupby"]), name="group-means")
+
+
 def impute_group_mean(df: DataFrame, column: str, by: str, method: str = "mean",
-                      residual: float | None = None) -> DataFrame:
-    """W1 (+W2): null → mean of the row's own group; optionally residual nulls → constant.
+                      residual: float | None = None, means: DataFrame | None = None) -> DataFrame:
+    """W1 (+W2): null or NaN → mean of the row's own group; optionally residual nulls → constant.
 
-    The group means are one partial aggregate (a hot group costs one row per
-    task), materialised, then joined back as a lookup: broadcast when the number
-    of groups is bounded, shuffled (AQE splits skewed keys) otherwise. A null
+    ``means`` is a fitted ``(group, mean)`` table; without it the means are those of ``df``
+    itself, written once. They are joined back as a lookup: broadcast when their size is
+    bounded, shuffled (AQE splits skewed keys) otherwise. A null
     group key matches no group, so such rows keep their own value.
     """
     if method != "mean":
@@ -106,13 +123,11 @@ def impute_group_mean(df: DataFrame, column: str, by: str, method: str = "mean",
     if column not in df.columns or by not in df.columns:
         log.warning("impute_group_mean: %s or %s absent, skipped", column, by)
         return df
-    stats = materialize(
-        df.where(col(by).isNotNull())
-        .groupBy(col(by).alias("_g"))
-        .agg(F.avg(col(column).cast("double")).alias("_gmean")),
-        name="group-means",
-    )
-    joined = _join_stats(df, stats, by)
+    if means is None:
+        means = materialize(group_means(df, column, by), name="group-means")
+    df = nan_to_null(df, [column])
+    lookup = means.select(F.col("group").alias("_gkey"), F.col("mean").alias("_gmean"))
+    joined = join_small(df.withColumn("_gkey", col(by)), lookup, on="_gkey", how="left")
     dt = df.schema[column].dataType
     filled = F.coalesce(col(column).cast("double"), F.col("_gmean"))
     if residual is not None:
@@ -125,12 +140,6 @@ def impute_group_mean(df: DataFrame, column: str, by: str, method: str = "mean",
     ])
 
 
-def _join_stats(df: DataFrame, stats: DataFrame, by: str) -> DataFrame:
-    keyed = stats.withColumnRenamed("_g", "_gkey")
-    left = df.withColumn("_gkey", col(by))
-    return join_small(left, keyed, on="_gkey", how="left")
-
-
 def clean(df: DataFrame, cfg: Mapping) -> DataFrame:
     """the reference's fixed order F1 → F2 → F3 → F4 → W1 → F5.
 
@@ -141,13 +150,15 @@ def clean(df: DataFrame, cfg: Mapping) -> DataFrame:
     return kept
 
 
-def clean_with_dropped(df: DataFrame, cfg: Mapping) -> tuple[DataFrame, DataFrame]:
+def clean_with_dropped(df: DataFrame, cfg: Mapping,
+                       means: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """F6 + J4: the cleaned frame and the rows F5 removes, both from one plan.
 
     The removed rows are the ones failing F5's predicate, so reporting them
-    needs no join against the input.
+    needs no join against the input. ``means`` are fitted group means (W1); without
+    them a configured group mean is taken over ``df``, which runs a job.
     """
-    return impute_and_filter(row_local_clean(df, cfg), cfg)
+    return impute_and_filter(row_local_clean(df, cfg), cfg, means)
 
 
 def row_local_clean(df: DataFrame, cfg: Mapping) -> DataFrame:
@@ -165,13 +176,14 @@ def row_local_clean(df: DataFrame, cfg: Mapping) -> DataFrame:
     return fill_label(out, fill.get("categorical_none", []) or [])
 
 
-def impute_and_filter(df: DataFrame, cfg: Mapping) -> tuple[DataFrame, DataFrame]:
+def impute_and_filter(df: DataFrame, cfg: Mapping,
+                      means: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """W1 → F5 on an already row-cleaned frame: ``(kept, dropped)``."""
     pre = cfg.get("preprocessing", cfg)
     grp = pre.get("fillna_groupby") or {}
     out = df
     if grp:
-        out = impute_group_mean(out, grp["column"], grp["groupby"], grp.get("method", "mean"))
+        out = impute_group_mean(out, grp["column"], grp["groupby"], grp.get("method", "mean"), means=means)
     cond = complete_rows(out, pre.get("dropna_rows", []) or [])
     if cond is None:
         return out, out.limit(0)

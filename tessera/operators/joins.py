@@ -11,16 +11,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import col, present
+from ..functions.columns import col, present, string_columns
 
 # Largest number of rows a derived parameter table may have and still be
 # shipped to every executor as a broadcast hash table.
 MAX_BROADCAST_ROWS = 2_000_000
+# ... and the characters its text columns may hold in all.
+MAX_BROADCAST_CHARS = 256_000_000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Size check of a materialised table: a plain count (partial counts per task, one number back)."""
-    return df.count() <= max_rows
+def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                   max_chars: int = MAX_BROADCAST_CHARS) -> bool:
+    """Size check of a materialised table: rows and characters (partial sums per task, one row back)."""
+    chars = sum((F.coalesce(F.length(col(c)), F.lit(0)).cast("long") for c in string_columns(df)), F.lit(0))
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(chars), F.lit(0)).alias("chars")).first()
+    return size["n"] <= max_rows and size["chars"] <= max_chars
 
 
 def join_small(

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col, is_numeric, numeric_columns, per_column_agg, string_columns
+from ..functions.columns import col, is_numeric, nan_to_null, numeric_columns, per_column_agg, string_columns
 from ..session import materialize
 from .quantiles import quantiles
 
@@ -78,6 +78,7 @@ def describe_categorical(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def describe_numeric(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
     """count, mean, std (ddof 1), min, quartiles (linear), max for numeric columns."""
+    df = nan_to_null(df, columns)
     x = F.col("x")
     base = per_column_agg(df, columns, lambda c, _n: {"x": c.cast("double")}, {
         "count": F.count(x).cast("long"),
@@ -195,8 +196,9 @@ def schema_drift(reference: DataFrame, current: DataFrame) -> DataFrame:
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Order-insensitive dataset hash ``(n_rows, fingerprint)``.
 
-    Nulls are hashed by a mark per column, so it matters which column holds one. Per-row xxhash64 summed as a 38-digit decimal (duplicate rows add up, they
-    do not cancel as with XOR), plus a second seed to lower collision odds.
+    Nulls are hashed by a mark per column, so it matters which column holds one. Per-row
+    xxhash64 summed as a 38-digit decimal (duplicate rows add up, they do not cancel as
+    with XOR), plus a second seed to lower collision odds.
     """
     cols = [x for c in (columns or df.columns) for x in (col(c), col(c).isNull())]
     h1 = F.xxhash64(*cols).cast("decimal(38,0)")
@@ -219,7 +221,7 @@ def sample_rows(df: DataFrame, n: int, key: str | Sequence[str]) -> DataFrame:
 
 def mean_of(df: DataFrame, column: str) -> DataFrame:
     """P12."""
-    return df.agg(F.avg(col(column).cast("double")).alias("mean"))
+    return nan_to_null(df, [column]).agg(F.avg(col(column).cast("double")).alias("mean"))
 
 
 def histogram(df: DataFrame, column: str, bins: int = 10,
@@ -229,6 +231,7 @@ def histogram(df: DataFrame, column: str, bins: int = 10,
     The last bucket is closed on the right (as numpy's). Bounds default to the
     column's min / max, computed in one small aggregate.
     """
+    df = nan_to_null(df, [column])
     v = col(column).cast("double")
     if lo is None or hi is None:
         r = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi")).first()
@@ -251,15 +254,18 @@ def histogram(df: DataFrame, column: str, bins: int = 10,
 
 
 def null_rows(df: DataFrame, column: str) -> DataFrame:
-    """Rows where a column is null."""
-    return df.where(col(column).isNull())
+    """Rows where a column is null or NaN."""
+    missing = col(column).isNull()
+    if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType)):
+        missing = missing | F.isnan(col(column))
+    return df.where(missing)
 
 
 def prediction_summary(df: DataFrame, pred_col: str = "prediction", prob_col: str | None = None) -> DataFrame:
     """Row and column counts; mean / min / max of the probability (or prediction) column."""
     target = prob_col if prob_col and prob_col in df.columns else pred_col
     v = col(target).cast("double")
-    return df.agg(
+    return nan_to_null(df, [target]).agg(
         F.count(F.lit(1)).cast("long").alias("n_rows"),
         F.lit(len(df.columns)).cast("long").alias("n_cols"),
         F.avg(v).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"),

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col, is_numeric, present, safe_name
+from ..functions.columns import col, is_numeric, nan_to_null, present, safe_name
 
 PARAMS_SCHEMA = T.StructType([
     T.StructField("position", T.IntegerType(), False),
@@ -79,6 +79,7 @@ def fit_transformer(train: DataFrame, cfg: Mapping, max_categories: int = MAX_CA
     """
     spec = transformer_spec(cfg, train)
     spark = train.sparkSession
+    train = nan_to_null(train)
     cats, nums = spec["categorical"], spec["numeric"]
     if cats and spec["handle_unknown"] != "ignore":
         raise ValueError("Only handle_unknown='ignore' is supported")

@@ -54,13 +54,20 @@ def schema_checks(df: DataFrame, declared: Sequence[Mapping]) -> list[tuple]:
 
 
 def validate(df: DataFrame, declared: Sequence[Mapping], action: str = "raise",
-             report_path: str | None = None) -> DataFrame:
+             report_path: str | None = None, text: DataFrame | None = None) -> DataFrame:
     """V1–V5: check a frame against a declared schema and apply the error policy.
 
+    ``text`` is the untyped frame that ``df`` was cast from: its values that don't parse as
+    their declared type are errors too (V3), although the cast has made them null.
     ``action="raise"`` raises ``ValueError`` after the report is written;
     ``"warn"`` logs and returns it; any other value returns it silently.
     """
     rows = schema_checks(df, declared)
+    if text is not None:
+        # One row per declared column.
+        for r in value_conformance(text, declared).where("n_nonconforming > 0").orderBy("column_name").collect():
+            rows.append((r["column_name"], "values", "fail", r["expected"], None,
+                         f"Column '{r['column_name']}': {r['n_nonconforming']} value(s) are not {r['expected']}"))
     report = df.sparkSession.createDataFrame(rows, REPORT_SCHEMA)
     errors = [r for r in rows if r[2] == "fail"]
     if report_path:

@@ -912,7 +912,8 @@ def q_l4(spark, d):
     of = _of(spark, d)
     cfg = _cfg()
     t = jobs.train_job(of, cfg)
-    preds, _ = jobs.score_batch(of.drop("o_totalprice"), cfg, t.params, t.coefficients, t.features)
+    preds, _ = jobs.score_batch(of.drop("o_totalprice"), cfg, t.params, t.coefficients, t.features,
+                                group_means=t.group_means)
     return preds
 
 
@@ -931,7 +932,7 @@ def q_l4s(spark, d):
     inputs = of.drop("o_totalprice")
     inputs.select(F.to_json(F.struct(*[col(c) for c in inputs.columns])).alias("value")).write.text(f"{root}/in")
     query = score_stream(spark, cfg, _order_contract(inputs), f"{root}/in", t.params, t.coefficients,
-                         f"{root}/out", f"{root}/rejected", f"{root}/checkpoint")
+                         f"{root}/out", f"{root}/rejected", f"{root}/checkpoint", group_means=t.group_means)
     query.awaitTermination()
     return spark.read.parquet(f"{root}/out")
 

@@ -14,9 +14,11 @@ import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import nan_to_null
 from ..operators import clean as C
 from ..operators import profile as P
 from ..operators import validate as V
@@ -32,17 +34,23 @@ from ..sources import sinks as K
 
 log = logging.getLogger(__name__)
 
+# Why a row or record has no prediction.
+REMOVED = "removed by cleaning"
+NO_INPUT = "a model input is missing"
 
-def prepare(df: DataFrame, cfg: Mapping) -> DataFrame:
-    """E → F6: derived features on raw names, then the cleaning chain."""
-    return prepare_with_dropped(df, cfg)[0]
 
+def prepare_with_dropped(df: DataFrame, cfg: Mapping,
+                         group_means: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """NaN → null, E, then F6 with the group means fitted in training; also the rows cleaning removes.
 
-def prepare_with_dropped(df: DataFrame, cfg: Mapping) -> tuple[DataFrame, DataFrame]:
-    """E → F6, also returning the rows cleaning removes."""
+    A configured group mean needs its fitted table, or predictions would depend on which
+    rows arrive together.
+    """
+    if group_means is None and cfg.get("preprocessing", cfg).get("fillna_groupby"):
+        raise ValueError("The configured group mean needs the fitted group_means of the training run")
     spec = cfg.get("engineering") or []
-    out = engineer(df, spec) if spec else df
-    return C.clean_with_dropped(out, cfg)
+    out = nan_to_null(df)
+    return C.clean_with_dropped(engineer(out, spec) if spec else out, cfg, group_means)
 
 
 def split_fractions(cfg: Mapping) -> dict:
@@ -78,6 +86,7 @@ class TrainResult:
     predictions: DataFrame       # (key, split, y_true, prediction) for every row (M14)
     metrics: DataFrame           # per split (R5)
     features: list = field(default_factory=list)
+    group_means: DataFrame | None = None   # fitted (group, mean) table of W1, if configured
 
 
 def train_job(df_raw: DataFrame, cfg: Mapping, split_method: str = "hash") -> TrainResult:
@@ -89,6 +98,7 @@ def train_job(df_raw: DataFrame, cfg: Mapping, split_method: str = "hash") -> Tr
     key, target = cfg["key"], cfg["target"]
     seed = cfg.get("data_split", {}).get("random_state", 42)
     spec = cfg.get("engineering") or []
+    df_raw = nan_to_null(df_raw)
     row_clean = C.row_local_clean(engineer(df_raw, spec) if spec else df_raw, cfg)
     buckets = 1000 if split_method == "arith" else 10_000
     # The upstream plan (scans, joins, projections) runs once; every later pass —
@@ -97,7 +107,8 @@ def train_job(df_raw: DataFrame, cfg: Mapping, split_method: str = "hash") -> Tr
     used = C.select_columns(row_clean, [c for c in training_columns(cfg) if c in row_clean.columns])
     staged = materialize(split(used, key, split_fractions(cfg), seed=seed, buckets=buckets,
                                method=split_method), partition_by=["split"], name="train-input")
-    data, _ = C.impute_and_filter(staged, cfg)
+    means = C.fit_group_means(staged.where(F.col("split") == "train"), cfg)
+    data, _ = C.impute_and_filter(staged, cfg, means)
     train = data.where(F.col("split") == "train")
     params = fit_transformer(train, cfg)
     matrix = apply_transformer(data, params, keep=[key, target, "split"])
@@ -111,11 +122,32 @@ def train_job(df_raw: DataFrame, cfg: Mapping, split_method: str = "hash") -> Tr
     preds = predict(matrix, coefs, keep=[key, "split", target]).withColumnRenamed(target, "y_true")
     metrics = regression_metrics(preds.where(F.col("split") != "train"), "y_true", "prediction",
                                  by="split", metrics=cfg.get("metrics"))
-    return TrainResult(params, scores, selected, coefs, preds, metrics, chosen)
+    return TrainResult(params, scores, selected, coefs, preds, metrics, chosen, means)
+
+
+@dataclass
+class TrainedModel:
+    """What scoring needs of a training run."""
+    params: DataFrame
+    coefficients: DataFrame
+    features: list
+    group_means: DataFrame | None = None
+
+
+def load_training(spark: SparkSession, out_dir: str) -> TrainedModel:
+    """K8 (load): the fitted tables that :func:`save_training` wrote, for scoring in a new process."""
+    try:
+        means = spark.read.parquet(f"{out_dir}/group_means")
+    except AnalysisException:
+        means = None
+    return TrainedModel(spark.read.parquet(f"{out_dir}/transformer"), spark.read.parquet(f"{out_dir}/model"),
+                        R.read_feature_list(spark, f"{out_dir}/selected_features"), means)
 
 
 def save_training(result: TrainResult, out_dir: str) -> None:
     """Write every training artefact as a table."""
+    if result.group_means is not None:
+        K.write_params(result.group_means, f"{out_dir}/group_means")
     K.write_params(result.params, f"{out_dir}/transformer")
     K.write_params(result.coefficients, f"{out_dir}/model")
     K.write_params(result.selected, f"{out_dir}/selected_features")
@@ -124,15 +156,18 @@ def save_training(result: TrainResult, out_dir: str) -> None:
 
 
 def score_batch(df_raw: DataFrame, cfg: Mapping, params: DataFrame, coefficients: DataFrame,
-                selected: list[str] | None = None, require_rows: bool = False) -> tuple[DataFrame, DataFrame]:
+                selected: list[str] | None = None, require_rows: bool = False,
+                group_means: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """L4 batch: engineer → clean → transform → default absent features → predict.
 
-    Returns ``(predictions (key, prediction), dropped keys)``; a row removed by
-    cleaning is reported instead of silently disappearing. ``require_rows``
-    (V9) raises when nothing is left to score after cleaning.
+    Returns ``(predictions (key, prediction), dropped (key, reason))``; a row removed by
+    cleaning, or without a prediction because an input is missing, is reported instead of
+    silently disappearing. ``require_rows`` (V9) raises when nothing is left to score after
+    cleaning. ``group_means`` are those of the training run: a row's prediction never
+    depends on the other rows of its batch.
     """
     key = cfg["key"]
-    prepared, dropped = prepare_with_dropped(df_raw, cfg)
+    prepared, dropped = prepare_with_dropped(df_raw, cfg, group_means)
     if require_rows and prepared.isEmpty():
         raise ValueError("No rows left to score after cleaning")
     matrix = apply_transformer(prepared, params, keep=[key])
@@ -140,30 +175,45 @@ def score_batch(df_raw: DataFrame, cfg: Mapping, params: DataFrame, coefficients
         selected = [r["term"] for r in coefficients.collect() if r["term"] != "__intercept__"]
     inputs = C.select_or_default(matrix, selected, default=0.0, keep=[key])
     preds = predict(inputs, coefficients, keep=[key])
-    return preds, dropped.select(C.col(key))
+    unscored = preds.where(F.col("prediction").isNull())
+    return (preds.where(F.col("prediction").isNotNull()),
+            dropped.select(C.col(key), F.lit(REMOVED).alias("reason"))
+            .unionByName(unscored.select(C.col(key), F.lit(NO_INPUT).alias("reason"))))
 
 
 def data_stage(spark: SparkSession, cfg: Mapping, root: str | None = None,
                out_root: str | None = None, df: DataFrame | None = None) -> dict:
     """L2: read → validate → profile → publish a new version."""
-    raw = df if df is not None else R.read_stage(spark, cfg, "raw", root=root)
+    text = None if df is not None else R.read_stage_text(spark, cfg, "raw", root=root)
+    raw = df if df is not None else R.declared_types(text, cfg)
     V.require_non_empty(raw, "raw data")
     report = None
     dv = cfg.get("data_validation", {})
     if dv.get("enabled", True) and dv.get("schema"):
-        report = V.validate(raw, dv["schema"]["columns"], action=dv.get("action_on_error", "raise"))
-    out = {
+        report = V.validate(raw, dv["schema"]["columns"], action=dv.get("action_on_error", "raise"), text=text)
+    out = {}
+    if out_root:
+        # The profiles below then read the published Parquet instead of parsing the source again.
+        out["version"] = K.publish(raw, out_root, "raw")
+        raw = R.latest(spark, out_root, "raw", out["version"])
+    duplicates = P.duplicate_count(raw)
+    out |= {
         "report": report,
-        "duplicates": P.duplicate_count(raw),
+        "duplicates": duplicates,
         "describe": P.describe_all(raw),
-        "shape": P.shape(raw),
-        "sample": P.sample_rows(raw, 100, cfg.get("key", raw.columns[0])),
+        "shape": duplicates.select("n_rows", F.lit(len(raw.columns)).cast("long").alias("n_cols"), "n_duplicates"),
+        "sample": P.sample_rows(raw, 100, _raw_key(raw, cfg)),
     }
-    if out_root:
-        out["version"] = K.publish(raw, out_root, "raw")
     return out
 
 
+def _raw_key(raw: DataFrame, cfg: Mapping) -> str:
+    """The key's column before renaming (the first column where the frame has neither name)."""
+    renames = (cfg.get("preprocessing") or {}).get("rename_columns") or {}
+    names = [cfg.get("key"), *[old for old, new in renames.items() if new == cfg.get("key")]]
+    return next((n for n in names if n in raw.columns), raw.columns[0])
+
+
 def append_manifest(df: DataFrame, path: str, job: str, metrics: DataFrame | None = None,
                     config: Mapping | None = None) -> str:
     """One row per run — id, job, input fingerprint, schema, row count, metrics."""
@@ -201,7 +251,9 @@ def run(spark: SparkSession, cfg: Mapping, steps: str = "all",
 
 def default_steps() -> dict:
     def data_load(spark, cfg, st):
-        st["raw"] = st.get("raw") or R.read_stage(spark, cfg, "raw", root=cfg.get("root"))
+        if "raw" not in st:
+            st["raw_text"] = R.read_stage_text(spark, cfg, "raw", root=cfg.get("root"))
+            st["raw"] = R.declared_types(st["raw_text"], cfg)
         V.require_non_empty(st["raw"], "raw data")
         return st
 
@@ -209,7 +261,7 @@ def default_steps() -> dict:
         dv = cfg.get("data_validation", {})
         if dv.get("enabled", True) and dv.get("schema"):
             st["report"] = V.validate(st["raw"], dv["schema"]["columns"],
-                                      action=dv.get("action_on_error", "raise"))
+                                      action=dv.get("action_on_error", "raise"), text=st.get("raw_text"))
         return st
 
     def model(spark, cfg, st):
@@ -223,7 +275,8 @@ def default_steps() -> dict:
     def inference(spark, cfg, st):
         src = st.get("inference_input", st["raw"])
         t = st["train"]
-        st["predictions"], st["dropped"] = score_batch(src, cfg, t.params, t.coefficients, t.features)
+        st["predictions"], st["dropped"] = score_batch(src, cfg, t.params, t.coefficients, t.features,
+                                                       group_means=t.group_means)
         return st
 
     return {"data_load": data_load, "data_validation": data_validation, "model": model,

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import PANDAS_NULL_TOKENS, col, per_column_agg
+from ..functions.columns import PANDAS_NULL_TOKENS, col, nan_to_null, per_column_agg
 
 SUPPORTED_FORMATS = ("csv", "json", "parquet", "orc")
 
@@ -50,7 +50,8 @@ def read_table(
     """Read one dataset with an allow-listed format.
 
     CSV quotes are doubled inside quoted text. ``multi_line`` also reads quoted line
-    breaks, at the price that one file is then read by one task.
+    breaks, at the price that one file is then read by one task. A line with more values
+    than columns stops the job that reads it; a shorter line is filled up with nulls.
 
     ``header`` follows the reference's config: ``0`` means the first line holds
     the names, ``None`` means there is no header row.
@@ -72,15 +73,46 @@ def read_table(
                   .option("multiLine", multi_line)
                   .option("mode", "PERMISSIVE"))
     try:
-        return reader.load(full)
+        return _no_surplus(reader, full, sep) if fmt == "csv" else reader.load(full)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             raise FileNotFoundError(f"File not found: {full}") from exc
         raise
 
 
+MALFORMED = "_malformed"
+
+
+def _no_surplus(reader, path: str, sep: str) -> DataFrame:
+    """The CSV frame, with an error for a line that has more values than columns."""
+    schema = reader.load(path).schema          # from the header line, if none was given
+    marked = T.StructType(schema.fields + [T.StructField(MALFORMED, T.StringType(), True)])
+    # Without pruning inside the parser every line is checked, whichever columns the job reads.
+    df = (reader.option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False)
+          .schema(marked).load(path))
+    wide = ", ".join(f"c{i} string" for i in range(len(schema.fields) + 1))
+    parsed = F.from_csv(F.col(MALFORMED), wide, {"sep": sep, "quote": '"', "escape": '"'})
+    surplus = F.col(MALFORMED).isNotNull() & parsed.getField(f"c{len(schema.fields)}").isNotNull()
+    # The message names a data column as well: Spark refuses a scan of the malformed mark alone.
+    first = F.coalesce(col(schema.fields[0].name).cast("string"), F.lit(""))
+    message = F.concat(F.lit(f"Expected {len(schema.fields)} values: "), F.col(MALFORMED), F.lit(" at "), first)
+    fine = F.when(surplus, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return df.where(fine).select(*[col(f.name) for f in schema.fields])
+
+
 def read_stage(spark: SparkSession, cfg: Mapping, stage: str = "raw", root: str | None = None) -> DataFrame:
-    """Pick the configured raw / processed source and read it."""
+    """Pick the configured raw / processed source; null tokens and declared types applied."""
+    return declared_types(read_stage_text(spark, cfg, stage, root), cfg)
+
+
+def declared_types(df: DataFrame, cfg: Mapping) -> DataFrame:
+    """A source's frame in the types that ``data_validation.schema`` declares (unchanged without one)."""
+    declared = ((cfg.get("data_validation") or {}).get("schema") or {}).get("columns")
+    return cast_to(df, declared) if declared else df
+
+
+def read_stage_text(spark: SparkSession, cfg: Mapping, stage: str = "raw", root: str | None = None) -> DataFrame:
+    """S4 + S5: the configured source as read, null tokens and NaN as NULL, values not yet cast."""
     src = cfg.get("data_source", {})
     key = {"raw": "raw_path", "processed": "processed_path"}.get(stage)
     if key is None:
@@ -88,16 +120,12 @@ def read_stage(spark: SparkSession, cfg: Mapping, stage: str = "raw", root: str
     path = src.get(key)
     if not path:
         raise ValueError(f"No path configured for data_stage '{stage}'")
-    return read_table(
+    raw = read_table(
         spark, path, fmt=src.get("type", "csv"), schema=src.get("schema"),
         sep=src.get("delimiter", ","), header=src.get("header", 0),
-        encoding=src.get("encoding", "utf-8"), root=root,
+        encoding=src.get("encoding", "utf-8"), root=root, multi_line=src.get("multi_line", False),
     )
-
-
-def text_schema(names: Sequence[str]) -> T.StructType:
-    """All-string schema used to read raw text before the declared casts."""
-    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+    return normalise_nulls(raw) if src.get("type", "csv") == "csv" else nan_to_null(raw)
 
 
 def declared_schema(declared: Iterable[Mapping]) -> T.StructType:
@@ -213,7 +241,10 @@ def latest(spark: SparkSession, root: str, name: str, version: int | None = None
     v = version or latest_version(spark, root, name)
     if v == 0:
         raise FileNotFoundError(f"No published version of '{name}' under {root}")
-    return spark.read.parquet(f"{root}/{name}/version={v}")
+    row = _manifest(spark, root).where((F.col("name") == name) & (F.col("version") == v)).first()
+    if row is None:
+        raise FileNotFoundError(f"No version {v} of '{name}' under {root}")
+    return spark.read.parquet(f"{root}/{row['folder']}")
 
 
 def read_or_rebuild(spark: SparkSession, full_path: str, split_paths: Mapping[str, str],

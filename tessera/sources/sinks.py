@@ -7,6 +7,7 @@ fitted parameters and feature lists alike. Nothing is serialised on the driver.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -25,15 +26,17 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def publish(df: DataFrame, root: str, name: str, mode: str = "errorifexists") -> int:
     """K2: write a new immutable version, then commit it in the manifest table.
 
-    Data is written first and the manifest row appended after, so a reader that
-    takes the newest committed version never sees a half-written one.
+    Data is written first, into a folder of its own, and the manifest row that names the
+    folder is appended after. A reader that takes the newest committed version never sees a
+    half-written one, and a publish that died leaves nothing in the way of the next.
     """
     spark = df.sparkSession
     version = latest_version(spark, root, name) + 1
-    df.write.mode(mode).parquet(f"{root}/{name}/version={version}")
+    folder = f"{name}/version={version}-{uuid.uuid4().hex}"
+    df.write.mode(mode).parquet(f"{root}/{folder}")
     row = spark.createDataFrame(
-        [(name, version, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))],
-        "name string, version int, committed_at timestamp_ntz",
+        [(name, version, folder, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))],
+        "name string, version int, folder string, committed_at timestamp_ntz",
     )
     row.write.mode("append").parquet(f"{root}/{MANIFEST}")
     return version

@@ -3,8 +3,8 @@
 JSON records arrive as files; each micro-batch is parsed against the record
 contract, engineered, cleaned, transformed with the fitted parameters and
 scored — the same projection as batch scoring, so batch and stream agree row
-for row. Cleaning is batch-scoped exactly as the reference's per-request
-cleaning is request-scoped, so each micro-batch runs through ``foreachBatch``.
+for row, however the records are dealt over micro-batches: every fitted value, group means
+included, comes from the training run. Each micro-batch runs through ``foreachBatch``.
 Outputs are written per batch id with overwrite, so a batch replayed after a
 failure replaces its own output instead of duplicating it; the checkpoint
 records which files each batch consumed.
@@ -21,30 +21,36 @@ from ..functions.columns import col
 from ..operators import clean as C
 from ..operators.model import predict
 from ..operators.transform import output_columns
-from ..plans.jobs import prepare_with_dropped
+from ..plans.jobs import NO_INPUT, REMOVED, prepare_with_dropped
 from ..sources.records import parse_records, records_from_path
 
 
 def score_frame(records: DataFrame, cfg: Mapping, contract: Sequence[Mapping], params_rows: Sequence,
-                coef_rows: Sequence, selected: Sequence[str], key: str) -> tuple[DataFrame, DataFrame]:
+                coef_rows: Sequence, selected: Sequence[str], key: str,
+                group_means: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Score a frame of JSON text records: ``(predictions, rejected)``.
 
-    V9: a record that parses but is removed by cleaning is not silently lost —
-    it joins the rejected output with the reason ``removed by cleaning``.
+    V9: a record that parses but is removed by cleaning, or that lacks a model input, is
+    not silently lost — it joins the rejected output with that reason.
     """
     valid, rejected = parse_records(records, contract, keep=["value"])
-    prepared, dropped = prepare_with_dropped(valid, cfg)
-    matrix = prepared.select(col(key), *output_columns(params_rows))
-    inputs = C.select_or_default(matrix, selected, keep=[key])
+    prepared, dropped = prepare_with_dropped(valid, cfg, group_means)
+    matrix = prepared.select(col(key), "value", *output_columns(params_rows))
+    inputs = C.select_or_default(matrix, selected, keep=[key, "value"])
     spark = records.sparkSession
     coefs = spark.createDataFrame(coef_rows, "position int, term string, coefficient double")
-    removed = dropped.select("value", F.array(F.lit("removed by cleaning")).alias("reasons"))
-    return predict(inputs, coefs, keep=[key]), rejected.unionByName(removed)
+    scored = predict(inputs, coefs, keep=[key, "value"])
+    removed = (dropped.select("value", F.array(F.lit(REMOVED)).alias("reasons"))
+               .unionByName(scored.where(F.col("prediction").isNull())
+                            .select("value", F.array(F.lit(NO_INPUT)).alias("reasons"))))
+    return (scored.where(F.col("prediction").isNotNull()).select(col(key), "prediction"),
+            rejected.unionByName(removed))
 
 
 def score_stream(spark: SparkSession, cfg: Mapping, contract: Sequence[Mapping], source: str,
                  params: DataFrame, coefficients: DataFrame, out_path: str, rejected_path: str,
-                 checkpoint: str, available_now: bool = True, max_files: int | None = None):
+                 checkpoint: str, available_now: bool = True, max_files: int | None = None,
+                 group_means: DataFrame | None = None):
     """Start the scoring stream and return its ``StreamingQuery``.
 
     Parameters are read once on the driver (bounded by the model's width) and
@@ -60,7 +66,7 @@ def score_stream(spark: SparkSession, cfg: Mapping, contract: Sequence[Mapping],
         # Both outputs read the micro-batch; keep it for the second write instead of re-reading files.
         batch = batch.persist()
         try:
-            preds, rejected = score_frame(batch, cfg, contract, params_rows, coef_rows, selected, key)
+            preds, rejected = score_frame(batch, cfg, contract, params_rows, coef_rows, selected, key, group_means)
             preds.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
             rejected.write.mode("overwrite").parquet(f"{rejected_path}/batch_id={batch_id}")
         finally:

@@ -33,7 +33,7 @@ def test_declared_schema_counts():
 def test_record_contract_shape():
     contract = housing_record_contract()
     names = [c["name"] for c in contract]
-    assert len(names) == len(set(names))
+    assert len(names) == len(set(names)) == 71
     assert "PID" not in names and "SalePrice" not in names
     req = {c["name"]: c["dtype"] for c in contract if c["required"]}
     assert req["Gr Liv Area"] == "float" and req["Overall Qual"] == "int" and req["Kitchen Qual"] == "str"

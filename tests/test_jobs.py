@@ -45,7 +45,8 @@ def test_target_stays_aligned(trained):
 def test_batch_scoring_matches_training_predictions(trained, spark):
     of, t = trained
     cfg = copy.deepcopy(ORDER_FEATURES)
-    preds, dropped = jobs.score_batch(of.drop("o_totalprice"), cfg, t.params, t.coefficients, t.features)
+    preds, dropped = jobs.score_batch(of.drop("o_totalprice"), cfg, t.params, t.coefficients, t.features,
+                                      group_means=t.group_means)
     a = dict(rows(preds, "o_orderkey", "prediction"))
     b = dict(rows(t.predictions, "o_orderkey", "prediction"))
     assert a.keys() == b.keys()
@@ -56,23 +57,45 @@ def test_batch_scoring_matches_training_predictions(trained, spark):
 def test_stream_scoring_equals_batch(trained, spark, tmp_path):
     of, t = trained
     cfg = copy.deepcopy(ORDER_FEATURES)
-    cfg["preprocessing"]["fillna_groupby"] = {}
     cols = [c for c in of.columns if c != "o_totalprice"]
     src = tmp_path / "in"
-    of.select(F.to_json(F.struct(*cols)).alias("value")).coalesce(2).write.text(str(src))
+    of.select(F.to_json(F.struct(*cols)).alias("value")).repartition(4).write.text(str(src))
     types = {"bigint": "int", "double": "float", "string": "str"}
     contract = [{"name": c, "dtype": types[t_], "required": c == "o_orderkey"}
                 for c, t_ in of.select(*cols).dtypes]
     q = score_stream(spark, cfg, contract, str(src), t.params, t.coefficients,
-                     str(tmp_path / "out"), str(tmp_path / "rej"), str(tmp_path / "ckpt"))
+                     str(tmp_path / "out"), str(tmp_path / "rej"), str(tmp_path / "ckpt"), max_files=1,
+                     group_means=t.group_means)
     q.awaitTermination(300)
     streamed = dict(rows(spark.read.parquet(str(tmp_path / "out")), "o_orderkey", "prediction"))
-    batch, _ = jobs.score_batch(of.drop("o_totalprice"), cfg, t.params, t.coefficients, t.features)
+    batch, _ = jobs.score_batch(of.drop("o_totalprice"), cfg, t.params, t.coefficients, t.features,
+                                group_means=t.group_means)
     expected = dict(rows(batch, "o_orderkey", "prediction"))
     assert streamed.keys() == expected.keys()
     assert all(abs(streamed[k] - expected[k]) < 1e-6 for k in expected)
 
 
+def test_prediction_does_not_depend_on_its_batch(trained, spark, tmp_path):
+    """One row alone, and from reloaded tables, scores as it does among all rows; NaN counts as null."""
+    of, t = trained
+    cfg = copy.deepcopy(ORDER_FEATURES)
+    jobs.save_training(t, str(tmp_path / "run"))
+    m = jobs.load_training(spark, str(tmp_path / "run"))
+    holes = of.drop("o_totalprice").withColumn("lines_value", F.when(F.col("o_orderkey") % 3 == 0, F.lit(float("nan")))
+                                               .otherwise(F.col("lines_value")))
+    score = lambda df: jobs.score_batch(df, cfg, m.params, m.coefficients, m.features, group_means=m.group_means)
+    whole = dict(rows(score(holes)[0], "o_orderkey", "prediction"))
+    assert m.features == t.features and any(k % 3 == 0 for k in whole)
+    for k in [k for k in sorted(whole) if k % 3 == 0][:2]:
+        alone = score(holes.where(F.col("o_orderkey") == k))[0].collect()
+        assert [(r[0], r[1]) for r in alone] == [(k, pytest.approx(whole[k]))]
+    # A group that training never saw has no mean: reported, not scored as null.
+    preds, dropped = score(holes.where("o_orderkey % 3 = 0").withColumn("n_name", F.lit("NOWHERE")))
+    assert preds.count() == 0 and jobs.NO_INPUT in {r["reason"] for r in dropped.collect()}
+    with pytest.raises(ValueError, match="group_means"):
+        jobs.score_batch(holes, cfg, m.params, m.coefficients, m.features)
+
+
 def test_record_contract(spark):
     contract = housing_record_contract()
     assert sum(1 for c in contract if c["required"]) == 16
@@ -159,7 +182,8 @@ def test_awkward_names_and_middle_row_dropped(spark):
     truth = dict(rows(df.select("`row id`", "`sale.price`")))
     for k, y in rows(preds.select("`row id`", "y_true")):
         assert truth[k] == y                      # every target still belongs to its own row
-    scored, dropped = jobs.score_batch(df.drop("sale.price"), cfg, t.params, t.coefficients, t.features)
+    scored, dropped = jobs.score_batch(df.drop("sale.price"), cfg, t.params, t.coefficients, t.features,
+                                       group_means=t.group_means)
     assert [r[0] for r in dropped.collect()] == [150]
     assert scored.count() == 299
     assert {"onehot__Kitchen Qual_Gd", "scaler__Year Remod/Add"} <= set(t.features)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import copy
+import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.config import (HOUSING_FLOAT_COLUMNS, HOUSING_INT_COLUMNS, HOUSING_STR_COLUMNS, ORDER_FEATURES,
-                            housing_config)
+                            housing_config, housing_record_contract)
 from tessera.operators import profile as P
 from tessera.operators.metrics import evaluate_saved
 from tessera.operators.validate import validate
@@ -17,6 +18,7 @@ from tessera.plans import jobs
 from tessera.plans.views import order_features
 from tessera.sources import readers as R
 from tessera.sources import sinks as K
+from tessera.streaming.scoring import score_stream
 
 from .conftest import SF_SMALL, rows
 
@@ -42,7 +44,7 @@ def test_save_training_and_reevaluate(spark, tmp_path):
     assert rebuilt.count() == t.predictions.count()
     with pytest.raises(ValueError, match="No rows left"):
         jobs.score_batch(of.where("last_ship_year IS NULL"), copy.deepcopy(ORDER_FEATURES), t.params,
-                         t.coefficients, t.features, require_rows=True)
+                         t.coefficients, t.features, require_rows=True, group_means=t.group_means)
     with pytest.raises(FileNotFoundError):
         R.read_predictions(spark, str(tmp_path / "missing"))
 
@@ -66,6 +68,11 @@ def test_data_stage_publishes_versions(spark, tmp_path):
     assert res["version"] == 1
     assert res["shape"].first()["n_rows"] == of.count()
     assert R.latest(spark, str(tmp_path / "store"), "raw").count() == of.count()
+    # A publish that died before its manifest row doesn't block the next one.
+    of.limit(1).write.parquet(str(tmp_path / "store" / "raw" / "version=2"))
+    assert K.publish(of, str(tmp_path / "store"), "raw") == 2
+    assert R.latest(spark, str(tmp_path / "store"), "raw").count() == of.count()
+    assert R.latest(spark, str(tmp_path / "store"), "raw", version=1).count() == of.count()
 
 
 def _housing_rows(n: int, seed: int = 7):
@@ -121,3 +128,48 @@ def test_housing_config_end_to_end(spark, tmp_path):
     want = pdf["Lot Area"].describe()
     assert desc["Lot Area"]["p25"] == pytest.approx(want["25%"]) and desc["Lot Area"]["p75"] == pytest.approx(want["75%"])
     assert desc["Kitchen Qual"]["unique"] == pdf["Kitchen Qual"].nunique()
+
+
+def _housing_csv(path, data) -> None:
+    names = [d["name"] for d in housing_config()["data_validation"]["schema"]["columns"]]
+    with open(path, "w") as fh:
+        fh.write(",".join(f'"{n}"' for n in names) + "\n")
+        for r in data:
+            fh.write(",".join("NA" if r[n] is None else str(r[n]) for n in names) + "\n")
+
+
+def test_steps_and_stream_from_the_csv(spark, tmp_path):
+    """All steps, the data stage and record scoring run from the file and the configuration alone."""
+    data = _housing_rows(300)
+    _housing_csv(tmp_path / "housing.csv", data)
+    cfg = housing_config(str(tmp_path / "housing.csv"))
+    state = jobs.run(spark, cfg, "all")
+    assert state["report"].where("status = 'fail'").count() == 0
+    scored = dict(rows(state["predictions"], "pid", "prediction"))
+    assert len(scored) + state["dropped"].count() == len(data) and len(scored) > 200
+    stage = jobs.data_stage(spark, cfg, out_root=str(tmp_path / "store"))
+    assert stage["shape"].first().asDict() == {"n_rows": 300, "n_cols": 81, "n_duplicates": 0}
+    assert stage["sample"].first()["PID"] == 100000
+
+    contract = housing_record_contract("PID")
+    assert len(contract) == 72 and sum(c["required"] for c in contract) == 16
+    (tmp_path / "in").mkdir()
+    with open(tmp_path / "in" / "a.json", "w") as fh:
+        for r in data:
+            rec = {c["name"]: r.get("TotRms AbvGrd" if c["name"] == "TotRms AbvGr" else c["name"]) for c in contract}
+            fh.write(json.dumps({k: v for k, v in rec.items() if v is not None}) + "\n")
+    t = state["train"]
+    q = score_stream(spark, cfg, contract, str(tmp_path / "in"), t.params, t.coefficients, str(tmp_path / "out"),
+                     str(tmp_path / "rej"), str(tmp_path / "ckpt"))
+    q.awaitTermination(300)
+    streamed = dict(rows(spark.read.parquet(str(tmp_path / "out")), "pid", "prediction"))
+    assert streamed and all(streamed[k] == pytest.approx(scored[k]) for k in streamed)
+    assert len(streamed) + spark.read.parquet(str(tmp_path / "rej")).count() == len(data)
+
+
+def test_a_value_of_the_wrong_type_fails_validation(spark, tmp_path):
+    data = _housing_rows(5)
+    data[2]["Lot Area"] = "large"
+    _housing_csv(tmp_path / "housing.csv", data)
+    with pytest.raises(ValueError, match="1 error"):
+        jobs.run(spark, housing_config(str(tmp_path / "housing.csv")), "data_load,data_validation")
