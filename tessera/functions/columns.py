@@ -109,7 +109,7 @@ def nan_to_null(df: DataFrame, columns: Iterable[str] | None = None) -> DataFram
     names = list(columns) if columns is not None else df.columns
     frac = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
     exprs = [
-        (F.when(F.isnan(col(n)), F.lit(None)).otherwise(col(n)).cast(dtype_of(df, n)).alias(n)
+        (F.nanvl(col(n), F.lit(None).cast(dtype_of(df, n))).alias(n)
          if n in frac and n in names else col(n))
         for n in df.columns
     ]

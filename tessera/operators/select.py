@@ -19,7 +19,7 @@ from ..functions.columns import col, nan_to_null, per_column_agg
 
 def f_scores(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """M8: ``(feature, n, r, f_score)`` for every feature against ``target``."""
-    df = nan_to_null(df)
+    df = nan_to_null(df, [target])
     x, y = F.col("x"), F.col("_y")
     both = x.isNotNull() & y.isNotNull()
     xb, yb = F.when(both, x), F.when(both, y)
