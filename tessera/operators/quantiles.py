@@ -12,13 +12,15 @@ bracketing, over the table melted once to ``(column, value)``:
    bracket ends (a handful of literal comparisons in codegen, no join) and
    returns a tiny ``(column, position)`` histogram; from it the driver reads, per
    rank, the rows below the bracket, inside it and equal to each end. A rank
-   inside an end's run of ties is resolved to that value at once; a bracket the
-   sketch missed falls back to the full range; a small bracket is kept for
-   collection; any other is narrowed by a sketch over the rows strictly inside
-   its ends (only those rows are emitted) — so ties can never stall it;
+   inside an end's run of ties is resolved to that value at once; a small bracket
+   is kept for collection; any other is narrowed by a sketch over the rows strictly
+   inside its ends (only those rows are emitted). If the sketch missed, the counts
+   tell on which side of the bracket the rank lies, and only that side is looked at
+   again. Each round leaves out at least the values of one end, so it ends on any data;
 3. one pass collects ``(value, count)`` pairs inside the final brackets (at most
    ``max_candidates`` rows' worth each and ``max_total`` altogether) and the
-   driver walks the counts.
+   driver walks the counts. Both bounds only choose between collecting and one
+   more round; the result is the same.
 
 Every pass is one scan and one ``groupBy`` with a few aggregates, whatever the
 number of columns; no pass multiplies rows or needs a broadcast.
@@ -97,6 +99,12 @@ def _counts_for(t: dict, bs: list[float], hist: dict[int, int]) -> tuple[int, in
     return below, inside, at_lo, at_hi
 
 
+def _look_within(t: dict, lo: float, lo_open: bool, hi: float, hi_open: bool, below: int, inside: int) -> None:
+    """Note that the rank lies in this range, with ``below`` values before it and ``inside`` values in it."""
+    span = {"lo": lo, "lo_open": lo_open, "hi": hi, "hi_open": hi_open, "below": below, "inside": inside}
+    t.update(span, range=span)
+
+
 def _inside_values(df: DataFrame, brackets: dict[tuple[str, int], dict], with_rank: bool) -> DataFrame:
     """``(c, [k,] v)`` for values inside the given brackets; a value outside all of them emits nothing."""
     by_col: dict[str, list[tuple[int, dict]]] = {}
@@ -124,7 +132,6 @@ def exact_quantiles(
     probs: Sequence[float],
     accuracy: int = 10_000,
     max_candidates: int = 200_000,
-    max_rounds: int = 12,
     max_total: int = 2_000_000,
 ) -> dict[tuple[str, float], float | None]:
     """Return ``{(column, p): value}`` with pandas' linear interpolation (NaN counts as missing)."""
@@ -155,18 +162,17 @@ def exact_quantiles(
             plan[(c, p)] = (k0, k1, h - k0)
             lo_f, hi_f = max(0.0, p - margin), min(1.0, p + margin)
             for k in (k0, k1):
-                ranks.setdefault((c, k), {"lo": mn if lo_f == 0.0 else approx[lo_f],
-                                          "hi": mx if hi_f == 1.0 else approx[hi_f],
-                                          "lo_open": False, "hi_open": False,
-                                          "min": mn, "max": mx, "n": n, "value": None})
+                if (c, k) in ranks:
+                    continue
+                t = ranks[(c, k)] = {"value": None}
+                _look_within(t, mn, False, mx, False, 0, n)
+                t.update(lo=mn if lo_f == 0.0 else approx[lo_f], hi=mx if hi_f == 1.0 else approx[hi_f])
 
     pending = list(ranks)
     collect: list[tuple[str, int]] = []
     grid = [i / GRID for i in range(GRID + 1)]
     err = 2.0 / accuracy
-    for _ in range(max_rounds):
-        if not pending:
-            break
+    while pending:
         bounds: dict[str, list[float]] = {}
         for c, _k in pending:
             t = ranks[(c, _k)]
@@ -178,8 +184,14 @@ def exact_quantiles(
             t, k = ranks[key], key[1]
             below, m, at_lo, at_hi = _counts_for(t, bounds[key[0]], hist[key[0]])
             if not (below <= k < below + m):
-                # The sketch missed: start again from the whole range.
-                t.update(lo=t["min"], hi=t["max"], lo_open=False, hi_open=False, below=0, inside=t["n"])
+                # The sketch missed: the rank lies in what its range holds on one side of the bracket.
+                span = t["range"]
+                if k < below:
+                    _look_within(t, span["lo"], span["lo_open"], t["lo"], not t["lo_open"],
+                                 span["below"], below - span["below"])
+                else:
+                    _look_within(t, t["hi"], not t["hi_open"], span["hi"], span["hi_open"],
+                                 below + m, span["below"] + span["inside"] - below - m)
                 narrow.append(key)
                 continue
             t.update(below=below, inside=m, at_lo=at_lo, at_hi=at_hi)
@@ -191,7 +203,7 @@ def exact_quantiles(
                 collect.append(key)
             else:
                 # The rank lies strictly between the ends: narrow over the interior only.
-                t.update(lo_open=True, hi_open=True, below=below + at_lo, inside=m - at_lo - at_hi)
+                _look_within(t, t["lo"], True, t["hi"], True, below + at_lo, m - at_lo - at_hi)
                 narrow.append(key)
         # Keep what reaches the driver bounded in total, not only per rank: if the
         # brackets chosen for collection are too big together, narrow the largest.
@@ -204,11 +216,9 @@ def exact_quantiles(
                 continue
             collect.remove(key)
             t = ranks[key]
-            t.update(lo_open=True, hi_open=True)
-            t["below"], t["inside"] = t["below"] + t["at_lo"], t["inside"] - t["at_lo"] - t["at_hi"]
+            _look_within(t, t["lo"], True, t["hi"], True, t["below"] + t["at_lo"], t["inside"] - t["at_lo"] - t["at_hi"])
             narrow.append(key)
         if not narrow:
-            pending = []
             break
         sketch = (_inside_values(df, {key: ranks[key] for key in narrow}, with_rank=True)
                   .groupBy("c", "k").agg(F.percentile_approx("v", grid, accuracy).alias("q"),
@@ -224,8 +234,6 @@ def exact_quantiles(
             t.update(lo=r["mn"] if i == 0 else r["q"][i], hi=r["mx"] if j == GRID else r["q"][j],
                      lo_open=False, hi_open=False)
         pending = narrow
-    else:
-        raise RuntimeError("exact quantile brackets did not converge")
 
     if collect:
         pairs = _inside_values(df, {key: ranks[key] for key in collect}, with_rank=False) \

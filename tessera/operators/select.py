@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,12 +31,16 @@ def f_scores(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     }, carry={"_y": col(target).cast("double")})
     r = F.when((F.col("vx") > 0) & (F.col("vy") > 0),
                F.col("cov") / F.sqrt(F.col("vx") * F.col("vy")))
-    r2 = F.col("r") * F.col("r")
-    f = (F.when(F.col("r").isNull(), F.lit(None).cast("double"))
-         .when(r2 >= 1.0, F.lit(float("inf")))
-         .otherwise(r2 / (F.lit(1.0) - r2) * (F.col("n") - 2)))
     return (long.select(F.col("column_name").alias("feature"), "n", r.alias("r"))
-            .select("feature", "n", "r", f.alias("f_score")))
+            .withColumn("f_score", f_statistic(F.col("r"), F.col("n"))))
+
+
+def f_statistic(r: Column, n: Column) -> Column:
+    """The regression F statistic of a correlation over ``n`` pairs; null without one."""
+    r2 = r * r
+    return (F.when(r.isNull(), F.lit(None).cast("double"))
+            .when(r2 >= 1.0, F.lit(float("inf")))
+            .otherwise(r2 / (F.lit(1.0) - r2) * (n - 2)))
 
 
 def top_k(scores: DataFrame, k: int) -> DataFrame:
@@ -48,22 +52,21 @@ def select_k(scores: DataFrame, k: int, keep: Sequence[str] = (),
              params: DataFrame | None = None) -> DataFrame:
     """``(position, feature)``: top-k of the non-kept features, then the kept ones.
 
-    ``keep`` names *source* columns (or output names). With a transformer
-    parameter table every output derived from a kept source is kept — e.g.
-    all one-hot columns of ``kitchen_qual`` — and excluded from the ranking.
-    The score table has one row per model input, so it is read once and
-    ranked on the driver (ties by name, null scores last).
+    ``keep`` names *source* columns (or output names). The source is taken from
+    ``scores`` if it has that column, else from a transformer parameter table, else it
+    is the feature itself. Every output derived from a kept source is kept — e.g. all
+    one-hot columns of ``kitchen_qual`` — and excluded from the ranking. Ranking is a
+    top-k in Spark; only the chosen features reach the driver, so a column with many
+    categories costs nothing there unless it is a kept one.
     """
     spark = scores.sparkSession
-    rows = [(r["feature"], r["f_score"]) for r in scores.select("feature", "f_score").collect()]
-    source_of = {f: f for f, _ in rows}
-    if params is not None:
-        source_of.update({r["output"]: r["source"] for r in params.select("output", "source").collect()})
-    keep_set = set(keep)
-    kept = sorted(f for f, _ in rows if f in keep_set or source_of.get(f) in keep_set)
-    ranked = sorted(((f, s) for f, s in rows if f not in kept),
-                    key=lambda fs: (fs[1] is None, -(fs[1] or 0.0) if fs[1] is not None else 0.0, fs[0]))
-    chosen = [f for f, _ in ranked[:k]] + kept
+    if "source" not in scores.columns and params is not None:
+        source = params.select(F.col("output").alias("_output"), "source")
+        scores = scores.join(source, F.col("feature") == F.col("_output"), "left")
+    source = F.coalesce("source", "feature") if "source" in scores.columns else F.col("feature")
+    kept = F.col("feature").isin(list(keep)) | source.isin(list(keep))
+    ranked = [r["feature"] for r in top_k(scores.where(~kept).select("feature", "f_score"), k).collect()]
+    always = sorted(r["feature"] for r in scores.where(kept).select("feature").collect()) if keep else []
     schema = T.StructType([T.StructField("position", T.IntegerType(), False),
                            T.StructField("feature", T.StringType(), False)])
-    return spark.createDataFrame(list(enumerate(chosen)), schema)
+    return spark.createDataFrame(list(enumerate(ranked + always)), schema)

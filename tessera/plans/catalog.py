@@ -26,7 +26,7 @@ from ..operators.metrics import regression_metrics
 from ..operators.model import fit_linear, predict
 from ..operators.select import f_scores, select_k, top_k
 from ..operators.split import split
-from ..operators.transform import apply_transformer, fit_transformer
+from ..operators.transform import apply_transformer, fit_scored, fit_transformer
 from ..sources.readers import cast_to, normalise_nulls
 from ..sources.records import tag_records
 from ..session import scratch_path
@@ -756,6 +756,20 @@ def q_m8(spark, d):
     return rounded(f_scores(_of(spark, d), SCORED, "o_totalprice"))
 
 
+@register("m8_onehot_scores", """
+WITH base AS (SELECT o_custkey, o_totalprice FROM orders),
+tot AS (SELECT count(o_totalprice) AS n, avg(o_totalprice) AS m, var_pop(o_totalprice) AS v FROM base),
+per AS (SELECT o_custkey, count(o_totalprice) AS k, avg(o_totalprice) AS my FROM base WHERE o_custkey IS NOT NULL GROUP BY o_custkey),
+rs AS (SELECT 'onehot__o_custkey_' || o_custkey::VARCHAR AS feature, n,
+              (k::DOUBLE / n) * (my - m) / sqrt((k::DOUBLE / n) * (1 - k::DOUBLE / n) * v) AS r FROM per, tot)
+SELECT feature, 'o_custkey' AS source, n::BIGINT AS n, round(r, 4) + 0.0 AS r,
+       round(r * r / (1 - r * r) * (n - 2), 4) + 0.0 AS f_score FROM rs""")
+def q_m8_onehot(spark, d):
+    orders = table(spark, d, "orders").select("o_custkey", "o_totalprice")
+    cfg = {"features": {"categorical": ["o_custkey"]}, "preprocessing": {"encoding": {"one_hot": {"handle_unknown": "ignore"}}}}
+    return rounded(fit_scored(orders, cfg, "o_totalprice")[1])
+
+
 @register("m9_top_k", _fscore_sql() + """
 SELECT feature, round(r * r / (1 - r * r) * (n - 2), 4) AS f_score FROM fs
 ORDER BY r * r / (1 - r * r) * (n - 2) DESC NULLS LAST, feature LIMIT 3""")

@@ -25,9 +25,9 @@ from ..operators import validate as V
 from ..operators.features import engineer
 from ..operators.metrics import metrics_long, regression_metrics
 from ..operators.model import fit_linear, predict
-from ..operators.select import f_scores, select_k
+from ..operators.select import select_k
 from ..operators.split import split
-from ..operators.transform import apply_transformer, fit_transformer, output_names
+from ..operators.transform import apply_transformer, fit_scored
 from ..session import materialize
 from ..sources import readers as R
 from ..sources import sinks as K
@@ -102,7 +102,7 @@ def train_job(df_raw: DataFrame, cfg: Mapping, split_method: str = "hash") -> Tr
     row_clean = C.row_local_clean(engineer(df_raw, spec) if spec else df_raw, cfg)
     buckets = 1000 if split_method == "arith" else 10_000
     # The upstream plan (scans, joins, projections) runs once; every later pass —
-    # group means, transformer fit, F-scores, OLS, metrics — reads these files.
+    # group means, transformer fit with F-scores, OLS, metrics — reads these files.
     # Only the columns the job uses are written (and so only those are scanned).
     used = C.select_columns(row_clean, [c for c in training_columns(cfg) if c in row_clean.columns])
     staged = materialize(split(used, key, split_fractions(cfg), seed=seed, buckets=buckets,
@@ -110,14 +110,12 @@ def train_job(df_raw: DataFrame, cfg: Mapping, split_method: str = "hash") -> Tr
     means = C.fit_group_means(staged.where(F.col("split") == "train"), cfg)
     data, _ = C.impute_and_filter(staged, cfg, means)
     train = data.where(F.col("split") == "train")
-    params = fit_transformer(train, cfg)
-    matrix = apply_transformer(data, params, keep=[key, target, "split"])
-    features = output_names(params)
-    train_x = matrix.where(F.col("split") == "train")
-    scores = f_scores(train_x, features, target)
+    params, scores = fit_scored(train, cfg, target)
     k = cfg.get("selection", {}).get("k", 10)
-    selected = select_k(scores, k, keep=cfg["features"].get("most_relevant_features", []), params=params)
+    selected = select_k(scores, k, keep=cfg["features"].get("most_relevant_features", []))
     chosen = [r["feature"] for r in sorted(selected.collect(), key=lambda r: r["position"])]
+    matrix = apply_transformer(data, params, keep=[key, target, "split"], outputs=chosen)
+    train_x = matrix.where(F.col("split") == "train")
     coefs = fit_linear(train_x, chosen, target, kind=cfg.get("model", {}).get("active", "linear_regression"))
     preds = predict(matrix, coefs, keep=[key, "split", target]).withColumnRenamed(target, "y_true")
     metrics = regression_metrics(preds.where(F.col("split") != "train"), "y_true", "prediction",
@@ -170,9 +168,9 @@ def score_batch(df_raw: DataFrame, cfg: Mapping, params: DataFrame, coefficients
     prepared, dropped = prepare_with_dropped(df_raw, cfg, group_means)
     if require_rows and prepared.isEmpty():
         raise ValueError("No rows left to score after cleaning")
-    matrix = apply_transformer(prepared, params, keep=[key])
     if selected is None:
         selected = [r["term"] for r in coefficients.collect() if r["term"] != "__intercept__"]
+    matrix = apply_transformer(prepared, params, keep=[key], outputs=selected)
     inputs = C.select_or_default(matrix, selected, default=0.0, keep=[key])
     preds = predict(inputs, coefficients, keep=[key])
     unscored = preds.where(F.col("prediction").isNull())

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import col
 from ..operators import clean as C
 from ..operators.model import predict
-from ..operators.transform import output_columns
+from ..operators.transform import output_columns, wanted_params
 from ..plans.jobs import NO_INPUT, REMOVED, prepare_with_dropped
 from ..sources.records import parse_records, records_from_path
 
@@ -57,9 +57,9 @@ def score_stream(spark: SparkSession, cfg: Mapping, contract: Sequence[Mapping],
     compiled into the projection, exactly as in batch scoring.
     """
     key = cfg["key"]
-    params_rows = params.collect()
     coef_rows = [tuple(r) for r in coefficients.select("position", "term", "coefficient").collect()]
     selected = [r[1] for r in coef_rows if r[1] != "__intercept__"]
+    params_rows = wanted_params(params, selected)
     records = records_from_path(spark, source, streaming=True, max_files=max_files)
 
     def _batch(batch: DataFrame, batch_id: int) -> None:

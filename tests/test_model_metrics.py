@@ -65,10 +65,40 @@ def test_fit_on_train_only(spark):
     assert [r["category"] for r in params.collect() if r["block"] == "onehot"] == ["b"]
 
 
-def test_category_cap(spark):
-    df = spark.range(50).select(F.col("id").cast("string").alias("c"), F.lit(1.0).alias("x"))
-    with pytest.raises(ValueError, match="Too many categories"):
-        M.fit_transformer(df, _cfg(), max_categories=10)
+def test_any_number_of_categories(spark):
+    n = 5000   # ids 0 … 4999 as categories of ten rows each; the target is high in category 17 alone
+    df = spark.range(10 * n).select(F.col("id"), (F.col("id") % n).alias("c"), (F.col("id") % 7).cast("double").alias("x"),
+                                    F.when(F.col("id") % n == 17, 100.0).otherwise(F.col("id") % 3).alias("y"))
+    params, scores = M.fit_scored(df, _cfg(), "y")
+    names = M.output_names(params)
+    assert names == [f"onehot__c_{i}" for i in range(1, n)] + ["scaler__x"]
+    assert [r[1] for r in rows(select_k(scores, 1), "position", "feature")] == ["onehot__c_17"]
+    one = M.apply_transformer(df, params, keep=["id"], outputs=["onehot__c_17"])
+    assert one.columns == ["id", "onehot__c_17"] and one.agg(F.sum("onehot__c_17")).first()[0] == 10.0
+
+
+def test_scores_of_the_fit_equal_scores_of_the_matrix(spark):
+    rng = np.random.default_rng(3)
+    data = [(None if i % 11 == 0 else "abcd"[i % 4], None if i % 13 == 0 else i % 3, None if i % 7 == 0 else float(rng.normal()),
+             5.0, None if i % 17 == 0 else float(rng.normal() + i % 4)) for i in range(400)]
+    df = spark.createDataFrame(data, "c string, d int, x double, const double, y double")
+    for drop in ("first", None):
+        cfg = _cfg(cat=("c", "d"), cont=("x", "const"), drop=drop)
+        params, scores = M.fit_scored(df, cfg, "y")
+        want = {r["feature"]: r for r in f_scores(M.apply_transformer(df, params, keep=["y"]), M.output_names(params), "y").collect()}
+        got = {r["feature"]: r for r in scores.collect()}
+        assert set(got) == set(want) == set(M.output_names(params)) and M.output_names(params)[-2:] == ["scaler__x", "scaler__const"]
+        for name, r in got.items():
+            assert r["n"] == want[name]["n"], name
+            assert (r["f_score"] is None) == (want[name]["f_score"] is None)
+            if r["f_score"] is not None:
+                assert r["f_score"] == pytest.approx(want[name]["f_score"], rel=1e-9) and r["r"] == pytest.approx(want[name]["r"], rel=1e-9)
+
+
+def test_outputs_of_two_columns_that_would_meet(spark):
+    df = spark.createDataFrame([("b_c", "c", 1.0), ("z", "d", 2.0)], "a string, a_b string, x double")
+    with pytest.raises(ValueError, match="collision"):
+        M.fit_transformer(df, _cfg(cat=("a", "a_b"), drop=None))
 
 
 def test_f_scores_match_formula_and_constant_is_last(spark):
