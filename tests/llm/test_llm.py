@@ -375,6 +375,32 @@ def test_ppm_probabilities_sum_to_one():
             assert total == pytest.approx(1.0, abs=1e-9) or total < 1.0  # escapes of exhausted contexts lose mass, never gain it
 
 
+def test_ppm_scores_equal_an_unpruned_model(spark):
+    import numpy as np
+    import pyarrow as pa
+    from tessera.llm.ppm import Order, byte_grams, code_lengths, ppm_scores
+    from tessera.llm.tokens import _layout
+    rng = random.Random(9)
+    texts = ["".join(rng.choices("abcde fgñ", k=rng.randint(0, 60))) for _ in range(80)] + ["zzz never seen", "", "abc abc abc abc"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    held = lambda i: i % 4 == 0
+    data, offsets = _layout(pa.array([t for i, t in enumerate(texts) if not held(i)]))
+    keys, trie = byte_grams(data, offsets, 3)[0].view(np.int64), []
+    for k in range(4):
+        u, c = np.unique(keys & ((1 << 8 * (k + 1)) - 1), return_counts=True)
+        contexts, back = np.unique(u >> 8, return_inverse=True)
+        lower = np.zeros(len(contexts))
+        if k:
+            np.add.at(lower, back, trie[-1].counts[np.searchsorted(trie[-1].keys, u & ((1 << 8 * k) - 1))])
+        trie.append(Order(u, c.astype(float), contexts, np.bincount(back, weights=c), np.bincount(back).astype(float), lower))
+    data, offsets = _layout(pa.array(texts))
+    grams, begins = byte_grams(data, offsets, 3)
+    want = np.add.reduceat(code_lengths(grams.view(np.int64), trie), begins)
+    for bound in (1, 40, 1 << 21):  # what is sent to the workers must not change the scores
+        got = {r["doc_id"]: r["score"] for r in ppm_scores(df, F.col("doc_id") % 4 != 0, order=3, max_nodes=bound, often=5).collect()}
+        assert [got[i] for i in range(len(texts))] == pytest.approx(list(want), abs=1e-9)
+
+
 def test_classifiers_on_edge_cases(spark, edge):
     from tessera.llm.toxicity import toxicity
     from tessera.llm.zstd_quality import zstd_quality
