@@ -9,6 +9,7 @@ weighted hits and their density per word are calibrated by a logistic curve.
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections.abc import Iterator, Sequence
@@ -96,12 +97,12 @@ def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["word", "y"])
 
 
-def learn_lexicon(spark, rows: Sequence[tuple[str, int, int]], share: float, lift: float, evidence: float, least: int,
-                  size: int) -> dict[str, float]:
-    """Words in at least ``share`` of the toxic texts (and ``least`` of them) that stand ``lift`` times as often there as in others.
+def learn_lexicon(spark, rows: Sequence[tuple[str, int, int]], lift: float, false_words: float, least: int, size: int) -> dict[str, float]:
+    """Words in at least ``least`` toxic texts that stand ``lift`` times as often there as in others.
 
-    Their log-likelihood ratio must be ``evidence`` or more, so that chance doesn't make a word.
-    Equal texts count once, so that copies of one document are no evidence.
+    Their log-likelihood ratio must pass Benjamini and Hochberg's bound: at most ``false_words`` of the words found
+    are expected to be there by chance, whatever the number of words tested. Equal texts count once, so that copies
+    of one document are no evidence.
     """
     rows = sorted({(t, y) for t, y, _ in rows})
     toxic = sum(y for _, y in rows)
@@ -115,10 +116,12 @@ def learn_lexicon(spark, rows: Sequence[tuple[str, int, int]], share: float, lif
     n = F.col("a") + F.col("b")
     part = lambda c, of: c * F.log((c + 1e-9) * len(rows) / (n * of))
     support = 2 * (part(F.col("a"), toxic) + part(F.col("b"), clean))
-    chosen = (counts.where((F.col("a") >= max(least, share * toxic)) & (F.length("word") >= 3)).withColumn("weight", F.log(ratio)).withColumn("support", support)
-              .where((ratio >= lift) & (F.col("support") >= evidence))
-              .orderBy(F.desc("support"), "word").limit(size).collect())
-    return {r["word"]: r["weight"] for r in chosen}
+    tested = counts.where((n >= least) & (F.length("word") >= 3)).select("word", "a", ratio.alias("ratio"), support.alias("support"))
+    found = tested.agg(F.count("*").alias("n"), F.collect_list(F.when((F.col("ratio") > 1) & (F.col("support") > 0), F.struct("*"))).alias("words")).first()
+    words = sorted(found["words"], key=lambda r: (-r["support"], r["word"]))
+    chance = [math.erfc(math.sqrt(r["support"] / 2)) / 2 for r in words]  # one-sided
+    passed = max((i for i, p in enumerate(chance, 1) if p <= false_words * i / found["n"]), default=0)
+    return {r["word"]: math.log(r["ratio"]) for r in [r for r in words[:passed] if r["a"] >= least and r["ratio"] >= lift][:size]}
 
 
 class Fitted(NamedTuple):
@@ -151,8 +154,8 @@ def _features(total: float, density: float) -> tuple[float, float]:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, training: Column, label: str = "toxic", id_col: str = "doc_id",
-                 text_col: str = "text", label_id: str = "doc_id", rows: int = 3000, max_bytes: int = 16 << 20, share: float = 0.02,
-                 lift: float = 8.0, evidence: float = 25.0, least: int = 3, lexicon_size: int = 1000,
+                 text_col: str = "text", label_id: str = "doc_id", rows: int = 3000, max_bytes: int = 16 << 20,
+                 lift: float = 8.0, false_words: float = 0.01, least: int = 3, lexicon_size: int = 1000,
                  exceptions: Sequence[str] = EXCEPTIONS, seed: int = 5) -> Fitted:
     """Lexicon and curve from a bounded sample.
 
@@ -163,7 +166,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, training: Column, label: st
     spark = docs.sparkSession
     ship_package(spark)
     found = sample_rows(docs, labels, F.coalesce(training, F.lit(False)), label, id_col, text_col, label_id, rows, max_bytes, seed)
-    lexicon = learn_lexicon(spark, found, share, lift, evidence, least, lexicon_size)
+    lexicon = learn_lexicon(spark, found, lift, false_words, least, lexicon_size)
     curve = (np.zeros(2), np.ones(2), np.array([0.0, 0.0, -30.0 if not found else _logit(np.mean([y for _, y, _ in found]))]))
     if lexicon:
         machine = automaton(lexicon, exceptions)

@@ -441,6 +441,16 @@ def test_toxicity_folds_and_spares_exceptions(spark):
     assert kept.columns == df.columns and {r["doc_id"] % 3 for r in kept.collect()} == {1, 2}
 
 
+def test_lexicon_holds_the_words_of_a_small_language(spark):
+    from tessera.llm.toxicity import fit_toxicity
+    rng = random.Random(4)
+    plain = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(10) for j in range(10)]
+    kinds = ["moron"] * 600 + ["gloufre"] * 12 + [""] * 1500  # 12 of 612 toxic texts are less than 2 %
+    df = spark.createDataFrame([(i, " ".join([*rng.choices(plain, k=8), w, f"x{i}"])) for i, w in enumerate(kinds)], "doc_id bigint, text string")
+    lab = spark.createDataFrame([(i, int(w != "")) for i, w in enumerate(kinds)], "doc_id bigint, toxic int")
+    assert set(fit_toxicity(df, lab, F.lit(True)).lexicon) == {"moron", "gloufre"}
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline as pipeline
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
