@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tessera.llm.common import ship_package
-from tessera.llm.zstd_quality import fit_logistic, sample_rows
+from tessera.llm.zstd_quality import class_share, class_weights, fit_logistic, sample_rows
 
 #: Phrases in which lexicon words are harmless.
 EXCEPTIONS = ("clown fish", "pond scum", "trash can", "trash bin", "birthday clown", "sore loser")
@@ -160,18 +160,20 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, training: Column, label: st
     """Lexicon and curve from a bounded sample.
 
     At most ``rows`` labelled training texts of each class and ``max_bytes`` of text per class, in a
-    seeded order of ids. Without rows of both classes, or without telling words, the lexicon is
-    empty and every score is the share of label 1 among the sampled rows (0 without any).
+    seeded order of ids; the curve's rows weigh by the class counts of all labelled training ids. Without
+    rows of both classes, or without telling words, the lexicon is empty and every score is the
+    share of label 1 among the labelled training ids (0 without any); nothing is toxic then.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    found = sample_rows(docs, labels, F.coalesce(training, F.lit(False)), label, id_col, text_col, label_id, rows, max_bytes, seed)
+    found, totals = sample_rows(docs, labels, F.coalesce(training, F.lit(False)), label, id_col, text_col, label_id, rows, max_bytes, seed)
     lexicon = learn_lexicon(spark, found, lift, false_words, least, lexicon_size)
-    curve = (np.zeros(2), np.ones(2), np.array([0.0, 0.0, -30.0 if not found else _logit(np.mean([y for _, y, _ in found]))]))
+    curve = (np.zeros(2), np.ones(2), np.array([0.0, 0.0, -30.0 if not found else _logit(class_share(totals))]))
     if lexicon:
         machine = automaton(lexicon, exceptions)
         x = np.array([_features(*measure(t, machine)) for t, _, _ in found])
-        curve = fit_logistic(x, np.array([y for _, y, _ in found], dtype=np.float64))
+        y = np.array([y for _, y, _ in found])
+        curve = fit_logistic(x, y.astype(np.float64), weights=class_weights(y, totals))
     return Fitted(lexicon, tuple(exceptions), curve)
 
 
@@ -183,17 +185,20 @@ def toxicity(docs: DataFrame, labels: DataFrame, training: Column, id_col: str =
     document is scored whole.
 
     Defined cases: null and empty text have no hits and get the curve's value there; null and
-    repeated ids are scored row by row; an empty table gives an empty result; other columns are ignored.
+    repeated ids are scored row by row; with an empty lexicon nothing is predicted toxic; an empty table gives an empty result; other columns are ignored.
     """
     fitted = fit_toxicity(docs, labels, training, id_col=id_col, text_col=text_col, **fit)
     slim = docs.select(F.col(f"`{id_col}`").alias("id"), (~F.coalesce(training, F.lit(False))).alias("held_out"),
                        F.col(f"`{text_col}`").alias("text"))
     scored = score_rows(slim.select("id", "held_out", "text"), fitted, "text")
-    return scored.select(F.col("row.id").alias(id_col), "row.held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return scored.select(F.col("row.id").alias(id_col), "row.held_out", "score",
+                         (F.lit(bool(fitted.lexicon)) & (F.col("score") >= threshold)).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, fitted: Fitted, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
-    """``docs`` without the rows that score ``threshold`` or more; all columns stay."""
+    """``docs`` without the rows that score ``threshold`` or more; all columns stay. An empty lexicon drops nothing."""
+    if not fitted.lexicon:
+        return docs
     return score_rows(docs, fitted, text_col).where(F.col("score") < threshold).select("row.*")
 
 

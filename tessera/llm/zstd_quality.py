@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ship_package
+from tessera.llm.common import Scratch, ship_package
 
 CHUNK = 2048
 LEVEL = 3
@@ -57,8 +57,10 @@ def difference(text: bytes, pair) -> float:
     return float((bad - good) / len(text))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(centre, scale, weights with the intercept last) by Newton steps."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50,
+                 weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(centre, scale, weights with the intercept last) by Newton steps; ``weights`` of the rows, 1 on average."""
+    weights = np.ones(len(x)) if weights is None else weights
     centre, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
     z = np.column_stack([(x - centre) / scale, np.ones(len(x))])
     w = np.zeros(z.shape[1])
@@ -66,8 +68,8 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int =
     penalty[-1] = 1e-9
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        grad = z.T @ (p - y) + penalty * w
-        hess = (z * (p * (1 - p))[:, None]).T @ z + np.diag(penalty + 1e-9)
+        grad = z.T @ (weights * (p - y)) + penalty * w
+        hess = (z * (weights * p * (1 - p))[:, None]).T @ z + np.diag(penalty + 1e-9)
         step = np.linalg.solve(hess, grad)
         w -= np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
@@ -76,23 +78,43 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int =
 
 
 def sample_rows(docs: DataFrame, labels: DataFrame, training: Column, label: str, id_col: str, text_col: str, label_id: str,
-                rows: int, max_bytes: int, seed: int) -> list[tuple[str, int, int]]:
+                rows: int, max_bytes: int, seed: int) -> tuple[list[tuple[str, int, int]], dict[int, int]]:
     """Up to ``rows`` labelled training texts per class in a seeded order, together at most ``max_bytes`` per class.
 
-    Returns (text, label, fold) with fold 0 or 1. Repeated rows of an id count once.
+    Returns (text, label, fold) with fold 0 or 1, and how many labelled training ids each class has in all. Repeated
+    rows of an id count once. A text longer than ``max_bytes / 16`` is left out, so a class whose
+    sample ends before ``rows`` and before its last id has at least 15/16 of ``max_bytes``.
     """
     known = (labels.select(F.col(f"`{label_id}`").alias("id"), F.col(f"`{label}`").cast("int").alias("y"))
              .where("id is not null and y in (0, 1)").groupBy("id").agg(F.max("y").alias("y")))
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    rated = (docs.where(training).select(F.col(f"`{id_col}`").alias("id"), text.alias("text")).join(known, "id")
-             .withColumn("place", F.xxhash64("id", F.lit(seed))))
-    out = []
-    for y in (0, 1):
-        chosen = rated.where(F.col("y") == y).orderBy("place", "id", F.xxhash64("text")).limit(rows)
-        upto = F.sum(F.octet_length("text")).over(Window.orderBy("place", "id").rowsBetween(Window.unboundedPreceding, 0))
-        out += [(r["text"], y, r["fold"]) for r in chosen.withColumn("bytes", upto).where(F.col("bytes") <= max_bytes)
-                .dropDuplicates(["id"]).select("text", F.pmod(F.shiftright("place", 8), F.lit(2)).alias("fold")).collect()]
-    return out
+    texts = docs.where(training).select(F.col(f"`{id_col}`").alias("id"), text.alias("text"))
+    size = F.octet_length("text")
+    short = F.when(size <= max_bytes // 16, F.struct(F.xxhash64("text").alias("tid"), size.alias("size")))
+    rated = texts.select("id", short.alias("short")).join(known, "id").groupBy("id", "y").agg(F.min("short").alias("short"))
+    scratch = Scratch(docs.sparkSession, "sample")
+    rated = scratch.write(rated.select("id", "y", "short.tid", "short.size", F.xxhash64("id", F.lit(seed)).alias("place")), label)
+    totals = {0: 0, 1: 0} | {r["y"]: r["count"] for r in rated.groupBy("y").count().collect()}
+    upto = F.sum("size").over(Window.orderBy("place", "id").rowsBetween(Window.unboundedPreceding, 0))
+    zero, one = (rated.where((F.col("y") == y) & F.col("tid").isNotNull()).orderBy("place", "id").limit(rows)
+                 .withColumn("bytes", upto).where(F.col("bytes") <= max_bytes).drop("bytes", "size") for y in (0, 1))
+    chosen = F.broadcast(zero.unionByName(one))  # narrow, at most 2 * rows
+    found = (texts.join(chosen.withColumnRenamed("id", "cid"), (F.col("id") == F.col("cid")) & (F.xxhash64("text") == F.col("tid")))
+             .dropDuplicates(["id"]).select("y", "place", "text", F.pmod(F.shiftright("place", 8), F.lit(2)).alias("fold")).collect())
+    scratch.drop(label)
+    return [(r["text"], r["y"], r["fold"]) for r in sorted(found)], totals
+
+
+def class_weights(y: np.ndarray, totals: dict[int, int]) -> np.ndarray:
+    """Weights, 1 on average, by which sampled rows of both classes stand for as many as there are."""
+    sampled = np.bincount(y, minlength=2)
+    weights = np.array([totals[0], totals[1]], dtype=np.float64)[y] / sampled[y]
+    return weights / weights.mean()
+
+
+def class_share(totals: dict[int, int]) -> float:
+    """Share of label 1 among all labelled training ids, away from 0 and 1."""
+    return min(max(totals[1] / (totals[0] + totals[1]), 1e-6), 1 - 1e-6)
 
 
 def _score(dictionaries, curve):
@@ -114,25 +136,26 @@ def zstd_quality(docs: DataFrame, labels: DataFrame, training: Column, label: st
 
     ``training`` is a condition on the rows of ``docs``. Fitted on a bounded sample: at most ``rows``
     labelled training texts of each class and ``max_bytes`` of text per class, in a seeded order of ids;
-    one half makes the dictionaries, the other the curve. Every document is scored whole.
+    one half makes the dictionaries, the other the curve, where rows weigh by the class counts of all labelled training ids. Every document is scored whole.
 
     Defined cases: null and empty text have difference 0 and get the curve's value there; null
     and repeated ids are scored row by row; without rows of both classes the score is the
-    share of label 1 among the sampled rows (0.5 without any). An empty table gives an
+    share of label 1 among the labelled training ids (0.5 without any). An empty table gives an
     empty result; other columns are ignored.
     """
     ship_package(docs.sparkSession)
     training = F.coalesce(training, F.lit(False))
-    found = sample_rows(docs, labels, training, label, id_col, text_col, label_id, rows, max_bytes, seed)
+    found, totals = sample_rows(docs, labels, training, label, id_col, text_col, label_id, rows, max_bytes, seed)
     parts = [[(t.encode(), y) for t, y, f in found if f == fold] for fold in (0, 1)]
     dictionaries, curve = None, (np.zeros(1), np.ones(1), np.zeros(2))
     if all({y for _, y in part} == {0, 1} for part in parts):
         dictionaries = tuple(make_dictionary([t for t, y in parts[0] if y == want], dictionary_bytes) for want in (1, 0))
         pair = compressors(dictionaries)
         x = np.array([[difference(t, pair)] for t, _ in parts[1]])
-        curve = fit_logistic(x, np.array([y for _, y in parts[1]], dtype=np.float64))
+        y = np.array([y for _, y in parts[1]])
+        curve = fit_logistic(x, y.astype(np.float64), weights=class_weights(y, totals))
     elif found:
-        share = min(max(np.mean([y for _, y, _ in found]), 1e-6), 1 - 1e-6)
+        share = class_share(totals)
         curve = (np.zeros(1), np.ones(1), np.array([0.0, np.log(share / (1 - share))]))
     kind = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(F.col(f"`{id_col}`").alias("id"), (~training).alias("held_out"),

@@ -451,6 +451,25 @@ def test_lexicon_holds_the_words_of_a_small_language(spark):
     assert set(fit_toxicity(df, lab, F.lit(True)).lexicon) == {"moron", "gloufre"}
 
 
+def test_sample_keeps_its_size_and_class_counts(spark):
+    import numpy as np
+    from tessera.llm.toxicity import drop_toxic, fit_toxicity
+    from tessera.llm.zstd_quality import class_weights, fit_logistic, sample_rows
+    rows = [(i, f"text {i}") for i in range(60)] + [(7, f"again {k}") for k in range(200)] + [(8, "text 8")] * 200
+    rows += [(i, "x" * 2000) for i in range(60, 64)]  # longer than 1/16 of the bytes: left out, wherever they stand
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    lab = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(64)], "doc_id bigint, quality int")
+    for seed in range(4):
+        found, totals = sample_rows(df, lab, F.lit(True), "quality", "doc_id", "text", "doc_id", 40, 16_000, seed)
+        assert totals == {0: 48, 1: 16}
+        assert sorted(y for _, y, _ in found) == [0] * 40 + [1] * 15 and len({t for t, _, _ in found}) == 55
+    y = np.array([1] * 50 + [0] * 50)
+    centre, scale, w = fit_logistic(np.zeros((100, 1)), y.astype(float), weights=class_weights(y, {0: 900, 1: 100}))
+    assert 1 / (1 + np.exp(-w[-1])) == pytest.approx(0.1, abs=1e-6)
+    tox = fit_toxicity(df, lab.withColumnRenamed("quality", "toxic").withColumn("toxic", F.lit(1)), F.lit(True))
+    assert not tox.lexicon and drop_toxic(df, tox).count() == df.count()  # all labels toxic: nothing learnt, nothing dropped
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline as pipeline
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
