@@ -8,7 +8,8 @@ none survives or the target length is reached:
   the smallest hash among those inside it. Equal target windows pick the same one, so a
   target window can only repeat if its pick does, and a few percent of positions stand
   for all.
-* At the target length every start that survived is compared, by 128 bits of its words.
+* At the target length every start that survived is compared, by 128 bits of its words: two
+  64-bit window hashes over word hashes from two different byte tables.
 
 Documents with the same words as one with a smaller id are known from a digest in the first
 pass and take no part: whatever they hold starts in that document too.
@@ -58,6 +59,11 @@ def picks(s: Slice, window: int, length: int, begins: np.ndarray) -> np.ndarray:
     return (_smallest(keys, window - length + 1)[begins] & _INDEX).astype(np.int64)
 
 
+def both_slices(texts: pa.Array) -> Iterator[tuple[Slice, Slice]]:
+    """The slices of a column with word hashes from two byte tables, so that neither follows from the other."""
+    return zip(word_slices(texts), word_slices(texts, salt=1))
+
+
 def _rows_of(s: Slice, places: np.ndarray) -> np.ndarray:
     return np.searchsorted(s.starts, places, side="right") - 1
 
@@ -71,22 +77,23 @@ def _bytes(value) -> bytes:
 
 
 def _first_pass(window: int, length: int):
-    """Per text its words and digest, and the picks of all its target windows."""
+    """Per text its words and digest, and the picks of all its target windows; second hashes if they are the targets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(2)
-            for s in word_slices(texts):
+            for s, other in both_slices(texts) if length == window else ((s, None) for s in word_slices(texts)):
                 at = np.unique(picks(s, window, length, window_owner(s.starts, window)))
                 owner = _rows_of(s, at)
                 ends = np.searchsorted(owner, np.arange(s.last - s.first + 1)).astype(np.int32)
                 h = windows(s.hashes, length)[at] if len(at) else np.zeros(0, np.uint64)
+                g = windows(other.hashes, length)[at] if other and len(at) else np.zeros(len(at), np.uint64)
                 lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x))
-                         for x in (h.view(np.int64), at - s.starts[owner] if len(at) else at)]
+                         for x in (h.view(np.int64), g.view(np.int64), at - s.starts[owner] if len(at) else at)][::1 if other else 2]
                 digests = [_digest(_bytes(texts[i]).split()) for i in range(s.first, s.last)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(s.first, s.last - s.first), batch.column(1).slice(s.first, s.last - s.first),
                      pa.array(np.diff(s.starts)), pa.array(digests), *lists],
-                    names=["id", "tag", "n_words", "sha", "h", "at"])
+                    names=["id", "tag", "n_words", "sha", "h", *(["g"] if other else []), "at"])
     return run
 
 
@@ -101,7 +108,7 @@ def _next_pass(window: int, before: int, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tags, spots = batch.column(1), batch.column(3)
-            for s in word_slices(batch.column(2)):
+            for s, other in both_slices(batch.column(2)) if length == window else ((s, None) for s in word_slices(batch.column(2))):
                 alive = np.zeros(len(s.hashes) + 1, dtype=bool)
                 for i in range(s.first, s.last):
                     alive[_own_places(tags, spots, i) + s.starts[i - s.first]] = True
@@ -113,7 +120,7 @@ def _next_pass(window: int, before: int, length: int):
                 owner = _rows_of(s, at)
                 ids = batch.column(0).take(pa.array(owner + s.first))
                 place = (np.asarray(tags.take(pa.array(owner + s.first))) << _PLACE_BITS) | (at - s.starts[owner])
-                second = windows(s.hashes, length, 1)[at] if length == window else np.zeros(len(at), np.uint64)
+                second = windows(other.hashes, length)[at] if other else np.zeros(len(at), np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(windows(s.hashes, length)[at].view(np.int64)), pa.array(second.view(np.int64)), ids, pa.array(place)],
                     names=["h", "g", "id", "place"])
@@ -168,17 +175,18 @@ def find_repeats(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str,
     slim = _tagged(docs, id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
     steps = lengths(window)
-    seen = scratch.write(slim.mapInArrow(_first_pass(window, steps[0]),
-                                         f"id {kind}, tag bigint, n_words bigint, sha string, h array<bigint>, at array<bigint>"), "texts")
+    single = len(steps) == 1
+    seen = scratch.write(slim.mapInArrow(_first_pass(window, steps[0]), f"id {kind}, tag bigint, n_words bigint, sha string, h array<bigint>, "
+                                         + ("g array<bigint>, " if single else "") + "at array<bigint>"), "texts")
     copies = (seen.where(f"id is not null and n_words >= {window}").groupBy("sha")
               .agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("sha", "first"))
     copies = scratch.write(copies, "copies")
     known = seen.join(copies, "sha", "left").withColumn("copy", F.coalesce(F.col("id") > F.col("first"), F.lit(False)))
-    rows = (known.where("not copy and id is not null").select("id", "tag", F.explode(F.arrays_zip("h", "at")).alias("p"))
-            .select(F.col("p.h").alias("h"), F.lit(0).cast("long").alias("g"), "id",
+    rows = (known.where("not copy and id is not null").select("id", "tag", F.explode(F.arrays_zip("h", *(["g"] if single else []), "at")).alias("p"))
+            .select(F.col("p.h").alias("h"), (F.col("p.g") if single else F.lit(0).cast("long")).alias("g"), "id",
                     F.expr(f"shiftleft(tag, {_PLACE_BITS}) | p.at").alias("place")))
-    if len(steps) == 1:  # the only level: all its windows are targets, and picks hold each of them
-        return known.drop("h", "at", "first"), _by_id(rows.join(_firsts(scratch, rows, "firsts"), ["h", "g"]).where("first < id"))
+    if single:  # the only level: all its windows are targets, and picks hold each of them
+        return known.drop("h", "g", "at", "first"), _by_id(rows.join(_firsts(scratch, rows, "firsts"), ["h", "g"]).where("first < id"))
     for before, length in zip(steps, steps[1:]):
         firsts = _firsts(scratch, rows, f"firsts-{before}")
         spots = scratch.write(_by_id(rows.join(firsts, ["h", "g"])), f"spots-{before}")

@@ -96,6 +96,22 @@ def test_substring_levels_double():
         assert steps[-1] == n and all(b <= 2 * a for a, b in zip(steps, steps[1:]))
 
 
+def test_second_window_hash_does_not_follow_from_the_first(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    from tessera.llm import substring_dedup, tokens
+    table = tokens._byte_table
+    # Byte table 0 can't tell letters apart: all words of one length collide in the first hash.
+    monkeypatch.setattr(tokens, "_byte_table", lambda lower, salt: table(lower, salt) if salt else np.full(256, 12345, np.uint64))
+    texts = pa.array([" ".join(["abc"] * 50), " ".join(["xyz"] * 50)])
+    rows = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([0, 0]), texts, pa.array([list(range(50))] * 2, pa.list_(pa.int64()))],
+                                      names=["id", "tag", "text", "spots"])
+    last = pa.Table.from_batches(substring_dedup._next_pass(50, 25, 50)(iter([rows]))).to_pydict()
+    assert last["id"] == [1, 2] and len(set(last["h"])) == 1 and len(set(last["g"])) == 2
+    first = pa.Table.from_batches(substring_dedup._first_pass(16, 16)(iter([rows]))).to_pydict()
+    assert first["h"][0] == first["h"][1] and first["g"][0] != first["g"][1]
+
+
 def test_cut_repeats_keeps_rows_and_columns(edge):
     from tessera.llm.substring_dedup import cut_repeats
     out = cut_repeats(edge)
