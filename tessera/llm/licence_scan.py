@@ -1,17 +1,17 @@
 """Licence scan by diagonal voting.
 
 All rolling word bigrams of every text are joined to the positions they have in the
-templates. A hit votes for the diagonal ``position in text - position in template``; votes are
-summed per (document, template, diagonal), neighbouring diagonals are merged (an inserted or
-missing word shifts the rest of a notice by one), and the merged span is verified: it must
-hold enough of the template within a length close to the template's own.
+templates. A hit lies on the diagonal ``position in text - position in template``. Hits whose diagonals are at
+most a gap apart, in proportion to the template's length, are merged (inserted or missing words shift
+the rest of a notice), and the merged span is verified: the longest run of template grams in
+the template's order must be a large part of the template.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import NOT_ALNUM, Scratch, ascii_lower, fits_broadcast, gram_hashes, text_key, word_list
@@ -22,14 +22,24 @@ PHRASES = (
     ("gpl", "general public license", True),
     ("reserved", "all rights reserved", True),
 )
-#: Notices that the scan adds labels for; found in whole or large part.
+#: Notices and the operative sentences of permission texts that the scan adds labels for; found in whole or large part.
 NOTICES = (
     ("mit", "released under the mit license", False),
+    ("mit", "under the mit license", False),
+    ("mit", "the mit license mit", False),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy", False),
     ("apache", "licensed under the apache license version 2 0", False),
+    ("apache", "licensed under the apache 2 0 license", False),
+    ("apache", "apache license 2 0", False),
     ("gpl", "licensed under the gnu general public license version 3", False),
+    ("gpl", "under the gnu gpl", False),
+    ("gpl", "redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", False),
     ("cc-by-nc", "licensed under cc by nc 4 0", False),
+    ("cc-by-nc", "creative commons attribution noncommercial 4 0", False),
+    ("cc-by-nc", "creative commons attribution non commercial 4 0", False),
     ("mpl", "terms of the mozilla public license", False),
     ("bsd", "redistribution and use in source and binary forms", False),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", False),
 )
 
 
@@ -43,12 +53,13 @@ def template_grams(spark, templates: Sequence[tuple[str, str, bool]], k: int) ->
 
 
 def licence_scan(docs: DataFrame, templates: Sequence[tuple[str, str, bool]] = PHRASES + NOTICES, id_col: str = "doc_id",
-                 text_col: str = "text", k: int = 2, band: int = 2, cover: float = 0.75) -> DataFrame:
+                 text_col: str = "text", k: int = 2, gap: float = 0.5, least_gap: int = 4, cover: float = 0.75) -> DataFrame:
     """Per document: ``n_words``, ``n_base``, ``first_word``, ``last_word``, ``base_labels``, ``labels``, ``score``.
 
     ``n_base`` counts the places of exact phrases, ``first_word``/``last_word`` are the smallest and
     largest of their starts (null without any). A notice adds its label if a merged span
-    covers at least ``cover`` of its grams; ``score`` is the best cover of any template, 0 without
+    holds at least ``cover`` of its grams in their order; hits are merged over up to ``gap`` times the template's grams
+    (``least_gap`` or more) of inserted or missing words, at most twice that. ``score`` is the best cover of any template, 0 without
     a hit. Templates need at least ``k`` words.
 
     Defined cases: null text is empty. Rows are told apart by id and text, so repeated rows
@@ -66,15 +77,20 @@ def licence_scan(docs: DataFrame, templates: Sequence[tuple[str, str, bool]] = P
     rolled = per_doc.select("id", "tid", F.posexplode_outer("grams").alias("pos", "h"))
     table = scratch.write(grams, "templates")
     hits = rolled.join(F.broadcast(table) if fits_broadcast(table) else table, "h")
-    votes = (hits.groupBy("id", "tid", "template", "label", "exact", "grams", (F.col("pos") - F.col("at")).alias("diagonal"))
-             .agg(F.countDistinct("at").alias("votes"), F.min("pos").alias("first"), F.max("pos").alias("last")))
-    votes = scratch.write(votes, "votes")
-    places = votes.where("exact and votes = grams")
-    near = Window.partitionBy("id", "tid", "template").orderBy("diagonal").rangeBetween(0, band)
-    merged = (votes.where("not exact").withColumn("all_votes", F.sum("votes").over(near))
-              .withColumn("begin", F.min("first").over(near)).withColumn("end", F.max("last").over(near))
-              .where(F.col("end") - F.col("begin") + 1 <= F.col("grams") + 2 * band))
-    spans = merged.select("id", "tid", "label", F.least(F.lit(1.0), F.col("all_votes") / F.col("grams")).alias("cover"))
+    hits = hits.withColumn("diagonal", F.col("pos") - F.col("at"))
+    keys = ["id", "tid", "template", "label", "grams"]
+    # A run of diagonals no wider than the gap lies whole in one of two overlapping ranges of twice the gap. Exact phrases have ranges of one diagonal.
+    wide = F.greatest(F.lit(least_gap), F.ceil(F.col("grams") * gap).cast("int"))
+    step = F.floor(F.col("diagonal") / wide).cast("int")
+    ranges = F.when(F.col("exact"), F.array("diagonal")).otherwise(F.array(step, step - 1))
+    spans = (hits.withColumn("range", F.explode(ranges)).groupBy(*keys, "exact", "range")
+             .agg(F.sort_array(F.collect_set(F.struct("pos", (-F.col("at")).alias("back")))).alias("run")))
+    # Longest chain by ending gram; of grams at one place the later ones come first, so that a chain takes one of them.
+    chain = ("if(size(run) = 1, 1, array_max(aggregate(run, array_repeat(0, grams), (best, x) -> transform(best, (n, i) ->"
+             " if(i = -x.back, greatest(n, 1 + coalesce(array_max(slice(best, 1, i)), 0)), n)))))")
+    spans = scratch.write(spans.select("id", "tid", "label", "exact", "range", "grams", F.expr(chain).alias("held")), "spans")
+    places = spans.where("exact and held = grams").withColumnRenamed("range", "diagonal")
+    spans = spans.where("not exact").withColumn("cover", F.col("held") / F.col("grams"))
     found = places.select("id", "tid", "label", "diagonal", F.lit(1.0).alias("cover"), F.lit(True).alias("base")).unionByName(
         spans.select("id", "tid", "label", F.lit(None).cast("int").alias("diagonal"), "cover", F.lit(False).alias("base")))
     summary = found.groupBy("id", "tid").agg(

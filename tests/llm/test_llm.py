@@ -321,6 +321,18 @@ def test_licence_scan_merges_neighbouring_diagonals(spark):
     assert out[0]["labels"] == "apache" and out[1]["labels"] == "" and out[2]["score"] == 0.0
 
 
+def test_licence_scan_finds_usual_variants(spark):
+    from tessera.llm.licence_scan import licence_scan
+    texts = {"Licensed under the terms of the Apache License, Version 2.0": "apache", "Released under the terms of the MIT License": "mit",
+             "Licensed under the Apache 2.0 license.": "apache", "Creative Commons Attribution-NonCommercial 4.0 International": "cc-by-nc",
+             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software": "mit",
+             "license mit, the mit was under the license released": "", "the license apache under the terms of version 2.0": "",
+             "under the bridge " + "far away " * 20 + "stands the mit and has no license": ""}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    out = {r["doc_id"]: r["labels"] for r in licence_scan(df).collect()}
+    assert [out[i] for i in range(len(texts))] == list(texts.values())
+
+
 def test_url_rules(spark):
     from tessera.llm.queries import URL_RULES
     from tessera.llm.url_rules import judge_urls
