@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.decontaminate import decontaminate
+from tessera.llm.hard_negatives import hard_negatives
 from tessera.llm.host_rules import host_rules
 from tessera.llm.licence_scan import licence_scan
 from tessera.llm.mixing import mix_sources
 from tessera.llm.near_dedup import near_duplicates
 from tessera.llm.ppm import ppm_scores
 from tessera.llm.substring_dedup import repeat_report
+from tessera.llm.suffix_dedup import byte_repeat_report
+from tessera.llm.token_align import alignment_report
 from tessera.llm.toxicity import toxicity
 from tessera.llm.url_rules import judge_urls
 from tessera.llm.zstd_quality import zstd_quality
@@ -75,8 +78,22 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256)).drop("items")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_repeat_report(_table(spark, sf_dir, "documents"))
+
+
+def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_report(_table(spark, sf_dir, "documents")).withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_substring_dedup, op2_ppm, op3_zstd_quality, op4_url_rules, op5_toxicity, op6_host_rules, op7_mixing, op8_licence_scan, op9_near_dedup, op10_decontaminate)}
+    op1_substring_dedup, op2_ppm, op3_zstd_quality, op4_url_rules, op5_toxicity, op6_host_rules, op7_mixing, op8_licence_scan, op9_near_dedup, op10_decontaminate,
+    op11_hard_negatives, op12_suffix_dedup, op13_token_align)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _ALNUM = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
@@ -139,4 +156,18 @@ g AS (SELECT doc_id, list(p) AS gone FROM r GROUP BY doc_id),
 v AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
              list_filter(w, lambda x, i: NOT list_contains(coalesce(gone, []), i)) AS kept FROM d LEFT JOIN g USING (doc_id))
 SELECT doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM v""",
+    "op11_hard_negatives": r"""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, (row_number() OVER w)::INT AS rank, s.id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+WHERE 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id)
+QUALIFY row_number() OVER w <= 3""",
 }
