@@ -1,8 +1,8 @@
 """Linear regression M13–M14.
 
-Fitting uses Spark ML's ``LinearRegression`` (normal equations aggregated
-across partitions for up to 4,096 features, L-BFGS beyond or when the system
-is singular). The fitted model is stored as a coefficient table and scoring is
+Fitting is one scan: centred cross products of the inputs and the target
+(:mod:`.moments`), then one solve of the model's width on the driver. Beyond 4,096
+features Spark ML's L-BFGS takes over. The fitted model is stored as a coefficient table and scoring is
 a literal dot-product projection — no vectors, no Python, whole-stage codegen.
 """
 
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import col
+from .moments import moments, solve
 
 INTERCEPT = "__intercept__"
 COEF_SCHEMA = T.StructType([
@@ -25,6 +26,9 @@ COEF_SCHEMA = T.StructType([
     T.StructField("coefficient", T.DoubleType(), False),
 ])
 
+#: Up to so many features the normal equations are solved directly (128 MB on the driver).
+MAX_DIRECT = 4096
+
 SUPPORTED_MODELS = ("linear_regression",)
 
 
@@ -32,13 +36,31 @@ def fit_linear(train: DataFrame, features: Sequence[str], target: str,
                kind: str = "linear_regression", solver: str = "auto") -> DataFrame:
     """Ordinary least squares with intercept → ``(position, term, coefficient)``.
 
-    A null feature value is an error (as in the reference); clean first.
+    A null, NaN or infinite value, or no row at all, is an error (as in the reference); clean
+    first. Repeated or constant columns get the solution of least norm. ``solver="l-bfgs"``
+    asks for Spark ML's iterations.
     """
     if kind not in SUPPORTED_MODELS:
         raise ValueError(f"Unsupported model type: {kind}")
     features = list(features)
     if not features:
         raise ValueError("No features to fit")
+    if solver == "auto" and len(features) <= MAX_DIRECT:
+        found = moments(train, [*features, target])
+        if found.bad:
+            raise ValueError(f"Input contains NaN, infinity or a missing value ({found.bad} row(s))")
+        if not found.rows:
+            raise ValueError("Found array with 0 sample(s)")
+        coefs = [float(x) for x in solve(found.cross)]
+        intercept = float(found.mean[-1] - found.mean[:-1] @ coefs)
+    else:
+        coefs, intercept = _fit_iterated(train, features, target, solver)
+    rows = [(i, f, c) for i, (f, c) in enumerate(zip(features, coefs))]
+    rows.append((len(features), INTERCEPT, intercept))
+    return train.sparkSession.createDataFrame(rows, COEF_SCHEMA)
+
+
+def _fit_iterated(train: DataFrame, features: list[str], target: str, solver: str) -> tuple[list[float], float]:
     assembled = VectorAssembler(inputCols=[f"_f{i}" for i in range(len(features))],
                                 outputCol="_features", handleInvalid="error").transform(
         train.select(*[col(f).cast("double").alias(f"_f{i}") for i, f in enumerate(features)],
@@ -47,10 +69,7 @@ def fit_linear(train: DataFrame, features: Sequence[str], target: str,
                           elasticNetParam=0.0, fitIntercept=True, solver=solver, maxIter=200,
                           tol=1e-10)
     model = lr.fit(assembled)
-    coefs = [float(x) for x in model.coefficients.toArray()]
-    rows = [(i, f, c) for i, (f, c) in enumerate(zip(features, coefs))]
-    rows.append((len(features), INTERCEPT, float(model.intercept)))
-    return train.sparkSession.createDataFrame(rows, COEF_SCHEMA)
+    return [float(x) for x in model.coefficients.toArray()], float(model.intercept)
 
 
 def fit_simple(train: DataFrame, feature: str, target: str) -> DataFrame:

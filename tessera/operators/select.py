@@ -49,7 +49,7 @@ def top_k(scores: DataFrame, k: int) -> DataFrame:
 
 
 def select_k(scores: DataFrame, k: int, keep: Sequence[str] = (),
-             params: DataFrame | None = None) -> DataFrame:
+             params: DataFrame | None = None, wide: Sequence[str] = ()) -> DataFrame:
     """``(position, feature)``: top-k of the non-kept features, then the kept ones.
 
     ``keep`` names *source* columns (or output names). The source is taken from
@@ -57,7 +57,8 @@ def select_k(scores: DataFrame, k: int, keep: Sequence[str] = (),
     is the feature itself. Every output derived from a kept source is kept — e.g. all
     one-hot columns of ``kitchen_qual`` — and excluded from the ranking. Ranking is a
     top-k in Spark; only the chosen features reach the driver, so a column with many
-    categories costs nothing there unless it is a kept one.
+    categories costs nothing there unless it is a kept one. Kept sources in ``wide`` are left
+    out here: they are fitted and scored by lookup (:mod:`.sparse`).
     """
     spark = scores.sparkSession
     if "source" not in scores.columns and params is not None:
@@ -66,7 +67,8 @@ def select_k(scores: DataFrame, k: int, keep: Sequence[str] = (),
     source = F.coalesce("source", "feature") if "source" in scores.columns else F.col("feature")
     kept = F.col("feature").isin(list(keep)) | source.isin(list(keep))
     ranked = [r["feature"] for r in top_k(scores.where(~kept).select("feature", "f_score"), k).collect()]
-    always = sorted(r["feature"] for r in scores.where(kept).select("feature").collect()) if keep else []
+    narrow = kept & ~source.isin(list(wide))
+    always = sorted(r["feature"] for r in scores.where(narrow).select("feature").collect()) if keep else []
     schema = T.StructType([T.StructField("position", T.IntegerType(), False),
                            T.StructField("feature", T.StringType(), False)])
     return spark.createDataFrame(list(enumerate(ranked + always)), schema)

@@ -191,8 +191,19 @@ def _in_order(params_rows: Sequence) -> list:
     return sorted(params_rows, key=lambda r: (r["position"], r["number"] or 0.0, r["category"] or ""))
 
 
+#: A projection of all outputs has at most so many columns; beyond that :func:`.sparse.sparse_design` takes them.
+MAX_COLUMNS = 10_000
+
+
+def _require_narrow(params: DataFrame) -> None:
+    n = params.limit(MAX_COLUMNS + 1).count()
+    if n > MAX_COLUMNS:
+        raise ValueError(f"The transformer has more than {MAX_COLUMNS} outputs: name the wanted ones, or use sparse_design")
+
+
 def output_names(params: DataFrame) -> list[str]:
-    """M5: output feature names in transformer order."""
+    """M5: output feature names in transformer order (:func:`.sparse.feature_index` for any number of them)."""
+    _require_narrow(params)
     return [r["output"] for r in _in_order(params.select("position", "number", "category", "output").collect())]
 
 
@@ -215,8 +226,8 @@ def apply_transformer(df: DataFrame, params: DataFrame, keep: Sequence[str] = ()
                       outputs: Sequence[str] | None = None) -> DataFrame:
     """M7: one projection from the parameter table; ``keep`` columns (key, target…) pass through.
 
-    ``outputs`` names the wanted output features (default: all). Only their parameters
-    are brought to the driver, one row per column of the result.
+    ``outputs`` names the wanted output features (default: all, up to ``MAX_COLUMNS``). Only their
+    parameters are brought to the driver, one row per column of the result.
     """
     rows = wanted_params(params, outputs)
     missing = sorted({r["source"] for r in rows} - set(df.columns))
@@ -227,4 +238,6 @@ def apply_transformer(df: DataFrame, params: DataFrame, keep: Sequence[str] = ()
 
 def wanted_params(params: DataFrame, outputs: Sequence[str] | None = None) -> list:
     """The parameter rows of the wanted outputs."""
+    if outputs is None:
+        _require_narrow(params)
     return (params if outputs is None else params.where(F.col("output").isin(list(outputs)))).collect()

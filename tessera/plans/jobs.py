@@ -14,7 +14,6 @@ import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +25,7 @@ from ..operators.features import engineer
 from ..operators.metrics import metrics_long, regression_metrics
 from ..operators.model import fit_linear, predict
 from ..operators.select import select_k
+from ..operators.sparse import add_wide, as_vectors, feature_index, fit_absorbed, fit_sparse, sparse_design, wide_sources, WIDE_FROM
 from ..operators.split import split
 from ..operators.transform import apply_transformer, fit_scored
 from ..session import materialize
@@ -87,6 +87,32 @@ class TrainResult:
     metrics: DataFrame           # per split (R5)
     features: list = field(default_factory=list)
     group_means: DataFrame | None = None   # fitted (group, mean) table of W1, if configured
+    wide: DataFrame | None = None          # (source, category, output, coefficient) of wide kept columns
+
+
+def _fit(train: DataFrame, data: DataFrame, params: DataFrame, chosen: list, wide: list, key: str, target: str,
+         kind: str) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+    """``(coefficients, wide coefficients, predictions)``; wide sources never become columns."""
+    others = [key, target, "split"]
+    matrix = apply_transformer(data, params, keep=[*others, *[w for w in wide if w not in others]], outputs=chosen)
+    of_train = matrix.where(F.col("split") == "train")
+    if not wide:
+        coefs = fit_linear(of_train, chosen, target, kind=kind)
+        return coefs, None, predict(matrix, coefs, keep=[key, "split", target])
+    if len(wide) == 1:
+        coefs, table = fit_absorbed(of_train, chosen, wide[0], params, target)
+    else:
+        outputs = (params.where(F.col("source").isin(wide) | F.col("output").isin(chosen)).select(F.col("output").alias("feature")))
+        index = materialize(feature_index(params, outputs), name="feature-index")
+        fitted = materialize(fit_sparse(sparse_design(train, index, keep=[target]), index, target), name="sparse-fit")
+        rows = {r["output"]: r["coefficient"] for r in fitted.where(F.col("output").isin([*chosen, "__intercept__"])).collect()}
+        coefs = train.sparkSession.createDataFrame(
+            [(i, t, rows[t]) for i, t in enumerate([*chosen, "__intercept__"])], "position int, term string, coefficient double")
+        table = materialize(index.where(F.col("source").isin(wide)).select("source", "category", "output")
+                            .join(fitted.select("output", "coefficient"), "output")
+                            .select("source", "category", "output", "coefficient"), name="wide-coefficients")
+    preds = add_wide(predict(matrix, coefs, keep=[key, "split", target, *[w for w in wide if w not in others]]), table)
+    return coefs, table, preds.select(C.col(key), "split", C.col(target), "prediction")
 
 
 def train_job(df_raw: DataFrame, cfg: Mapping, split_method: str = "hash") -> TrainResult:
@@ -112,15 +138,15 @@ def train_job(df_raw: DataFrame, cfg: Mapping, split_method: str = "hash") -> Tr
     train = data.where(F.col("split") == "train")
     params, scores = fit_scored(train, cfg, target)
     k = cfg.get("selection", {}).get("k", 10)
-    selected = select_k(scores, k, keep=cfg["features"].get("most_relevant_features", []))
+    keep = cfg["features"].get("most_relevant_features", [])
+    wide = wide_sources(params, keep, cfg.get("selection", {}).get("wide_from", WIDE_FROM))
+    selected = select_k(scores, k, keep=keep, wide=wide)
     chosen = [r["feature"] for r in sorted(selected.collect(), key=lambda r: r["position"])]
-    matrix = apply_transformer(data, params, keep=[key, target, "split"], outputs=chosen)
-    train_x = matrix.where(F.col("split") == "train")
-    coefs = fit_linear(train_x, chosen, target, kind=cfg.get("model", {}).get("active", "linear_regression"))
-    preds = predict(matrix, coefs, keep=[key, "split", target]).withColumnRenamed(target, "y_true")
+    coefs, table, preds = _fit(train, data, params, chosen, wide, key, target, cfg.get("model", {}).get("active", "linear_regression"))
+    preds = preds.withColumnRenamed(target, "y_true")
     metrics = regression_metrics(preds.where(F.col("split") != "train"), "y_true", "prediction",
                                  by="split", metrics=cfg.get("metrics"))
-    return TrainResult(params, scores, selected, coefs, preds, metrics, chosen, means)
+    return TrainResult(params, scores, selected, coefs, preds, metrics, chosen, means, table)
 
 
 @dataclass
@@ -130,22 +156,24 @@ class TrainedModel:
     coefficients: DataFrame
     features: list
     group_means: DataFrame | None = None
+    wide: DataFrame | None = None
 
 
 def load_training(spark: SparkSession, out_dir: str) -> TrainedModel:
     """K8 (load): the fitted tables that :func:`save_training` wrote, for scoring in a new process."""
-    try:
-        means = spark.read.parquet(f"{out_dir}/group_means")
-    except AnalysisException:
-        means = None
+    def optional(name: str) -> DataFrame | None:
+        return spark.read.parquet(f"{out_dir}/{name}") if R.exists(spark, f"{out_dir}/{name}") else None
+
     return TrainedModel(spark.read.parquet(f"{out_dir}/transformer"), spark.read.parquet(f"{out_dir}/model"),
-                        R.read_feature_list(spark, f"{out_dir}/selected_features"), means)
+                        R.read_feature_list(spark, f"{out_dir}/selected_features"), optional("group_means"), optional("wide_model"))
 
 
 def save_training(result: TrainResult, out_dir: str) -> None:
     """Write every training artefact as a table."""
     if result.group_means is not None:
         K.write_params(result.group_means, f"{out_dir}/group_means")
+    if result.wide is not None:
+        K.write_params(result.wide, f"{out_dir}/wide_model")
     K.write_params(result.params, f"{out_dir}/transformer")
     K.write_params(result.coefficients, f"{out_dir}/model")
     K.write_params(result.selected, f"{out_dir}/selected_features")
@@ -155,14 +183,15 @@ def save_training(result: TrainResult, out_dir: str) -> None:
 
 def score_batch(df_raw: DataFrame, cfg: Mapping, params: DataFrame, coefficients: DataFrame,
                 selected: list[str] | None = None, require_rows: bool = False,
-                group_means: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                group_means: DataFrame | None = None, wide: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """L4 batch: engineer → clean → transform → default absent features → predict.
 
     Returns ``(predictions (key, prediction), dropped (key, reason))``; a row removed by
     cleaning, or without a prediction because an input is missing, is reported instead of
     silently disappearing. ``require_rows`` (V9) raises when nothing is left to score after
     cleaning. ``group_means`` are those of the training run: a row's prediction never
-    depends on the other rows of its batch.
+    depends on the other rows of its batch. ``wide`` holds the coefficients of wide one-hot
+    columns; a category it lacks adds nothing, as an all-zero encoding does.
     """
     key = cfg["key"]
     prepared, dropped = prepare_with_dropped(df_raw, cfg, group_means)
@@ -170,9 +199,13 @@ def score_batch(df_raw: DataFrame, cfg: Mapping, params: DataFrame, coefficients
         raise ValueError("No rows left to score after cleaning")
     if selected is None:
         selected = [r["term"] for r in coefficients.collect() if r["term"] != "__intercept__"]
-    matrix = apply_transformer(prepared, params, keep=[key], outputs=selected)
-    inputs = C.select_or_default(matrix, selected, default=0.0, keep=[key])
-    preds = predict(inputs, coefficients, keep=[key])
+    sources = [] if wide is None else sorted(r["source"] for r in wide.select("source").distinct().collect())
+    keep = [key, *[s for s in sources if s != key]]
+    matrix = apply_transformer(prepared, params, keep=keep, outputs=selected)
+    inputs = C.select_or_default(matrix, selected, default=0.0, keep=keep)
+    preds = predict(inputs, coefficients, keep=keep)
+    if wide is not None:
+        preds = add_wide(preds, wide).select(C.col(key), "prediction")
     unscored = preds.where(F.col("prediction").isNull())
     return (preds.where(F.col("prediction").isNotNull()),
             dropped.select(C.col(key), F.lit(REMOVED).alias("reason"))
@@ -274,7 +307,7 @@ def default_steps() -> dict:
         src = st.get("inference_input", st["raw"])
         t = st["train"]
         st["predictions"], st["dropped"] = score_batch(src, cfg, t.params, t.coefficients, t.features,
-                                                       group_means=t.group_means)
+                                                       group_means=t.group_means, wide=t.wide)
         return st
 
     return {"data_load": data_load, "data_validation": data_validation, "model": model,

@@ -36,6 +36,12 @@ def resolve_path(path, root: str | None = None) -> str:
     return os.path.join(root, path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, asked of its file system."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def read_table(
     spark: SparkSession,
     path: str,

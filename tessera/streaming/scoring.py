@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import col
 from ..operators import clean as C
 from ..operators.model import predict
+from ..operators.sparse import add_wide
 from ..operators.transform import output_columns, wanted_params
 from ..plans.jobs import NO_INPUT, REMOVED, prepare_with_dropped
 from ..sources.records import parse_records, records_from_path
@@ -27,7 +28,7 @@ from ..sources.records import parse_records, records_from_path
 
 def score_frame(records: DataFrame, cfg: Mapping, contract: Sequence[Mapping], params_rows: Sequence,
                 coef_rows: Sequence, selected: Sequence[str], key: str,
-                group_means: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                group_means: DataFrame | None = None, wide: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Score a frame of JSON text records: ``(predictions, rejected)``.
 
     V9: a record that parses but is removed by cleaning, or that lacks a model input, is
@@ -35,11 +36,15 @@ def score_frame(records: DataFrame, cfg: Mapping, contract: Sequence[Mapping], p
     """
     valid, rejected = parse_records(records, contract, keep=["value"])
     prepared, dropped = prepare_with_dropped(valid, cfg, group_means)
-    matrix = prepared.select(col(key), "value", *output_columns(params_rows))
-    inputs = C.select_or_default(matrix, selected, keep=[key, "value"])
+    sources = [] if wide is None else sorted(r["source"] for r in wide.select("source").distinct().collect())
+    keep = [key, "value", *[s for s in sources if s != key]]
+    matrix = prepared.select(*[col(k) for k in keep], *output_columns(params_rows))
+    inputs = C.select_or_default(matrix, selected, keep=keep)
     spark = records.sparkSession
     coefs = spark.createDataFrame(coef_rows, "position int, term string, coefficient double")
-    scored = predict(inputs, coefs, keep=[key, "value"])
+    scored = predict(inputs, coefs, keep=keep)
+    if wide is not None:
+        scored = add_wide(scored, wide)
     removed = (dropped.select("value", F.array(F.lit(REMOVED)).alias("reasons"))
                .unionByName(scored.where(F.col("prediction").isNull())
                             .select("value", F.array(F.lit(NO_INPUT)).alias("reasons"))))
@@ -50,7 +55,7 @@ def score_frame(records: DataFrame, cfg: Mapping, contract: Sequence[Mapping], p
 def score_stream(spark: SparkSession, cfg: Mapping, contract: Sequence[Mapping], source: str,
                  params: DataFrame, coefficients: DataFrame, out_path: str, rejected_path: str,
                  checkpoint: str, available_now: bool = True, max_files: int | None = None,
-                 group_means: DataFrame | None = None):
+                 group_means: DataFrame | None = None, wide: DataFrame | None = None):
     """Start the scoring stream and return its ``StreamingQuery``.
 
     Parameters are read once on the driver (bounded by the model's width) and
@@ -66,7 +71,7 @@ def score_stream(spark: SparkSession, cfg: Mapping, contract: Sequence[Mapping],
         # Both outputs read the micro-batch; keep it for the second write instead of re-reading files.
         batch = batch.persist()
         try:
-            preds, rejected = score_frame(batch, cfg, contract, params_rows, coef_rows, selected, key, group_means)
+            preds, rejected = score_frame(batch, cfg, contract, params_rows, coef_rows, selected, key, group_means, wide)
             preds.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
             rejected.write.mode("overwrite").parquet(f"{rejected_path}/batch_id={batch_id}")
         finally:
