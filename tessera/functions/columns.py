@@ -158,3 +158,32 @@ def per_column_agg(df: DataFrame, names: Sequence[str], fields, aggs,
     """
     long = melt_columns(df, names, fields, carry)
     return long.groupBy("column_name").agg(*[e.alias(k) for k, e in aggs.items()])
+
+
+#: Aggregates of one block: with its buffers an aggregate stays below ``spark.sql.codegen.maxFields`` (100).
+BLOCK_AGGREGATES = 90
+
+
+def wide_agg(df: DataFrame, names: Sequence[str], build) -> DataFrame:
+    """``(column_name, agg…)``, one row per column, from wide aggregates over the rows as they are.
+
+    ``build(column, name) -> {output: aggregate Column}`` must give the same outputs and types for every
+    column, each with one buffer field (counts, minima, maxima). Columns are dealt to blocks narrow
+    enough for whole-stage code generation; a block is one partial aggregate that scans
+    only its own columns, and its single result row is turned into one row per column. No row of
+    the input is ever multiplied. NaN counts as null.
+    """
+    names = list(names)
+    if not names:
+        raise ValueError("no columns to aggregate")
+    outputs = list(build(col(names[0]), names[0]))
+    per_block = max(1, BLOCK_AGGREGATES // len(outputs))
+    out = None
+    for first in range(0, len(names), per_block):
+        block = names[first:first + per_block]
+        slim = nan_to_null(df.select(*[col(n) for n in block]))
+        row = slim.agg(*[e.alias(f"{k}_{i}") for i, n in enumerate(block) for k, e in build(col(n), n).items()])
+        rows = row.select(F.inline(F.array(*[
+            F.struct(F.lit(n).alias("column_name"), *[F.col(f"{k}_{i}").alias(k) for k in outputs]) for i, n in enumerate(block)])))
+        out = rows if out is None else out.unionByName(rows)
+    return out

@@ -176,18 +176,22 @@ def row_local_clean(df: DataFrame, cfg: Mapping) -> DataFrame:
     return fill_label(out, fill.get("categorical_none", []) or [])
 
 
-def impute_and_filter(df: DataFrame, cfg: Mapping,
-                      means: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """W1 → F5 on an already row-cleaned frame: ``(kept, dropped)``."""
+def impute_and_flag(df: DataFrame, cfg: Mapping, means: DataFrame | None = None, flag: str = "_complete") -> DataFrame:
+    """W1 → F5 on an already row-cleaned frame: all rows, with whether F5 keeps them."""
     pre = cfg.get("preprocessing", cfg)
     grp = pre.get("fillna_groupby") or {}
     out = df
     if grp:
         out = impute_group_mean(out, grp["column"], grp["groupby"], grp.get("method", "mean"), means=means)
     cond = complete_rows(out, pre.get("dropna_rows", []) or [])
-    if cond is None:
-        return out, out.limit(0)
-    return out.where(cond), out.where(~cond)
+    return out.withColumn(flag, F.lit(True) if cond is None else cond)
+
+
+def impute_and_filter(df: DataFrame, cfg: Mapping,
+                      means: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """W1 → F5 on an already row-cleaned frame: ``(kept, dropped)``."""
+    flagged = impute_and_flag(df, cfg, means)
+    return flagged.where("_complete").drop("_complete"), flagged.where("not _complete").drop("_complete")
 
 
 def exclude(df: DataFrame, condition: Column) -> DataFrame:

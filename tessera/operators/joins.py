@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, present, string_columns
+from ..session import materialize
+from .observe import Watch
 
 # Largest number of rows a derived parameter table may have and still be
 # shipped to every executor as a broadcast hash table.
@@ -47,32 +49,55 @@ def join_small(
     return big.join(small, on=on, how=how)
 
 
+def paired(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """``(key, a, b, n_a, n_b)``, one row per key of either side: one row of each side as a struct, and how many there are.
+
+    A tagged union grouped once, so that pairs and side counts come from the same exchange.
+    """
+    def side(df: DataFrame, tag: str) -> DataFrame:
+        others = [col(c) for c in df.columns if c != key]
+        row = F.struct(*others) if others else F.struct(F.lit(True).alias("_"))
+        return df.select(col(key).alias("key"), row.alias(tag))
+
+    both = side(a, "a").unionByName(side(b, "b"), allowMissingColumns=True)
+    return both.groupBy("key").agg(F.any_value("a", ignoreNulls=True).alias("a"), F.any_value("b", ignoreNulls=True).alias("b"),
+                                   F.count("a").alias("n_a"), F.count("b").alias("n_b"))
+
+
+def _side_counts() -> list:
+    matched = (F.col("n_a") == 1) & (F.col("n_b") == 1) & F.col("key").isNotNull()
+    return [F.count_if(matched).alias("n_matched"), F.count_if(F.col("n_b") == 0).alias("only_a"),
+            F.count_if(F.col("n_a") == 0).alias("only_b"), F.count_if(F.col("n_a") > 1).alias("dup_a"),
+            F.count_if(F.col("n_b") > 1).alias("dup_b"), F.count_if(~F.coalesce(matched, F.lit(False))).alias("bad")]
+
+
+def align_counts(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """J2 as a report: keys matched one to one, on one side only, repeated on a side, and not matched one to one."""
+    return paired(a, b, key).agg(*_side_counts())
+
+
 def align(a: DataFrame, b: DataFrame, key: str, strict: bool = True) -> DataFrame:
     """Pair rows of two frames by key (the reference pairs by position).
 
-    ``strict`` checks that both sides have unique keys and the same key set,
-    the keyed equivalent of the reference's length check on y_true / y_pred.
+    ``strict`` checks that both sides have unique keys and the same key set (null is no key),
+    the keyed equivalent of the reference's length check on y_true / y_pred. The check is
+    counted while the pairs are written; the result reads them.
     """
     # The key is referenced literally (names may hold dots or spaces).
-    joined = a.join(b.withColumnRenamed(key, "_k"), col(key) == F.col("_k"), "inner").drop("_k")
-    if strict:
-        stats = (
-            a.select(col(key).alias("k")).withColumn("side", F.lit("a"))
-            .unionByName(b.select(col(key).alias("k")).withColumn("side", F.lit("b")))
-            .groupBy("k")
-            .agg(F.count_if(F.col("side") == "a").alias("na"),
-                 F.count_if(F.col("side") == "b").alias("nb"))
-            .agg(F.count_if((F.col("na") != 1) | (F.col("nb") != 1)).alias("bad"),
-                 F.count_if(F.col("na") > 1).alias("dup_a"),
-                 F.count_if(F.col("nb") > 1).alias("dup_b"))
-            .first()
+    if not strict:
+        return a.join(b.withColumnRenamed(key, "_k"), col(key) == F.col("_k"), "inner").drop("_k")
+    watch = Watch(*_side_counts())
+    pairs = materialize(watch.on(paired(a, b, key)), name="aligned")
+    stats = watch.get()
+    if stats["bad"]:
+        raise ValueError(
+            f"Inconsistent numbers of samples: {stats['bad']} key(s) unmatched or repeated "
+            f"(repeated in first: {stats['dup_a']}, in second: {stats['dup_b']})"
         )
-        if stats["bad"]:
-            raise ValueError(
-                f"Inconsistent numbers of samples: {stats['bad']} key(s) unmatched or repeated "
-                f"(repeated in first: {stats['dup_a']}, in second: {stats['dup_b']})"
-            )
-    return joined
+    names = [(c, "a") for c in a.columns if c != key] + [(c, "b") for c in b.columns if c != key]
+    chosen = {c: F.col(tag).getField(c).alias(c) for c, tag in names}
+    return pairs.select(*[F.col("key").alias(key) if c == key else chosen[c] for c in a.columns],
+                        *[F.col("b").getField(c).alias(c) for c in b.columns if c != key])
 
 
 def dropped_keys(before: DataFrame, after: DataFrame, key: str) -> DataFrame:

@@ -8,13 +8,14 @@ Results come back as small DataFrames with one row per input column.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col, is_numeric, nan_to_null, numeric_columns, per_column_agg, string_columns
+from ..functions.columns import col, is_numeric, nan_to_null, numeric_columns, per_column_agg, string_columns, wide_agg
 from ..session import materialize
 from .quantiles import quantiles
 
@@ -22,9 +23,22 @@ from .quantiles import quantiles
 # ---- P1 / P2 -------------------------------------------------------------------------
 
 def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows, distinct rows and duplicates (= rows − distinct; null equals null)."""
+    """Rows, distinct rows and duplicates (= rows − distinct; null equals null).
+
+    Rows with text are grouped by a SHA-256 digest, so the shuffle carries 32 bytes per
+    distinct row whatever the texts' length. A second, independent 64-bit hash must agree within each
+    digest, else the job stops.
+    """
     cols = list(columns or df.columns)
-    groups = df.groupBy(*[col(c) for c in cols]).count()
+    kinds = {c: df.schema[c].dataType for c in cols}
+    if not any(isinstance(k, (T.StringType, T.BinaryType)) for k in kinds.values()) or not all(map(_has_text_form, kinds.values())):
+        groups = df.groupBy(*[col(c) for c in cols]).count()
+    else:
+        other = F.xxhash64(*[x for c in cols for x in (col(c), col(c).isNull())])
+        groups = (df.select(row_digest(df, cols).alias("digest"), other.alias("other")).groupBy("digest")
+                  .agg(F.count("*").alias("n"), F.min("other").alias("lo"), F.max("other").alias("hi"))
+                  .select(F.when(F.col("lo") == F.col("hi"), F.col("n"))
+                          .otherwise(F.raise_error(F.lit("Two different rows have one digest")).cast("long")).alias("count")))
     return groups.agg(
         F.sum("count").cast("long").alias("n_rows"),
         F.count(F.lit(1)).cast("long").alias("n_distinct"),
@@ -37,6 +51,25 @@ def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     )
 
 
+def _has_text_form(kind: T.DataType) -> bool:
+    """Types whose text tells all their values apart."""
+    return isinstance(kind, (T.StringType, T.BinaryType, T.BooleanType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
+def row_digest(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """SHA-256 (32 bytes) of a row: each value with a null mark and its length, so no two rows meet by concatenation.
+
+    As in a grouping, ``-0.0`` equals ``0.0`` and NaN equals NaN.
+    """
+    parts = []
+    for c in columns or df.columns:
+        kind = df.schema[c].dataType
+        value = col(c) + F.lit(0.0).cast(kind) if isinstance(kind, (T.FloatType, T.DoubleType)) else col(c)
+        text = F.hex(value) if isinstance(kind, T.BinaryType) else value.cast("string")
+        parts.append(F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.unhex(F.sha2(F.concat(*parts), 256))
+
+
 # ---- P3 ------------------------------------------------------------------------------
 
 DESCRIBE_SCHEMA = T.StructType([
@@ -125,11 +158,8 @@ def describe_all(df: DataFrame, columns: Sequence[str] | None = None, exact: boo
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """P4 (+P14 denominator): ``(column_name, n_null, n_rows)`` from one aggregate."""
-    cols = list(columns or df.columns)
-    return per_column_agg(df, cols, lambda c, _n: {"isnull": c.isNull()}, {
-        "n_null": F.count_if("isnull").cast("long"),
-        "n_rows": F.count(F.lit(1)).cast("long"),
-    })
+    return wide_agg(df, list(columns or df.columns), lambda c, _n: {
+        "n_null": F.count_if(c.isNull()).cast("long"), "n_rows": F.count(F.lit(1)).cast("long")})
 
 
 def missing_profile(df: DataFrame, above: float | None = 0.0, below: float | None = None,
@@ -170,8 +200,7 @@ def shape(df: DataFrame, with_duplicates: bool = True) -> DataFrame:
 def column_info(df: DataFrame) -> DataFrame:
     """``(column_name, dtype, n_non_null)`` — schema snapshot with counts."""
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    info = per_column_agg(df, df.columns, lambda c, _n: {"nn": c.isNotNull()},
-                          {"n_non_null": F.count_if("nn").cast("long")})
+    info = wide_agg(df, df.columns, lambda c, _n: {"n_non_null": F.count(c).cast("long")})
     mapping = F.create_map(*[x for n, t in types.items() for x in (F.lit(n), F.lit(t))])
     return info.select("column_name", mapping[F.col("column_name")].alias("dtype"), "n_non_null")
 
@@ -200,17 +229,27 @@ def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     xxhash64 summed as a 38-digit decimal (duplicate rows add up, they do not cancel as
     with XOR), plus a second seed to lower collision odds.
     """
-    cols = [x for c in (columns or df.columns) for x in (col(c), col(c).isNull())]
-    h1 = F.xxhash64(*cols).cast("decimal(38,0)")
-    h2 = F.xxhash64(F.lit(7919), *cols).cast("decimal(38,0)")
-    agg = df.agg(F.count(F.lit(1)).cast("long").alias("n_rows"),
-                 F.sum(h1).alias("s1"), F.sum(h2).alias("s2"))
+    agg = df.agg(F.count(F.lit(1)).cast("long").alias("n_rows"), *fingerprint_columns(df, columns))
     text = F.concat_ws(":", F.col("n_rows").cast("string"),
                        F.coalesce(F.col("s1").cast("string"), F.lit("0")),
                        F.coalesce(F.col("s2").cast("string"), F.lit("0")))
     return agg.select("n_rows", F.sha2(text, 256).alias("fingerprint"))
 
 
+def fingerprint_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list:
+    """The two sums of :func:`fingerprint`, as aggregates (``s1``, ``s2``)."""
+    cols = [x for c in (columns or df.columns) for x in (col(c), col(c).isNull())]
+    h1 = F.xxhash64(*cols).cast("decimal(38,0)")
+    h2 = F.xxhash64(F.lit(7919), *cols).cast("decimal(38,0)")
+    return [F.sum(h1).alias("s1"), F.sum(h2).alias("s2")]
+
+
+def fingerprint_text(sums) -> str:
+    """:func:`fingerprint`'s digest from observed ``n_rows``, ``s1`` and ``s2``."""
+    text = ":".join(str(int(sums[k] or 0)) for k in ("n_rows", "s1", "s2"))
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
 # ---- P11 – P13, P15, P16 ---------------------------------------------------------------
 
 def sample_rows(df: DataFrame, n: int, key: str | Sequence[str]) -> DataFrame:

@@ -11,11 +11,11 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col, family, is_finite, per_column_agg
+from ..functions.columns import col, family, is_finite, wide_agg
 
 log = logging.getLogger(__name__)
 
@@ -69,18 +69,18 @@ def validate(df: DataFrame, declared: Sequence[Mapping], action: str = "raise",
             rows.append((r["column_name"], "values", "fail", r["expected"], None,
                          f"Column '{r['column_name']}': {r['n_nonconforming']} value(s) are not {r['expected']}"))
     report = df.sparkSession.createDataFrame(rows, REPORT_SCHEMA)
-    errors = [r for r in rows if r[2] == "fail"]
     if report_path:
-        report.coalesce(1).write.mode("overwrite").json(report_path)
-    if errors:
-        if action == "raise":
-            raise ValueError(f"Data validation failed with {len(errors)} error(s). "
-                             f"See report at {report_path}")
-        if action == "warn":
-            log.warning("Validation completed with %d error(s)", len(errors))
+        write_report(report, report_path)
+    apply_policy(rows, action, report_path)
     return report
 
 
+def write_report(report: DataFrame, path: str) -> None:
+    """K5: the report's rows at ``path`` and ``{status, error_count}`` at ``path`` + ``_summary``."""
+    report.coalesce(1).write.mode("overwrite").json(path)
+    report_summary(report).coalesce(1).write.mode("overwrite").json(f"{path}_summary")
+
+
 def report_summary(report: DataFrame) -> DataFrame:
     """V5: ``{status, error_count}`` as one row."""
     return report.agg(
@@ -89,6 +89,46 @@ def report_summary(report: DataFrame) -> DataFrame:
     )
 
 
+def nonconforming(c: Column, kind: str) -> Column:
+    """V3 per value: not null, and not readable as the declared type."""
+    text = c.cast("string")
+    if kind == "int":
+        as_d = text.try_cast("double")
+        return c.isNotNull() & F.coalesce(as_d.isNull() | (as_d != F.floor(as_d)), F.lit(True))
+    if kind in _PARSE_AS:
+        return c.isNotNull() & text.try_cast(_PARSE_AS[kind]).isNull()
+    return F.lit(False)
+
+
+def conformance_counts(df: DataFrame, declared: Sequence[Mapping]) -> tuple[list, list[tuple[str, str]]]:
+    """V3 as aggregates for :class:`.observe.Watch`: ``n_rows`` and one count per declared present column.
+
+    Returns the aggregates and the ``(column, declared type)`` that ``bad_<i>`` stands for.
+    """
+    present_ = [(d["name"], d["dtype"]) for d in declared if d["name"] in df.columns]
+    counts = [F.count_if(nonconforming(col(name), kind)).alias(f"bad_{i}") for i, (name, kind) in enumerate(present_)]
+    return [F.count(F.lit(1)).alias("n_rows"), *counts], present_
+
+
+def observed_report(df: DataFrame, declared: Sequence[Mapping], counts: Mapping, columns: Sequence[tuple[str, str]]) -> list[tuple]:
+    """The report rows (V1–V3) from the schema and the counts taken while the text was read."""
+    rows = schema_checks(df, declared)
+    for i, (name, kind) in enumerate(columns):
+        if counts[f"bad_{i}"]:
+            rows.append((name, "values", "fail", kind, None, f"Column '{name}': {counts[f'bad_{i}']} value(s) are not {kind}"))
+    return rows
+
+
+def apply_policy(rows: Sequence[tuple], action: str, report_path: str | None = None) -> int:
+    """V4: raise, warn or stay silent about the report's errors; returns their number."""
+    errors = sum(r[2] == "fail" for r in rows)
+    if errors and action == "raise":
+        raise ValueError(f"Data validation failed with {errors} error(s). See report at {report_path}")
+    if errors and action == "warn":
+        log.warning("Validation completed with %d error(s)", errors)
+    return errors
+
+
 def value_conformance(df: DataFrame, declared: Sequence[Mapping]) -> DataFrame:
     """V3: per declared present column, how many non-null values do not parse as the declared type.
 
@@ -99,22 +139,10 @@ def value_conformance(df: DataFrame, declared: Sequence[Mapping]) -> DataFrame:
         return df.sparkSession.createDataFrame(
             [], "column_name string, expected string, n_rows long, n_null long, n_nonconforming long")
 
-    def build(c, name):
-        kind = kinds[name]
-        text = c.cast("string")
-        if kind == "int":
-            as_d = text.try_cast("double")
-            bad = c.isNotNull() & F.coalesce(as_d.isNull() | (as_d != F.floor(as_d)), F.lit(True))
-        elif kind in _PARSE_AS:
-            bad = c.isNotNull() & text.try_cast(_PARSE_AS[kind]).isNull()
-        else:
-            bad = F.lit(False)
-        return {"isnull": c.isNull(), "bad": bad}
-
-    long = per_column_agg(df, list(kinds), build, {
+    long = wide_agg(df, list(kinds), lambda c, name: {
         "n_rows": F.count(F.lit(1)).cast("long"),
-        "n_null": F.count_if("isnull").cast("long"),
-        "n_nonconforming": F.count_if("bad").cast("long"),
+        "n_null": F.count_if(c.isNull()).cast("long"),
+        "n_nonconforming": F.count_if(nonconforming(c, kinds[name])).cast("long"),
     })
     expected = F.create_map(*[x for n, k in kinds.items() for x in (F.lit(n), F.lit(k))])
     return long.select("column_name", expected[F.col("column_name")].alias("expected"),
@@ -133,10 +161,8 @@ def require_non_empty(df: DataFrame, what: str = "input", raise_error: bool = Fa
 
 def finite_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """V7: ``(column_name, n_rows, n_not_finite)`` in one aggregate."""
-    return per_column_agg(df, columns, lambda c, _n: {"bad": ~is_finite(c)}, {
-        "n_rows": F.count(F.lit(1)).cast("long"),
-        "n_not_finite": F.count_if("bad").cast("long"),
-    })
+    return wide_agg(df, columns, lambda c, _n: {
+        "n_rows": F.count(F.lit(1)).cast("long"), "n_not_finite": F.count_if(~is_finite(c)).cast("long")})
 
 
 def require_finite(df: DataFrame, columns: Sequence[str]) -> None:

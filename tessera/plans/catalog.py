@@ -954,3 +954,6 @@ def q_l4s(spark, d):
 @register("l5_manifest_fingerprint")
 def q_l5(spark, d):
     return P.fingerprint(_of(spark, d))
+
+
+from . import catalog_io  # noqa: E402,F401  (registers its queries in the same tables)

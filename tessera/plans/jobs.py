@@ -11,7 +11,7 @@ import datetime as _dt
 import json
 import logging
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,12 +22,14 @@ from ..operators import clean as C
 from ..operators import profile as P
 from ..operators import validate as V
 from ..operators.features import engineer
+from ..operators.joins import column_difference
 from ..operators.metrics import metrics_long, regression_metrics
-from ..operators.model import fit_linear, predict
+from ..operators.model import fit_linear, predict, prediction_expr
+from ..operators.observe import Watch
 from ..operators.select import select_k
 from ..operators.sparse import add_wide, as_vectors, feature_index, fit_absorbed, fit_sparse, sparse_design, wide_sources, WIDE_FROM
 from ..operators.split import split
-from ..operators.transform import apply_transformer, fit_scored
+from ..operators.transform import apply_transformer, fit_scored, output_columns, wanted_params
 from ..session import materialize
 from ..sources import readers as R
 from ..sources import sinks as K
@@ -39,9 +41,8 @@ REMOVED = "removed by cleaning"
 NO_INPUT = "a model input is missing"
 
 
-def prepare_with_dropped(df: DataFrame, cfg: Mapping,
-                         group_means: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """NaN → null, E, then F6 with the group means fitted in training; also the rows cleaning removes.
+def prepare_flagged(df: DataFrame, cfg: Mapping, group_means: DataFrame | None = None) -> DataFrame:
+    """NaN → null, E, then F6 with the group means fitted in training; ``_complete``: whether cleaning keeps the row.
 
     A configured group mean needs its fitted table, or predictions would depend on which
     rows arrive together.
@@ -50,7 +51,7 @@ def prepare_with_dropped(df: DataFrame, cfg: Mapping,
         raise ValueError("The configured group mean needs the fitted group_means of the training run")
     spec = cfg.get("engineering") or []
     out = nan_to_null(df)
-    return C.clean_with_dropped(engineer(out, spec) if spec else out, cfg, group_means)
+    return C.impute_and_flag(C.row_local_clean(engineer(out, spec) if spec else out, cfg), cfg, group_means)
 
 
 def split_fractions(cfg: Mapping) -> dict:
@@ -88,6 +89,7 @@ class TrainResult:
     features: list = field(default_factory=list)
     group_means: DataFrame | None = None   # fitted (group, mean) table of W1, if configured
     wide: DataFrame | None = None          # (source, category, output, coefficient) of wide kept columns
+    data: DataFrame | None = None          # the cleaned, split rows that the fits read
 
 
 def _fit(train: DataFrame, data: DataFrame, params: DataFrame, chosen: list, wide: list, key: str, target: str,
@@ -146,7 +148,7 @@ def train_job(df_raw: DataFrame, cfg: Mapping, split_method: str = "hash") -> Tr
     preds = preds.withColumnRenamed(target, "y_true")
     metrics = regression_metrics(preds.where(F.col("split") != "train"), "y_true", "prediction",
                                  by="split", metrics=cfg.get("metrics"))
-    return TrainResult(params, scores, selected, coefs, preds, metrics, chosen, means, table)
+    return TrainResult(params, scores, selected, coefs, preds, metrics, chosen, means, table, data)
 
 
 @dataclass
@@ -181,6 +183,26 @@ def save_training(result: TrainResult, out_dir: str) -> None:
     K.write_splits(result.predictions.withColumnRenamed("prediction", "y_pred"), f"{out_dir}/predictions")
 
 
+def score_rows(df_raw: DataFrame, cfg: Mapping, params_rows: list, coef_rows: list, selected: list[str],
+               group_means: DataFrame | None = None, wide: DataFrame | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """L4: every row with its ``prediction``, or with the ``reason`` why it has none (one plan over the input)."""
+    keep = [cfg["key"], *[k for k in keep if k != cfg["key"]]]
+    prepared = prepare_flagged(df_raw, cfg, group_means)
+    missing = column_difference(prepared, sorted({r["source"] for r in params_rows}))
+    if missing:
+        raise KeyError(f"Columns required by the fitted transformer are missing: {missing}")
+    sources = [] if wide is None else sorted(r["source"] for r in wide.select("source").distinct().collect())
+    passed = [*keep, "_complete", *[s for s in sources if s not in keep]]
+    matrix = prepared.select(*[C.col(c) for c in passed], *output_columns(params_rows))
+    inputs = C.select_or_default(matrix, selected, default=0.0, keep=passed)
+    scored = inputs.select(*[C.col(c) for c in passed], prediction_expr(coef_rows).alias("prediction"))
+    if wide is not None:
+        scored = add_wide(scored, wide)
+    value = F.when(F.col("_complete"), F.col("prediction"))
+    reason = F.when(~F.col("_complete"), F.lit(REMOVED)).when(F.col("prediction").isNull(), F.lit(NO_INPUT))
+    return scored.select(*[C.col(k) for k in keep], value.alias("prediction"), reason.alias("reason"))
+
+
 def score_batch(df_raw: DataFrame, cfg: Mapping, params: DataFrame, coefficients: DataFrame,
                 selected: list[str] | None = None, require_rows: bool = False,
                 group_means: DataFrame | None = None, wide: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -192,41 +214,57 @@ def score_batch(df_raw: DataFrame, cfg: Mapping, params: DataFrame, coefficients
     cleaning. ``group_means`` are those of the training run: a row's prediction never
     depends on the other rows of its batch. ``wide`` holds the coefficients of wide one-hot
     columns; a category it lacks adds nothing, as an all-zero encoding does.
+    :func:`.runs.scoring_run` writes both in one pass over the input.
     """
     key = cfg["key"]
-    prepared, dropped = prepare_with_dropped(df_raw, cfg, group_means)
-    if require_rows and prepared.isEmpty():
-        raise ValueError("No rows left to score after cleaning")
+    coef_rows = coefficients.collect()
     if selected is None:
-        selected = [r["term"] for r in coefficients.collect() if r["term"] != "__intercept__"]
-    sources = [] if wide is None else sorted(r["source"] for r in wide.select("source").distinct().collect())
-    keep = [key, *[s for s in sources if s != key]]
-    matrix = apply_transformer(prepared, params, keep=keep, outputs=selected)
-    inputs = C.select_or_default(matrix, selected, default=0.0, keep=keep)
-    preds = predict(inputs, coefficients, keep=keep)
-    if wide is not None:
-        preds = add_wide(preds, wide).select(C.col(key), "prediction")
-    unscored = preds.where(F.col("prediction").isNull())
-    return (preds.where(F.col("prediction").isNotNull()),
-            dropped.select(C.col(key), F.lit(REMOVED).alias("reason"))
-            .unionByName(unscored.select(C.col(key), F.lit(NO_INPUT).alias("reason"))))
+        selected = [r["term"] for r in coef_rows if r["term"] != "__intercept__"]
+    rows = score_rows(df_raw, cfg, wanted_params(params, selected), coef_rows, selected, group_means, wide)
+    if require_rows and rows.where(F.col("reason").isNull() | (F.col("reason") != REMOVED)).isEmpty():
+        raise ValueError("No rows left to score after cleaning")
+    return (rows.where(F.col("reason").isNull()).select(C.col(key), "prediction"),
+            rows.where(F.col("reason").isNotNull()).select(C.col(key), "reason"))
 
 
 def data_stage(spark: SparkSession, cfg: Mapping, root: str | None = None,
-               out_root: str | None = None, df: DataFrame | None = None) -> dict:
-    """L2: read → validate → profile → publish a new version."""
-    text = None if df is not None else R.read_stage_text(spark, cfg, "raw", root=root)
-    raw = df if df is not None else R.declared_types(text, cfg)
-    V.require_non_empty(raw, "raw data")
-    report = None
+               out_root: str | None = None, df: DataFrame | None = None, profiles: bool = True) -> dict:
+    """L2: read → validate → publish a new version → profile it (without ``out_root``: nothing is written)."""
+    text = R.read_stage_text(spark, cfg, "raw", root=root) if df is None else df
+    typed = R.declared_types if df is None else (lambda frame, _cfg: frame)
     dv = cfg.get("data_validation", {})
-    if dv.get("enabled", True) and dv.get("schema"):
-        report = V.validate(raw, dv["schema"]["columns"], action=dv.get("action_on_error", "raise"), text=text)
-    out = {}
+    declared = (dv.get("schema") or {}).get("columns") if dv.get("enabled", True) else None
+    action = dv.get("action_on_error", "raise")
+    report, out = None, {}
     if out_root:
-        # The profiles below then read the published Parquet instead of parsing the source again.
-        out["version"] = K.publish(raw, out_root, "raw")
+        # One pass over the source: its rows are counted and checked (V3, V6) while they are
+        # written. Only a version that passes is committed.
+        aggregates, columns = V.conformance_counts(text, declared if declared and df is None else [])
+        watch = Watch(*aggregates)
+        raw = typed(watch.on(text), cfg)
+        folder = K.stage(raw, out_root, "raw")
+        counts = watch.get()
+        if declared:
+            rows = V.observed_report(raw, declared, counts, columns)
+            report = spark.createDataFrame(rows, V.REPORT_SCHEMA)
+            V.write_report(report, f"{out_root}/validation_report")
+            try:
+                V.apply_policy(rows, action, f"{out_root}/validation_report")
+            except ValueError:
+                K.discard(spark, out_root, folder)
+                raise
+        if not counts["n_rows"]:
+            log.warning("raw data has no rows")
+        out |= {"version": K.commit(spark, out_root, "raw", folder), "n_rows": counts["n_rows"]}
+        # The profiles below read the published Parquet.
         raw = R.latest(spark, out_root, "raw", out["version"])
+    else:
+        raw = typed(text, cfg)
+        V.require_non_empty(raw, "raw data")
+        if declared:
+            report = V.validate(raw, declared, action=action, text=text if df is None else None)
+    if not profiles:
+        return out | {"report": report}
     duplicates = P.duplicate_count(raw)
     out |= {
         "report": report,
@@ -295,16 +333,31 @@ def default_steps() -> dict:
                                       action=dv.get("action_on_error", "raise"), text=st.get("raw_text"))
         return st
 
+    # With a ``store`` folder in the configuration the last three steps write what they make
+    # (:mod:`.runs`), and evaluation reads the saved predictions.
     def model(spark, cfg, st):
-        st["train"] = train_job(st["raw"], cfg)
+        if cfg.get("store"):
+            from .runs import training_run
+            st["train"] = training_run(st["raw"], cfg, cfg["store"])
+        else:
+            st["train"] = train_job(st["raw"], cfg)
         return st
 
     def evaluation(spark, cfg, st):
-        st["metrics"] = st["train"].metrics
+        if cfg.get("store"):
+            from .runs import evaluation_run
+            st["metrics"] = evaluation_run(spark, cfg["store"])
+        else:
+            st["metrics"] = st["train"].metrics
         return st
 
     def inference(spark, cfg, st):
         src = st.get("inference_input", st["raw"])
+        if cfg.get("store"):
+            from .runs import scored, scoring_run
+            st["run"] = scoring_run(src, cfg, cfg["store"])
+            st["predictions"], st["dropped"] = scored(spark, cfg["store"], cfg["key"], st["run"])
+            return st
         t = st["train"]
         st["predictions"], st["dropped"] = score_batch(src, cfg, t.params, t.coefficients, t.features,
                                                        group_means=t.group_means, wide=t.wide)

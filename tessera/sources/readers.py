@@ -7,15 +7,17 @@ happens to be all-null (the reference's inference flips such columns to float).
 
 from __future__ import annotations
 
+import csv
 import os
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import PANDAS_NULL_TOKENS, col, nan_to_null, per_column_agg
+from ..functions.columns import PANDAS_NULL_TOKENS, col, nan_to_null, wide_agg
 
 SUPPORTED_FORMATS = ("csv", "json", "parquet", "orc")
 
@@ -60,7 +62,8 @@ def read_table(
     than columns stops the job that reads it; a shorter line is filled up with nulls.
 
     ``header`` follows the reference's config: ``0`` means the first line holds
-    the names, ``None`` means there is no header row.
+    the names, ``n`` that it is the line after ``n`` others (blank lines don't count; those above
+    are skipped in every file), ``None`` that there is no header row.
     """
     fmt = (fmt or "").lower()
     if fmt not in SUPPORTED_FORMATS:
@@ -70,8 +73,12 @@ def read_table(
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
+        if header is not None and not isinstance(header, bool) and header > 0:
+            if multi_line:
+                raise ValueError("A header below the first line can't be read together with multi_line")
+            return _below_header(spark, full, header, schema, sep, encoding)
         if header not in (0, None, True, False):
-            raise ValueError("Only a header on the first line (0) or no header (None) is supported")
+            raise ValueError(f"Unsupported header line: {header}")
         reader = (reader.option("sep", sep)
                   .option("header", header in (0, True))
                   .option("encoding", encoding)
@@ -86,6 +93,56 @@ def read_table(
         raise
 
 
+def _first_lines(line: int, head: bool):
+    """Of each file's first block: the header line (``head``), or what follows it.
+
+    Rows of a block reach a task in the file's order, so counting needs no sort and no shuffle.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, seen = None, 0
+        for batch in batches:
+            keep = []
+            for own in batch.column(0).to_pylist():
+                file, seen = (own, 0) if own != file else (file, seen + 1)
+                keep.append(seen == line if head else seen > line)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+    return run
+
+
+def _below_header(spark: SparkSession, path: str, line: int, schema, sep: str, encoding: str) -> DataFrame:
+    """CSV files whose names stand on line ``line`` (from 0, blank lines not counted).
+
+    Only the first block of each file passes through Python, which drops the lines down to the
+    header; all others are parsed as they come. Files whose headers differ are an error.
+    """
+    try:
+        lines = (spark.read.option("encoding", encoding).text(path)
+                 .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
+                 .where(F.trim("value") != ""))
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+            raise FileNotFoundError(f"File not found: {path}") from exc
+        raise
+    options = {"sep": sep, "quote": '"', "escape": '"'}
+    first = lines.where("at = 0").select("file", "value")
+    heads = first.mapInArrow(_first_lines(line, True), first.schema).groupBy("value").agg(F.count("*").alias("n")).limit(2).collect()
+    files = lines.where("at = 0").select("file").distinct().count()
+    if len(heads) != 1 or heads[0]["n"] != files:
+        raise ValueError(f"No common header on line {line} of {path}")
+    width = len(next(csv.reader([heads[0]["value"]], delimiter=sep)))
+    names = next(csv.reader([heads[0]["value"]], delimiter=sep)) if schema is None else None
+    fields = (T.StructType([T.StructField(n, T.StringType()) for n in names]) if schema is None
+              else T.StructType.fromDDL(schema) if isinstance(schema, str) else schema)
+    if len(fields) != width:
+        raise ValueError(f"The header has {width} names, the schema {len(fields)}")
+    values = first.mapInArrow(_first_lines(line, False), first.schema).unionByName(lines.where("at > 0").select("file", "value"))
+    wide = ", ".join(f"c{i} string" for i in range(width + 1))
+    parsed = values.select("value", F.from_csv("value", wide, options).alias("r"))
+    message = F.concat(F.lit(f"Expected {width} values: "), F.col("value"))
+    fine = F.when(F.col(f"r.c{width}").isNotNull(), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return parsed.where(fine).select(*[F.col(f"r.c{i}").try_cast(f.dataType).alias(f.name) for i, f in enumerate(fields)])
+
+
 MALFORMED = "_malformed"
 
 
@@ -202,20 +259,19 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     """S6 (profiling): which family each text column's values fit, in one aggregate.
 
     Returns ``(column_name, inferred)`` where inferred is int, float or str — the
-    narrowest type every non-null value parses as. All-null columns report
-    ``float`` as the reference's reader does.
+    narrowest type every non-null value parses as. As the reference's reader does, whole
+    numbers with a null among them report ``float``, and so do all-null columns.
     """
     names = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    long = per_column_agg(
-        df, names,
-        lambda c, _n: {"nn": c.isNotNull(),
-                       "bad_int": c.isNotNull() & c.try_cast("long").isNull(),
-                       "bad_float": c.isNotNull() & c.try_cast("double").isNull()},
-        {"n": F.count_if("nn"), "bad_int": F.count_if("bad_int"), "bad_float": F.count_if("bad_float")})
+    long = wide_agg(df, names, lambda c, _n: {
+        "n": F.count(c),
+        "n_rows": F.count(F.lit(1)),
+        "bad_int": F.count_if(c.isNotNull() & c.try_cast("long").isNull()),
+        "bad_float": F.count_if(c.isNotNull() & c.try_cast("double").isNull())})
     return long.select(
         "column_name",
         F.when(F.col("n") == 0, F.lit("float"))
-        .when(F.col("bad_int") == 0, F.lit("int"))
+        .when((F.col("bad_int") == 0) & (F.col("n") == F.col("n_rows")), F.lit("int"))
         .when(F.col("bad_float") == 0, F.lit("float"))
         .otherwise(F.lit("str")).alias("inferred"),
     )
@@ -227,10 +283,7 @@ MANIFEST = "_versions"
 
 
 def _manifest(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(f"{root}/{MANIFEST}")
-    except AnalysisException:
-        return None
+    return spark.read.parquet(f"{root}/{MANIFEST}") if exists(spark, f"{root}/{MANIFEST}") else None
 
 
 def latest_version(spark: SparkSession, root: str, name: str) -> int:
@@ -242,15 +295,62 @@ def latest_version(spark: SparkSession, root: str, name: str) -> int:
     return int(v or 0)
 
 
-def latest(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
-    """Read the newest (or a given) committed version of a dataset."""
+def version_folder(spark: SparkSession, root: str, name: str, version: int | None = None) -> str:
+    """The folder of the newest (or a given) committed version."""
     v = version or latest_version(spark, root, name)
     if v == 0:
         raise FileNotFoundError(f"No published version of '{name}' under {root}")
     row = _manifest(spark, root).where((F.col("name") == name) & (F.col("version") == v)).first()
     if row is None:
         raise FileNotFoundError(f"No version {v} of '{name}' under {root}")
-    return spark.read.parquet(f"{root}/{row['folder']}")
+    return f"{root}/{row['folder']}"
+
+
+def latest(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
+    """Read the newest (or a given) committed version of a dataset."""
+    return spark.read.parquet(version_folder(spark, root, name, version))
+
+
+# ---- S8: committed splits ------------------------------------------------------------
+
+SPLITS = "_splits"
+
+
+def _split_rows(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    return spark.read.parquet(f"{root}/{SPLITS}").where(F.col("name") == name) if exists(spark, f"{root}/{SPLITS}") else None
+
+
+def latest_split_version(spark: SparkSession, root: str, name: str) -> int:
+    rows = _split_rows(spark, root, name)
+    return int((rows.agg(F.max("version")).first()[0] if rows is not None else 0) or 0)
+
+
+def split_folders(spark: SparkSession, root: str, name: str, version: int | None = None) -> dict[str, str]:
+    """The committed folder of each split (one row per split)."""
+    version = version or latest_split_version(spark, root, name)
+    return {r["split"]: r["folder"] for r in _split_rows(spark, root, name).where(F.col("version") == version).collect()} if version else {}
+
+
+def read_splits(spark: SparkSession, root: str, name: str, splits: Sequence[str] | None = None,
+                version: int | None = None, split_col: str = "split") -> DataFrame:
+    """The wanted splits of one committed version; files of the others are not touched."""
+    folders = split_folders(spark, root, name, version)
+    wanted = sorted(folders) if splits is None else list(splits)
+    absent = [s for s in wanted if s not in folders]
+    if absent or not wanted:
+        raise FileNotFoundError(f"No committed split {absent or 'at all'} of '{name}' under {root}")
+    out = None
+    for s in wanted:
+        part = spark.read.parquet(f"{root}/{folders[s]}").withColumn(split_col, F.lit(s))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+def read_full_or_splits(spark: SparkSession, root: str, name: str, split_col: str = "split") -> DataFrame:
+    """The newest full version of a dataset, else its committed splits put together."""
+    if latest_version(spark, root, name):
+        return latest(spark, root, name)
+    return read_splits(spark, root, name, split_col=split_col)
 
 
 def read_or_rebuild(spark: SparkSession, full_path: str, split_paths: Mapping[str, str],

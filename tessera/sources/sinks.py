@@ -10,12 +10,13 @@ import datetime as _dt
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import col
-from .readers import MANIFEST, latest_version
+from ..operators.observe import Watch
+from .readers import MANIFEST, SPLITS, latest_split_version, latest_version, split_folders
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -23,17 +24,17 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
-def publish(df: DataFrame, root: str, name: str, mode: str = "errorifexists") -> int:
-    """K2: write a new immutable version, then commit it in the manifest table.
+def stage(df: DataFrame, root: str, name: str, partition_by: Sequence[str] = ()) -> str:
+    """K2, first half: write the data into a folder of its own; no reader sees it yet. Returns the folder."""
+    folder = f"{name}/data-{uuid.uuid4().hex}"
+    writer = df.write.mode("errorifexists")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{root}/{folder}")
+    return folder
 
-    Data is written first, into a folder of its own, and the manifest row that names the
-    folder is appended after. A reader that takes the newest committed version never sees a
-    half-written one, and a publish that died leaves nothing in the way of the next.
-    """
-    spark = df.sparkSession
+
+def commit(spark: SparkSession, root: str, name: str, folder: str) -> int:
+    """K2, second half: a manifest row makes the folder the newest version."""
     version = latest_version(spark, root, name) + 1
-    folder = f"{name}/version={version}-{uuid.uuid4().hex}"
-    df.write.mode(mode).parquet(f"{root}/{folder}")
     row = spark.createDataFrame(
         [(name, version, folder, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))],
         "name string, version int, folder string, committed_at timestamp_ntz",
@@ -42,6 +43,53 @@ def publish(df: DataFrame, root: str, name: str, mode: str = "errorifexists") ->
     return version
 
 
+def publish(df: DataFrame, root: str, name: str) -> int:
+    """K2: write a new immutable version, then commit it in the manifest table.
+
+    Data is written first, into a folder of its own, and the manifest row that names the
+    folder is appended after. A reader that takes the newest committed version never sees a
+    half-written one, and a publish that died leaves nothing in the way of the next.
+    """
+    return commit(df.sparkSession, root, name, stage(df, root, name))
+
+
+def discard(spark: SparkSession, root: str, folder: str) -> None:
+    """Deletes a staged folder that will not be committed."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{folder}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def publish_splits(df: DataFrame, root: str, name: str, split_col: str = "split") -> int:
+    """K3: features and target of all splits in one write, committed together as one version.
+
+    The manifest names a folder per split, so that :func:`replace_split` can exchange one of
+    them and readers (:func:`.readers.read_splits`) always get splits that belong together.
+    """
+    spark = df.sparkSession
+    names = Watch(F.collect_set(col(split_col).cast("string")).alias("names"))
+    folder = stage(names.on(df), root, name, [split_col])
+    return _commit_splits(spark, root, name, {s: f"{folder}/{split_col}={s}" for s in names.get()["names"]})
+
+
+def replace_split(df: DataFrame, root: str, name: str, split: str) -> int:
+    """A new version in which one split has new rows and the others stay the files they are."""
+    spark = df.sparkSession
+    folders = split_folders(spark, root, name)
+    if not folders:
+        raise FileNotFoundError(f"No committed splits of '{name}' under {root}")
+    return _commit_splits(spark, root, name, folders | {split: stage(df, root, name)})
+
+
+def _commit_splits(spark: SparkSession, root: str, name: str, folders: dict) -> int:
+    version = latest_split_version(spark, root, name) + 1
+    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    # One file, so the version's rows appear together.
+    (spark.createDataFrame([(name, version, s, f, now) for s, f in sorted(folders.items())],
+                           "name string, version int, split string, folder string, committed_at timestamp_ntz")
+     .coalesce(1).write.mode("append").parquet(f"{root}/{SPLITS}"))
+    return version
+
+
 def write_splits(df: DataFrame, path: str, split_col: str = "split", mode: str = "overwrite") -> None:
     """K3: one table partitioned by split, so reading one split prunes the rest."""
     df.write.mode(mode).partitionBy(split_col).parquet(path)
@@ -77,15 +125,3 @@ def write_predictions(df: DataFrame, path: str, key: str, cols: Sequence[str] =
                       mode: str = "overwrite") -> None:
     """Predictions keep the business key so they can be matched to input."""
     df.select(col(key), *[col(c) for c in cols]).write.mode(mode).parquet(path)
-
-
-def write_stream_predictions(df: DataFrame, path: str, checkpoint: str, key: str,
-                             cols: Sequence[str] = ("prediction",)):
-    """Streaming form of K10: append-only file sink with its own checkpoint."""
-    return (df.select(col(key), *[col(c) for c in cols]).writeStream.format("parquet")
-            .option("path", path).option("checkpointLocation", checkpoint)
-            .outputMode("append"))
-
-
-def with_run_columns(df: DataFrame, run_id: str) -> DataFrame:
-    return df.withColumn("run_id", F.lit(run_id))
