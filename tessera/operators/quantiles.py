@@ -17,6 +17,8 @@ bracketing, over the table melted once to ``(column, value)``:
    inside its ends (only those rows are emitted). If the sketch missed, the counts
    tell on which side of the bracket the rank lies, and only that side is looked at
    again. Each round leaves out at least the values of one end, so it ends on any data;
+   The values of all ranges still open after the first round are written out once; later
+   rounds, and the collection, read that table, so the input is scanned three times at most;
 3. one pass collects ``(value, count)`` pairs inside the final brackets (at most
    ``max_candidates`` rows' worth each and ``max_total`` altogether) and the
    driver walks the counts. Both bounds only choose between collecting and one
@@ -31,11 +33,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import col
+from ..session import materialize
 
 RESULT_SCHEMA = T.StructType([
     T.StructField("column_name", T.StringType(), False),
@@ -64,7 +67,12 @@ def _valid(c: str) -> Column:
     return F.when(v.isNotNull() & ~F.isnan(v), v)
 
 
-def _position_counts(df: DataFrame, bounds: dict[str, list[float]]) -> dict[str, dict[int, int]]:
+def _candidate(c: str) -> Column:
+    """A column's value in a ``(c, v)`` table."""
+    return F.when(F.col("c") == F.lit(c), F.col("v"))
+
+
+def _position_counts(df: DataFrame, bounds: dict[str, list[float]], value=_valid) -> dict[str, dict[int, int]]:
     """Per column, how many values fall at each position among its sorted bracket ends.
 
     Position ``2j+1`` is "equal to end j", position ``2j`` is "strictly between ends
@@ -73,7 +81,7 @@ def _position_counts(df: DataFrame, bounds: dict[str, list[float]]) -> dict[str,
     """
     parts = []
     for c, bs in bounds.items():
-        v = _valid(c)
+        v = value(c)
         below = sum((F.when(v > F.lit(b), 1).otherwise(0) for b in bs), F.lit(0))
         equal = sum((F.when(v == F.lit(b), 1).otherwise(0) for b in bs), F.lit(0))
         parts.append(F.struct(F.lit(c).alias("c"), F.when(v.isNotNull(), below * 2 + equal).alias("pos")))
@@ -86,11 +94,16 @@ def _position_counts(df: DataFrame, bounds: dict[str, list[float]]) -> dict[str,
 
 
 def _counts_for(t: dict, bs: list[float], hist: dict[int, int]) -> tuple[int, int, int, int]:
-    """(below, inside, at_lo, at_hi) of one bracket from its column's position histogram."""
+    """(below, inside, at_lo, at_hi) of one bracket from its column's position histogram.
+
+    Values below the bracket's range are known; only those inside the range are read off.
+    """
+    span = t["range"]
+    begin = 2 * bs.index(span["lo"]) + (2 if span["lo_open"] else 1)
     i_lo, i_hi = bs.index(t["lo"]), bs.index(t["hi"])
     first = 2 * i_lo + (2 if t["lo_open"] else 1)        # first position inside
     last = 2 * i_hi + (0 if t["hi_open"] else 1)         # last position inside
-    below = sum(n for p, n in hist.items() if p < first)
+    below = span["below"] + sum(n for p, n in hist.items() if begin <= p < first)
     inside = sum(n for p, n in hist.items() if first <= p <= last)
     at_lo = 0 if t["lo_open"] else hist.get(2 * i_lo + 1, 0)
     at_hi = 0 if t["hi_open"] else hist.get(2 * i_hi + 1, 0)
@@ -105,14 +118,14 @@ def _look_within(t: dict, lo: float, lo_open: bool, hi: float, hi_open: bool, be
     t.update(span, range=span)
 
 
-def _inside_values(df: DataFrame, brackets: dict[tuple[str, int], dict], with_rank: bool) -> DataFrame:
+def _inside_values(df: DataFrame, brackets: dict[tuple[str, int], dict], with_rank: bool, value=_valid) -> DataFrame:
     """``(c, [k,] v)`` for values inside the given brackets; a value outside all of them emits nothing."""
     by_col: dict[str, list[tuple[int, dict]]] = {}
     for (c, k), t in brackets.items():
         by_col.setdefault(c, []).append((k, t))
     parts = []
     for c, items in by_col.items():
-        v = _valid(c)
+        v = value(c)
         if with_rank:
             for k, t in items:
                 parts.append(F.when(_in_bracket(v, t), F.struct(F.lit(c).alias("c"), F.lit(k).cast("long").alias("k"),
@@ -135,6 +148,18 @@ def exact_quantiles(
     max_total: int = 2_000_000,
 ) -> dict[tuple[str, float], float | None]:
     """Return ``{(column, p): value}`` with pandas' linear interpolation (NaN counts as missing)."""
+    return described_quantiles(df, columns, probs, accuracy, max_candidates, max_total)[0]
+
+
+def described_quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probs: Sequence[float],
+    accuracy: int = 10_000,
+    max_candidates: int = 200_000,
+    max_total: int = 2_000_000,
+) -> tuple[dict[tuple[str, float], float | None], dict]:
+    """The quantiles, and per column with values its row ``n, mn, mx, mean, std`` from the same first scan."""
     cols = list(columns)
     probs = [float(p) for p in probs]
     margin = 3.0 / accuracy
@@ -143,6 +168,7 @@ def exact_quantiles(
 
     first = {r["c"]: r for r in long.groupBy("c").agg(
         F.count("v").alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"),
+        F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
         F.percentile_approx("v", fracs, accuracy).alias("q")).collect()}
 
     plan: dict[tuple[str, float], tuple | None] = {}   # (c, p) -> (k0, k1, frac)
@@ -168,6 +194,7 @@ def exact_quantiles(
                 _look_within(t, mn, False, mx, False, 0, n)
                 t.update(lo=mn if lo_f == 0.0 else approx[lo_f], hi=mx if hi_f == 1.0 else approx[hi_f])
 
+    rows, value = df, _valid
     pending = list(ranks)
     collect: list[tuple[str, int]] = []
     grid = [i / GRID for i in range(GRID + 1)]
@@ -176,9 +203,9 @@ def exact_quantiles(
         bounds: dict[str, list[float]] = {}
         for c, _k in pending:
             t = ranks[(c, _k)]
-            bounds.setdefault(c, set()).update((t["lo"], t["hi"]))
+            bounds.setdefault(c, set()).update((t["lo"], t["hi"], t["range"]["lo"]))
         bounds = {c: sorted(bs) for c, bs in bounds.items()}
-        hist = _position_counts(df, bounds)
+        hist = _position_counts(rows, bounds, value)
         narrow = []
         for key in pending:
             t, k = ranks[key], key[1]
@@ -220,7 +247,11 @@ def exact_quantiles(
             narrow.append(key)
         if not narrow:
             break
-        sketch = (_inside_values(df, {key: ranks[key] for key in narrow}, with_rank=True)
+        if value is _valid:
+            # Whatever may still be asked for, written once: the ranges to narrow and the brackets to collect.
+            rows, value = materialize(_inside_values(df, {key: ranks[key] for key in (*narrow, *collect)}, with_rank=False),
+                                      name="quantile-candidates"), _candidate
+        sketch = (_inside_values(rows, {key: ranks[key] for key in narrow}, with_rank=True, value=value)
                   .groupBy("c", "k").agg(F.percentile_approx("v", grid, accuracy).alias("q"),
                                          F.min("v").alias("mn"), F.max("v").alias("mx")))
         got = {(r["c"], r["k"]): r for r in sketch.collect()}
@@ -236,7 +267,7 @@ def exact_quantiles(
         pending = narrow
 
     if collect:
-        pairs = _inside_values(df, {key: ranks[key] for key in collect}, with_rank=False) \
+        pairs = _inside_values(rows, {key: ranks[key] for key in collect}, with_rank=False, value=value) \
             .groupBy("c", "v").count()
         by_col: dict[str, list[tuple[float, int]]] = {}
         for r in pairs.collect():
@@ -261,7 +292,7 @@ def exact_quantiles(
         k0, k1, frac = spec
         v0, v1 = ranks[(c, k0)]["value"], ranks[(c, k1)]["value"]
         result[(c, p)] = v0 if frac == 0.0 or v0 == v1 else v0 + (v1 - v0) * frac
-    return result
+    return result, first
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
@@ -273,8 +304,15 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
         rows = [(c, float(p), None if res[(c, p)] is None else float(res[(c, p)]))
                 for c in columns for p in probs]
         return spark.createDataFrame(rows, RESULT_SCHEMA)
-    sk = {r["c"]: r["q"] for r in _melt(df, columns).groupBy("c").agg(
-        F.percentile_approx("v", list(probs), accuracy).alias("q")).collect()}
-    rows = [(c, float(p), None if sk.get(c) is None else float(sk[c][i]))
-            for c in columns for i, p in enumerate(probs)]
+    res, _ = sketched_quantiles(df, columns, probs, accuracy)
+    rows = [(c, float(p), None if res[(c, p)] is None else float(res[(c, p)])) for c in columns for p in probs]
     return spark.createDataFrame(rows, RESULT_SCHEMA)
+
+
+def sketched_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
+                       accuracy: int = 10_000) -> tuple[dict[tuple[str, float], float | None], dict]:
+    """As :func:`described_quantiles`, from one scan: ``percentile_approx`` at the given accuracy."""
+    first = {r["c"]: r for r in _melt(df, columns).groupBy("c").agg(
+        F.count("v").alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+        F.percentile_approx("v", list(probs), accuracy).alias("q")).collect()}
+    return {(c, p): first[c]["q"][i] if c in first else None for c in columns for i, p in enumerate(probs)}, first

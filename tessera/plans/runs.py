@@ -27,6 +27,7 @@ from ..operators.metrics import evaluate_saved, metrics_long
 from ..operators.observe import Watch
 from ..operators.profile import fingerprint_columns, fingerprint_text
 from ..operators.transform import apply_transformer, wanted_params
+from ..session import scratch_scope
 from ..sources import readers as R
 from ..sources import sinks as K
 from . import jobs
@@ -63,23 +64,31 @@ def run_row(spark: SparkSession, store: str, job: str, run_id: str | None = None
 
 
 def training_run(df_raw: DataFrame, cfg: Mapping, store: str, split_method: str = "hash") -> jobs.TrainResult:
-    """L3, written out; the run's folder holds ``predictions`` by split and ``metrics``."""
+    """L3, written out; the run's folder holds ``predictions`` by split, ``metrics`` and ``scores``.
+
+    The result's frames read the store; no intermediate table outlives the run.
+    """
     spark, run_id = df_raw.sparkSession, uuid.uuid4().hex[:12]
-    result = jobs.train_job(df_raw, cfg, split_method)
-    key, target = cfg["key"], cfg["target"]
-    # K3: the model's inputs and the target of every row, by split, under one version.
-    wide = [] if result.wide is None else sorted(r["source"] for r in result.wide.select("source").distinct().collect())
-    matrix = apply_transformer(result.data, result.params, keep=[key, target, "split", *[w for w in wide if w != key]], outputs=result.features)
-    K.publish_splits(matrix, store, "features")
-    folder = f"model/data-{run_id}"
-    jobs.save_training(result, f"{store}/{folder}")
-    rows = Watch(F.count(F.lit(1)).alias("n_rows"), F.count_if(~is_finite(F.col("prediction"))).alias("n_not_finite"),
-                 F.count_if(F.col("split") == "train").alias("n_train"))
-    K.write_splits(rows.on(result.predictions).withColumnRenamed("prediction", "y_pred"), f"{store}/train/{run_id}/predictions")
-    K.write_json(metrics_long(result.metrics, by="split"), f"{store}/train/{run_id}/metrics")
+    key, target, own, folder = cfg["key"], cfg["target"], f"{store}/train/{run_id}", f"model/data-{run_id}"
+    with scratch_scope(spark):
+        result = jobs.train_job(df_raw, cfg, split_method)
+        # K3: the model's inputs and the target of every row, by split, under one version.
+        wide = [] if result.wide is None else sorted(r["source"] for r in result.wide.select("source").distinct().collect())
+        matrix = apply_transformer(result.data, result.params, keep=[key, target, "split", *[w for w in wide if w != key]], outputs=result.features)
+        K.publish_splits(matrix, store, "features")
+        jobs.save_training(result, f"{store}/{folder}")
+        rows = Watch(F.count(F.lit(1)).alias("n_rows"), F.count_if(~is_finite(F.col("prediction"))).alias("n_not_finite"),
+                     F.count_if(F.col("split") == "train").alias("n_train"))
+        K.write_splits(rows.on(result.predictions).withColumnRenamed("prediction", "y_pred"), f"{own}/predictions")
+        K.write_params(result.metrics, f"{own}/metrics_table")
+        K.write_json(metrics_long(spark.read.parquet(f"{own}/metrics_table"), by="split"), f"{own}/metrics")
+        K.write_params(result.scores, f"{own}/scores")
     version = K.commit(spark, store, "model", folder)
     record_run(spark, store, run_id, "train", f"train/{run_id}", _schema(df_raw), {**rows.get(), "model_version": version}, cfg)
-    return result
+    model, read = jobs.load_training(spark, f"{store}/{folder}"), spark.read.parquet
+    return jobs.TrainResult(model.params, read(f"{own}/scores"), read(f"{store}/{folder}/selected_features"), model.coefficients,
+                            R.read_predictions(spark, f"{own}/predictions").withColumnRenamed("y_pred", "prediction"),
+                            read(f"{own}/metrics_table"), model.features, model.group_means, model.wide, R.read_splits(spark, store, "features"))
 
 
 def scoring_run(df_raw: DataFrame, cfg: Mapping, store: str, model: jobs.TrainedModel | None = None,
@@ -107,7 +116,8 @@ def scoring_run(df_raw: DataFrame, cfg: Mapping, store: str, model: jobs.Trained
                 F.count_if(p.isNotNull() & ~is_finite(p)).alias("n_not_finite"),
                 F.avg(p).alias("mean"), F.min(p).alias("min"), F.max(p).alias("max"))
     folder = f"score/{run_id}"
-    out.on(rows).write.partitionBy("status").parquet(f"{store}/{folder}")
+    with scratch_scope(spark):
+        out.on(rows).write.partitionBy("status").parquet(f"{store}/{folder}")
     first, counts = seen.get(), out.get()
     counts = {"n_rows": first["n_rows"], "fingerprint": fingerprint_text(first), **counts, "absent_inputs": absent}
     if require_rows and not counts["n_scored"]:

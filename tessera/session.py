@@ -10,7 +10,9 @@ from __future__ import annotations
 import logging
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,10 +77,40 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or folder
 
 
+_SCOPE: ContextVar[list | None] = ContextVar("scratch_scope", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list]:
+    """Owns the intermediate tables made inside it and deletes them at its end, also after an error.
+
+    For jobs that write their results elsewhere: no frame that reads such a table may be used
+    after the scope. A scope inside another one ends by itself; what is made outside any scope stays until
+    the platform cleans the checkpoint folder.
+    """
+    paths: list[str] = []
+    token = _SCOPE.set(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPE.reset(token)
+        for path in paths:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder through its own file system."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def scratch_path(spark: SparkSession, name: str = "table") -> str:
     """A fresh folder for an intermediate table inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
+    if _SCOPE.get() is not None:
+        _SCOPE.get().append(path)
+    return path
 
 
 def materialize(df: DataFrame, partition_by: Sequence[str] | None = None, name: str = "table") -> DataFrame:

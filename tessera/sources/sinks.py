@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import col
 from ..operators.observe import Watch
+from ..session import remove
 from .readers import MANIFEST, SPLITS, latest_split_version, latest_version, split_folders
 
 
@@ -55,8 +56,7 @@ def publish(df: DataFrame, root: str, name: str) -> int:
 
 def discard(spark: SparkSession, root: str, folder: str) -> None:
     """Deletes a staged folder that will not be committed."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{folder}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    remove(spark, f"{root}/{folder}")
 
 
 def publish_splits(df: DataFrame, root: str, name: str, split_col: str = "split") -> int:

@@ -109,3 +109,25 @@ def test_exact_quantiles_with_a_coarse_sketch(spark):
     for i, c in enumerate("abc"):
         for p in probs:
             assert abs(got[(c, p)] - np.quantile([r[i] for r in data], p)) <= 1e-9 * max(1.0, abs(got[(c, p)])), (c, p)
+
+
+def test_quartiles_read_the_input_three_times_at_most(spark):
+    import random
+    rng = random.Random(8)
+    data = [(rng.gauss(0, 1), float(int(rng.expovariate(.1))), rng.choice([1.0, 2.0, None])) for _ in range(4000)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame(data, "a double, b double, c double").repartition(3)
+    watched = df.mapInArrow(count, df.schema)
+    from tessera.operators.quantiles import described_quantiles
+    probs = [0.25, 0.5, 0.75]
+    got, first = described_quantiles(watched, ["a", "b", "c"], probs, accuracy=30, max_candidates=20, max_total=60)
+    assert seen.value <= 3 * len(data)
+    pdf = df.toPandas()
+    assert all(got[(c, p)] == pytest.approx(pdf[c].quantile(p)) for c in "abc" for p in probs)
+    assert first["c"]["n"] == pdf["c"].count() and first["a"]["std"] == pytest.approx(pdf["a"].std())

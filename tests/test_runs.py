@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from tessera.operators.joins import align, align_counts
 from tessera.plans import catalog_io as io
 from tessera.plans import jobs, runs
 from tessera.plans.views import order_features
+from tessera.session import ensure_checkpoint_dir, materialize, scratch_scope
 from tessera.sources import readers as R
 from tessera.sources import sinks as K
 from tessera.streaming import scoring
@@ -56,6 +58,20 @@ def test_steps_with_a_store_write_and_read_everything(spark, of, tmp_path):
         runs.scored(spark, str(tmp_path), "o_orderkey", "unknown")
 
 
+def test_a_training_and_ten_scorings_leave_no_table_behind(spark, of, tmp_path):
+    tables = Path(ensure_checkpoint_dir(spark).removeprefix("file:")) / "tables"
+    before = set(tables.glob("*")) if tables.exists() else set()
+    t = runs.training_run(of, ORDER_FEATURES, str(tmp_path))
+    for _ in range(10):
+        runs.scoring_run(of.limit(30), ORDER_FEATURES, str(tmp_path))
+    assert set(tables.glob("*")) == before
+    assert t.predictions.count() == t.data.count() and t.scores.count() > 6 and t.metrics.count() == 2
+    with pytest.raises(RuntimeError, match="stop"), scratch_scope(spark):
+        materialize(of.limit(3))
+        raise RuntimeError("stop")
+    assert set(tables.glob("*")) == before
+
+
 def test_scoring_reads_its_input_once(spark, of, tmp_path):
     seen = spark.sparkContext.accumulator(0)
 
