@@ -318,9 +318,10 @@ def find_repeats(slim: DataFrame, scratch: Scratch, length: int) -> tuple[DataFr
     near = _with_spots(slim, scratch.write(_by_row(judged.where("not repeated")), "open"))
     windows = scratch.write(near.mapInArrow(_window_rows(length), f"id {kind}, tag bigint, k1 bigint, k2 bigint, s bigint"), "windows")
     again = windows.groupBy("k1", "k2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("k1", "k2", "first")
-    edges = windows.join(again, ["k1", "k2"]).where("first < id").select("id", "tag", F.col("s").alias("lo"), F.col("s").alias("hi"))
+    again = scratch.write(again, "again")
+    edges = maybe_in(windows, "k1", again, "k1").join(again, ["k1", "k2"]).where("first < id").select("id", "tag", F.col("s").alias("lo"), F.col("s").alias("hi"))
     spots = scratch.write(_by_row(judged.where("repeated").select("id", "tag", "lo", "hi").unionByName(edges)), "spots")
-    scratch.drop("judged", "open", "windows", "firsts")
+    scratch.drop("judged", "open", "windows", "again", "firsts")
     return copies, spots
 
 
