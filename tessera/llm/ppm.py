@@ -34,17 +34,52 @@ from tessera.llm.common import Scratch, maybe_in
 from tessera.llm.tokens import _layout, row_slices, word_slices
 
 SLICE = 1 << 19
-_FLUSH = 1 << 20
+_FLUSH = 1 << 22  # keys a task holds of one kind before they are summed (32 MB)
 
 
-class Order(NamedTuple):
-    """One context length of a model held in memory: symbols by (context, symbol) key and contexts by key, both sorted."""
+class Prices(NamedTuple):
+    """A hash table with open addressing: slot, then the slots after it, until the key or an empty slot (-1)."""
     keys: np.ndarray
-    counts: np.ndarray
-    contexts: np.ndarray
-    kept: np.ndarray     # sum of the kept symbols' counts
-    escape: np.ndarray   # distinct symbols + what pruning took
-    lower: np.ndarray    # count, at the next shorter context, of the symbols kept here
+    values: np.ndarray
+
+
+def _slot(keys: np.ndarray, size: int) -> np.ndarray:
+    """Multiplicative hashing to a power of two of slots."""
+    return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - size.bit_length())).astype(np.int64)
+
+
+def price_table(keys: np.ndarray, values: np.ndarray) -> Prices:
+    """The table of distinct, non-negative keys; at most half full."""
+    size = 1 << max(4, (2 * len(keys) - 1).bit_length())
+    table, out = np.full(size, -1, dtype=np.int64), np.zeros(size)
+    open_, at = np.arange(len(keys)), _slot(keys, size)
+    while len(open_):
+        free = table[at] == -1
+        table[at[free]] = keys[open_[free]]  # of several keys for one slot the last one stays
+        placed = table[at] == keys[open_]
+        out[at[placed]] = values[open_[placed]]
+        open_, at = open_[~placed], (at[~placed] + 1) & (size - 1)
+    return Prices(table, out)
+
+
+def look_up(table: Prices, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(value or 0, found) of each key; all keys are probed side by side, nothing is sorted."""
+    size = len(table.keys)
+    at = _slot(keys, size)
+    there = table.keys[at]
+    found = there == keys
+    out = np.where(found, table.values[at], 0.0)
+    open_ = np.flatnonzero(~found & (there != -1))
+    at = at[open_]
+    while len(open_):
+        at = (at + 1) & (size - 1)
+        there = table.keys[at]
+        hit = there == keys[open_]
+        out[open_[hit]] = table.values[at[hit]]
+        found[open_[hit]] = True
+        more = ~hit & (there != -1)
+        open_, at = open_[more], at[more]
+    return out, found
 
 
 def byte_grams(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -67,9 +102,12 @@ def byte_grams(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[np.nd
 
 def _counts(order: int):
     """(kind, key, n): byte sequences of training texts (0) and others (2), training words (1), summed within a task up to a bound."""
-    def merge(parts):
-        keys, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-        return keys, np.bincount(back, weights=np.concatenate([c for _, c in parts])).astype(np.int64)
+    def summed(parts):
+        keys = np.sort(np.concatenate(parts))
+        new = np.ones(len(keys), dtype=bool)
+        new[1:] = keys[1:] != keys[:-1]
+        begins = np.flatnonzero(new)
+        return keys[begins], np.diff(np.append(begins, len(keys)))
 
     def emit(kind, keys, counts):
         for i in range(0, len(keys), 1 << 18):
@@ -87,14 +125,13 @@ def _counts(order: int):
         for batch in batches:
             train, other = (batch.column(0).filter(mask) for mask in (batch.column(1), pc.invert(batch.column(1))))
             for kind, keys in chain(grams(train, 0), grams(other, 2), ((1, s.hashes) for s in word_slices(train, lower=True))):
-                held[kind].append(np.unique(keys, return_counts=True))
-                if sum(len(k) for k, _ in held[kind]) > _FLUSH:
-                    held[kind] = [merge(held[kind])]
-                    if len(held[kind][0][0]) > _FLUSH // 2:
-                        yield from emit(kind, *held[kind].pop())
+                held[kind].append(keys)
+                if sum(map(len, held[kind])) > _FLUSH:
+                    yield from emit(kind, *summed(held[kind]))
+                    held[kind] = []
         for kind, parts in held.items():
             if parts:
-                yield from emit(kind, *merge(parts))
+                yield from emit(kind, *summed(parts))
     return run
 
 
@@ -157,52 +194,30 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, (keys[at] == wanted) if len(keys) else np.zeros(len(wanted), bool)
 
 
-def code_lengths(keys: np.ndarray, trie: list[Order]) -> np.ndarray:
-    """log10 probability of each symbol given its context (both in its key)."""
-    out = np.zeros(len(keys))
-    open_ = np.arange(len(keys))  # symbols not yet coded
-    barred = np.zeros(len(keys))  # count, at this context, of what a longer one has offered
-    gone = np.zeros(len(keys))    # how many symbols that is
-    for k in range(len(trie) - 1, -1, -1):
-        if not len(open_):
-            return out
-        o = trie[k]
-        mine = keys[open_] & ((1 << (8 * (k + 1))) - 1)
-        ctx, known = _find(o.contexts, mine >> 8)
-        at, hit = _find(o.keys, mine)
-        if len(o.contexts):
-            room = o.kept[ctx] - barred[open_] + o.escape[ctx]
-            gain = np.where(hit, o.counts[at] if len(o.keys) else 0, o.escape[ctx])
-            out[open_] += np.where(known, np.log10(np.where(known, gain / np.maximum(room, 1e-300), 1.0)), 0.0)
-            lost = open_[known & ~hit]
-            barred[open_] = 0.0
-            barred[lost] = o.lower[ctx[known & ~hit]]
-            if k == 0:
-                gone[lost] = len(o.keys)
-            open_ = open_[~(known & hit)]
-    out[open_] -= np.log10(np.maximum(256 - gone[open_], 1))
-    return out
-
-
 def _scores(order: int, model):
     """Per text: what the frequent sequences give to the log10 probability, the other sequences and how often
     each occurs, words, and what the frequent words give to the unigram score."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (head, price), (often, often_n) = model.value
+        head, (often, often_n) = model.value
         for batch in batches:
             data, offsets = _layout(batch.column(1))
             score, sizes, tail, times = np.zeros(batch.num_rows), np.zeros(batch.num_rows + 1, np.int64), [], []
             for a, b in row_slices(offsets, SLICE):
                 keys, begins = byte_grams(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], order)
-                keys, place = np.unique(keys.view(np.int64), return_inverse=True)
-                at, hit = _find(head, keys)
-                score[a:b] = np.add.reduceat((np.where(hit, price[at], 0.0) if len(head) else np.zeros(len(keys)))[place], begins)
-                owner = np.repeat(np.arange(b - a), np.diff(np.append(begins, len(place))))
-                missing = ~hit[place]
-                pairs, n = np.unique(owner[missing] * len(keys) + place[missing], return_counts=True)
-                sizes[a + 1:b + 1] = np.bincount(pairs // max(len(keys), 1), minlength=b - a)
-                tail.append(keys[pairs % max(len(keys), 1)])
-                times.append(n)
+                keys = keys.view(np.int64)
+                price, hit = look_up(head, keys)
+                score[a:b] = np.add.reduceat(price, begins)
+                # Only what the head lacks is sorted: each row's other sequences and how often it holds them.
+                missing = np.flatnonzero(~hit)
+                owner = np.searchsorted(begins, missing, side="right") - 1
+                order_ = np.lexsort((keys[missing], owner))
+                owner, rare = owner[order_], keys[missing][order_]
+                new = np.ones(len(rare), dtype=bool)
+                new[1:] = (rare[1:] != rare[:-1]) | (owner[1:] != owner[:-1])
+                at = np.flatnonzero(new)
+                sizes[a + 1:b + 1] = np.bincount(owner[at], minlength=b - a)
+                tail.append(rare[at])
+                times.append(np.diff(np.append(at, len(rare))))
             ends = pa.array(np.cumsum(sizes).astype(np.int32))
             tail, times = (pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.int64), *x]))) for x in (tail, times))
             for s in word_slices(batch.column(1), lower=True):
@@ -252,7 +267,8 @@ def ppm_scores(docs: DataFrame, training: Column, id_col: str = "doc_id", text_c
     bar = head_bar(prices, "seen", max_nodes)
     head = prices.where(F.col("seen") >= bar).select("key", "price").toArrow().sort_by("key")
     top = words.orderBy(F.desc("n"), "key").limit(often).toArrow().sort_by("key")
-    model = spark.sparkContext.broadcast(tuple((np.asarray(t["key"], dtype=np.int64), np.asarray(t[v], dtype=np.float64)) for t, v in ((head, "price"), (top, "n"))))
+    known = tuple((np.asarray(t["key"], dtype=np.int64), np.asarray(t[v], dtype=np.float64)) for t, v in ((head, "price"), (top, "n")))
+    model = spark.sparkContext.broadcast((price_table(*known[0]), known[1]))
     floor = int(np.min(np.asarray(top["n"]))) if top.num_rows else 0
     first = (slim.select("id", "text", "train").mapInArrow(
         _scores(order, model), f"id {kind}, train boolean, score double, n_words bigint, n_often bigint, often_logs double, rare array<bigint>, "

@@ -375,58 +375,49 @@ def test_ppm_base_and_model(spark, edge, docs):
         assert out.where("score > 0 or isnan(score)").count() == 0
 
 
-def test_ppm_probabilities_sum_to_one():
-    import numpy as np
-    import pyarrow as pa
-    from tessera.llm.ppm import Order, byte_grams, code_lengths
-    from tessera.llm.tokens import _layout
-    data, offsets = _layout(pa.array(["abracadabra", "a cab", "", "Abba"]))
-    keys = byte_grams(data, offsets, 2)[0].view(np.int64)
-    assert len(keys) == 11 + 5 + 0 + 4 + 4
-    for least in (1, 2):
-        trie = []
-        for k in range(3):
-            u, c = np.unique(keys & ((1 << 8 * (k + 1)) - 1), return_counts=True)
-            every = np.unique(u >> 8, return_inverse=True)
-            all_ = np.bincount(every[1], weights=c)
-            u, c = u[c >= least], c[c >= least].astype(float)
-            contexts, back = np.unique(u >> 8, return_inverse=True)
-            kept = np.bincount(back, weights=c, minlength=len(contexts))
-            lower = np.zeros(len(contexts))
-            if k:
-                np.add.at(lower, back, trie[-1].counts[np.searchsorted(trie[-1].keys, u & ((1 << 8 * k) - 1))])
-            gone = all_[np.searchsorted(every[0], contexts)] - kept
-            trie.append(Order(u, c, contexts, kept, gone + np.bincount(back, minlength=len(contexts)), lower))
-        for context in (b"ab", b"br", b"zz", b"\0\0", b"\0a"):
-            base = int.from_bytes(context, "big") << 8
-            total = (10 ** code_lengths(np.arange(256) + base, trie)).sum()
-            assert total == pytest.approx(1.0, abs=1e-9) or total < 1.0  # escapes of exhausted contexts lose mass, never gain it
+def test_ppm_probabilities_sum_to_one(spark):
+    from tessera.llm.common import Scratch
+    from tessera.llm.ppm import price_grams
+    from tests.llm.ppm_reference import Model, symbols
+    texts, order = ["abracadabra", "a cab", "", "Abba"], 2
+    seen = collections.Counter(int.from_bytes(c + bytes([s])) for t in texts for c, s in symbols(t, order))
+    contexts = (b"ab", b"br", b"zz", b"\0\0", b"\0a")
+    keys = set(seen) | {int.from_bytes(c + bytes([s])) for c in contexts for s in range(256)}
+    grams = spark.createDataFrame([(k, seen[k], 1) for k in keys], "key bigint, n bigint, seen bigint")
+    price = {r["key"]: r["price"] for r in price_grams(grams, order, Scratch(spark, "test")).collect()}
+    model = Model(texts, order)
+    for c in contexts:
+        own = [price[int.from_bytes(c + bytes([s]))] for s in range(256)]
+        assert own == pytest.approx([model.log10(c, s) for s in range(256)], abs=1e-9)
+        total = sum(10 ** p for p in own)
+        assert total == pytest.approx(1.0, abs=1e-9) or total < 1.0  # escapes of exhausted contexts lose mass, never gain it
 
 
 def test_ppm_scores_equal_an_unpruned_model(spark):
-    import numpy as np
-    import pyarrow as pa
-    from tessera.llm.ppm import Order, byte_grams, code_lengths, ppm_scores
-    from tessera.llm.tokens import _layout
+    from tessera.llm.ppm import ppm_scores
+    from tests.llm.ppm_reference import Model
     rng = random.Random(9)
     texts = ["".join(rng.choices("abcde fgñ", k=rng.randint(0, 60))) for _ in range(80)] + ["zzz never seen", "", "abc abc abc abc"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
-    held = lambda i: i % 4 == 0
-    data, offsets = _layout(pa.array([t for i, t in enumerate(texts) if not held(i)]))
-    keys, trie = byte_grams(data, offsets, 3)[0].view(np.int64), []
-    for k in range(4):
-        u, c = np.unique(keys & ((1 << 8 * (k + 1)) - 1), return_counts=True)
-        contexts, back = np.unique(u >> 8, return_inverse=True)
-        lower = np.zeros(len(contexts))
-        if k:
-            np.add.at(lower, back, trie[-1].counts[np.searchsorted(trie[-1].keys, u & ((1 << 8 * k) - 1))])
-        trie.append(Order(u, c.astype(float), contexts, np.bincount(back, weights=c), np.bincount(back).astype(float), lower))
-    data, offsets = _layout(pa.array(texts))
-    grams, begins = byte_grams(data, offsets, 3)
-    want = np.add.reduceat(code_lengths(grams.view(np.int64), trie), begins)
+    model = Model([t for i, t in enumerate(texts) if i % 4], 3)
+    want = [model.score(t) for t in texts]
     for bound in (1, 40, 1 << 21):  # what is sent to the workers must not change the scores
         got = {r["doc_id"]: r["score"] for r in ppm_scores(df, F.col("doc_id") % 4 != 0, order=3, max_nodes=bound, often=5).collect()}
-        assert [got[i] for i in range(len(texts))] == pytest.approx(list(want), abs=1e-9)
+        assert [got[i] for i in range(len(texts))] == pytest.approx(want, abs=1e-9)
+
+
+def test_price_table_finds_every_key():
+    import numpy as np
+    from tessera.llm.ppm import look_up, price_table
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 7, 5000):
+        keys = np.unique(rng.integers(0, 1 << 48, n))
+        values = rng.normal(size=len(keys))
+        table = price_table(keys, values)
+        asked = np.concatenate([keys, rng.integers(0, 1 << 48, 3000)])
+        out, found = look_up(table, asked)
+        assert found.tolist() == np.isin(asked, keys).tolist()
+        assert (out[:len(keys)] == values).all() and (out[~found] == 0).all()
 
 
 def test_classifiers_on_edge_cases(spark, edge):
