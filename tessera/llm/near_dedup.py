@@ -131,20 +131,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = _links(scratch, same, slim, kind, shingle, percent)
     # Documents with the same set, and repeated ids, are links to the set's representative.
     known = (rows_of.where("n > 0 and id is not null").join(same.select("f1", "f2", "n", "rep"), ["f1", "f2", "n"])
-             .select("id", "rep").where("id != rep").distinct())
+             .select("id", "rep").distinct())
     found = components(links.unionByName(_repeated(known)), scratch, "components")
     reps = (same.select("f1", "f2", "n", "rep")
             .join(found.withColumnRenamed("node", "rep"), "rep", "left")
-            .select("f1", "f2", "n", F.coalesce("component", "rep").alias("component_id")))
+            .select("f1", "f2", "n", "rep", F.coalesce("component", "rep").alias("component_id")))
     reps = scratch.write(reps, "labels")
-    out = rows_of.select("id", "n", "f1", "f2").join(reps, ["f1", "f2", "n"], "left")
+    rows = rows_of.select("id", "n", "f1", "f2")
+    full = rows.where("n > 0").join(reps.drop("rep"), ["f1", "f2", "n"], "left").select("id", "n", "component_id")
+    # A wordless row of an id that has other rows belongs to their component.
+    empty = rows.where("n = 0").select("id", "n")
+    others = (known.join(empty.select("id").distinct(), "id", "left_semi").join(reps.select("rep", "component_id"), "rep")
+              .groupBy("id").agg(F.min("component_id").alias("component_id")))
+    out = full.unionByName(empty.join(others, "id", "left"))
     own = F.when(F.col("id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "id")).cast(ids)
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id"),
                       F.col("id").eqNullSafe(own).alias("kept"))
 
 
 def _repeated(known: DataFrame) -> DataFrame:
-    """Ids that occur with several different sets tie those sets together."""
+    """Ids that occur with several different sets tie those sets together (their own set's among them)."""
     many = known.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a != b")
     return (known.join(many.select("id"), "id").select(F.col("id").alias("a"), F.col("rep").alias("b")))
 
