@@ -3,8 +3,9 @@
 Folding maps homoglyphs (accented, full-width, Greek and Cyrillic look-alikes) and digit
 substitutions to plain letters, one character for one. The lexicon is learnt from labelled
 rows: words whose share among toxic texts is far above their share among others, weighted by
-the log ratio. Matches are whole words; those inside an exception phrase don't count. The
-weighted hits and their density per word are calibrated by a logistic curve.
+the log ratio. Matches are whole words; those inside an exception phrase don't count. Exceptions
+are given, and learnt: a lexicon word with its neighbour, where the two together stand among clean texts
+far more often than among toxic ones. The weighted hits and their density per word are calibrated by a logistic curve.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
@@ -85,7 +87,16 @@ def measure(text: str, found) -> tuple[float, float]:
             if (begin and plain[begin - 1].isalpha()) or (end + 1 < len(plain) and plain[end + 1].isalpha()):
                 continue
             (hits if weight is not None else spared).append((begin, end, weight))
-    total = sum(w for b, e, w in hits if not any(sb <= b and e <= se for sb, se, _ in spared))
+    # Exceptions by begin, each with the furthest end so far: one look-up tells whether a hit lies in any.
+    spared.sort(key=lambda s: s[0])
+    begins, reach = [s[0] for s in spared], []
+    for _, end, _ in spared:
+        reach.append(max(end, reach[-1]) if reach else end)
+    total = 0.0
+    for begin, end, weight in hits:
+        at = bisect_right(begins, begin)
+        if not at or reach[at - 1] < end:
+            total += weight
     return total, 100 * total / max(len(text.split()), 1)
 
 
@@ -97,12 +108,26 @@ def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["word", "y"])
 
 
-def learn_lexicon(spark, rows: Sequence[tuple[str, int, int]], lift: float, false_words: float, least: int, size: int) -> dict[str, float]:
-    """Words in at least ``least`` toxic texts that stand ``lift`` times as often there as in others.
+def _phrases_of(lexicon: frozenset):
+    """Once per text, its pairs of neighbouring words, one blank between, of which at least one is in the lexicon."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                plain = fold(batch.column(0)[i].as_py())
+                spans = [m.span() for m in _WORD.finditer(plain)]
+                phrases = sorted({plain[a:d] for (a, b), (c, d) in zip(spans, spans[1:])
+                                  if plain[b:c] == " " and (plain[a:b] in lexicon or plain[c:d] in lexicon)})
+                yield pa.RecordBatch.from_arrays([pa.array(phrases, pa.string()), pa.array([batch.column(1)[i].as_py()] * len(phrases), pa.int32())],
+                                                 names=["word", "y"])
+    return run
+
+
+def _tell(rows: Sequence[tuple[str, int, int]], spark, terms, sign: int, lift: float, false_words: float, least: int) -> dict[str, float]:
+    """Terms that stand ``lift`` times as often in one class of texts (``sign`` 1: toxic, -1: clean), with their log ratio.
 
-    Their log-likelihood ratio must pass Benjamini and Hochberg's bound: at most ``false_words`` of the words found
-    are expected to be there by chance, whatever the number of words tested. Equal texts count once, so that copies
-    of one document are no evidence.
+    Their log-likelihood ratio must pass Benjamini and Hochberg's bound: at most ``false_words`` of the terms found
+    are expected to be there by chance, whatever the number of terms tested. Equal texts count once, so that copies
+    of one document are no evidence. Only terms on the right side of the ratio reach the driver; their number is bounded by the sample.
     """
     rows = sorted({(t, y) for t, y, _ in rows})
     toxic = sum(y for _, y in rows)
@@ -110,18 +135,28 @@ def learn_lexicon(spark, rows: Sequence[tuple[str, int, int]], lift: float, fals
     if not toxic or not clean:
         return {}
     table = spark.createDataFrame(rows, "text string, y int").repartition(spark.sparkContext.defaultParallelism)
-    counts = (table.mapInArrow(_words_of, "word string, y int").groupBy("word")
-              .agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")))
-    ratio = ((F.col("a") + 0.5) / (toxic + 1)) / ((F.col("b") + 0.5) / (clean + 1))
-    n = F.col("a") + F.col("b")
-    part = lambda c, of: c * F.log((c + 1e-9) * len(rows) / (n * of))
-    support = 2 * (part(F.col("a"), toxic) + part(F.col("b"), clean))
-    tested = counts.where((n >= least) & (F.length("word") >= 3)).select("word", "a", ratio.alias("ratio"), support.alias("support"))
-    found = tested.agg(F.count("*").alias("n"), F.collect_list(F.when((F.col("ratio") > 1) & (F.col("support") > 0), F.struct("*"))).alias("words")).first()
+    a, b = F.col("a"), F.col("b")
+    counts = (table.mapInArrow(terms, "word string, y int").groupBy("word").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
+              .where((a + b >= least) & (F.length("word") >= 3)))
+    ratio = ((a + 0.5) / (toxic + 1)) / ((b + 0.5) / (clean + 1))
+    part = lambda c, of: c * F.log((c + 1e-9) * len(rows) / ((a + b) * of))
+    support = 2 * (part(a, toxic) + part(b, clean))
+    scored = counts.select("word", (a if sign > 0 else b).alias("own"), (sign * F.log(ratio)).alias("ratio"), support.alias("support"))
+    found = scored.agg(F.count("*").alias("n"), F.collect_list(F.when((F.col("ratio") > 0) & (F.col("support") > 0), F.struct("*"))).alias("words")).first()
     words = sorted(found["words"], key=lambda r: (-r["support"], r["word"]))
     chance = [math.erfc(math.sqrt(r["support"] / 2)) / 2 for r in words]  # one-sided
     passed = max((i for i, p in enumerate(chance, 1) if p <= false_words * i / found["n"]), default=0)
-    return {r["word"]: math.log(r["ratio"]) for r in [r for r in words[:passed] if r["a"] >= least and r["ratio"] >= lift][:size]}
+    return {r["word"]: r["ratio"] for r in words[:passed] if r["own"] >= least and r["ratio"] >= math.log(lift) - 1e-12}
+
+
+def learn_lexicon(spark, rows: Sequence[tuple[str, int, int]], lift: float, false_words: float, least: int) -> dict[str, float]:
+    """Words in at least ``least`` toxic texts that stand ``lift`` times as often there as in others, with weights."""
+    return _tell(rows, spark, _words_of, 1, lift, false_words, least)
+
+
+def learn_exceptions(spark, rows: Sequence[tuple[str, int, int]], lexicon: dict[str, float], lift: float, false_words: float, least: int) -> tuple[str, ...]:
+    """Phrases of two words, one of them in the lexicon, that stand ``lift`` times as often in clean texts as in toxic ones."""
+    return tuple(sorted(_tell(rows, spark, _phrases_of(frozenset(lexicon)), -1, lift, false_words, least))) if lexicon else ()
 
 
 class Fitted(NamedTuple):
@@ -155,19 +190,20 @@ def _features(total: float, density: float) -> tuple[float, float]:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, training: Column, label: str = "toxic", id_col: str = "doc_id",
                  text_col: str = "text", label_id: str = "doc_id", rows: int = 3000, max_bytes: int = 16 << 20,
-                 lift: float = 8.0, false_words: float = 0.01, least: int = 3, lexicon_size: int = 1000,
+                 lift: float = 8.0, false_words: float = 0.01, least: int = 3,
                  exceptions: Sequence[str] = EXCEPTIONS, seed: int = 5) -> Fitted:
     """Lexicon and curve from a bounded sample.
 
     At most ``rows`` labelled training texts of each class and ``max_bytes`` of text per class, in a
     seeded order of ids; the curve's rows weigh by the class counts of all labelled training ids. Without
-    rows of both classes, or without telling words, the lexicon is empty and every score is the
+    rows of both classes, or without telling words (an id with conflicting labels counts as label 1), the lexicon is empty and every score is the
     share of label 1 among the labelled training ids (0 without any); nothing is toxic then.
     """
     spark = docs.sparkSession
     ship_package(spark)
     found, totals = sample_rows(docs, labels, F.coalesce(training, F.lit(False)), label, id_col, text_col, label_id, rows, max_bytes, seed)
-    lexicon = learn_lexicon(spark, found, lift, false_words, least, lexicon_size)
+    lexicon = learn_lexicon(spark, found, lift, false_words, least)
+    exceptions = (*exceptions, *learn_exceptions(spark, found, lexicon, lift, false_words, least))
     curve = (np.zeros(2), np.ones(2), np.array([0.0, 0.0, -30.0 if not found else _logit(class_share(totals))]))
     if lexicon:
         machine = automaton(lexicon, exceptions)
