@@ -32,6 +32,12 @@ HEADLINE = [
     "r5_metrics_by_split",
     "v8_record_contract",  # JSON record parsing
     "s5_null_tokens",      # text → typed with null tokens
+    "l2_data_stage",       # CSV → checked, counted and written in one pass → profiles
+    "l4_stream_rows",      # scoring stream alone, with a given model
+    "k10_predictions",     # batch scoring alone, with a given model
+    "m13_wide_onehot",     # least squares with a one-hot column per customer
+    "p1_duplicate_documents",  # whole texts, by row digest
+    "j2_align_strict",     # pairs and side counts in one exchange
 ]
 
 

@@ -309,12 +309,3 @@ def prediction_summary(df: DataFrame, pred_col: str = "prediction", prob_col: st
         F.lit(len(df.columns)).cast("long").alias("n_cols"),
         F.avg(v).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"),
     )
-
-
-def by_kind(df: DataFrame, kind: str) -> list[str]:
-    """F11 helper: column names of one kind ("numeric" or "text"/"object")."""
-    if kind == "numeric":
-        return numeric_columns(df)
-    if kind in ("text", "object", "string"):
-        return string_columns(df)
-    raise ValueError(f"Unknown column kind: {kind}")

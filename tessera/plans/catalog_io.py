@@ -402,3 +402,63 @@ def q_m14w(spark, d):
     coefs, wide = S.fit_absorbed(narrow, ["scaler__x"], "cust", params, "o_totalprice")
     preds = S.add_wide(predict(narrow, coefs, keep=["o_orderkey", "cust"]), wide)
     return rounded(preds.select("o_orderkey", "prediction"), 1)
+
+
+# ---- L: whole jobs with a closed form -------------------------------------------------------
+
+def _closed_cfg() -> dict:
+    """The training flow on two numeric inputs: scaling leaves the predictions as they are."""
+    cfg = _cfg()
+    cfg["features"] = {"continuous": ["c_acctbal"], "ordinal": ["lines_cnt"], "most_relevant_features": []}
+    cfg["engineering"] = []
+    cfg["preprocessing"] |= {"fillna": {}, "fillna_groupby": {}, "encoding": {}}
+    cfg["selection"] = {"k": 2}
+    return cfg
+
+
+CLOSED_CTE = _with(OF_CTE, f"""
+cl AS (SELECT *, {SPLIT_SQL} AS split FROM of WHERE last_ship_year IS NOT NULL),
+s AS (SELECT covar_pop(c_acctbal, c_acctbal) AS s11, covar_pop(lines_cnt, lines_cnt) AS s22, covar_pop(c_acctbal, lines_cnt) AS s12,
+             covar_pop(c_acctbal, o_totalprice) AS s1y, covar_pop(lines_cnt, o_totalprice) AS s2y, avg(c_acctbal) AS m1, avg(lines_cnt) AS m2,
+             avg(o_totalprice) AS my FROM cl WHERE split = 'train'),
+b AS (SELECT (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1, (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2, m1, m2, my FROM s),
+pr AS (SELECT o_orderkey, split, o_totalprice AS y, my + b1 * (c_acctbal - m1) + b2 * (lines_cnt - m2) AS p FROM cl, b)""")
+
+
+@register("l1_run_steps", CLOSED_CTE + """
+SELECT split, 'mae' AS metric, round(avg(abs(y - p)), 2) AS value FROM pr GROUP BY split
+UNION ALL SELECT split, 'rmse', round(sqrt(avg((y - p) * (y - p))), 2) FROM pr GROUP BY split""")
+def q_l1(spark, d):
+    """Steps by name, writing to a store: trained on the train split, evaluated from the saved predictions of every split."""
+    cfg = {**_closed_cfg(), "store": scratch_path(spark, "steps"), "split_method": "arith"}
+    state = jobs.run(spark, cfg, "model,evaluation", state={"raw": _of(spark, d)})
+    return rounded(state["metrics"].where("metric in ('mae', 'rmse')"), 2)
+
+
+@register("l2_data_stage", """
+SELECT count(*)::BIGINT AS n_rows, 5::BIGINT AS n_cols, 0::BIGINT AS n_duplicates, 1 AS version, 0::BIGINT AS n_errors FROM orders""")
+def q_l2(spark, d):
+    """CSV → null tokens, declared types, checks and counts while it is written → committed version → shape."""
+    path, store = scratch_path(spark, "csv"), scratch_path(spark, "store")
+    K.write_csv(_orders(spark, d).fillna("NA", ["o_orderpriority"]), path)
+    out = jobs.data_stage(spark, _source(path), out_root=store)
+    errors = out["report"].agg(F.count_if(F.col("status") == "fail").alias("n_errors"))
+    return out["shape"].select("*", F.lit(out["version"]).alias("version"), F.lit(errors.first()[0]).cast("long").alias("n_errors"))
+
+
+@register("l3_closed_form", CLOSED_CTE + "SELECT o_orderkey, split, round(y, 4) AS y_true, round(p, 1) AS prediction FROM pr")
+def q_l3c(spark, d):
+    """The whole training job; every row keeps its own target."""
+    t = jobs.train_job(_of(spark, d), _closed_cfg(), split_method="arith")
+    return rounded(t.predictions.select("o_orderkey", F.col("split").cast("string").alias("split"), "y_true", "prediction"), 4, {"prediction": 1})
+
+
+@register("l4_closed_form", CLOSED_CTE + ", all_rows AS (SELECT o_orderkey, my + b1 * (c_acctbal - m1) + b2 * (lines_cnt - m2) AS p FROM of, b WHERE last_ship_year IS NOT NULL)\n"
+          "SELECT o_orderkey, round(p, 1) AS prediction FROM all_rows")
+def q_l4c(spark, d):
+    """Training run, model committed; scoring run with the reloaded model."""
+    store = scratch_path(spark, "closed")
+    of = _of(spark, d)
+    runs.training_run(of, _closed_cfg(), store, split_method="arith")
+    run = runs.scoring_run(of.drop("o_totalprice"), _closed_cfg(), store)
+    return rounded(runs.scored(spark, store, "o_orderkey", run)[0], 1)

@@ -338,9 +338,9 @@ def default_steps() -> dict:
     def model(spark, cfg, st):
         if cfg.get("store"):
             from .runs import training_run
-            st["train"] = training_run(st["raw"], cfg, cfg["store"])
+            st["train"] = training_run(st["raw"], cfg, cfg["store"], cfg.get("split_method", "hash"))
         else:
-            st["train"] = train_job(st["raw"], cfg)
+            st["train"] = train_job(st["raw"], cfg, cfg.get("split_method", "hash"))
         return st
 
     def evaluation(spark, cfg, st):

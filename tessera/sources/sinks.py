@@ -119,9 +119,3 @@ def feature_list_frame(spark, features: Sequence[str]) -> DataFrame:
 
 def write_feature_list(spark, features: Sequence[str], path: str, mode: str = "overwrite") -> None:
     feature_list_frame(spark, features).write.mode(mode).parquet(path)
-
-
-def write_predictions(df: DataFrame, path: str, key: str, cols: Sequence[str] = ("prediction",),
-                      mode: str = "overwrite") -> None:
-    """Predictions keep the business key so they can be matched to input."""
-    df.select(col(key), *[col(c) for c in cols]).write.mode(mode).parquet(path)
