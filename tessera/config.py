@@ -164,7 +164,7 @@ HOUSING_PREPROCESSING = {
         ],
     },
     "dropna_rows": ["electrical", "garage_cars"],
-    "encoding": {"one_hot": {"apply_to": "categorical", "drop": "first", "handle_unknown": "ignore"}},
+    "encoding": {"one_hot": {"apply_to": "categorical", "drop": "first", "handle_unknown": "ignore", "null_category": True}},
     "scaling": {"method": "standard", "apply_to": ["continuous", "ordinal"]},
 }
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col, is_numeric, nan_to_null, numeric_columns, string_columns, wide_agg
+from ..functions.columns import col, is_numeric, nan_to_null, wide_agg
 from ..session import materialize
 from .quantiles import described_quantiles, sketched_quantiles
 

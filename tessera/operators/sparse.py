@@ -18,7 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
@@ -40,7 +40,12 @@ def wide_sources(params: DataFrame, keep: Sequence[str], wide_from: int = WIDE_F
     return sorted(r["source"] for r in counted.collect())
 
 
-def dense_index(df: DataFrame, order: Sequence[str], name: str = "index") -> DataFrame:
+def _category_key(category: Column) -> Column:
+    """A join key that tells null from every text (a null category is a category)."""
+    return F.coalesce(F.concat(F.lit("="), category.cast("string")), F.lit("null"))
+
+
+def dense_index(df: DataFrame, order: Sequence[Column], name: str = "index") -> DataFrame:
     """Adds the place of each row in the given order, from 0, without a one-task sort.
 
     Rows are dealt out by range; each range is numbered by itself and moved on by the sizes of
@@ -65,7 +70,7 @@ def feature_index(params: DataFrame, outputs: DataFrame | None = None) -> DataFr
     """
     if outputs is not None:
         params = params.join(outputs.select(F.col("feature").alias("output")).distinct(), "output", "left_semi")
-    return dense_index(params, ["position", "number", "category"])
+    return dense_index(params, [F.asc("position"), F.asc_nulls_last("number"), F.asc_nulls_last("category")])
 
 
 def sparse_design(df: DataFrame, index: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -82,11 +87,11 @@ def sparse_design(df: DataFrame, index: DataFrame, keep: Sequence[str] = ()) ->
     if absent:
         raise KeyError(f"Columns required by the fitted transformer are missing: {absent}")
     out = df.select(*[col(k).alias(f"_keep{i}") for i, k in enumerate(keep)],
-                    *[col(s).cast("string").alias(f"_cat{i}") for i, s in enumerate(sources)],
+                    *[_category_key(col(s)).alias(f"_cat{i}") for i, s in enumerate(sources)],
                     *[col(r["source"]).cast("double").alias(f"_num{i}") for i, r in enumerate(scalers)])
     for i, s in enumerate(sources):
         lookup = materialize(index.where((F.col("block") == "onehot") & (F.col("source") == s))
-                             .select(F.col("category").alias(f"_cat{i}"), F.col("index").alias(f"_at{i}")), name="lookup")
+                             .select(_category_key(F.col("category")).alias(f"_cat{i}"), F.col("index").alias(f"_at{i}")), name="lookup")
         out = join_small(out, lookup, f"_cat{i}")
     entry = lambda at, value: F.struct(at.cast("long").alias("at"), value.cast("double").alias("value"))
     entries = [F.when(F.col(f"_at{i}").isNotNull(), entry(F.col(f"_at{i}"), F.lit(1.0))) for i in range(len(sources))]
@@ -135,41 +140,41 @@ def fit_absorbed(train: DataFrame, features: Sequence[str], wide: str, params: D
     ``features`` are the other model inputs (columns of ``train``), ``wide`` the source column,
     ``params`` the fitted transformer. Gives what ordinary least squares on all columns gives:
 
-    * a category that the encoder dropped, and a null, count as the category without a column: its
+    * a category that the encoder dropped, and a null that has no category, count as the one without a column: its
       mean is the intercept;
-    * with a column for every category and no null, the columns add up to the constant; the
+    * with a column for every row's category, the columns add up to the constant; the
       solution of least norm is taken (coefficients of the categories add up to 0).
 
     Rows with a missing input or target are an error. The wide coefficients are
     ``(source, category, output, coefficient)``, one row per category with a column.
     """
     features = list(features)
-    known = materialize(params.where((F.col("block") == "onehot") & (F.col("source") == wide)).select("category", "output"), name="wide")
+    known = materialize(params.where((F.col("block") == "onehot") & (F.col("source") == wide))
+                        .select("category", "output", _category_key(F.col("category")).alias("_key")), name="wide")
     names = [f"_x{i}" for i in range(len(features))]
-    slim = train.select(col(wide).cast("string").alias("category"), *[col(f).cast("double").alias(n) for f, n in zip(features, names)],
+    slim = train.select(_category_key(col(wide)).alias("_key"), *[col(f).cast("double").alias(n) for f, n in zip(features, names)],
                         col(target).cast("double").alias("_y"))
-    slim = materialize(join_small(slim, known, "category").select(
-        F.when(F.col("output").isNotNull(), F.col("category")).alias("category"), *names, "_y"), name="absorb")
+    slim = materialize(join_small(slim, known.select("_key", "output"), "_key").select("output", *names, "_y"), name="absorb")
     every = [*names, "_y"]
     total = moments(slim, every)
     if total.bad:
         raise ValueError(f"Input contains NaN, infinity or a missing value ({total.bad} row(s))")
     if not total.rows:
         raise ValueError("Found array with 0 sample(s)")
-    groups = materialize(slim.groupBy("category").agg(F.count("*").alias("n"), *[F.avg(c).alias(c) for c in every]), name="groups")
+    groups = materialize(slim.groupBy("output").agg(F.count("*").alias("n"), *[F.avg(c).alias(c) for c in every]), name="groups")
     between = moments(groups, every, weight="n")
     beta = solve(total.cross - between.cross) if features else []
     level = F.col("_y")
     for n, b in zip(names, beta):
         level = level - F.lit(float(b)) * F.col(n)
-    levels = materialize(groups.select("category", level.alias("level")), name="levels")
+    levels = materialize(groups.select("output", level.alias("level")), name="levels")
     # The group without a column, if there is one, else the plain mean over the categories: one row.
-    base = levels.agg(F.max(F.when(F.col("category").isNull(), F.col("level"))).alias("without"), F.avg("level").alias("mean")).first()
+    base = levels.agg(F.max(F.when(F.col("output").isNull(), F.col("level"))).alias("without"), F.avg("level").alias("mean")).first()
     intercept = base["without"] if base["without"] is not None else base["mean"]
     spark = train.sparkSession
     rows = [(i, f, float(b)) for i, (f, b) in enumerate(zip(features, beta))] + [(len(features), INTERCEPT, float(intercept))]
     coefficients = spark.createDataFrame(rows, COEF_SCHEMA)
-    found = (known.join(levels, "category")
+    found = (known.join(levels, "output")
              .select(F.lit(wide).alias("source"), "category", "output", (F.col("level") - F.lit(float(intercept))).alias("coefficient")))
     return coefficients, materialize(found, name="wide-coefficients")
 
@@ -181,7 +186,7 @@ def add_wide(df: DataFrame, wide: DataFrame, prediction: str = "prediction") ->
     """
     names = df.columns
     for source in sorted(r["source"] for r in wide.select("source").distinct().collect()):  # one per wide column
-        lookup = wide.where(F.col("source") == source).select(F.col("category").alias("_category"), F.col("coefficient").alias("_more"))
-        df = join_small(df.withColumn("_category", col(source).cast("string")), lookup, "_category")
+        lookup = wide.where(F.col("source") == source).select(_category_key(F.col("category")).alias("_key"), F.col("coefficient").alias("_more"))
+        df = join_small(df.withColumn("_key", _category_key(col(source))), lookup, "_key")
         df = df.withColumn(prediction, col(prediction) + F.coalesce("_more", F.lit(0.0))).select(*[col(n) for n in names])
     return df

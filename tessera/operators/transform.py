@@ -9,7 +9,8 @@ shuffle and no Python per row.
 
 Semantics follow the reference's transformer:
 - one-hot: categories sorted; ``drop="first"`` drops the first sorted one;
-  an unseen value (or a null) encodes as all zeros;
+  an unseen value (or a null) encodes as all zeros; with ``null_category`` a null
+  in the training rows is a category of its own, after all others (output ``…_%null``);
 - standard scale: ``(x − mean) / std_pop``; min-max: ``(x − min) / (max − min)``;
   a zero spread divides by 1; nulls are ignored when fitting and stay null.
 """
@@ -32,7 +33,7 @@ PARAMS_SCHEMA = T.StructType([
     T.StructField("block", T.StringType(), False),       # onehot | scaler
     T.StructField("source", T.StringType(), False),      # input column
     T.StructField("output", T.StringType(), False),      # output column name
-    T.StructField("category", T.StringType(), True),     # one-hot value (as text)
+    T.StructField("category", T.StringType(), True),     # one-hot value (as text); null: the null category
     T.StructField("number", T.DoubleType(), True),       # ... and as a number, in a numeric column
     T.StructField("method", T.StringType(), True),       # standard | minmax
     T.StructField("center", T.DoubleType(), True),
@@ -40,6 +41,10 @@ PARAMS_SCHEMA = T.StructType([
 ])
 
 
+#: Ends the output name of a null category; in other names ``%`` is followed by a code.
+NULL_NAME = "%null"
+
+
 def transformer_spec(cfg: Mapping, df: DataFrame) -> dict:
     """M4: which columns go to which block, from the config and the columns present."""
     feats = cfg.get("features", {})
@@ -67,6 +72,7 @@ def transformer_spec(cfg: Mapping, df: DataFrame) -> dict:
         "method": method,
         "drop": onehot.get("drop"),
         "handle_unknown": onehot.get("handle_unknown", "ignore"),
+        "null_category": bool(onehot.get("null_category", False)),
         "inputs": categorical + ordinal + continuous,
     }
 
@@ -90,7 +96,7 @@ def _fit_stats(train: DataFrame, spec: Mapping, target: str | None) -> DataFrame
         parts.append(entry("target", target))
     long = (train.select((col(target) if target is not None else none).cast("double").alias("y"),
                          F.explode(F.array(*parts)).alias("e")).select("y", "e.*")
-            .where((F.col("role") != "category") | F.col("category").isNotNull()))
+            .where((F.col("role") != "category") | F.col("category").isNotNull() | F.lit(spec["null_category"])))
     x, y = F.col("x"), F.col("y")
     both = x.isNotNull() & y.isNotNull()
     return materialize(long.groupBy("role", "column_name", "category").agg(
@@ -133,16 +139,18 @@ def _fit(train: DataFrame, cfg: Mapping, target: str | None) -> tuple[DataFrame,
     onehot = stats.where("role = 'category'").withColumn(
         "number", F.when(name.isin(numeric_cats), category.try_cast("double")))
     if spec["drop"] == "first":
-        # One row per categorical column.
-        for r in onehot.groupBy(name).agg(F.min(F.struct("number", "category")).alias("first")).collect():
-            onehot = onehot.where((name != F.lit(r["column_name"])) | (category != F.lit(r["first"]["category"])))
+        # One row per categorical column. The null category is the first one only where it is the only one.
+        value = F.when(category.isNotNull(), F.struct("number", "category"))
+        for r in onehot.groupBy(name).agg(F.min(value).alias("first")).collect():
+            first = r["first"]["category"] if r["first"] else None
+            onehot = onehot.where((name != F.lit(r["column_name"])) | ~category.eqNullSafe(F.lit(first).cast("string")))
     escaped = F.replace(F.replace(F.replace(category, F.lit("%"), F.lit("%25")), F.lit("."), F.lit("%2E")),
                         F.lit("`"), F.lit("%60"))
     place, prefix = F.lit(None).cast("int"), F.lit(None).cast("string")
     for i, c in enumerate(cats):
         place = F.when(name == F.lit(c), F.lit(i)).otherwise(place)
         prefix = F.when(name == F.lit(c), F.lit(f"onehot__{safe_name(c)}_")).otherwise(prefix)
-    onehot = onehot.withColumn("position", place).withColumn("output", F.concat(prefix, escaped))
+    onehot = onehot.withColumn("position", place).withColumn("output", F.concat(prefix, F.coalesce(escaped, F.lit(NULL_NAME))))
     _require_distinct_outputs(onehot, cats)
     # One row per numeric column, and one for the target.
     few = {(r["role"], r["column_name"]): r for r in stats.where("role != 'category'").collect()}
@@ -188,7 +196,7 @@ def _require_distinct_outputs(onehot: DataFrame, cats: Sequence[str]) -> None:
 
 
 def _in_order(params_rows: Sequence) -> list:
-    return sorted(params_rows, key=lambda r: (r["position"], r["number"] or 0.0, r["category"] or ""))
+    return sorted(params_rows, key=lambda r: (r["position"], r["category"] is None, r["number"] or 0.0, r["category"] or ""))
 
 
 #: A projection of all outputs has at most so many columns; beyond that :func:`.sparse.sparse_design` takes them.
@@ -213,8 +221,8 @@ def output_columns(params_rows: Sequence) -> list:
     for r in _in_order(params_rows):
         src = col(r["source"])
         if r["block"] == "onehot":
-            exprs.append(F.when(src.cast("string") == F.lit(r["category"]), F.lit(1.0))
-                         .otherwise(F.lit(0.0)).alias(r["output"]))
+            same = src.isNull() if r["category"] is None else src.cast("string") == F.lit(r["category"])
+            exprs.append(F.when(same, F.lit(1.0)).otherwise(F.lit(0.0)).alias(r["output"]))
         else:
             scale = r["scale"] if r["scale"] not in (None, 0.0) else 1.0
             center = r["center"] if r["center"] is not None else 0.0

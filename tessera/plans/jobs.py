@@ -27,7 +27,7 @@ from ..operators.metrics import metrics_long, regression_metrics
 from ..operators.model import fit_linear, predict, prediction_expr
 from ..operators.observe import Watch
 from ..operators.select import select_k
-from ..operators.sparse import add_wide, as_vectors, feature_index, fit_absorbed, fit_sparse, sparse_design, wide_sources, WIDE_FROM
+from ..operators.sparse import add_wide, feature_index, fit_absorbed, fit_sparse, sparse_design, wide_sources, WIDE_FROM
 from ..operators.split import split
 from ..operators.transform import apply_transformer, fit_scored, output_columns, wanted_params
 from ..session import materialize

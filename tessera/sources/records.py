@@ -1,9 +1,9 @@
 """JSON record source and contract S10 / V8.
 
 A record contract is a declared list ``{name, dtype, required}``. Records are
-parsed with ``from_json`` against a *lax* schema (integers read as decimals, so
-``0.0`` is accepted for an int field and 64-bit integers stay exact), then
-typed and checked in one projection. Works unchanged on a streaming frame.
+parsed with ``from_json`` against the contract's types; one that does not fit is parsed again
+against a *lax* schema (integers read as decimals, so ``0.0`` is accepted for an int field and
+64-bit integers stay exact), then typed and checked in one projection. Works unchanged on a streaming frame.
 Each record lands in exactly one output: ``valid`` (typed columns) or
 ``rejected`` (raw text plus a ``reasons`` array).
 """
@@ -20,8 +20,11 @@ _LAX = {"int": T.DecimalType(38, 18), "float": T.DoubleType(), "str": T.StringTy
 CORRUPT = "_corrupt_record"
 
 
-def lax_schema(contract: Sequence[Mapping]) -> T.StructType:
-    fields = [T.StructField(d["name"], _LAX[d["dtype"]], True) for d in contract]
+_STRICT = _LAX | {"int": T.LongType()}
+
+
+def lax_schema(contract: Sequence[Mapping], types: Mapping = _LAX) -> T.StructType:
+    fields = [T.StructField(d["name"], types[d["dtype"]], True) for d in contract]
     return T.StructType(fields + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
@@ -32,23 +35,25 @@ def tag_records(df: DataFrame, contract: Sequence[Mapping], text_col: str = "val
     Unknown JSON fields are ignored. A record is rejected when it is not a JSON
     object, misses a required field, or has a non-whole number in an int field.
     """
-    schema = lax_schema(contract)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = df.select(*[F.col(k) for k in keep if k != text_col], F.col(text_col).alias("_raw"),
-                       F.from_json(F.col(text_col), schema,
-                                   {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("_r"))
-    reasons = [F.when(F.col("_r").isNull() | F.col(f"_r.{CORRUPT}").isNotNull(),
+                       F.from_json(F.col(text_col), lax_schema(contract, _STRICT), options).alias("_f"))
+    fits = F.coalesce(F.col("_f").isNotNull() & F.col(f"_f.{CORRUPT}").isNull(), F.lit(False))
+    parsed = parsed.withColumn("_fits", fits).withColumn("_r", F.when(~F.col("_fits"), F.from_json("_raw", lax_schema(contract), options)))
+    fits = F.col("_fits")
+    reasons = [F.when(~fits & (F.col("_r").isNull() | F.col(f"_r.{CORRUPT}").isNotNull()),
                       F.lit("malformed record"))]
     typed = []
     for d in contract:
         name, kind = d["name"], d["dtype"]
-        v = F.col("_r").getField(name)
+        f, v = F.col("_f").getField(name), F.col("_r").getField(name)
         if d.get("required", False):
-            reasons.append(F.when(v.isNull(), F.lit(f"missing required field: {name}")))
+            reasons.append(F.when(F.when(fits, f.isNull()).otherwise(v.isNull()), F.lit(f"missing required field: {name}")))
         if kind == "int":
-            reasons.append(F.when(v.isNotNull() & (v != F.floor(v)), F.lit(f"not an integer: {name}")))
-            typed.append(F.when(v == F.floor(v), v.try_cast("long")).alias(name))
+            reasons.append(F.when(~fits & v.isNotNull() & (v != F.floor(v)), F.lit(f"not an integer: {name}")))
+            typed.append(F.when(fits, f).when(v == F.floor(v), v.try_cast("long")).alias(name))
         else:
-            typed.append(v.alias(name))
+            typed.append(F.when(fits, f).otherwise(v).alias(name))
     return parsed.select(*[(F.col("_raw").alias(k) if k == text_col else F.col(k)) for k in keep],
                          *typed, F.col("_raw").alias("_raw"),
                          F.filter(F.array(*reasons), lambda x: x.isNotNull()).alias("reasons"))

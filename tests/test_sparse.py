@@ -163,3 +163,34 @@ def test_repeated_and_constant_columns_get_least_norm(spark):
     assert solve(np.zeros((1, 1))).shape == (0,)
     with pytest.raises(ValueError, match="0 sample"):
         fit_linear(df.limit(0), ["a"], "y")
+
+
+def test_a_null_of_the_training_rows_is_the_last_category(spark):
+    cfg = _cfg(cats=("g", "c"), nums=("x",), keep=("g",))
+    cfg["preprocessing"]["encoding"]["one_hot"]["null_category"] = True
+    data = [(i, None if i % 5 == 0 else "abc"[i % 3], [None, 10, 9][i % 3], float(i % 7), 2.0 * (i % 7) + [5, 1, 2, 3][3 if i % 5 == 0 else i % 3]) for i in range(200)]
+    df = spark.createDataFrame(data, "k long, g string, c int, x double, y double")
+    params = fit_transformer(df, cfg)
+    assert output_names(params) == ["onehot__g_b", "onehot__g_c", "onehot__g_%null", "onehot__c_10", "onehot__c_%null", "scaler__x"]
+    assert [r["output"] for r in S.feature_index(params).orderBy("index").collect()] == output_names(params)
+    dense = apply_transformer(df, params, keep=["k", "y", "g"])
+    assert dense.agg(F.sum("`onehot__g_%null`"), F.sum("`onehot__c_%null`")).first()[:] == (40.0, 67.0)
+    index = S.feature_index(params)
+    for r in S.sparse_design(df, index, keep=["k"]).where("k < 30").collect():
+        full = [0.0] * 6
+        for i, v in zip(r["indices"], r["values"]):
+            full[i] = v
+        row = dense.where(F.col("k") == r["k"]).first()
+        assert full == pytest.approx([row[n] for n in output_names(params)])
+    coefs, wide = S.fit_absorbed(dense, ["scaler__x"], "g", params, "y")
+    names = ["onehot__g_b", "onehot__g_c", "onehot__g_%null", "scaler__x"]
+    pdf = dense.toPandas()
+    beta, intercept = _least_squares(pdf[names].to_numpy(), pdf["y"].to_numpy())
+    got = dict(rows(coefs.select("term", "coefficient"))) | dict(rows(wide.select("output", "coefficient")))
+    assert got.pop(INTERCEPT) == pytest.approx(intercept) and got == pytest.approx(dict(zip(names, beta)))
+    from tessera.operators.model import predict
+    preds = S.add_wide(predict(dense, coefs, keep=["k", "y", "g"]), wide)
+    expect = pdf[names].to_numpy() @ beta + intercept
+    assert [r["prediction"] for r in preds.orderBy("k").collect()] == pytest.approx(list(expect))
+    only = spark.createDataFrame([(1, None, 1, 1.0, 1.0)], "k long, g string, c int, x double, y double")
+    assert output_names(fit_transformer(only, cfg)) == ["scaler__x"]  # the only category of each is the first one
