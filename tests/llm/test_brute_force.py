@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
-from tests.llm.test_llm import ALNUM_WORD, BLANK_WORD, SCHEMA, components_of, edge_rows, expected_hits, expected_repeats, low, result, table
+from tests.llm.test_llm import ALNUM_WORD, BLANK_WORD, SCHEMA, components_of, edge_rows, expected_hits, low, result, table
 
 SF_LABELLED = "/root/testdata/sf0.01"
 
