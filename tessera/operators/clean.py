@@ -141,7 +141,7 @@ def impute_group_mean(df: DataFrame, column: str, by: str, method: str = "mean",
 
 
 def clean(df: DataFrame, cfg: Mapping) -> DataFrame:
-    """the reference's fixed order F1 → F2 → F3 → F4 → W1 → F5.
+    """the reference's fixed order F1 → F2 → F3 → F4 → W1 → F5; with a group mean configured it runs a job at once, to fit it.
 
     ``cfg`` is the ``preprocessing`` mapping (or a full config holding one).
     An empty mapping is the identity.

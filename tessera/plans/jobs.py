@@ -319,7 +319,15 @@ def run(spark: SparkSession, cfg: Mapping, steps: str = "all",
 
 
 def default_steps() -> dict:
+    # With a ``store`` folder in the configuration the steps write what they make (:mod:`.runs`): the
+    # source is parsed, checked and published once, later steps read the published version, and
+    # evaluation reads the saved predictions.
     def data_load(spark, cfg, st):
+        if cfg.get("store"):
+            out = data_stage(spark, cfg, root=cfg.get("root"), out_root=cfg["store"], df=st.get("raw"), profiles=False)
+            st["report"], st["version"] = out["report"], out["version"]
+            st["raw"] = R.latest(spark, cfg["store"], "raw", out["version"])
+            return st
         if "raw" not in st:
             st["raw_text"] = R.read_stage_text(spark, cfg, "raw", root=cfg.get("root"))
             st["raw"] = R.declared_types(st["raw_text"], cfg)
@@ -328,13 +336,11 @@ def default_steps() -> dict:
 
     def data_validation(spark, cfg, st):
         dv = cfg.get("data_validation", {})
-        if dv.get("enabled", True) and dv.get("schema"):
+        if st.get("report") is None and dv.get("enabled", True) and dv.get("schema"):
             st["report"] = V.validate(st["raw"], dv["schema"]["columns"],
                                       action=dv.get("action_on_error", "raise"), text=st.get("raw_text"))
         return st
 
-    # With a ``store`` folder in the configuration the last three steps write what they make
-    # (:mod:`.runs`), and evaluation reads the saved predictions.
     def model(spark, cfg, st):
         if cfg.get("store"):
             from .runs import training_run

@@ -58,6 +58,24 @@ def test_steps_with_a_store_write_and_read_everything(spark, of, tmp_path):
         runs.scored(spark, str(tmp_path), "o_orderkey", "unknown")
 
 
+def test_all_steps_from_a_csv_parse_it_once(spark, of, tmp_path):
+    path, store = str(tmp_path / "in"), str(tmp_path / "store")
+    K.write_csv(of, path)
+    kinds = {"bigint": "int", "double": "float", "string": "str"}
+    cfg = {**ORDER_FEATURES, "store": store, "data_source": {"raw_path": path, "type": "csv"},
+           "data_validation": {"schema": {"columns": [{"name": c, "dtype": kinds[t]} for c, t in of.dtypes]}}}
+    state = jobs.run(spark, cfg, "all")
+    assert state["version"] == 1 and state["report"].where("status = 'fail'").count() == 0
+    assert f"{store}/raw/" in state["raw"].inputFiles()[0].replace("file:///", "/").replace("file:", "")
+    assert state["raw"].count() == of.count()
+    assert state["predictions"].count() + state["dropped"].count() == of.count()
+    assert {r["job"] for r in runs.runs(spark, store).collect()} == {"train", "evaluate", "score"}
+    cfg["data_validation"]["schema"]["columns"][-1] = {"name": "n_name", "dtype": "int"}
+    with pytest.raises(ValueError, match="error"):
+        jobs.run(spark, cfg, "data_load")
+    assert R.latest_version(spark, store, "raw") == 1
+
+
 def test_a_training_and_ten_scorings_leave_no_table_behind(spark, of, tmp_path):
     tables = Path(ensure_checkpoint_dir(spark).removeprefix("file:")) / "tables"
     before = set(tables.glob("*")) if tables.exists() else set()
