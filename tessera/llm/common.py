@@ -147,7 +147,10 @@ def word_list(text: Column, between: str = BLANKS) -> Column:
 
 
 def gram_hashes(words: str, k: int) -> Column:
-    """Hash of the ``k`` words from each position on, as an array; word borders count."""
-    n = f"size({words})"
-    return F.expr(f"case when {n} >= {k} then transform(sequence(1, {n} - {k} + 1), i -> xxhash64(slice({words}, i, {k})))"
-                  " else cast(array() as array<bigint>) end")
+    """Hash of the ``k`` words from each position on, as an array; word borders count.
+
+    Every word is hashed once; a gram is the hash of its words' hashes.
+    """
+    gram = ", ".join(f"h[i + {j}]" for j in range(k))
+    return F.expr(f"transform(array(transform({words}, w -> xxhash64(w))), h -> case when size(h) >= {k}"
+                  f" then transform(sequence(0, size(h) - {k}), i -> xxhash64({gram})) else cast(array() as array<bigint>) end)[0]")

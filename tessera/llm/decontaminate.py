@@ -2,17 +2,23 @@
 
 Every item is cut into windows of ``window`` words (a shorter item is one window), every window
 into shingles. For exact containment of a window all its shingles must occur, so one prefix
-token is enough: its rarest shingle. Documents meet windows on that shingle alone; the
-shingle's place in the window bounds where the window would lie (it must fit into the
-text), and the candidate is verified by all other shingles at their places.
+token is enough: its rarest shingle. One pass over the texts counts how often each shingle of the benchmark
+occurs; a window with a shingle that occurs nowhere is done with. A second pass joins the texts to the prefix
+tokens alone; the shingle's place in the window bounds where the window would lie (it must fit into the
+text). The candidates are verified word by word in their texts, piece by piece.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import NOT_ALNUM, Scratch, ascii_lower, fits_broadcast, gram_hashes, text_key, without, word_list
+from tessera.llm.common import NOT_ALNUM, Scratch, ascii_lower, fits_broadcast, gram_hashes, maybe_in, text_key, without, word_list
+
+#: Words of a piece in which candidates are verified; long texts are many pieces.
+PIECE = 4096
 
 
 def item_windows(items: DataFrame, item_col: str, text_col: str, window: int, shingle: int) -> DataFrame:
@@ -28,45 +34,47 @@ def item_windows(items: DataFrame, item_col: str, text_col: str, window: int, sh
 
 def contaminated_spans(docs: DataFrame, items: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text",
                        item_col: str = "item_id", item_text: str = "text", window: int = 10, shingle: int = 3):
-    """(spans, counts): verified (id, tid, start, len, body) with item lists, and (id, tid, n_words) per row."""
+    """(spans, bodies, counts): verified (id, tid, start, len, body), (item, body) and (id, tid, n_words) per row."""
     windows = scratch.write(item_windows(items, item_col, item_text, window, shingle), "windows")
-    bodies = windows.select("words", "len", "k", "body").distinct()
-    sizes = sorted(r["k"] for r in bodies.select("k").distinct().collect())  # at most ``shingle`` values
-    tokens = None
-    for k in sizes:
-        part = bodies.where(f"k = {k}").select("body", "len", "k", F.posexplode(gram_hashes("words", k)).alias("off", "h"))
-        tokens = part if tokens is None else tokens.unionByName(part)
-    if tokens is None:
-        tokens = bodies.select("body", "len", "k", F.lit(0).alias("off"), F.lit(0).cast("long").alias("h"))
-    tokens = scratch.write(tokens, "tokens")
+    bodies = windows.select("words", "len", "k", "body", F.xxhash64("body").alias("wid")).distinct()
+    sizes = sorted(r["k"] for r in bodies.select("k").distinct().collect()) or [shingle]  # at most ``shingle`` values
+    tokens = [bodies.where(f"k = {k}").select("wid", "body", "len", "k", F.posexplode(gram_hashes("words", k)).alias("off", "h")) for k in sizes]
+    tokens = scratch.write(reduce(DataFrame.unionByName, tokens), "tokens")
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    words = docs.select(F.col(f"`{id_col}`").alias("id"), text_key(text).alias("tid"),
-                        word_list(ascii_lower(text), NOT_ALNUM).alias("words"))
+    keyed = docs.select(F.col(f"`{id_col}`").alias("id"), text_key(text).alias("tid"), text.alias("text"))
+    words = keyed.select("id", "tid", word_list(ascii_lower(F.col("text")), NOT_ALNUM).alias("words"))
     counts = words.select("id", "tid", F.size("words").cast("long").alias("n_words"))
-    wanted = scratch.write(tokens.select("h").distinct(), "wanted")
-    wanted = F.broadcast(wanted) if fits_broadcast(wanted) else wanted
-    # Postings: where any shingle of the benchmark stands in a text.
-    placed = [F.expr(f"transform(g{k}, (h, i) -> struct({k} as k, i as pos, h as h))") for k in sizes or [shingle]]
-    per_doc = words.select("id", "tid", F.size("words").alias("n_words"),
-                           *[gram_hashes("words", k).alias(f"g{k}") for k in sizes or [shingle]])
+    placed = [F.expr(f"transform(g{k}, (h, i) -> struct({k} as k, i as pos, h as h))") for k in sizes]
+    grams = words.select("id", "tid", F.size("words").alias("n_words"), *[gram_hashes("words", k).alias(f"g{k}") for k in sizes])
     # "outer" keeps the optimizer from testing the arrays for emptiness below, which would make them twice.
-    rolled = per_doc.select("id", "tid", "n_words", F.explode_outer(F.concat(*placed)).alias("g"))
-    postings = scratch.write(rolled.select("id", "tid", "n_words", "g.k", "g.pos", "g.h").join(wanted, "h"), "postings")
-    # Rarest shingle first: the one prefix token a whole window needs.
-    rarity = postings.groupBy("h").agg(F.count("*").alias("df"))
-    first = (tokens.join(rarity, "h", "left").groupBy("body", "len", "k")
+    rolled = grams.select("id", "tid", "n_words", F.explode_outer(F.concat(*placed)).alias("g")).select("id", "tid", "n_words", "g.*")
+    # Rarity, counted per task first; beyond the broadcast every shingle of the texts is counted and the benchmark's are picked after.
+    wanted = scratch.write(tokens.select("h").distinct(), "wanted")
+    counted = rolled.join(F.broadcast(wanted), "h") if fits_broadcast(wanted) else rolled
+    rarity = scratch.write(counted.groupBy("h").agg(F.count("*").alias("df")).join(wanted, "h", "left_semi"), "rarity")
+    # The rarest shingle is the one prefix token of a window; none if a shingle occurs nowhere.
+    first = (tokens.join(rarity, "h", "left").groupBy("wid", "body", "len", "k")
              .agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "off", "h")).alias("p")).where("p.df > 0")
-             .select("body", "len", F.col("k").alias("fk"), F.col("p.off").alias("off"), F.col("p.h").alias("h")))
+             .select("wid", "len", F.col("k").alias("fk"), F.col("p.off").alias("off"), F.col("p.h").alias("h")))
     first = scratch.write(first, "prefix")
-    found = (postings.join(first, "h").where("k = fk")
+    found = (rolled.join(F.broadcast(first) if fits_broadcast(first) else first, "h").where("k = fk")
              .withColumn("start", F.expr("pos - off")).where("start >= 0 and start + len <= n_words")
-             .select("id", "tid", "start", "len", "fk", "body").distinct())
+             .select("id", "tid", "start", "wid").distinct())
     candidates = scratch.write(found, "candidates")
-    need = candidates.join(tokens.select("body", F.col("off").alias("o"), "h"), "body").withColumn("pos", F.expr("start + o"))
-    met = postings.select(F.col("id").alias("pid"), "tid", "pos", "h").distinct()
-    full = (need.join(met, ["tid", "pos", "h"]).where(F.col("id").eqNullSafe(F.col("pid")))
-            .groupBy("id", "tid", "start", "len", "fk", "body").agg(F.count("*").alias("n")).where("n = len - fk + 1"))
-    spans = scratch.write(full.select("id", "tid", "start", "len", "body"), "spans")
+    # Every word of a candidate is compared, in the pieces of the texts that hold one.
+    listed = (candidates.join(bodies.select("wid", "len", "body"), "wid")
+              .groupBy("id", "tid", F.expr(f"start div {PIECE}").alias("piece")).agg(F.collect_list(F.struct("start", "len", "body")).alias("at"))
+              .select(F.col("id").alias("cid"), F.col("tid").alias("ctid"), "piece", "at"))
+    held = maybe_in(keyed, "tid", candidates, "tid").select(
+        "id", "tid", word_list(ascii_lower(F.col("text")), NOT_ALNUM).alias("words"))
+    pieces = held.where("size(words) > 0").select("id", "tid", F.expr(
+        f"inline(transform(sequence(0, cast((size(words) - 1) div {PIECE} as int)),"
+        f" p -> struct(cast(p as bigint) as piece, slice(words, p * {PIECE} + 1, {PIECE + window}) as part)))"))
+    same = f"c -> array_join(slice(part, cast(c.start - piece * {PIECE} + 1 as int), c.len), ' ') = c.body"
+    met = (pieces.join(listed.withColumnRenamed("piece", "cpiece"), F.col("id").eqNullSafe(F.col("cid")) & (F.col("tid") == F.col("ctid"))
+                       & (F.col("piece") == F.col("cpiece")))
+           .select("id", "tid", F.expr(f"inline(filter(at, {same}))")).distinct())
+    spans = scratch.write(met, "spans")
     return spans, windows.select("item", "body"), counts
 
 

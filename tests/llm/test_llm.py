@@ -238,6 +238,29 @@ def test_decontaminate_equals_brute_force(spark, edge, docs):
         assert out.columns == df.columns and out.count() == clean
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_decontaminate_verifies_piece_by_piece(spark, monkeypatch, broadcast):
+    """Windows across the borders of pieces, near misses, a benchmark too large to broadcast."""
+    from tessera.llm import decontaminate as m
+    monkeypatch.setattr(m, "PIECE", 7)
+    if not broadcast:
+        monkeypatch.setattr(m, "fits_broadcast", lambda df: False)
+    rng = random.Random(9)
+    item = [f"b{i}" for i in range(16)]
+    rows = []
+    for i in range(40):
+        w = [rng.choice("x y z b1 b2 b3".split()) for _ in range(rng.randrange(60))]
+        at = rng.randrange(len(w) + 1)
+        w[at:at] = item[rng.randrange(7):][:rng.choice([9, 10, 13])] if i % 3 else item[:5] + ["q"] + item[6:]
+        rows.append((i, " ".join(w)))
+    rows += [rows[1], (None, rows[2][1]), (1, rows[4][1]), (99, " ".join(item * 30)), (98, ""), (97, None)]
+    items = [(1, " ".join(item)), (2, "x y"), (3, "z"), (4, " ".join(item[3:] + ["x"])), (5, "absent words here")]
+    docs, bench = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    got = collections.Counter((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], tuple(r["items"]), r["contaminated"])
+                              for r in m.decontaminate(docs, bench).collect())
+    assert got == expected_hits(rows, items)
+
+
 def test_host_rules_equal_brute_force(edge, docs):
     from tessera.llm.host_rules import host_rules
     for df in (edge, docs):
