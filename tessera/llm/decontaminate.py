@@ -67,8 +67,9 @@ def contaminated_spans(docs: DataFrame, items: DataFrame, scratch: Scratch, id_c
               .select(F.col("id").alias("cid"), F.col("tid").alias("ctid"), "piece", "at"))
     held = maybe_in(keyed, "tid", candidates, "tid").select(
         "id", "tid", word_list(ascii_lower(F.col("text")), NOT_ALNUM).alias("words"))
-    pieces = held.where("size(words) > 0").select("id", "tid", F.expr(
-        f"inline(transform(sequence(0, cast((size(words) - 1) div {PIECE} as int)),"
+    # No test of the arrays before the row filter: the optimizer would move it, and the split, below the filter. A wordless text is one empty piece.
+    pieces = held.select("id", "tid", F.expr(
+        f"inline_outer(transform(sequence(0, cast(greatest(size(words) - 1, 0) div {PIECE} as int)),"
         f" p -> struct(cast(p as bigint) as piece, slice(words, p * {PIECE} + 1, {PIECE + window}) as part)))"))
     same = f"c -> array_join(slice(part, cast(c.start - piece * {PIECE} + 1 as int), c.len), ' ') = c.body"
     met = (pieces.join(listed.withColumnRenamed("piece", "cpiece"), F.col("id").eqNullSafe(F.col("cid")) & (F.col("tid") == F.col("ctid"))
