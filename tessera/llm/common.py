@@ -38,6 +38,19 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+#: Bytes of rows that go to a Python worker at once.
+BATCH_BYTES = "2m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python in batches of at most ``BATCH_BYTES`` and a row; a size that the session sets itself stays.
+
+    Spark's default is 10,000 rows up to 64 MB, which executor and worker hold several times over beside the heap.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 class Scratch:
     """Intermediate tables in the shared checkpoint folder.
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, components, maybe_in, without
+from tessera.llm.common import Scratch, components, maybe_in, small_batches, without
 from tessera.llm.tokens import Slice, mix, windows, word_slices
 
 
@@ -121,6 +121,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "neardup")
+    small_batches(spark)
     ids = docs.schema[id_col].dataType
     kind = ids.simpleString()
     slim = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))

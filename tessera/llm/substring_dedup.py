@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, mark_maybe, maybe_in, text_key
+from tessera.llm.common import Scratch, mark_maybe, maybe_in, small_batches, text_key
 from tessera.llm.tokens import Slice, window_owner, windows, word_slices
 
 _PLACE_BITS = 40  # a location is (23 bits of the text's hash, word position)
@@ -172,6 +172,7 @@ def _by_id(places: DataFrame) -> DataFrame:
 def find_repeats(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, window: int) -> tuple[DataFrame, DataFrame]:
     """(texts, spots): per row id, tag, n_words, sha and ``copy`` (same words in a smaller id);
     per id the locations of its windows that start in a document with a smaller id."""
+    small_batches(docs.sparkSession)
     slim = _tagged(docs, id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
     steps = lengths(window)

@@ -16,7 +16,8 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+#: Small, so that a worker's arrays (eight bytes and more for each of text, several at once) stay at a few MB.
+SLICE_BYTES = 1 << 18
 _MULT = 0x9E3779B97F4A7C15
 _INV = pow(_MULT, -1, 1 << 64)
 

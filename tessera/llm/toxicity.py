@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tessera.llm.common import ship_package
+from tessera.llm.common import ship_package, small_batches
 from tessera.llm.zstd_quality import class_share, class_weights, fit_logistic, sample_rows
 
 #: Phrases in which lexicon words are harmless.
@@ -134,7 +134,9 @@ def _tell(rows: Sequence[tuple[str, int, int]], spark, terms, sign: int, lift: f
     clean = len(rows) - toxic
     if not toxic or not clean:
         return {}
-    table = spark.createDataFrame(rows, "text string, y int").repartition(spark.sparkContext.defaultParallelism)
+    # From Arrow: a list of rows would start a second set of Python workers, beside those of mapInArrow, to unpickle it.
+    table = pa.table({"text": pa.array([t for t, _ in rows], pa.string()), "y": pa.array([y for _, y in rows], pa.int32())})
+    table = spark.createDataFrame(table).repartition(spark.sparkContext.defaultParallelism)
     a, b = F.col("a"), F.col("b")
     counts = (table.mapInArrow(terms, "word string, y int").groupBy("word").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
               .where((a + b >= least) & (F.length("word") >= 3)))
@@ -201,6 +203,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, training: Column, label: st
     """
     spark = docs.sparkSession
     ship_package(spark)
+    small_batches(spark)
     found, totals = sample_rows(docs, labels, F.coalesce(training, F.lit(False)), label, id_col, text_col, label_id, rows, max_bytes, seed)
     lexicon = learn_lexicon(spark, found, lift, false_words, least)
     exceptions = (*exceptions, *learn_exceptions(spark, found, lexicon, lift, false_words, least))

@@ -7,8 +7,11 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -558,3 +561,53 @@ def test_queries_match_their_sql(spark, name):
     found = con.execute(ORACLE[name])
     names = [c[0] for c in found.description]
     assert result(QUERIES[name](spark, SF_SMALL), *names) == collections.Counter(found.fetchall())
+
+
+def test_texts_reach_python_in_small_batches(spark):
+    from tessera.llm.near_dedup import drop_near_duplicates
+    from tessera.llm.substring_dedup import cut_repeats
+    from tessera.llm.toxicity import fit_toxicity
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    wide = spark.range(0, 4000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ab "), 1000).alias("text"))
+    few, labels = wide.limit(4), wide.limit(4).select("doc_id", F.lit(1).alias("toxic"))
+    before = spark.conf.get(key, None)
+    try:
+        for run in (drop_near_duplicates, cut_repeats, lambda df: fit_toxicity(df, labels, F.lit(True))):
+            spark.conf.unset(key)
+            run(few)
+            got = [r["n"] for r in wide.mapInArrow(sizes, "n bigint").collect()]
+            assert len(got) > 4 and max(got) < 3 << 20
+        spark.conf.set(key, "1m")  # the session's own setting stays
+        drop_near_duplicates(few)
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.set(key, before) if before else spark.conf.unset(key)
+
+
+def test_lexicon_sample_reaches_spark_without_python_workers_of_its_own(spark, monkeypatch):
+    from pyspark import SparkContext
+    from tessera.llm.toxicity import learn_lexicon
+    found = [(f"moron number {chr(97 + i % 26)}{'xyz'[i % 3]}{'uvw'[i // 3 % 3]}", 1, 0) for i in range(60)]
+    found += [(f"quiet number {chr(97 + i % 26)}{'xyz'[i % 3]}{'uvw'[i // 3 % 3]}", 0, 0) for i in range(60)]
+
+    def refused(*_, **__):
+        raise AssertionError("rows are pickled")
+    monkeypatch.setattr(SparkContext, "parallelize", refused)
+    assert set(learn_lexicon(spark, found, 8.0, 0.01, 3)) == {"moron"}
+
+
+def test_word_hashing_holds_a_few_mb(monkeypatch):
+    from tessera.llm import tokens
+    monkeypatch.setattr(tokens, "_POWERS", [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)])
+    column = pa.array(["some words of a text " * 150] * 2000)  # 6 MB
+    tracemalloc.start()
+    try:
+        assert sum(len(s.hashes) for s in tokens.word_slices(column, lower=True)) == 2000 * 750
+        assert tracemalloc.get_traced_memory()[1] < 30 << 20
+    finally:
+        tracemalloc.stop()
