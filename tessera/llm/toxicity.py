@@ -24,8 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tessera.llm.common import ship_package, small_batches
-from tessera.llm.zstd_quality import class_share, class_weights, fit_logistic, sample_rows
+from tessera.llm.common import Scratch, ship_package, small_batches
+from tessera.llm.zstd_quality import class_share, class_weights, fit_logistic, sample_table
 
 #: Phrases in which lexicon words are harmless.
 EXCEPTIONS = ("clown fish", "pond scum", "trash can", "trash bin", "birthday clown", "sore loser")
@@ -122,26 +122,32 @@ def _phrases_of(lexicon: frozenset):
     return run
 
 
-def _tell(rows: Sequence[tuple[str, int, int]], spark, terms, sign: int, lift: float, false_words: float, least: int) -> dict[str, float]:
+def _table_of(spark, rows: Sequence[tuple[str, int, int]]) -> DataFrame:
+    """Local rows as a table (text, y) without copies."""
+    rows = sorted({(t, y) for t, y, _ in rows})
+    # From Arrow: a list of rows would start a second set of Python workers, beside those of mapInArrow, to unpickle it.
+    return spark.createDataFrame(pa.table({"text": pa.array([t for t, _ in rows], pa.string()), "y": pa.array([y for _, y in rows], pa.int32())}))
+
+
+def _tell(rows: DataFrame | Sequence[tuple[str, int, int]], spark, terms, sign: int, lift: float, false_words: float, least: int) -> dict[str, float]:
     """Terms that stand ``lift`` times as often in one class of texts (``sign`` 1: toxic, -1: clean), with their log ratio.
 
     Their log-likelihood ratio must pass Benjamini and Hochberg's bound: at most ``false_words`` of the terms found
     are expected to be there by chance, whatever the number of terms tested. Equal texts count once, so that copies
-    of one document are no evidence. Only terms on the right side of the ratio reach the driver; their number is bounded by the sample.
+    of one document are no evidence; a table (text, y) holds each once already. Only terms on the right side of the
+    ratio reach the driver; their number is bounded by the sample.
     """
-    rows = sorted({(t, y) for t, y, _ in rows})
-    toxic = sum(y for _, y in rows)
-    clean = len(rows) - toxic
+    table = rows if isinstance(rows, DataFrame) else _table_of(spark, rows)
+    of = {r["y"]: r["count"] for r in table.groupBy("y").count().collect()}
+    toxic, clean = of.get(1, 0), of.get(0, 0)
     if not toxic or not clean:
         return {}
-    # From Arrow: a list of rows would start a second set of Python workers, beside those of mapInArrow, to unpickle it.
-    table = pa.table({"text": pa.array([t for t, _ in rows], pa.string()), "y": pa.array([y for _, y in rows], pa.int32())})
-    table = spark.createDataFrame(table).repartition(spark.sparkContext.defaultParallelism)
+    table = table.select("text", "y").repartition(spark.sparkContext.defaultParallelism)
     a, b = F.col("a"), F.col("b")
     counts = (table.mapInArrow(terms, "word string, y int").groupBy("word").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
               .where((a + b >= least) & (F.length("word") >= 3)))
     ratio = ((a + 0.5) / (toxic + 1)) / ((b + 0.5) / (clean + 1))
-    part = lambda c, of: c * F.log((c + 1e-9) * len(rows) / ((a + b) * of))
+    part = lambda c, of: c * F.log((c + 1e-9) * (toxic + clean) / ((a + b) * of))
     support = 2 * (part(a, toxic) + part(b, clean))
     scored = counts.select("word", (a if sign > 0 else b).alias("own"), (sign * F.log(ratio)).alias("ratio"), support.alias("support"))
     found = scored.agg(F.count("*").alias("n"), F.collect_list(F.when((F.col("ratio") > 0) & (F.col("support") > 0), F.struct("*"))).alias("words")).first()
@@ -151,12 +157,13 @@ def _tell(rows: Sequence[tuple[str, int, int]], spark, terms, sign: int, lift: f
     return {r["word"]: r["ratio"] for r in words[:passed] if r["own"] >= least and r["ratio"] >= math.log(lift) - 1e-12}
 
 
-def learn_lexicon(spark, rows: Sequence[tuple[str, int, int]], lift: float, false_words: float, least: int) -> dict[str, float]:
+def learn_lexicon(spark, rows: DataFrame | Sequence[tuple[str, int, int]], lift: float, false_words: float, least: int) -> dict[str, float]:
     """Words in at least ``least`` toxic texts that stand ``lift`` times as often there as in others, with weights."""
     return _tell(rows, spark, _words_of, 1, lift, false_words, least)
 
 
-def learn_exceptions(spark, rows: Sequence[tuple[str, int, int]], lexicon: dict[str, float], lift: float, false_words: float, least: int) -> tuple[str, ...]:
+def learn_exceptions(spark, rows: DataFrame | Sequence[tuple[str, int, int]], lexicon: dict[str, float], lift: float, false_words: float,
+                     least: int) -> tuple[str, ...]:
     """Phrases of two words, one of them in the lexicon, that stand ``lift`` times as often in clean texts as in toxic ones."""
     return tuple(sorted(_tell(rows, spark, _phrases_of(frozenset(lexicon)), -1, lift, false_words, least))) if lexicon else ()
 
@@ -179,6 +186,17 @@ def _score(fitted: Fitted):
     return run
 
 
+def _measured(lexicon: dict[str, float], exceptions: Sequence[str]):
+    """Per text of the sample its label, the places of its ids and the two features."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = automaton(lexicon, exceptions)
+        for batch in batches:
+            x = np.array([_features(*measure(t.as_py(), found)) for t in batch.column(0)]).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(x[:, 0]), pa.array(x[:, 1])],
+                                             names=["y", "places", "hits", "density"])
+    return run
+
+
 def score_rows(docs: DataFrame, fitted: Fitted, text_col: str = "text") -> DataFrame:
     """(row, score): every row of ``docs`` as a struct of all its columns, and its score."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
@@ -197,22 +215,30 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, training: Column, label: st
     """Lexicon and curve from a bounded sample.
 
     At most ``rows`` labelled training texts of each class and ``max_bytes`` of text per class, in a
-    seeded order of ids; the curve's rows weigh by the class counts of all labelled training ids. Without
+    seeded order of ids; the curve's rows weigh by the class counts of all labelled training ids. The sample is a
+    table: its texts never reach the driver, only terms with their counts and two numbers per row of the sample do. Without
     rows of both classes, or without telling words (an id with conflicting labels counts as label 1), the lexicon is empty and every score is the
     share of label 1 among the labelled training ids (0 without any); nothing is toxic then.
     """
     spark = docs.sparkSession
     ship_package(spark)
     small_batches(spark)
-    found, totals = sample_rows(docs, labels, F.coalesce(training, F.lit(False)), label, id_col, text_col, label_id, rows, max_bytes, seed)
+    scratch = Scratch(spark, "toxicity")
+    found, totals = sample_table(docs, labels, F.coalesce(training, F.lit(False)), label, id_col, text_col, label_id, rows, max_bytes, seed, scratch)
+    found = scratch.write(found.groupBy("text", "y").agg(F.collect_list("place").alias("places")), "texts")
+    scratch.drop(label)
     lexicon = learn_lexicon(spark, found, lift, false_words, least)
     exceptions = (*exceptions, *learn_exceptions(spark, found, lexicon, lift, false_words, least))
-    curve = (np.zeros(2), np.ones(2), np.array([0.0, 0.0, -30.0 if not found else _logit(class_share(totals))]))
     if lexicon:
-        machine = automaton(lexicon, exceptions)
-        x = np.array([_features(*measure(t, machine)) for t, _, _ in found])
-        y = np.array([y for _, y, _ in found])
+        measured = (found.select("text", "y", "places").repartition(spark.sparkContext.defaultParallelism)
+                    .mapInArrow(_measured(lexicon, exceptions), "y int, places array<bigint>, hits double, density double"))
+        measured = sorted(measured.select("y", F.explode("places").alias("place"), "hits", "density").collect())
+        x = np.array([(r["hits"], r["density"]) for r in measured])
+        y = np.array([r["y"] for r in measured])
         curve = fit_logistic(x, y.astype(np.float64), weights=class_weights(y, totals))
+    else:
+        curve = (np.zeros(2), np.ones(2), np.array([0.0, 0.0, -30.0 if found.isEmpty() else _logit(class_share(totals))]))
+    scratch.drop("texts")
     return Fitted(lexicon, tuple(exceptions), curve)
 
 

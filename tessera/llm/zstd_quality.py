@@ -77,13 +77,13 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int =
     return centre, scale, w
 
 
-def sample_rows(docs: DataFrame, labels: DataFrame, training: Column, label: str, id_col: str, text_col: str, label_id: str,
-                rows: int, max_bytes: int, seed: int) -> tuple[list[tuple[str, int, int]], dict[int, int]]:
+def sample_table(docs: DataFrame, labels: DataFrame, training: Column, label: str, id_col: str, text_col: str, label_id: str,
+                 rows: int, max_bytes: int, seed: int, scratch: Scratch) -> tuple[DataFrame, dict[int, int]]:
     """Up to ``rows`` labelled training texts per class in a seeded order, together at most ``max_bytes`` per class.
 
-    Returns (text, label, fold) with fold 0 or 1, and how many labelled training ids each class has in all. Repeated
-    rows of an id count once. A text longer than ``max_bytes / 16`` is left out, so a class whose
-    sample ends before ``rows`` and before its last id has at least 15/16 of ``max_bytes``.
+    Returns a table (y, place, text, fold) with fold 0 or 1, one row per id, ``place`` being its place in the order, and how
+    many labelled training ids each class has in all. Repeated rows of an id count once. A text longer than ``max_bytes / 16`` is left out, so a class whose
+    sample ends before ``rows`` and before its last id has at least 15/16 of ``max_bytes``. The table reads ``scratch``'s table ``label``.
     """
     known = (labels.select(F.col(f"`{label_id}`").alias("id"), F.col(f"`{label}`").cast("int").alias("y"))
              .where("id is not null and y in (0, 1)").groupBy("id").agg(F.max("y").alias("y")))
@@ -92,7 +92,6 @@ def sample_rows(docs: DataFrame, labels: DataFrame, training: Column, label: str
     size = F.octet_length("text")
     short = F.when(size <= max_bytes // 16, F.struct(F.xxhash64("text").alias("tid"), size.alias("size")))
     rated = texts.select("id", short.alias("short")).join(known, "id").groupBy("id", "y").agg(F.min("short").alias("short"))
-    scratch = Scratch(docs.sparkSession, "sample")
     rated = scratch.write(rated.select("id", "y", "short.tid", "short.size", F.xxhash64("id", F.lit(seed)).alias("place")), label)
     totals = {0: 0, 1: 0} | {r["y"]: r["count"] for r in rated.groupBy("y").count().collect()}
     upto = F.sum("size").over(Window.orderBy("place", "id").rowsBetween(Window.unboundedPreceding, 0))
@@ -100,7 +99,16 @@ def sample_rows(docs: DataFrame, labels: DataFrame, training: Column, label: str
                  .withColumn("bytes", upto).where(F.col("bytes") <= max_bytes).drop("bytes", "size") for y in (0, 1))
     chosen = F.broadcast(zero.unionByName(one))  # narrow, at most 2 * rows
     found = (texts.join(chosen.withColumnRenamed("id", "cid"), (F.col("id") == F.col("cid")) & (F.xxhash64("text") == F.col("tid")))
-             .dropDuplicates(["id"]).select("y", "place", "text", F.pmod(F.shiftright("place", 8), F.lit(2)).alias("fold")).collect())
+             .dropDuplicates(["id"]).select("y", "place", "text", F.pmod(F.shiftright("place", 8), F.lit(2)).alias("fold")))
+    return found, totals
+
+
+def sample_rows(docs: DataFrame, labels: DataFrame, training: Column, label: str, id_col: str, text_col: str, label_id: str,
+                rows: int, max_bytes: int, seed: int) -> tuple[list[tuple[str, int, int]], dict[int, int]]:
+    """The rows of :func:`sample_table` as (text, label, fold), by label and place, and the class counts."""
+    scratch = Scratch(docs.sparkSession, "sample")
+    found, totals = sample_table(docs, labels, training, label, id_col, text_col, label_id, rows, max_bytes, seed, scratch)
+    found = found.collect()
     scratch.drop(label)
     return [(r["text"], r["y"], r["fold"]) for r in sorted(found)], totals
 

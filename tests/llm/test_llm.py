@@ -611,3 +611,36 @@ def test_word_hashing_holds_a_few_mb(monkeypatch):
         assert tracemalloc.get_traced_memory()[1] < 30 << 20
     finally:
         tracemalloc.stop()
+
+
+def test_texts_of_the_toxicity_sample_stay_off_the_driver(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+    from tessera.llm.toxicity import automaton, fit_toxicity, measure
+    from tessera.llm.zstd_quality import class_weights, fit_logistic, sample_rows
+    rng = random.Random(6)
+    plain = [f"w{chr(97 + i)}" for i in range(26)]
+    rows = [(i, " ".join(rng.choices(plain, k=1000) + ["moron"] * (i % 3 == 0))) for i in range(150)]
+    rows += [(i + 150, t) for i, t in rows[:30]] + [(400, None), (401, "")]  # copies are rows of their own for the curve
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").cache()
+    lab = spark.createDataFrame([(i, int(i < 400 and i % 3 == 0)) for i, _ in rows], "doc_id bigint, toxic int").cache()
+    found, totals = sample_rows(df, lab, F.lit(True), "toxic", "doc_id", "text", "doc_id", 3000, 16 << 20, 5)
+    assert len(found) == 182
+    collect, sizes = DataFrame.collect, []
+
+    def noted(self):
+        got = collect(self)
+        sizes.append(len(str(got)))
+        return got
+
+    def refused(*_, **__):
+        raise AssertionError("local rows become a table")
+
+    monkeypatch.setattr(DataFrame, "collect", noted)
+    monkeypatch.setattr(type(spark), "createDataFrame", refused)
+    fitted = fit_toxicity(df, lab, F.lit(True))
+    assert set(fitted.lexicon) == {"moron"}
+    assert sizes and max(sizes) < sum(len(t or "") for _, t in rows) / 10
+    y = np.array([y for _, y, _ in found])
+    x = np.log1p([measure(t, automaton(fitted.lexicon, fitted.exceptions)) for t, _, _ in found])
+    for got, want in zip(fitted.curve, fit_logistic(x, y.astype(float), weights=class_weights(y, totals))):
+        assert got == pytest.approx(want, abs=1e-12)
